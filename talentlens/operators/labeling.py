@@ -1,0 +1,183 @@
+"""Stratified cascade sampling and label jobs.
+
+Sampling order is ``md5('<seed>:<candidate_id>')`` then id: portable,
+deterministic and independent of partitioning.  The cascade is evaluated
+without joins: each bucket's pick is "eligible ∧ (key, id) ≤ threshold", where
+the threshold is the quota-th smallest key among eligible rows (one distributed
+top-quota per bucket; only one row reaches the driver).  The narrow
+``(id, key, masks)`` frame is checkpointed once so the six passes don't
+recompute features.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..config import DEFAULT, RankConfig, RubricConfig
+from ..functions.text import title_regex
+from ..session import cut_lineage
+from .engagement import days_since_active
+
+BUCKETS = ("relevant", "plausible", "edge", "irrelevant", "suspicious", "random")
+
+
+def sample_key(seed: str = "42", id_col: str = "candidate_id") -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col)))
+
+
+def bucket_masks(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
+    """L1: the six bucket predicates (need features + suspicion)."""
+    f = F.col
+    years = f("feat_dim5_years_exp")
+    return {
+        "relevant": (f("feat_dim1_is_ai_title") == 1) & (f("feat_dim3_retrieval_skill_count") >= 2) & years.between(4, 12),
+        "plausible": (f("feat_dim1_is_eng_title") == 1) & (f("feat_dim4_total_skills") >= 5) & years.between(3, 15),
+        "edge": title_regex("profile_current_title"),
+        "irrelevant": f("feat_dim1_is_non_eng_title") == 1,
+        "suspicious": f("suspicion_score") > F.lit(cfg.suspicious_threshold),
+        "random": F.lit(True),
+    }
+
+
+def cascade_sample(scored: DataFrame, target_total: int = 3000, seed: str = "42",
+                   cfg: RankConfig = DEFAULT, checkpoint: bool = True) -> DataFrame:
+    """L2: quota ⌊N/6⌋ per bucket; each bucket skips earlier picks; shortfall carries over.
+
+    Returns ``candidate_id, bucket``.
+    """
+    masks = bucket_masks(cfg)
+    narrow = scored.select("candidate_id", sample_key(seed).alias("_key"),
+                           *[F.coalesce(m, F.lit(False)).alias(f"_m_{b}") for b, m in masks.items()])
+    if checkpoint:
+        narrow = cut_lineage(narrow)
+    quota = target_total // len(BUCKETS)
+    carry = 0
+    picked_any: Column = F.lit(False)
+    bucket_of: Column = F.lit(None).cast("string")
+    for b in BUCKETS:
+        limit = quota + carry
+        eligible = F.col(f"_m_{b}") & ~picked_any
+        if limit > 0:
+            top = narrow.where(eligible).select("_key", "candidate_id") \
+                        .orderBy("_key", "candidate_id").limit(limit)
+            row = top.agg(F.count(F.lit(1)).alias("n"),
+                          F.max(F.struct("_key", "candidate_id")).alias("t")).collect()[0]
+            n, t = row["n"], row["t"]
+        else:
+            n, t = 0, None
+        if n > 0:
+            pick = eligible & (F.struct("_key", "candidate_id") <= F.struct(F.lit(t["_key"]), F.lit(t["candidate_id"])))
+        else:
+            pick = F.lit(False)
+        bucket_of = F.when(bucket_of.isNull() & pick, F.lit(b)).otherwise(bucket_of)
+        picked_any = picked_any | pick
+        carry = limit - n
+    return narrow.select("candidate_id", bucket_of.alias("bucket")).where(F.col("bucket").isNotNull())
+
+
+def seeded_sample(df: DataFrame, n: int, seed: str = "42", id_col: str = "candidate_id") -> DataFrame:
+    """L3: deterministic sample of ``n`` rows (md5 order)."""
+    return df.orderBy(sample_key(seed, id_col), F.col(id_col)).limit(n)
+
+
+def pending(sampled: DataFrame, labelled: DataFrame | None) -> DataFrame:
+    """L4: sampled ids that have no label yet (resume)."""
+    if labelled is None:
+        return sampled
+    return sampled.join(labelled.select("candidate_id"), "candidate_id", "left_anti")
+
+
+def render_prompts(raw: DataFrame, template: str, job_text: str = "") -> DataFrame:
+    """Prompt per record: template with the job text and the record as JSON."""
+    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+    body = F.replace(F.lit(template), F.lit("{JOB_DESCRIPTION}"), F.lit(job_text))
+    return raw.select("candidate_id", F.replace(body, F.lit("{CANDIDATE_JSON}"), record).alias("prompt"))
+
+
+RESPONSE_SCHEMA = T.StructType([
+    T.StructField("score", T.DoubleType()), T.StructField("reasoning", T.StringType())])
+
+
+def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
+    """Strip code fences, parse JSON, require score+reasoning; else score 1 + error text."""
+    t = F.trim(F.col(text_col))
+    t = F.regexp_replace(t, r"^```json", "")
+    t = F.regexp_replace(t, r"^```", "")
+    t = F.regexp_replace(t, r"```$", "")
+    parsed = F.from_json(t, RESPONSE_SCHEMA)
+    ok = parsed.isNotNull() & parsed["score"].isNotNull() & parsed["reasoning"].isNotNull()
+    return responses.select(
+        "candidate_id",
+        F.when(ok, parsed["score"].cast("int")).otherwise(F.lit(1)).alias("llm_score"),
+        F.when(ok, parsed["reasoning"]).otherwise(F.lit("Error: unparseable or incomplete response")).alias("llm_reasoning"),
+    )
+
+
+def clean_reasoning(c: Column) -> Column:
+    """Newlines → spaces (the CSV writer doubles quotes itself)."""
+    return F.regexp_replace(c, r"[\r\n]", " ")
+
+
+def rubric_components(rub: RubricConfig = RubricConfig(), cfg: RankConfig = DEFAULT) -> dict[str, Column]:
+    f = F.col
+    sat = F.lit(rub.saturation)
+    base = F.rint(F.lit(5.0) * (
+        F.lit(rub.title_weight) * F.greatest(f("feat_dim1_is_eng_title"), f("feat_dim1_is_ai_title"))
+        + F.lit(rub.retrieval_weight) * (F.least(f("feat_dim3_retrieval_desc_count"), sat) / sat)
+        + F.lit(rub.production_weight) * (F.least(f("feat_dim2_production_kw_count"), sat) / sat)
+        + F.lit(rub.band_weight) * f("feat_dim5_exp_band_score")
+        + F.lit(rub.product_weight) * f("feat_dim6_has_product_exp")
+    )).cast("long")
+    no_retrieval = f("feat_dim3_retrieval_desc_count") == 0
+    cap_consulting = f("feat_dim6_consulting_only") == 1
+    cap_offdomain = (f("feat_dim4_irrelevant_count") >= rub.offdomain_min_irrelevant) & no_retrieval
+    cap_stuffer = (f("feat_dim4_must_have_count") >= rub.stuffer_min_must_have) & no_retrieval \
+        & (f("feat_dim2_production_kw_count") == 0)
+    inactive = days_since_active(cfg) > rub.inactive_days
+    capped = base
+    capped = F.when(cap_consulting, F.least(capped, F.lit(rub.consulting_cap))).otherwise(capped)
+    capped = F.when(cap_offdomain, F.least(capped, F.lit(rub.offdomain_cap))).otherwise(capped)
+    capped = F.when(cap_stuffer, F.least(capped, F.lit(rub.stuffer_cap))).otherwise(capped)
+    capped = F.when(inactive, capped - rub.inactive_penalty).otherwise(capped)
+    score = F.greatest(F.least(capped, F.lit(5)), F.lit(0)).cast("long")
+    notes = F.array_compact(F.array(
+        F.when(cap_consulting, F.lit("consulting-only career")),
+        F.when(cap_offdomain, F.lit("off-domain skills without retrieval work")),
+        F.when(cap_stuffer, F.lit("keyword-heavy skills without evidence")),
+        F.when(inactive, F.lit("inactive for over six months")),
+    ))
+    reason = F.concat(F.lit("rubric base "), base.cast("string"),
+                      F.when(F.size(notes) > 0, F.concat(F.lit("; "), F.array_join(notes, "; "))).otherwise(F.lit("")))
+    return {"rubric_base": base, "llm_score": score, "llm_reasoning": reason}
+
+
+def rubric_labels(scored: DataFrame, rub: RubricConfig = RubricConfig(), cfg: RankConfig = DEFAULT) -> DataFrame:
+    """L7 (built-in teacher): 0–5 relevance per candidate as native expressions."""
+    comp = rubric_components(rub, cfg)
+    return scored.select("candidate_id", comp["llm_score"].alias("llm_score"),
+                         comp["llm_reasoning"].alias("llm_reasoning"))
+
+
+def teacher_labels(prompts: DataFrame, teacher: Callable[[list[str]], list[str]]) -> DataFrame:
+    """L7 (pluggable teacher): ``teacher(prompts) -> responses`` per Arrow batch, then L6.
+
+    ``mapInPandas`` keeps the call batched and distributed; the callable must be
+    picklable and should do its own retries.
+    """
+    def run(batches):
+        for pdf in batches:
+            out = pdf[["candidate_id"]].copy()
+            out["response"] = list(teacher(pdf["prompt"].tolist()))
+            yield out
+
+    responses = prompts.mapInPandas(run, "candidate_id string, response string")
+    return parse_responses(responses)
+
+
+def label_distribution(labels: DataFrame, label_col: str = "llm_score") -> DataFrame:
+    """Count per label, ascending label."""
+    return labels.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n")).orderBy("label")
