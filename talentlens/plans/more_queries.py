@@ -1 +1,534 @@
-"""Remaining query groups (sampling, training, audits, profile, sources)."""
+"""Registered queries: sampling and labels (L), training (N/M), audits (V/Q), profile (G)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..config import DEFAULT, RubricConfig, TrainConfig
+from ..operators import audit, labeling, model, profile
+from ..operators.features import FEATURE_COLUMNS
+from ..sources import fixture_pools as P
+from . import oracle as O
+from . import pipeline as PL
+from .queries import CORE, EXPLAINED, flat, r9, register, scored
+
+SAMPLE_TOTAL = 600
+SEED = "42"
+
+# ---------------------------------------------------------------------------
+# L: sampling and labels
+# ---------------------------------------------------------------------------
+
+
+def _mask_sql(cfg=DEFAULT) -> dict[str, str]:
+    return {
+        "relevant": "(feat_dim1_is_ai_title = 1 AND feat_dim3_retrieval_skill_count >= 2 AND feat_dim5_years_exp BETWEEN 4 AND 12)",
+        "plausible": "(feat_dim1_is_eng_title = 1 AND feat_dim4_total_skills >= 5 AND feat_dim5_years_exp BETWEEN 3 AND 15)",
+        "edge": "coalesce(regexp_matches(lower(profile_current_title), 'data engineer|qa|junior|intern'), false)",
+        "irrelevant": "(feat_dim1_is_non_eng_title = 1)",
+        "suspicious": f"(suspicion_score > {O.d(cfg.suspicious_threshold)})",
+        "random": "true",
+    }
+
+
+def cascade_sql(total: int = SAMPLE_TOTAL, seed: str = SEED) -> str:
+    quota = total // len(labeling.BUCKETS)
+    masks = _mask_sql()
+    parts = [f"sbase AS (SELECT candidate_id, md5('{seed}:' || candidate_id) AS skey, "
+             + ", ".join(f"coalesce({m}, false) AS m_{b}" for b, m in masks.items()) + " FROM scored)"]
+    prev = []
+    for i, b in enumerate(labeling.BUCKETS):
+        excl = " AND candidate_id NOT IN (SELECT candidate_id FROM picked_{})".format(i - 1) if i else ""
+        limit = f"{quota * (i + 1)} - " + (f"(SELECT count(*) FROM picked_{i - 1})" if i else "0")
+        parts.append(
+            f"b{i} AS (SELECT candidate_id, '{b}' AS bucket FROM ("
+            f"SELECT candidate_id, row_number() OVER (ORDER BY skey, candidate_id) AS rn FROM sbase "
+            f"WHERE m_{b}{excl}) WHERE rn <= {limit})")
+        union = " UNION ALL ".join(f"SELECT * FROM b{j}" for j in range(i + 1))
+        parts.append(f"picked_{i} AS ({union})")
+        prev.append(b)
+    parts.append(f"sample AS (SELECT * FROM picked_{len(labeling.BUCKETS) - 1})")
+    return ",\n".join(parts)
+
+
+SAMPLED = CORE + ",\n" + cascade_sql()
+
+
+def sample_frame(spark, sf) -> DataFrame:
+    return labeling.cascade_sample(scored(spark, sf), SAMPLE_TOTAL, SEED)
+
+
+def labelled_sample(spark, sf) -> DataFrame:
+    """Rubric labels of the cascade sample joined to the scored rows."""
+    s = scored(spark, sf)
+    sample = labeling.cascade_sample(s, SAMPLE_TOTAL, SEED)
+    comp = labeling.rubric_components()
+    rows = s.join(model.bounded_broadcast(sample), "candidate_id")
+    return rows.withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"])
+
+
+@register("sample_cascade", SAMPLED + "\nSELECT candidate_id, bucket FROM sample")
+def q_sample_cascade(spark, sf):
+    return sample_frame(spark, sf)
+
+
+@register("sample_seeded", CORE + f"\nSELECT candidate_id, final_score FROM scored ORDER BY md5('{SEED}:' || candidate_id), candidate_id LIMIT 100")
+def q_sample_seeded(spark, sf):
+    return labeling.seeded_sample(scored(spark, sf), 100, SEED).select("candidate_id", "final_score")
+
+
+@register("labels_pending", SAMPLED + "\nSELECT candidate_id, bucket FROM sample WHERE candidate_id NOT IN "
+          "(SELECT candidate_id FROM sample WHERE bucket IN ('relevant', 'plausible'))")
+def q_labels_pending(spark, sf):
+    sample = sample_frame(spark, sf)
+    done = sample.where(F.col("bucket").isin("relevant", "plausible"))
+    return labeling.pending(sample, done)
+
+
+@register("label_distribution", SAMPLED + "\nSELECT llm_score AS label, count(*) AS n FROM scored "
+          "WHERE candidate_id IN (SELECT candidate_id FROM sample) GROUP BY llm_score")
+def q_label_distribution(spark, sf):
+    return labeling.label_distribution(labelled_sample(spark, sf))
+
+
+@register("label_join", SAMPLED + "\nSELECT s.candidate_id, s.llm_score, s.feat_dim5_years_exp, s.feat_dim3_retrieval_composite, "
+          "s.feat_dim4_skill_trust_score FROM scored s JOIN sample USING (candidate_id)")
+def q_label_join(spark, sf):
+    feats_df = scored(spark, sf)
+    labels = labeling.rubric_labels(feats_df).join(sample_frame(spark, sf), "candidate_id", "left_semi")
+    return model.label_join(feats_df, labels).select(
+        "candidate_id", F.col("llm_score").cast("long").alias("llm_score"), "feat_dim5_years_exp",
+        "feat_dim3_retrieval_composite", "feat_dim4_skill_trust_score")
+
+
+@register("constant_features", SAMPLED + "\nSELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, (min({c}) IS NULL OR min({c}) = max({c})) AS constant FROM scored "
+    f"WHERE candidate_id IN (SELECT candidate_id FROM sample)" for c in FEATURE_COLUMNS) + ")")
+def q_constant_features(spark, sf):
+    return model.constant_columns(labelled_sample(spark, sf), FEATURE_COLUMNS)
+
+
+FOLD_SQL = f"(('0x' || substr(md5('{SEED}:' || candidate_id), 1, 8))::BIGINT % 5)"
+
+
+@register("fold_assignment", SAMPLED + f"\nSELECT candidate_id, CAST({FOLD_SQL} AS INTEGER) AS fold FROM sample")
+def q_fold_assignment(spark, sf):
+    return sample_frame(spark, sf).select("candidate_id", model.fold_of(5, SEED).alias("fold"))
+
+
+@register("regression_metrics", SAMPLED + f"""
+SELECT CAST({FOLD_SQL} AS INTEGER) AS fold,
+  {O.r9('sqrt(avg((CAST(rubric_base AS DOUBLE) - llm_score) * (CAST(rubric_base AS DOUBLE) - llm_score)))')} AS rmse,
+  {O.r9('avg(abs(CAST(rubric_base AS DOUBLE) - llm_score))')} AS mae, count(*) AS n
+FROM scored WHERE candidate_id IN (SELECT candidate_id FROM sample) GROUP BY 1""")
+def q_regression_metrics(spark, sf):
+    ls = labelled_sample(spark, sf).select(
+        "candidate_id", F.col("rubric_base").cast("double").alias("prediction"),
+        F.col("llm_score").cast("double").alias("llm_score")).withColumn("fold", model.fold_of(5, SEED))
+    m = model.regression_metrics(ls, "llm_score", group="fold")
+    return m.select("fold", r9("rmse").alias("rmse"), r9("mae").alias("mae"), "n")
+
+
+@register("calibration_by_label", SAMPLED + f"""
+SELECT llm_score AS label, {O.r9('avg(CAST(rubric_base AS DOUBLE))')} AS mean_pred,
+  CAST(min(rubric_base) AS DOUBLE) AS min_pred, CAST(max(rubric_base) AS DOUBLE) AS max_pred, count(*) AS n
+FROM scored WHERE candidate_id IN (SELECT candidate_id FROM sample) GROUP BY llm_score""")
+def q_calibration_by_label(spark, sf):
+    ls = labelled_sample(spark, sf).select(F.col("rubric_base").cast("double").alias("prediction"), "llm_score")
+    c = model.calibration(ls)
+    return c.select("label", r9("mean_pred").alias("mean_pred"), "min_pred", "max_pred", "n")
+
+
+# rows-only: fitted models, pluggable teacher, prompt rendering
+
+@register("gbt_cv")
+def q_gbt_cv(spark, sf):
+    train = labelled_sample(spark, sf)
+    cols = model.usable_columns(train, FEATURE_COLUMNS)
+    return model.cross_validate(train.withColumn("llm_score", F.col("llm_score").cast("double")), cols,
+                                TrainConfig(max_iter=10))
+
+
+@register("gbt_score")
+def q_gbt_score(spark, sf):
+    train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
+    cols = model.usable_columns(train, FEATURE_COLUMNS)
+    fitted = model.fit(train, cols, TrainConfig(max_iter=10))
+    all_rows = PL.featurize(flat(spark, sf))
+    out = model.score(fitted, all_rows, cols).withColumn("final_score", PL.ranking.final_score())
+    return PL.rank_candidates(out)
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf):
+    train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
+    cols = model.usable_columns(train, FEATURE_COLUMNS)
+    fitted = model.fit(train, cols, TrainConfig(max_iter=10))
+    return spark.createDataFrame(model.importances(fitted, cols), "feature string, importance double")
+
+
+PROMPT = ("Rate this candidate from 0 to 5 for the role below and answer as JSON "
+          "{\"score\": n, \"reasoning\": \"...\"}.\nROLE: {JOB_DESCRIPTION}\nCANDIDATE: {CANDIDATE_JSON}")
+
+
+@register("teacher_prompts")
+def q_teacher_prompts(spark, sf):
+    raw = PL.fixture_candidates(spark, sf)
+    pend = raw.join(model.bounded_broadcast(sample_frame(spark, sf).select("candidate_id")), "candidate_id", "left_semi")
+    return labeling.render_prompts(pend, PROMPT, "Senior engineer for search and ranking systems")
+
+
+def _echo_teacher(prompts):
+    # deterministic stand-in for an external model: answers from prompt length
+    return ['```json\n{"score": %d, "reasoning": "length %d"}\n```' % (len(p) % 6, len(p)) for p in prompts]
+
+
+@register("teacher_parse")
+def q_teacher_parse(spark, sf):
+    return labeling.teacher_labels(q_teacher_prompts(spark, sf), _echo_teacher)
+
+
+# ---------------------------------------------------------------------------
+# V/Q: audits on the ranked submission with injected defects
+# ---------------------------------------------------------------------------
+
+def defective_cells(spark, sf) -> DataFrame:
+    """Submission cells from the real ranking, with defects placed by rank arithmetic."""
+    sub = PL.rank_pipeline(spark, sf)
+    w = Window.orderBy("rank")
+    s = (sub.withColumn("prev_id", F.lag("candidate_id").over(w)).withColumn("next_id", F.lead("candidate_id").over(w))
+            .withColumn("prev_score", F.lag("score").over(w)).withColumn("prev_reason", F.lag("reasoning").over(w)))
+    r = F.col("rank")
+    cid = (F.when(r == 5, F.col("prev_id")).when(r == 9, F.lit("CAND_12")).when(r == 33, F.col("next_id"))
+            .when(r == 34, F.col("prev_id")).when(r == 60, F.lit("CAND_9999999")).when(r == 70, F.lit(""))
+            .otherwise(F.col("candidate_id")))
+    score = (F.when(r == 21, F.col("prev_score") + 0.5).when(r == 34, F.col("prev_score")).otherwise(F.col("score")))
+    score_s = F.when(r == 17, F.lit("n/a")).otherwise(F.format_string("%.4f", score))
+    rank_s = (F.when(r == 13, F.lit("013")).when(r == 25, F.lit("101")).when(r == 29, F.lit("28"))
+               .otherwise(r.cast("string")))
+    reason = (F.when(r == 40, F.lit("")).when(r == 45, F.col("prev_reason")).when(r == 50, F.lit("ok"))
+               .otherwise(F.col("reasoning")))
+    return s.select(cid.alias("candidate_id"), rank_s.alias("rank"), score_s.alias("score"),
+                    reason.alias("reasoning"), (r + 1).cast("long").alias("row_num"))
+
+
+CELLS_SQL = EXPLAINED + """,
+lagged AS (
+  SELECT *, lag(candidate_id) OVER (ORDER BY rank) AS prev_id, lead(candidate_id) OVER (ORDER BY rank) AS next_id,
+    lag(score) OVER (ORDER BY rank) AS prev_score, lag(reasoning) OVER (ORDER BY rank) AS prev_reason
+  FROM submission),
+cells AS (
+  SELECT
+    CASE WHEN rank = 5 THEN prev_id WHEN rank = 9 THEN 'CAND_12' WHEN rank = 33 THEN next_id WHEN rank = 34 THEN prev_id
+         WHEN rank = 60 THEN 'CAND_9999999' WHEN rank = 70 THEN '' ELSE candidate_id END AS candidate_id,
+    CASE WHEN rank = 13 THEN '013' WHEN rank = 25 THEN '101' WHEN rank = 29 THEN '28' ELSE CAST(rank AS VARCHAR) END AS rank,
+    CASE WHEN rank = 17 THEN 'n/a' ELSE printf('%.4f', CASE WHEN rank = 21 THEN prev_score + CAST(0.5 AS DOUBLE)
+         WHEN rank = 34 THEN prev_score ELSE score END) END AS score,
+    CASE WHEN rank = 40 THEN '' WHEN rank = 45 THEN prev_reason WHEN rank = 50 THEN 'ok' ELSE reasoning END AS reasoning,
+    CAST(rank + 1 AS BIGINT) AS row_num
+  FROM lagged),
+cv AS (
+  SELECT *, trim(coalesce(candidate_id, '')) AS cid, trim(coalesce(rank, '')) AS rank_s,
+    CASE WHEN regexp_matches(trim(coalesce(rank, '')), '^(0|-?[1-9][0-9]*)$') THEN TRY_CAST(trim(rank) AS BIGINT) END AS rank_i,
+    TRY_CAST(trim(coalesce(score, '')) AS DOUBLE) AS score_d
+  FROM cells),
+typed AS (
+  SELECT trim(candidate_id) AS candidate_id, TRY_CAST(trim(rank) AS INTEGER) AS rank,
+    TRY_CAST(trim(score) AS DOUBLE) AS score, reasoning, row_num FROM cells)"""
+
+
+VSQL = CELLS_SQL + f"""
+SELECT * FROM (
+  SELECT 'row_count' AS "check", 'error' AS severity, CAST(0 AS BIGINT) AS row_num, 'found ' || CAST(count(*) AS VARCHAR) AS detail
+    FROM cv HAVING count(*) <> 100
+  UNION ALL SELECT 'id_required', 'error', row_num, '' FROM cv WHERE cid = ''
+  UNION ALL SELECT 'id_pattern', 'error', row_num, cid FROM cv WHERE cid <> '' AND NOT regexp_matches(cid, '{C.CANDIDATE_ID_PATTERN}')
+  UNION ALL SELECT 'id_duplicate', 'error', row_num, cid FROM (
+    SELECT cid, row_num, row_number() OVER (PARTITION BY cid ORDER BY row_num) AS occ FROM cv
+    WHERE regexp_matches(cid, '{C.CANDIDATE_ID_PATTERN}')) WHERE occ > 1
+  UNION ALL SELECT 'rank_not_integer', 'error', row_num, rank_s FROM cv WHERE rank_i IS NULL
+  UNION ALL SELECT 'rank_range', 'error', row_num, rank_s FROM cv WHERE rank_i IS NOT NULL AND NOT rank_i BETWEEN 1 AND 100
+  UNION ALL SELECT 'rank_duplicate', 'error', row_num, rank_s FROM (
+    SELECT rank_s, row_num, row_number() OVER (PARTITION BY rank_i ORDER BY row_num) AS occ FROM cv
+    WHERE rank_i BETWEEN 1 AND 100) WHERE occ > 1
+  UNION ALL SELECT 'score_not_float', 'error', row_num, trim(coalesce(score, '')) FROM cv WHERE score_d IS NULL
+  UNION ALL SELECT 'rank_missing', 'error', CAST(0 AS BIGINT), CAST(r AS VARCHAR) FROM range(1, 101) t(r)
+    WHERE r NOT IN (SELECT rank_i FROM cv WHERE rank_i BETWEEN 1 AND 100)
+  UNION ALL SELECT 'score_increase', 'error', row_num, 'rank ' || CAST(rank_i AS VARCHAR) || ' < rank ' || CAST(r2 AS VARCHAR)
+    FROM ordered WHERE s2 IS NOT NULL AND score_d < s2
+  UNION ALL SELECT 'tie_order', 'error', row_num, cid || ' > ' || c2
+    FROM ordered WHERE s2 IS NOT NULL AND score_d = s2 AND cid > c2)"""
+VSQL = VSQL.replace("typed AS (", """ordered AS (
+  SELECT cid, rank_i, score_d, row_num,
+    lead(score_d) OVER (ORDER BY rank_i, row_num) AS s2, lead(cid) OVER (ORDER BY rank_i, row_num) AS c2,
+    lead(rank_i) OVER (ORDER BY rank_i, row_num) AS r2
+  FROM cv WHERE rank_i IS NOT NULL AND score_d IS NOT NULL AND cid <> ''),
+typed AS (""")
+
+
+@register("audit_contract", VSQL)
+def q_audit_contract(spark, sf):
+    return audit.validate_cells(defective_cells(spark, sf))
+
+
+@register("audit_missing_ranks", CELLS_SQL.replace("typed AS (", "x AS (") +
+          "\nSELECT CAST(r AS BIGINT) AS missing_rank FROM range(1, 101) t(r) WHERE r NOT IN (SELECT rank_i FROM cv WHERE rank_i BETWEEN 1 AND 100)")
+def q_audit_missing_ranks(spark, sf):
+    return audit.check_missing_ranks(defective_cells(spark, sf)).select(F.col("detail").cast("long").alias("missing_rank"))
+
+
+NF_RULES = O.rule_exprs(has_features=False)
+FLAGGED_NF = ("flagged_nf AS (SELECT candidate_id FROM cand WHERE least("
+              + " + ".join(f"CAST(({e}) AS DOUBLE) * {O.d(w)}" for e, w in zip(NF_RULES.values(), DEFAULT.rule_weights))
+              + f", {O.d(1.0)}) > {O.d(DEFAULT.honeypot_threshold)})")
+
+
+@register("audit_flagged", CELLS_SQL + ",\n" + FLAGGED_NF +
+          "\nSELECT candidate_id, rank FROM typed WHERE candidate_id IN (SELECT candidate_id FROM flagged_nf)")
+def q_audit_flagged(spark, sf):
+    sub = audit.typed(defective_cells(spark, sf))
+    return audit.audit_flagged(sub, audit.flagged_without_features(flat(spark, sf)))
+
+
+@register("audit_titles", CELLS_SQL + f"""
+SELECT t.rank, t.candidate_id, c.profile_current_title, c.profile_current_industry,
+  lower(coalesce(c.profile_current_title, '')) IN {O.inlist(C.AUDIT_NON_ENG_TITLES)} AS flagged
+FROM typed t JOIN cand c USING (candidate_id) WHERE t.rank <= 10""")
+def q_audit_titles(spark, sf):
+    return audit.audit_titles(audit.typed(defective_cells(spark, sf)), flat(spark, sf))
+
+
+@register("audit_reasoning", CELLS_SQL + """
+SELECT 'empty' AS issue, rank FROM typed WHERE reasoning IS NULL OR reasoning = ''
+UNION ALL SELECT 'duplicate', rank FROM (SELECT rank, row_number() OVER (PARTITION BY reasoning ORDER BY row_num) AS occ
+  FROM typed WHERE reasoning IS NOT NULL) WHERE occ > 1
+UNION ALL SELECT 'short', rank FROM typed WHERE length(reasoning) < 30""")
+def q_audit_reasoning(spark, sf):
+    return audit.audit_reasoning(audit.typed(defective_cells(spark, sf)))
+
+
+@register("audit_review_sample", CELLS_SQL + f"""
+SELECT candidate_id, rank, score FROM typed ORDER BY md5('{SEED}:' || candidate_id), candidate_id LIMIT 10""")
+def q_audit_review_sample(spark, sf):
+    return audit.review_sample(audit.typed(defective_cells(spark, sf)), 10, SEED).select("candidate_id", "rank", "score")
+
+
+@register("audit_scores", CELLS_SQL + f"""
+SELECT min(score) AS min, max(score) AS max, {O.r9('avg(score)')} AS mean, {O.r9('stddev_samp(score)')} AS std,
+  {O.r9('median(score)')} AS median, count(DISTINCT score) AS unique_scores,
+  {O.r9('arg_min(score, row_num) - arg_max(score, row_num)')} AS spread
+FROM typed""")
+def q_audit_scores(spark, sf):
+    s = audit.audit_scores(audit.typed(defective_cells(spark, sf)))
+    return s.select("min", "max", r9("mean").alias("mean"), r9("std").alias("std"), r9("median").alias("median"),
+                    "unique_scores", r9("spread").alias("spread"))
+
+
+@register("audit_ids", CELLS_SQL + "\nSELECT DISTINCT candidate_id FROM typed WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)")
+def q_audit_ids(spark, sf):
+    return audit.audit_unknown_ids(audit.typed(defective_cells(spark, sf)), flat(spark, sf))
+
+
+@register("audit_summary")
+def q_audit_summary(spark, sf):
+    cells = defective_cells(spark, sf)
+    sub = audit.typed(cells)
+    fl = flat(spark, sf)
+    return audit.layer_summary(
+        audit.validate_cells(cells), audit.audit_flagged(sub, audit.flagged_without_features(fl)),
+        audit.audit_titles(sub, fl), audit.audit_reasoning(sub), audit.audit_scores(sub),
+        audit.audit_unknown_ids(sub, fl))
+
+
+@register("output_assertions", EXPLAINED + """
+SELECT 'unknown_id' AS "check", candidate_id AS detail FROM submission WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)
+UNION ALL SELECT 'row_count', '' FROM submission HAVING count(*) <> 100""")
+def q_output_assertions(spark, sf):
+    ranked = PL.rank_pipeline(spark, sf)
+    return PL.ranking.output_violations(ranked, flat(spark, sf), DEFAULT.top_k)
+
+
+def _conformance_sql() -> str:
+    profs = O.inlist(audit.PROFICIENCY)
+    modes = O.inlist(audit.WORK_MODES)
+    checks = {
+        "required_keys": "SELECT 0",
+        "candidate_id_pattern": f"SELECT count(*) FROM cand WHERE NOT regexp_matches(candidate_id, '{C.CANDIDATE_ID_PATTERN}')",
+        "years_range": "SELECT count(*) FROM cand WHERE NOT profile_years_of_exp BETWEEN 0 AND 50",
+        "company_size_enum": f"SELECT count(*) FROM cand WHERE profile_company_size NOT IN {O.inlist(audit.COMPANY_SIZES)}",
+        "career_items": "SELECT count(*) FROM cand WHERE NOT career_num_jobs BETWEEN 1 AND 10",
+        "education_items": "SELECT 0",
+        "end_year_range": "SELECT count(*) FROM cand WHERE edu_latest_end_year > 0 AND NOT edu_latest_end_year BETWEEN 1970 AND 2035",
+        "tier_enum": "SELECT 0",
+        "proficiency_enum": f"SELECT count(DISTINCT k) FROM sk WHERE prof NOT IN {profs}",
+        "response_rate_range": "SELECT count(*) FROM cand WHERE NOT sig_response_rate BETWEEN 0 AND 1",
+        "interview_rate_range": "SELECT count(*) FROM cand WHERE NOT sig_interview_completion BETWEEN 0 AND 1",
+        "offer_rate_range": "SELECT count(*) FROM cand WHERE sig_offer_acceptance <> -1 AND NOT sig_offer_acceptance BETWEEN 0 AND 1",
+        "notice_range": "SELECT count(*) FROM cand WHERE NOT sig_notice_period_days BETWEEN 0 AND 180",
+        "work_mode_enum": f"SELECT count(*) FROM cand WHERE sig_work_mode NOT IN {modes}",
+        "assessment_range": "SELECT count(*) FROM cand WHERE len(list_filter(assess_vals, lambda v: NOT v BETWEEN 0 AND 100)) > 0",
+    }
+    return CORE + "\nSELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, CAST(({q}) AS BIGINT) AS violations" for n, q in checks.items()) + ")"
+
+
+@register("schema_conformance", _conformance_sql())
+def q_schema_conformance(spark, sf):
+    return audit.schema_conformance(PL.fixture_candidates(spark, sf)).select("rule", F.col("violations").cast("long"))
+
+
+# ---------------------------------------------------------------------------
+# G: dataset profile
+# ---------------------------------------------------------------------------
+
+def _prof(df: DataFrame) -> DataFrame:
+    return df.select("section", "metric", F.coalesce("key", F.lit("")).alias("key"), r9("value").alias("value"))
+
+
+def _topn(section, metric, key_expr, source, n=None, where="true") -> str:
+    lim = f" ORDER BY n DESC, key ASC LIMIT {n}" if n else ""
+    return (f"SELECT '{section}' AS section, '{metric}' AS metric, CAST(key AS VARCHAR) AS key, CAST(n AS DOUBLE) AS value "
+            f"FROM (SELECT {key_expr} AS key, count(*) AS n FROM {source} WHERE {where} GROUP BY 1{lim})")
+
+
+def _scalar(section, metric, key, expr, source) -> str:
+    return f"SELECT '{section}' AS section, '{metric}' AS metric, '{key}' AS key, CAST(({expr}) AS DOUBLE) AS value FROM {source}"
+
+
+def _describe(section, metric, long_source, key_prefix=True) -> str:
+    """SQL for grouped_describe over a (g, v) relation."""
+    key = "g || '.' || stat" if key_prefix else "stat"
+    ranked = (f"(SELECT g, v, row_number() OVER (PARTITION BY g ORDER BY v) - 1 AS pos, "
+              f"count(*) OVER (PARTITION BY g) AS n FROM {long_source})")
+    basic = " UNION ALL ".join(
+        f"SELECT g, '{st}' AS stat, CAST({expr} AS DOUBLE) AS value FROM {long_source} GROUP BY g"
+        for st, expr in (("n", "count(*)"), ("min", "min(v)"), ("max", "max(v)"), ("mean", "avg(v)"),
+                         ("std", "coalesce(stddev_samp(v), 0.0)")))
+    pcts = " UNION ALL ".join(
+        f"SELECT g, '{st}', v FROM {ranked} WHERE pos = CAST(floor(n * CAST({p} AS DOUBLE)) AS BIGINT)"
+        for st, p in (("p25", 0.25), ("p75", 0.75), ("p90", 0.9)))
+    return f"""SELECT '{section}' AS section, '{metric}' AS metric, {key} AS key, value FROM (
+  {basic}
+  UNION ALL SELECT g, 'median', avg(v) FROM {ranked} WHERE pos = (n - 1) // 2 OR pos = n // 2 GROUP BY g
+  UNION ALL {pcts})"""
+
+
+def _bins() -> str:
+    y = "profile_years_of_exp"
+    whens = " ".join(f"WHEN {y} < {b} THEN '{label}'" for b, label in C.EXPERIENCE_BINS)
+    return f"(CASE {whens} ELSE '{C.EXPERIENCE_TOP_BIN}' END)"
+
+
+EDU_ENTRIES = (f"edu_e AS (SELECT k, {O.pick(P.TIERS, 'k')} AS tier, {O.pick(P.DEGREES, 'k')} AS degree, "
+               f"{O.pick(P.FIELDS, 'k')} AS field FROM customer_k WHERE k % 10 <> 0 UNION ALL "
+               f"SELECT k, {O.pick(P.TIERS, 'k + 2')}, {O.pick(P.DEGREES, 'k + 3')}, {O.pick(P.FIELDS, 'k + 1')} "
+               f"FROM customer_k WHERE k % 10 <> 0 AND k % 2 <> 0)")
+
+SIG_LONG = "sig_long AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS g, CAST({col} AS DOUBLE) AS v FROM cand" + (f" WHERE {col} <> -1" if sentinel is not None else "")
+    for (name, sentinel), col in zip(profile.SIGNAL_STATS, [
+        "sig_profile_completeness", "sig_response_rate", "sig_avg_response_hours", "sig_notice_period_days",
+        "sig_interview_completion", "sig_search_appear_30d", "sig_saved_recruiters_30d", "sig_github_score",
+        "sig_offer_acceptance"])) + ")"
+
+PROFILE_BASE = CORE + ",\ncustomer_k AS (SELECT c_custkey AS k FROM customer),\n" + EDU_ENTRIES + ",\n" + SIG_LONG + \
+    ",\nyears_long AS (SELECT 'years' AS g, profile_years_of_exp AS v FROM cand)"
+
+PROFILE_SECTIONS = {
+    "profile_overview": [
+        _scalar("overview", "total_candidates", "", "count(*)", "cand"),
+        _scalar("overview", "india_percentage", "",
+                "CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (WHERE profile_country = 'India') AS DOUBLE) / count(*) * 100 ELSE 0 END",
+                "cand"),
+    ],
+    "profile_value_counts": [
+        _topn("distribution", "title", "profile_current_title", "cand", 20),
+        _topn("distribution", "industry", "profile_current_industry", "cand", 20),
+        _topn("distribution", "country", "profile_country", "cand", 20),
+    ],
+    "profile_experience": [
+        _topn("experience", "bin", _bins(), "cand"),
+        _describe("experience", "years", "years_long", key_prefix=False),
+    ],
+    "profile_skills": [
+        _scalar("skills", "unique_skills", "", "count(DISTINCT name)", "sk"),
+        _topn("skills", "top_skill", "name", "sk", 50),
+        _topn("skills", "proficiency", "prof", "sk"),
+        _topn("skills", "skills_per_candidate", "skills_count", "cand"),
+    ] + [
+        _scalar("skills", "critical_coverage", g, f"count(DISTINCT k) FILTER (WHERE lower(name) IN {O.inlist(vals)})", "sk")
+        for g, vals in C.PROFILE_SKILL_GROUPS
+    ],
+    "profile_companies": [
+        _topn("companies", "top_company", "profile_current_company", "cand", 30),
+        _scalar("companies", "current_consulting", "",
+                f"count(*) FILTER (WHERE lower(profile_current_company) IN {O.inlist(C.PROFILE_CONSULTING)})", "cand"),
+        _scalar("companies", "only_consulting", "", "count(*)",
+                f"(SELECT k FROM jobs GROUP BY k HAVING bool_and(lower(company) IN {O.inlist(C.PROFILE_CONSULTING)}))"),
+    ],
+    "profile_signals": [
+        _describe("signals", "stat", "sig_long"),
+        _scalar("signals", "count", "open_to_work", "count(*) FILTER (WHERE sig_open_to_work)", "cand"),
+        _scalar("signals", "count", "no_github", "count(*) FILTER (WHERE sig_github_score = -1)", "cand"),
+        _scalar("signals", "count", "verified_email", "count(*) FILTER (WHERE sig_verified_email)", "cand"),
+        _scalar("signals", "count", "verified_phone", "count(*) FILTER (WHERE sig_verified_phone)", "cand"),
+        _scalar("signals", "count", "linkedin_connected", "count(*) FILTER (WHERE sig_linkedin_connected)", "cand"),
+        _scalar("signals", "count", "inactive_more_than_90_days",
+                "count(*) FILTER (WHERE date_diff('day', TRY_CAST(sig_last_active_date AS DATE), DATE '2026-06-01') BETWEEN 91 AND 180)", "cand"),
+        _scalar("signals", "count", "inactive_more_than_180_days",
+                "count(*) FILTER (WHERE date_diff('day', TRY_CAST(sig_last_active_date AS DATE), DATE '2026-06-01') > 180)", "cand"),
+    ],
+    "profile_career": [
+        _topn("career", "jobs_per_candidate", "career_num_jobs", "cand"),
+        _topn("career", "top_industry", "industry", "jobs", 20),
+        _scalar("career", "mean_job_duration", "", "coalesce(avg(dur), 0.0)", "jobs"),
+        _scalar("career", "with_current_job", "", "count(DISTINCT k) FILTER (WHERE is_current)", "jobs"),
+    ],
+    "profile_education": [
+        _topn("education", "tier", "tier", "edu_e"),
+        _topn("education", "top_degree", "degree", "edu_e", 20),
+        _topn("education", "top_field", "field", "edu_e", 20),
+        _scalar("education", "cs_related", "", "count(DISTINCT k) FILTER (WHERE " + " OR ".join(
+            f"contains(lower(field), '{f}')" for f in C.PROFILE_CS_FIELDS) + ")", "edu_e"),
+    ],
+    "profile_integrity": [
+        _scalar("integrity", "indicator", "salary_inversion", "count(*) FILTER (WHERE sig_salary_min > sig_salary_max)", "cand"),
+        _scalar("integrity", "indicator", "experience_vs_education_mismatch",
+                "count(*) FILTER (WHERE edu_latest_end_year > 0 AND profile_years_of_exp > (2026 - edu_latest_end_year) + 2)", "cand"),
+        _scalar("integrity", "indicator", "career_duration_mismatch",
+                "count(*) FILTER (WHERE career_total_months > profile_years_of_exp * 12 * CAST(1.5 AS DOUBLE) "
+                "OR career_total_months < profile_years_of_exp * 12 * CAST(0.3 AS DOUBLE))", "cand"),
+        _scalar("integrity", "indicator", "skill_stuffer", "count(*)",
+                "(SELECT k FROM sk GROUP BY k HAVING count(*) FILTER (WHERE prof IN ('advanced', 'expert')) >= 8 "
+                "AND count(*) FILTER (WHERE prof IN ('advanced', 'expert') AND endorse = 0) >= 6)"),
+    ],
+}
+
+PROFILE_FNS = {
+    "profile_overview": lambda raw: profile.overview(raw),
+    "profile_value_counts": lambda raw: profile.distributions(raw),
+    "profile_experience": lambda raw: profile.experience(raw),
+    "profile_skills": lambda raw: profile.skills(raw),
+    "profile_companies": lambda raw: profile.companies(raw),
+    "profile_signals": lambda raw: profile.signals(raw),
+    "profile_career": lambda raw: profile.career(raw),
+    "profile_education": lambda raw: profile.education(raw),
+    "profile_integrity": lambda raw: profile.integrity_indicators(raw),
+}
+
+
+def _profile_sql(parts: list[str]) -> str:
+    body = "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+    return PROFILE_BASE + f"\nSELECT section, metric, coalesce(key, '') AS key, {O.r9('value')} AS value FROM (\n{body})"
+
+
+for _name, _parts in PROFILE_SECTIONS.items():
+    def _mkp(fn):
+        return lambda spark, sf: _prof(fn(PL.fixture_candidates(spark, sf)))
+    register(_name, _profile_sql(_parts))(_mkp(PROFILE_FNS[_name]))
+
+
+register("profile_full", _profile_sql([p for parts in PROFILE_SECTIONS.values() for p in parts]))(
+    lambda spark, sf: _prof(profile.full_profile(PL.fixture_candidates(spark, sf))))
