@@ -69,8 +69,12 @@ def read_cells(spark: SparkSession, path: str) -> tuple[list[str] | None, DataFr
     return header, cells, bad
 
 
-def file_checks(path: str, header: list[str] | None) -> list[tuple[str, str, int | None, str]]:
-    """V1/V2: filename, encoding, emptiness, header (driver-side, on the path and one line)."""
+def file_checks(spark: SparkSession, path: str, header: list[str] | None) -> list[tuple[str, str, int, str]]:
+    """V1/V2: filename, encoding, emptiness, header.
+
+    The submission is a single k-row file by contract, so its bytes are read
+    through Spark's ``binaryFile`` source (any filesystem) and decoded strictly.
+    """
     out = []
     stem, ext = os.path.splitext(os.path.basename(path))
     if ext.lower() != ".csv":
@@ -78,12 +82,13 @@ def file_checks(path: str, header: list[str] | None) -> list[tuple[str, str, int
     elif not stem:
         out.append(("filename_stem", "error", 0, "filename must be the participant id"))
     try:
-        with open(path, "rb") as fh:
-            fh.read().decode("utf-8")
+        content = spark.read.format("binaryFile").load(path).select("content").collect()
+        for row in content:
+            bytes(row["content"]).decode("utf-8")
     except UnicodeDecodeError:
         out.append(("encoding", "error", 0, "file must be UTF-8"))
-    except OSError as e:
-        out.append(("unreadable", "error", 0, str(e)))
+    except Exception as e:  # noqa: BLE001
+        out.append(("unreadable", "error", 0, str(e)[:200]))
     if header is None:
         out.append(("empty_file", "error", 1, "row 1 must be the header"))
     elif tuple(header) != C.SUBMISSION_HEADER:
@@ -181,7 +186,7 @@ def validate_cells(cells: DataFrame, bad_rows: DataFrame | None = None, k: int =
 def validate_file(spark: SparkSession, path: str, k: int = 100) -> DataFrame:
     """Q1: the whole contract (V1–V10) for a CSV file, as violation rows."""
     header, cells, bad = read_cells(spark, path)
-    head = spark.createDataFrame(file_checks(path, header), VIOLATION)
+    head = spark.createDataFrame(file_checks(spark, path, header), VIOLATION)
     return head.unionByName(validate_cells(cells, bad, k))
 
 

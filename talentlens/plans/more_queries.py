@@ -12,6 +12,7 @@ from ..operators.features import FEATURE_COLUMNS
 from ..sources import fixture_pools as P
 from . import oracle as O
 from . import pipeline as PL
+from ..session import cut_lineage
 from .queries import CORE, EXPLAINED, flat, r9, register, scored
 
 SAMPLE_TOTAL = 600
@@ -66,7 +67,8 @@ def labelled_sample(spark, sf) -> DataFrame:
     sample = labeling.cascade_sample(s, SAMPLE_TOTAL, SEED)
     comp = labeling.rubric_components()
     rows = s.join(model.bounded_broadcast(sample), "candidate_id")
-    return rows.withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"])
+    # bounded by the sample size; written once so CV / fits don't re-run the cascade
+    return cut_lineage(rows.withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"]))
 
 
 @register("sample_cascade", SAMPLED + "\nSELECT candidate_id, bucket FROM sample")
@@ -210,8 +212,9 @@ def defective_cells(spark, sf) -> DataFrame:
                .otherwise(r.cast("string")))
     reason = (F.when(r == 40, F.lit("")).when(r == 45, F.col("prev_reason")).when(r == 50, F.lit("ok"))
                .otherwise(F.col("reasoning")))
-    return s.select(cid.alias("candidate_id"), rank_s.alias("rank"), score_s.alias("score"),
-                    reason.alias("reasoning"), (r + 1).cast("long").alias("row_num"))
+    # k rows, written once: every audit reads the same cells without re-ranking
+    return cut_lineage(s.select(cid.alias("candidate_id"), rank_s.alias("rank"), score_s.alias("score"),
+                                reason.alias("reasoning"), (r + 1).cast("long").alias("row_num")))
 
 
 CELLS_SQL = EXPLAINED + """,
@@ -532,3 +535,69 @@ for _name, _parts in PROFILE_SECTIONS.items():
 
 register("profile_full", _profile_sql([p for parts in PROFILE_SECTIONS.values() for p in parts]))(
     lambda spark, sf: _prof(profile.full_profile(PL.fixture_candidates(spark, sf))))
+
+
+# ---------------------------------------------------------------------------
+# S: file sources / sinks and streaming, over files Spark derives from the tables
+# ---------------------------------------------------------------------------
+
+from ..sources import files as FS  # noqa: E402
+from ..streaming import scoring as ST  # noqa: E402
+from .queries import ORACLE  # noqa: E402
+
+
+def _jsonl_copy(spark, sf, gzip=False, files=4) -> str:
+    """The fixture candidates written as JSONL (several files) under the shared scratch folder."""
+    path = FS.scratch_path(spark, "candidates-jsonl")
+    raw = PL.fixture_candidates(spark, sf).repartition(files, "candidate_id")
+    return FS.write_jsonl(raw, path, gzip=gzip)
+
+
+@register("jsonl_flatten_career", ORACLE["flatten_career"])
+def q_jsonl_flatten_career(spark, sf):
+    from ..operators.flatten import flatten
+    good, _ = FS.read_candidates(spark, _jsonl_copy(spark, sf))
+    cols = ["candidate_id", "career_all_titles", "career_all_companies", "career_all_industries",
+            "career_all_descriptions", "career_num_jobs", "career_total_months", "career_avg_tenure_months",
+            "career_current_company", "career_current_title"]
+    ints = {"career_num_jobs", "career_total_months"}
+    return flatten(good).select(*[F.col(c).cast("long").alias(c) if c in ints else F.col(c) for c in cols])
+
+
+@register("jsonl_gzip_skills", ORACLE["flatten_skills"])
+def q_jsonl_gzip_skills(spark, sf):
+    from ..operators.flatten import flatten
+    good, _ = FS.read_candidates(spark, _jsonl_copy(spark, sf, gzip=True) + "/*.gz")
+    return flatten(good).select("candidate_id", "skills_names", F.col("skills_count").cast("long"),
+                                F.col("skills_advanced_count").cast("long"),
+                                F.col("skills_total_endorsements").cast("long"), "skills_avg_duration")
+
+
+@register("stream_scores", CORE + "\nSELECT candidate_id, suspicion_score, behavioral_score, final_score FROM scored")
+def q_stream_scores(spark, sf):
+    src = _jsonl_copy(spark, sf)
+    sink, ckpt = FS.scratch_path(spark, "stream-sink"), FS.scratch_path(spark, "stream-ckpt")
+    ST.stream_scores(spark, src, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("candidate_id", "suspicion_score", "behavioral_score", "final_score")
+
+
+@register("stream_topk", CORE + "\nSELECT candidate_id, final_score FROM scored "
+          "ORDER BY final_score DESC NULLS LAST, candidate_id LIMIT 100")
+def q_stream_topk(spark, sf):
+    src = _jsonl_copy(spark, sf)
+    out, ckpt = FS.scratch_path(spark, "stream-topk"), FS.scratch_path(spark, "stream-topk-ckpt")
+    ST.stream_topk(spark, src, out, ckpt, k=DEFAULT.top_k).awaitTermination()
+    return ST.read_topk(spark, out)
+
+
+@register("submission_csv", EXPLAINED + "\nSELECT candidate_id, rank, score, reasoning FROM submission")
+def q_submission_csv(spark, sf):
+    folder = FS.write_submission(PL.rank_pipeline(spark, sf), FS.scratch_path(spark, "submission"))
+    return FS.read_submission(spark, FS.single_csv_file(spark, folder))
+
+
+@register("submission_file_contract", "SELECT 'none' AS \"check\", 'none' AS severity, CAST(0 AS BIGINT) AS row_num, "
+          "'none' AS detail WHERE false")
+def q_submission_file_contract(spark, sf):
+    folder = FS.write_submission(PL.rank_pipeline(spark, sf), FS.scratch_path(spark, "submission"))
+    return audit.validate_file(spark, FS.single_csv_file(spark, folder))
