@@ -30,13 +30,35 @@ def ladder(value: Column, steps, default) -> Column:
     return expr.otherwise(F.lit(default))
 
 
+SPLIT = 134217729.0   # 2^27 + 1 (Veltkamp split)
+
+
+def scaled_half_even(c: Column, scale: float) -> Column:
+    """Integer nearest to the *exact* ``x·scale`` (ties to even), for small integer ``scale``.
+
+    ``p = x·scale`` is rounded; its rounding error ``e`` is recovered exactly
+    (Dekker product with a 26-bit split of x), and only when ``p`` lands on a
+    .5 tie does ``e`` decide the direction.  This is how Python formats a
+    double ("%.1f" of 0.35 is "0.3" because 0.35 is stored as 0.3499…).
+    """
+    s = F.lit(float(scale))
+    t = c * F.lit(SPLIT)
+    hi = t - (t - c)
+    lo = c - hi
+    p = c * s
+    e = (hi * s - p) + lo * s
+    tie = (p - F.floor(p)) == F.lit(0.5)
+    return (F.when(tie & (e > 0), F.ceil(p)).when(tie & (e < 0), F.floor(p))
+             .otherwise(F.rint(p))).cast("double")
+
+
 def fmt_one_decimal(c: Column) -> Column:
-    """``f"{x:.1f}"`` (half-even on the binary value) via rint, then '%.1f'."""
-    return F.format_string("%.1f", F.rint(c * F.lit(10.0)) / F.lit(10.0))
+    """``f"{x:.1f}"``: exact half-even tenths, then '%.1f' of k/10."""
+    return F.format_string("%.1f", scaled_half_even(c, 10) / F.lit(10.0))
 
 
 def fmt_percent(c: Column) -> Column:
-    """``f"{x:.0%}"``."""
+    """``f"{x:.0%}"``: Python multiplies by 100 in double first, then rounds half-even."""
     return F.concat(F.rint(c * F.lit(100.0)).cast("long").cast("string"), F.lit("%"))
 
 

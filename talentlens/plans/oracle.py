@@ -70,6 +70,19 @@ def ladder(expr: str, steps, default) -> str:
     return f"(CASE {whens} ELSE {d(default)} END)"
 
 
+def scaled_half_even(x: str, scale: float) -> str:
+    """Same error-free rounding as the engine (see functions.numeric.scaled_half_even)."""
+    sc = d(float(scale))
+    t = f"(({x}) * {d(134217729.0)})"
+    hi = f"({t} - ({t} - ({x})))"
+    lo = f"(({x}) - {hi})"
+    p = f"(({x}) * {sc})"
+    e = f"(({hi} * {sc} - {p}) + {lo} * {sc})"
+    tie = f"({p} - floor({p}) = {d(0.5)})"
+    return (f"CAST(CASE WHEN {tie} AND {e} > 0 THEN ceil({p}) WHEN {tie} AND {e} < 0 THEN floor({p}) "
+            f"ELSE round_even({p}, 0) END AS DOUBLE)")
+
+
 def r9(expr: str) -> str:
     return f"CAST(round_even(({expr}) * {d(1e9)}, 0) / {d(1e9)} AS DOUBLE)"
 
@@ -399,8 +412,8 @@ def explain_ctes(cfg=DEFAULT, k: int | None = None) -> str:
     first_product = (f"list_filter(string_split(coalesce(career_all_companies, ''), '|'),"
                      f" lambda c: lower(trim(c)) IN {products})[1]")
     years = "coalesce(profile_years_of_exp, 0.0)"
-    one_dec = f"printf('%.1f', round_even({years} * {d(10.0)}, 0) / {d(10.0)})"
-    pct = "CAST(CAST(round_even(rr * 100.0::DOUBLE, 0) AS BIGINT) AS VARCHAR) || '%'"
+    one_dec = f"printf('%.1f', {scaled_half_even(years, 10)} / {d(10.0)})"
+    pct = f"CAST(CAST(round_even(rr * {d(100.0)}, 0) AS BIGINT) AS VARCHAR) || '%'"
     company = "coalesce(profile_current_company, 'their current company')"
     concern_list = ("list_filter(["
                     "CASE WHEN feat_dim7_is_india = 0 THEN 'located outside India (' || coalesce(profile_country, 'unknown') || ')' END, "
