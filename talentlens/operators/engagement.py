@@ -65,3 +65,17 @@ def extremes(scored: DataFrame, n: int = 5) -> DataFrame:
     bottom = scored.orderBy(F.asc("behavioral_score"), F.asc("candidate_id")).limit(n) \
                    .withColumn("side", F.lit("bottom"))
     return top.unionByName(bottom)
+
+
+def recency_from_events(events: DataFrame, reference_date: str, user_col: str = "user_id",
+                        ts_col: str = "ts") -> DataFrame:
+    """B1 over an activity log: last activity per user → days inactive → recency score.
+
+    ``max(ts)`` per user is map-side combined, so a user holding a third of the
+    log costs one partial row per map task.
+    """
+    last = events.groupBy(user_col).agg(F.max(ts_col).alias("last_active"))
+    days = F.greatest(F.datediff(F.lit(reference_date).cast("date"), F.to_date("last_active")), F.lit(0))
+    return last.select(user_col, F.date_format("last_active", "yyyy-MM-dd").alias("last_active_date"),
+                       days.alias("days_inactive"),
+                       ladder(days, C.RECENCY_LADDER, C.RECENCY_DEFAULT).alias("recency_score"))

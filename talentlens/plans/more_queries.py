@@ -601,3 +601,61 @@ def q_submission_csv(spark, sf):
 def q_submission_file_contract(spark, sf):
     folder = FS.write_submission(PL.rank_pipeline(spark, sf), FS.scratch_path(spark, "submission"))
     return audit.validate_file(spark, FS.single_csv_file(spark, folder))
+
+
+# ---------------------------------------------------------------------------
+# T/B operators on the driver's own long texts and activity log
+# ---------------------------------------------------------------------------
+
+from ..functions import text as X  # noqa: E402
+from ..operators import engagement as EN  # noqa: E402
+from ..session import read_table  # noqa: E402
+
+# a taxonomy taken from the documents' own (invented) vocabulary
+TEXT_TAXONOMY = ("tion", "ing", "the", "ere", "and", "ou", "nt", "sh", "ly", "qz")
+
+
+def _doc_counts(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", X.lower0("text").alias("t"))
+    return docs.select(
+        "doc_id",
+        X.count_substrings("t", DEFAULT.retrieval_keywords).cast("long").alias("retrieval_kw"),
+        X.count_substrings("t", DEFAULT.production_keywords).cast("long").alias("production_kw"),
+        X.bool_int(X.any_substring("t", C.AI_TITLE_WORDS)).alias("mentions_ai"),
+        X.count_substrings("t", TEXT_TAXONOMY).cast("long").alias("text_kw"))
+
+
+_DOC_SQL = (f"docs AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents), "
+            f"doc_counts AS (SELECT doc_id, {O.count_sub('t', DEFAULT.retrieval_keywords)} AS retrieval_kw, "
+            f"{O.count_sub('t', DEFAULT.production_keywords)} AS production_kw, "
+            f"{O.b(O.any_sub('t', C.AI_TITLE_WORDS))} AS mentions_ai, {O.count_sub('t', TEXT_TAXONOMY)} AS text_kw FROM docs)")
+
+
+@register("text_keyword_counts", f"WITH {_DOC_SQL} SELECT * FROM doc_counts")
+def q_text_keyword_counts(spark, sf):
+    return _doc_counts(spark, sf)
+
+
+@register("text_quality_calibration", f"""WITH {_DOC_SQL}
+SELECT l.quality AS label, {O.r9('avg(CAST(d.text_kw AS DOUBLE))')} AS mean_text_kw,
+  {O.r9('avg(CAST(d.retrieval_kw AS DOUBLE))')} AS mean_retrieval_kw, count(*) AS n
+FROM doc_counts d JOIN labels l USING (doc_id) GROUP BY l.quality""")
+def q_text_quality_calibration(spark, sf):
+    labels = read_table(spark, sf, "labels").select("doc_id", "quality")
+    j = _doc_counts(spark, sf).join(model.bounded_broadcast(labels), "doc_id")
+    return j.groupBy(F.col("quality").alias("label")).agg(
+        r9(F.avg(F.col("text_kw").cast("double"))).alias("mean_text_kw"),
+        r9(F.avg(F.col("retrieval_kw").cast("double"))).alias("mean_retrieval_kw"),
+        F.count(F.lit(1)).alias("n"))
+
+
+EVENTS_REF = "2024-02-01"
+
+
+@register("events_recency", f"""
+SELECT user_id, strftime(max(ts), '%Y-%m-%d') AS last_active_date,
+  CAST(greatest(date_diff('day', CAST(max(ts) AS DATE), DATE '{EVENTS_REF}'), 0) AS INTEGER) AS days_inactive,
+  {O.ladder("greatest(date_diff('day', CAST(max(ts) AS DATE), DATE '" + EVENTS_REF + "'), 0)", C.RECENCY_LADDER, C.RECENCY_DEFAULT)} AS recency_score
+FROM events GROUP BY user_id""")
+def q_events_recency(spark, sf):
+    return EN.recency_from_events(read_table(spark, sf, "events"), EVENTS_REF)
