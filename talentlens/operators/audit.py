@@ -200,9 +200,18 @@ def typed(cells: DataFrame) -> DataFrame:
                         F.trim("score").try_cast("double").alias("score"), "reasoning", "row_num")
 
 
+def _known(sub: DataFrame, source: DataFrame) -> DataFrame:
+    """Submitted ids present in ``source``: the big side is probed with the broadcast
+    submission (≤ k distinct ids, size checked), so it is scanned, never shuffled."""
+    from .model import bounded_broadcast
+    ids = sub.select("candidate_id").distinct()
+    return source.select("candidate_id").join(bounded_broadcast(ids), "candidate_id", "left_semi")
+
+
 def audit_flagged(sub: DataFrame, flagged_ids: DataFrame) -> DataFrame:
     """Q2: submitted ids that the integrity rules flag (with their rank)."""
-    return sub.join(flagged_ids.select("candidate_id"), "candidate_id", "left_semi").select("candidate_id", "rank")
+    hit = _known(sub, flagged_ids)
+    return sub.join(hit, "candidate_id", "left_semi").select("candidate_id", "rank")
 
 
 def audit_titles(sub: DataFrame, flat: DataFrame, top: int = 10) -> DataFrame:
@@ -239,8 +248,8 @@ def audit_scores(sub: DataFrame) -> DataFrame:
 
 
 def audit_unknown_ids(sub: DataFrame, source_ids: DataFrame) -> DataFrame:
-    """Q10: submitted ids absent from the source (anti-join; source only scanned)."""
-    return sub.select("candidate_id").distinct().join(source_ids.select("candidate_id"), "candidate_id", "left_anti")
+    """Q10: submitted ids absent from the source (anti-join of two ≤ k-row frames)."""
+    return sub.select("candidate_id").distinct().join(_known(sub, source_ids), "candidate_id", "left_anti")
 
 
 def layer_summary(contract: DataFrame, flagged: DataFrame, titles: DataFrame, reasoning: DataFrame,

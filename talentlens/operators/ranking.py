@@ -70,8 +70,8 @@ def output_violations(ranked: DataFrame, source_ids: DataFrame, k: int) -> DataF
     """K8: output assertions as violation rows (empty = all pass).
 
     Checks row count, rank set, distinct ids, non-increasing score and that
-    every id exists in the source (a ``left_anti`` join, so the source side is
-    never collected).
+    every id exists in the source (the source is probed with the broadcast k
+    ids, so it is scanned but never shuffled or collected).
     """
     checks = ranked.agg(
         F.count(F.lit(1)).alias("n"),
@@ -80,7 +80,8 @@ def output_violations(ranked: DataFrame, source_ids: DataFrame, k: int) -> DataF
     )
     w = Window.orderBy("rank")
     increases = ranked.withColumn("prev", F.lag("score").over(w)).where(F.col("score") > F.col("prev"))
-    unknown = ranked.select("candidate_id").join(source_ids.select("candidate_id"), "candidate_id", "left_anti")
+    from .audit import audit_unknown_ids
+    unknown = audit_unknown_ids(ranked, source_ids)
     basic = checks.select(F.explode(F.array(
         F.when(F.col("n") != k, F.lit("row_count")),
         F.when((F.col("ranks") != F.col("n")) | (F.col("rmin") != 1) | (F.col("rmax") != F.col("n")), F.lit("rank_set")),

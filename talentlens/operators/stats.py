@@ -12,7 +12,9 @@ distributed prefix sum over the *frequency table* of the column:
    partition adds the running count; the value whose cumulative range covers
    position ``i`` is ``sorted[i]``.
 
-No task ever holds more than its range of distinct values.
+No task ever holds more than its range of distinct values.  Meant for a
+modest number of groups (signals, columns): the offsets travel as a literal
+map of partitions × groups entries.
 """
 
 from __future__ import annotations
@@ -58,8 +60,10 @@ def grouped_describe(long: DataFrame, group_col: str = "g", value_col: str = "v"
         F.struct(F.lit("_m1").alias("stat"), F.floor((n - 1) / 2).cast("long").alias("pos")),
         F.struct(F.lit("_m2").alias("stat"), F.floor(n / 2).cast("long").alias("pos")),
     )).alias("w")).select(F.col("g").alias("wg"), "w.stat", "w.pos")
-    # one row per group × 5 positions: bounded by the number of groups
-    picked = cum.join(F.broadcast(wanted), (F.col("g") == F.col("wg")) & (F.col("pos") >= F.col("lo"))
+    # one row per group × 5 positions; the group count is known from ``totals``
+    n_groups = len({g for g, _, _ in totals})
+    wanted = F.broadcast(wanted) if n_groups * 5 <= 1_000_000 else wanted
+    picked = cum.join(wanted, (F.col("g") == F.col("wg")) & (F.col("pos") >= F.col("lo"))
                       & (F.col("pos") < F.col("hi"))).select("g", "stat", F.col("v").alias("value"))
     median = picked.where(F.col("stat").startswith("_")).groupBy("g").agg(
         (F.sum("value") / F.count(F.lit(1))).alias("value")).select("g", F.lit("median").alias("stat"), "value")
