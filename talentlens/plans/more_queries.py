@@ -242,8 +242,7 @@ typed AS (
     TRY_CAST(trim(score) AS DOUBLE) AS score, reasoning, row_num FROM cells)"""
 
 
-VSQL = CELLS_SQL + f"""
-SELECT * FROM (
+VIOLATIONS_BODY = f"""
   SELECT 'row_count' AS "check", 'error' AS severity, CAST(0 AS BIGINT) AS row_num, 'found ' || CAST(count(*) AS VARCHAR) AS detail
     FROM cv HAVING count(*) <> 100
   UNION ALL SELECT 'id_required', 'error', row_num, '' FROM cv WHERE cid = ''
@@ -262,13 +261,15 @@ SELECT * FROM (
   UNION ALL SELECT 'score_increase', 'error', row_num, 'rank ' || CAST(rank_i AS VARCHAR) || ' < rank ' || CAST(r2 AS VARCHAR)
     FROM ordered WHERE s2 IS NOT NULL AND score_d < s2
   UNION ALL SELECT 'tie_order', 'error', row_num, cid || ' > ' || c2
-    FROM ordered WHERE s2 IS NOT NULL AND score_d = s2 AND cid > c2)"""
-VSQL = VSQL.replace("typed AS (", """ordered AS (
+    FROM ordered WHERE s2 IS NOT NULL AND score_d = s2 AND cid > c2"""
+ORDERED_CTE = """ordered AS (
   SELECT cid, rank_i, score_d, row_num,
     lead(score_d) OVER (ORDER BY rank_i, row_num) AS s2, lead(cid) OVER (ORDER BY rank_i, row_num) AS c2,
     lead(rank_i) OVER (ORDER BY rank_i, row_num) AS r2
   FROM cv WHERE rank_i IS NOT NULL AND score_d IS NOT NULL AND cid <> ''),
-typed AS (""")
+typed AS ("""
+CELLS_SQL = CELLS_SQL.replace("typed AS (", ORDERED_CTE)
+VSQL = CELLS_SQL + f"\nSELECT * FROM ({VIOLATIONS_BODY})"
 
 
 @register("audit_contract", VSQL)
@@ -334,7 +335,26 @@ def q_audit_ids(spark, sf):
     return audit.audit_unknown_ids(audit.typed(defective_cells(spark, sf)), flat(spark, sf))
 
 
-@register("audit_summary")
+SUMMARY_SQL = CELLS_SQL + ",\n" + FLAGGED_NF + f""",
+violations AS ({VIOLATIONS_BODY}),
+layers AS (
+  SELECT 'contract' AS layer, CASE WHEN (SELECT count(*) FROM violations) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+  UNION ALL SELECT 'flagged', CASE WHEN (SELECT count(*) FROM typed WHERE candidate_id IN (SELECT candidate_id FROM flagged_nf)) = 0
+    THEN 'PASS' ELSE 'FAIL' END
+  UNION ALL SELECT 'titles', CASE WHEN (SELECT count(*) FROM typed t JOIN cand c USING (candidate_id)
+    WHERE t.rank <= 10 AND lower(coalesce(c.profile_current_title, '')) IN {O.inlist(C.AUDIT_NON_ENG_TITLES)}) = 0
+    THEN 'PASS' ELSE 'WARN' END
+  UNION ALL SELECT 'reasoning', CASE WHEN (SELECT count(*) FROM typed WHERE reasoning IS NULL OR reasoning = '' OR length(reasoning) < 30)
+    + (SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY reasoning ORDER BY row_num) AS occ FROM typed
+       WHERE reasoning IS NOT NULL) WHERE occ > 1) = 0 THEN 'PASS' ELSE 'FAIL' END
+  UNION ALL SELECT 'scores', CASE WHEN (SELECT count(DISTINCT score) FROM typed) >= 10 THEN 'PASS' ELSE 'FAIL' END
+  UNION ALL SELECT 'ids', CASE WHEN (SELECT count(*) FROM typed WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)) = 0
+    THEN 'PASS' ELSE 'FAIL' END)
+SELECT layer, status FROM layers
+UNION ALL SELECT 'overall', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END FROM layers"""
+
+
+@register("audit_summary", SUMMARY_SQL)
 def q_audit_summary(spark, sf):
     cells = defective_cells(spark, sf)
     sub = audit.typed(cells)

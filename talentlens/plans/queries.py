@@ -234,6 +234,45 @@ def q_flagged_in_topk(spark, sf):
     return PL.ranking.flagged_in_top(top)
 
 
+@register("model_score_distribution", CORE + f"""
+SELECT 'summary' AS part, NULL AS candidate_id, min(model_score) AS min, max(model_score) AS max,
+  {O.r9('avg(model_score)')} AS mean, {O.r9('stddev_samp(model_score)')} AS std FROM scored
+UNION ALL SELECT * FROM (SELECT 'top', candidate_id, model_score, model_score, model_score, model_score FROM scored
+  ORDER BY model_score DESC, candidate_id LIMIT 10)
+UNION ALL SELECT * FROM (SELECT 'bottom', candidate_id, model_score, model_score, model_score, model_score FROM scored
+  ORDER BY model_score ASC, candidate_id LIMIT 5)""")
+def q_model_score_distribution(spark, sf):
+    """M5: min/max/mean/std plus the 10 highest and 5 lowest model scores."""
+    from ..operators.model import score_distribution
+    s = scored(spark, sf)
+    summary = score_distribution(s).select(F.lit("summary").alias("part"), F.lit(None).cast("string").alias("candidate_id"),
+                                           "min", "max", r9("mean").alias("mean"), r9("std").alias("std"))
+    m = F.col("model_score")
+    pick = lambda df, part: df.select(F.lit(part).alias("part"), "candidate_id", m.alias("min"), m.alias("max"),
+                                      m.alias("mean"), m.alias("std"))
+    top = pick(s.orderBy(F.desc("model_score"), F.asc("candidate_id")).limit(10), "top")
+    bottom = pick(s.orderBy(F.asc("model_score"), F.asc("candidate_id")).limit(5), "bottom")
+    return summary.unionByName(top).unionByName(bottom)
+
+
+_STAGES = (("integrity", "suspicion_score"), ("behaviour", "behavioral_score"), ("model", "model_score"),
+           ("final", "final_score"))
+
+
+@register("stage_summary", CORE + "\nSELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{st}' AS stage, count(*) AS rows, {O.r9(f'avg({c})')} AS mean, {O.r9(f'stddev_samp({c})')} AS std, "
+    f"min({c}) AS min, max({c}) AS max FROM scored" for st, c in _STAGES) + ")")
+def q_stage_summary(spark, sf):
+    """K9: one aggregation per pipeline stage."""
+    s = scored(spark, sf)
+    out = None
+    for st, c in _STAGES:
+        df = PL.ranking.stage_summary(s, c, st).select("stage", "rows", r9("mean").alias("mean"), r9("std").alias("std"),
+                                                        "min", "max")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from . import more_queries  # noqa: F401  (registers the remaining groups)
     return dict(QUERIES)
