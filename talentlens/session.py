@@ -33,14 +33,26 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster; a scratch one only when unset."""
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+
+    Only when the setting is absent (local runs, tests) a scratch folder is
+    created once per application; it is registered with
+    ``SparkContext.setCheckpointDir`` (the conf key itself is not modifiable at
+    runtime).
+    """
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="talentlens-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        path = _FALLBACK.get(sc.applicationId)
+        if path is None:
+            path = tempfile.mkdtemp(prefix="talentlens-ckpt-", dir="/tmp")
+            _FALLBACK[sc.applicationId] = path
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(path)
     return path
 
 
