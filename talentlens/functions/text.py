@@ -44,10 +44,18 @@ def count_substrings(text, keywords: Iterable[str]) -> Column:
     return F.size(F.filter(_kw_array(dict.fromkeys(keywords)), lambda k: F.contains(t, k)))
 
 
+# every character Python's str.strip() removes (derived by rule, not listed)
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
+
+
+def py_strip(c) -> Column:
+    """Python ``str.strip()``: trims all Unicode whitespace, not only spaces."""
+    return F.btrim(col(c), F.lit(PY_WHITESPACE))
+
+
 def split_items(joined) -> Column:
-    """Split a ``|``-joined list; elements trimmed, empty ones dropped."""
-    return F.filter(F.transform(F.split(col(joined), r"\|"), lambda x: F.trim(x)),
-                    lambda x: x != F.lit(""))
+    """Split a ``|``-joined list; elements stripped, empty ones dropped."""
+    return F.array_remove(F.transform(F.split(col(joined), r"\|"), py_strip), "")
 
 
 def count_members(items: Column, values: Iterable[str]) -> Column:

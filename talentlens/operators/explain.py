@@ -1,8 +1,8 @@
 """Per-row explanation strings (E1–E6), built from native string functions.
 
-Applied after the top-k limit, so only k rows are formatted.  Number
-formatting goes through ``rint`` so it equals Python's half-even formatting of
-the binary value (``'%.1f'`` of ``rint(x*10)/10``; ``rint(x*100)`` + ``%``).
+Applied after the top-k limit, so only k rows are formatted.  Numbers are
+formatted as Python does: ``{x:.1f}`` rounds the exact binary value half-even
+(``numeric.scaled_half_even``), ``{x:.0%}`` rounds ``x*100`` half-even.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RankConfig
 from ..functions.numeric import fmt_one_decimal, fmt_percent
+from ..functions.text import py_strip
 
 
 def title_fragment() -> Column:
@@ -24,7 +25,7 @@ def company_fragment(cfg: RankConfig = DEFAULT) -> Column:
     company = F.coalesce(F.col("profile_current_company"), F.lit("their current company"))
     parts = F.split(F.coalesce(F.col("career_all_companies"), F.lit("")), r"\|")
     products = list(cfg.product_companies)
-    first_product = F.try_element_at(F.filter(parts, lambda c: F.lower(F.trim(c)).isin(*products)), F.lit(1))
+    first_product = F.try_element_at(F.filter(parts, lambda c: F.lower(py_strip(c)).isin(*products)), F.lit(1))
     return (
         F.when((F.col("feat_dim6_has_product_exp") > 0) & first_product.isNotNull(),
                F.concat(F.lit("including product company experience at "), first_product))

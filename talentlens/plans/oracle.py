@@ -46,8 +46,17 @@ def count_sub(text: str, kws) -> str:
     return f"CAST(len(list_filter({lst(dict.fromkeys(kws))}, lambda w: contains({text}, w))) AS BIGINT)"
 
 
+def ws_chars() -> str:
+    from ..functions.text import PY_WHITESPACE
+    return " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+
+
+def pystrip(x: str) -> str:
+    return f"trim({x}, {ws_chars()})"
+
+
 def items(c: str) -> str:
-    return f"list_filter(list_transform(string_split({lower0(c)}, '|'), lambda x: trim(x)), lambda x: x <> '')"
+    return f"list_filter(list_transform(string_split({lower0(c)}, '|'), lambda x: {pystrip('x')}), lambda x: x <> '')"
 
 
 def count_mem(it: str, values) -> str:
@@ -410,7 +419,7 @@ def explain_ctes(cfg=DEFAULT, k: int | None = None) -> str:
     k = k or cfg.top_k
     products = inlist(cfg.product_companies)
     first_product = (f"list_filter(string_split(coalesce(career_all_companies, ''), '|'),"
-                     f" lambda c: lower(trim(c)) IN {products})[1]")
+                     f" lambda c: lower({pystrip('c')}) IN {products})[1]")
     years = "coalesce(profile_years_of_exp, 0.0)"
     one_dec = f"printf('%.1f', {scaled_half_even(years, 10)} / {d(10.0)})"
     pct = f"CAST(CAST(round_even(rr * {d(100.0)}, 0) AS BIGINT) AS VARCHAR) || '%'"

@@ -74,3 +74,11 @@ def test_assessment_avg_and_lists(spark):
 def test_experience_band(spark):
     r = feats(spark, [with_profile(base_record(), years_of_experience=7.0)])["CAND_0000001"]
     assert r.feat_dim5_exp_band_score == 1.0 and r.feat_dim5_in_ideal_range == 1
+
+
+def test_history_items_strip_all_python_whitespace(spark):
+    rec = base_record()
+    rec["career_history"][0]["company"] = "\ttcs "
+    rec["career_history"][1]["company"] = "　infosys\n"
+    r = feats(spark, [rec])["CAND_0000001"]
+    assert r.feat_dim6_consulting_only == 1

@@ -99,3 +99,14 @@ def test_partition_invariance(spark):
     a = PL.rank_candidates(PL.score_candidates(flat.repartition(1))).collect()
     b = PL.rank_candidates(PL.score_candidates(flat.repartition(8, "candidate_id"))).collect()
     assert a == b and len(a) == 100
+
+
+def test_bridge_limits_groups_before_the_shuffle(spark):
+    """Top-n per customer/order is pre-limited map-side (WindowGroupLimit under the Exchange)."""
+    from conftest import SF001
+    from talentlens.session import read_table
+    from talentlens.sources import bridge
+    plan = bridge.career_rows(read_table(spark, SF001, "orders"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2      # partial (before Exchange) + final
+    partial = plan.rfind("WindowGroupLimit")
+    assert "Exchange" in plan[:partial]
