@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT, RankConfig
+from ..functions.text import py_strip
 from .labeling import sample_key
 
 VIOLATION = "check string, severity string, row_num long, detail string"
@@ -72,8 +73,8 @@ def read_cells(spark: SparkSession, path: str) -> tuple[list[str] | None, DataFr
 def file_checks(spark: SparkSession, path: str, header: list[str] | None) -> list[tuple[str, str, int, str]]:
     """V1/V2: filename, encoding, emptiness, header.
 
-    The submission is a single k-row file by contract, so its bytes are read
-    through Spark's ``binaryFile`` source (any filesystem) and decoded strictly.
+    The encoding check runs in Spark (``binaryFile`` + ``is_valid_utf8``), on any
+    filesystem; only a flag reaches the driver.
     """
     out = []
     stem, ext = os.path.splitext(os.path.basename(path))
@@ -82,11 +83,10 @@ def file_checks(spark: SparkSession, path: str, header: list[str] | None) -> lis
     elif not stem:
         out.append(("filename_stem", "error", 0, "filename must be the participant id"))
     try:
-        content = spark.read.format("binaryFile").load(path).select("content").collect()
-        for row in content:
-            bytes(row["content"]).decode("utf-8")
-    except UnicodeDecodeError:
-        out.append(("encoding", "error", 0, "file must be UTF-8"))
+        valid = spark.read.format("binaryFile").load(path) \
+                     .agg(F.min(F.is_valid_utf8("content").cast("int")).alias("ok")).collect()[0]["ok"]
+        if valid == 0:
+            out.append(("encoding", "error", 0, "file must be UTF-8"))
     except Exception as e:  # noqa: BLE001
         out.append(("unreadable", "error", 0, str(e)[:200]))
     if header is None:
@@ -117,7 +117,7 @@ def check_cell_count(bad_rows: DataFrame) -> DataFrame:
 
 
 def _ids(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("cid", F.trim(F.coalesce(F.col("candidate_id"), F.lit(""))))
+    return cells.withColumn("cid", py_strip(F.coalesce(F.col("candidate_id"), F.lit(""))))
 
 
 def check_ids(cells: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def check_ids(cells: DataFrame) -> DataFrame:
 
 
 def _ranks(cells: DataFrame) -> DataFrame:
-    r = F.trim(F.coalesce(F.col("rank"), F.lit("")))
+    r = py_strip(F.coalesce(F.col("rank"), F.lit("")))
     return cells.withColumn("rank_s", r).withColumn(
         "rank_i", F.when(r.rlike(RANK_TEXT), r.try_cast("long")))
 
@@ -148,7 +148,7 @@ def check_ranks(cells: DataFrame, k: int = 100) -> DataFrame:
 
 def check_scores(cells: DataFrame) -> DataFrame:
     """V7: score must parse as a float."""
-    s = F.trim(F.coalesce(F.col("score"), F.lit("")))
+    s = py_strip(F.coalesce(F.col("score"), F.lit("")))
     return _v(cells.where(s.try_cast("double").isNull()), "score_not_float", "error", s)
 
 
@@ -162,7 +162,7 @@ def check_missing_ranks(cells: DataFrame, k: int = 100) -> DataFrame:
 
 def check_order(cells: DataFrame) -> DataFrame:
     """By rank, scores non-increasing; equal scores need ids ascending."""
-    c = _ranks(_ids(cells)).withColumn("score_d", F.trim(F.col("score")).try_cast("double"))
+    c = _ranks(_ids(cells)).withColumn("score_d", py_strip(F.col("score")).try_cast("double"))
     rows = c.where(F.col("rank_i").isNotNull() & F.col("score_d").isNotNull() & (F.col("cid") != ""))
     w = Window.orderBy("rank_i", "row_num")
     nxt = rows.withColumn("s2", F.lead("score_d").over(w)).withColumn("c2", F.lead("cid").over(w)) \
@@ -195,9 +195,9 @@ def validate_file(spark: SparkSession, path: str, k: int = 100) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def typed(cells: DataFrame) -> DataFrame:
-    return cells.select(F.trim("candidate_id").alias("candidate_id"),
-                        F.trim("rank").try_cast("int").alias("rank"),
-                        F.trim("score").try_cast("double").alias("score"), "reasoning", "row_num")
+    return cells.select(py_strip("candidate_id").alias("candidate_id"),
+                        py_strip("rank").try_cast("int").alias("rank"),
+                        py_strip("score").try_cast("double").alias("score"), "reasoning", "row_num")
 
 
 def _known(sub: DataFrame, source: DataFrame) -> DataFrame:

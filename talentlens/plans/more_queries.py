@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -233,13 +235,14 @@ cells AS (
     CAST(rank + 1 AS BIGINT) AS row_num
   FROM lagged),
 cv AS (
-  SELECT *, trim(coalesce(candidate_id, '')) AS cid, trim(coalesce(rank, '')) AS rank_s,
-    CASE WHEN regexp_matches(trim(coalesce(rank, '')), '^(0|-?[1-9][0-9]*)$') THEN TRY_CAST(trim(rank) AS BIGINT) END AS rank_i,
-    TRY_CAST(trim(coalesce(score, '')) AS DOUBLE) AS score_d
+  SELECT *, PYSTRIP(coalesce(candidate_id, '')) AS cid, PYSTRIP(coalesce(rank, '')) AS rank_s,
+    CASE WHEN regexp_matches(PYSTRIP(coalesce(rank, '')), '^(0|-?[1-9][0-9]*)$') THEN TRY_CAST(PYSTRIP(rank) AS BIGINT) END AS rank_i,
+    TRY_CAST(PYSTRIP(coalesce(score, '')) AS DOUBLE) AS score_d
   FROM cells),
 typed AS (
-  SELECT trim(candidate_id) AS candidate_id, TRY_CAST(trim(rank) AS INTEGER) AS rank,
-    TRY_CAST(trim(score) AS DOUBLE) AS score, reasoning, row_num FROM cells)"""
+  SELECT PYSTRIP(candidate_id) AS candidate_id, TRY_CAST(PYSTRIP(rank) AS INTEGER) AS rank,
+    TRY_CAST(PYSTRIP(score) AS DOUBLE) AS score, reasoning, row_num FROM cells)"""
+CELLS_SQL = re.sub(r"PYSTRIP\(([^()]*(?:\([^()]*\))?[^()]*)\)", lambda m: O.pystrip(m.group(1)), CELLS_SQL)
 
 
 VIOLATIONS_BODY = f"""
@@ -255,7 +258,7 @@ VIOLATIONS_BODY = f"""
   UNION ALL SELECT 'rank_duplicate', 'error', row_num, rank_s FROM (
     SELECT rank_s, row_num, row_number() OVER (PARTITION BY rank_i ORDER BY row_num) AS occ FROM cv
     WHERE rank_i BETWEEN 1 AND 100) WHERE occ > 1
-  UNION ALL SELECT 'score_not_float', 'error', row_num, trim(coalesce(score, '')) FROM cv WHERE score_d IS NULL
+  UNION ALL SELECT 'score_not_float', 'error', row_num, {O.pystrip("coalesce(score, '')")} FROM cv WHERE score_d IS NULL
   UNION ALL SELECT 'rank_missing', 'error', CAST(0 AS BIGINT), CAST(r AS VARCHAR) FROM range(1, 101) t(r)
     WHERE r NOT IN (SELECT rank_i FROM cv WHERE rank_i BETWEEN 1 AND 100)
   UNION ALL SELECT 'score_increase', 'error', row_num, 'rank ' || CAST(rank_i AS VARCHAR) || ' < rank ' || CAST(r2 AS VARCHAR)
