@@ -78,3 +78,18 @@ def test_stream_matches_batch(spark):
     ST.stream_topk(spark, src, out, ck2, k=10).awaitTermination()
     top = sorted(((-r.final_score, r.candidate_id) for r in ST.read_topk(spark, out).collect()))
     assert top == sorted((-s, c) for c, s in batch.items())[:10]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(min_value=-5, max_value=5), min_size=1, max_size=40))
+def test_order_statistics_property(spark, vals):
+    df = spark.createDataFrame([("g", float(v)) for v in vals], "g string, v double")
+    got = {r.stat: r.value for r in grouped_describe(df).collect()}
+    s = sorted(float(v) for v in vals)
+    n = len(s)
+    assert got["n"] == n and got["min"] == s[0] and got["max"] == s[-1]
+    assert got["p25"] == s[int(n * 0.25)] and got["p75"] == s[int(n * 0.75)] and got["p90"] == s[int(n * 0.9)]
+    assert got["median"] == (s[(n - 1) // 2] + s[n // 2]) / 2
