@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import cut_lineage
 from .stats import grouped_describe
 
 SCHEMA = "section string, metric string, key string, value double"
@@ -193,7 +194,125 @@ def integrity_indicators(raw: DataFrame, signals_key: str = "signals") -> DataFr
 
 
 def full_profile(raw: DataFrame, signals_key: str = "signals") -> DataFrame:
-    """Every section in one long-format frame."""
-    return (overview(raw).unionByName(distributions(raw)).unionByName(experience(raw))
-            .unionByName(skills(raw)).unionByName(companies(raw)).unionByName(signals(raw, signals_key))
-            .unionByName(career(raw)).unionByName(education(raw)).unionByName(integrity_indicators(raw, signals_key)))
+    """Every section, in three passes over the candidates instead of one per section.
+
+    1. one ``agg`` for all scalar counts (overview, coverage, flags, inactivity,
+       consulting, current jobs, CS fields, integrity indicators, job durations);
+    2. one ``explode`` of ``(section, metric, key)`` structs per candidate (its own
+       categorical values plus one per skill, job and education entry) and a
+       single ``groupBy(section, metric, key).count()`` — map-side combined, so
+       a hot value is one partial row per task; the (small) count table is
+       checkpointed and each metric's top-n is a TakeOrdered over it;
+    3. one ``grouped_describe`` over years and all signals.
+    """
+    p = F.col("profile")
+    s = F.col(signals_key)
+    jobs = F.coalesce(F.col("career_history"), F.array())
+    sk = F.coalesce(F.col("skills"), F.array())
+    ed = F.coalesce(F.col("education"), F.array())
+    consult = list(C.PROFILE_CONSULTING)
+
+    # ---- pass 1: scalar counts
+    lowered = F.transform(sk, lambda x: F.lower(_s(x["name"])))
+    last = F.try_to_date(s["last_active_date"], "yyyy-MM-dd")
+    days = F.datediff(F.lit("2026-06-01").cast("date"), last)
+    flag = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
+    fields = [F.lit(f) for f in C.PROFILE_CS_FIELDS]
+    sal = s["expected_salary_range_inr_lpa"]
+    lo, hi = F.coalesce(sal["min"], F.lit(0.0)), F.coalesce(sal["max"], F.lit(0.0))
+    years = F.coalesce(p["years_of_experience"], F.lit(0.0))
+    latest = F.greatest(F.coalesce(F.array_max(F.transform(ed, lambda e: F.coalesce(e["end_year"], F.lit(0.0)))),
+                                   F.lit(0.0)), F.lit(0.0))
+    months = F.aggregate(jobs, F.lit(0.0), lambda a, j: a + F.coalesce(j["duration_months"], F.lit(0.0)))
+    adv = F.filter(sk, lambda x: x["proficiency"].isin("advanced", "expert"))
+    zero = F.filter(adv, lambda x: F.coalesce(x["endorsements"], F.lit(0.0)) == 0)
+    scalars = [  # (section, metric, key, aggregate)
+        ("overview", "total_candidates", "", F.count(F.lit(1))),
+        ("companies", "current_consulting", "", F.sum(F.lower(_s(p["current_company"])).isin(*consult).cast("long"))),
+        ("companies", "only_consulting", "", F.sum(((F.size(jobs) > 0) & F.forall(
+            jobs, lambda j: F.lower(_s(j["company"])).isin(*consult))).cast("long"))),
+        ("signals", "count", "open_to_work", flag(s["open_to_work_flag"])),
+        ("signals", "count", "no_github", F.sum((s["github_activity_score"] == -1).cast("long"))),
+        ("signals", "count", "verified_email", flag(s["verified_email"])),
+        ("signals", "count", "verified_phone", flag(s["verified_phone"])),
+        ("signals", "count", "linkedin_connected", flag(s["linkedin_connected"])),
+        ("signals", "count", "inactive_more_than_90_days", F.sum(((days > 90) & (days <= 180)).cast("long"))),
+        ("signals", "count", "inactive_more_than_180_days", F.sum((days > 180).cast("long"))),
+        ("career", "with_current_job", "", F.sum(F.exists(jobs, lambda j: F.coalesce(j["is_current"], F.lit(False))).cast("long"))),
+        ("education", "cs_related", "", F.sum(F.exists(ed, lambda e: F.exists(
+            F.array(*fields), lambda k: F.contains(F.lower(_s(e["field_of_study"])), k))).cast("long"))),
+        ("integrity", "indicator", "salary_inversion", F.sum((lo > hi).cast("long"))),
+        ("integrity", "indicator", "experience_vs_education_mismatch",
+         F.sum(((latest > 0) & (years > (F.lit(2026) - latest) + 2)).cast("long"))),
+        ("integrity", "indicator", "career_duration_mismatch",
+         F.sum(((months > years * 12 * 1.5) | (months < years * 12 * 0.3)).cast("long"))),
+        ("integrity", "indicator", "skill_stuffer", F.sum(((F.size(adv) >= 8) & (F.size(zero) >= 6)).cast("long"))),
+    ] + [("skills", "critical_coverage", g, F.sum(F.arrays_overlap(lowered, F.array(*[F.lit(v) for v in vals])).cast("long")))
+         for g, vals in C.PROFILE_SKILL_GROUPS]
+    names = [f"a{i}" for i in range(len(scalars))]
+    wide = raw.agg(*[F.coalesce(a, F.lit(0)).alias(n) for (_, _, _, a), n in zip(scalars, names)],
+                   F.sum((p["country"] == "India").cast("long")).alias("india"),
+                   F.sum(months).alias("dur_sum"), F.sum(F.size(jobs)).alias("dur_n"))
+    cells = [F.struct(F.lit(sec).alias("section"), F.lit(met).alias("metric"), F.lit(key).alias("key"),
+                      F.col(n).cast("double").alias("value")) for (sec, met, key, _), n in zip(scalars, names)]
+    total = F.col(names[0])
+    cells.append(F.struct(F.lit("overview").alias("section"), F.lit("india_percentage").alias("metric"), F.lit("").alias("key"),
+                          F.when(total > 0, F.coalesce(F.col("india"), F.lit(0)) / total * 100).otherwise(F.lit(0.0))
+                          .cast("double").alias("value")))
+    cells.append(F.struct(F.lit("career").alias("section"), F.lit("mean_job_duration").alias("metric"), F.lit("").alias("key"),
+                          F.when(F.col("dur_n") > 0, F.col("dur_sum") / F.col("dur_n")).otherwise(F.lit(0.0))
+                          .cast("double").alias("value")))
+    scalar_rows = wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+    # ---- pass 2: every categorical count in one groupBy
+    def kv(section, metric, key):
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), key.cast("string").alias("key"))
+
+    per_candidate = F.array(
+        kv("distribution", "title", _s(p["current_title"])),
+        kv("distribution", "industry", _s(p["current_industry"])),
+        kv("distribution", "country", _s(p["country"])),
+        kv("experience", "bin", experience_bin(years)),
+        kv("skills", "skills_per_candidate", F.size(sk)),
+        kv("companies", "top_company", _s(p["current_company"])),
+        kv("career", "jobs_per_candidate", F.size(jobs)),
+    )
+    keys = F.concat(
+        per_candidate,
+        F.transform(sk, lambda x: kv("skills", "top_skill", _s(x["name"]))),
+        F.transform(sk, lambda x: kv("skills", "proficiency", _s(x["proficiency"]))),
+        F.transform(jobs, lambda j: kv("career", "top_industry", _s(j["industry"]))),
+        F.transform(ed, lambda e: kv("education", "tier", F.coalesce(e["tier"], F.lit("unknown")))),
+        F.transform(ed, lambda e: kv("education", "top_degree", _s(e["degree"]))),
+        F.transform(ed, lambda e: kv("education", "top_field", _s(e["field_of_study"]))),
+    )
+    counts = cut_lineage(raw.select(F.explode(keys).alias("k")).select("k.*")
+                         .groupBy("section", "metric", "key").agg(F.count(F.lit(1)).alias("n")))
+    tops = {"title": 20, "industry": 20, "country": 20, "top_skill": 50, "top_company": 30,
+            "top_industry": 20, "top_degree": 20, "top_field": 20}
+    cat_rows = None
+    for metric in ("title", "industry", "country", "bin", "top_skill", "proficiency", "skills_per_candidate",
+                   "top_company", "jobs_per_candidate", "top_industry", "tier", "top_degree", "top_field"):
+        part = counts.where(F.col("metric") == metric)
+        if metric in tops:
+            part = part.orderBy(F.desc("n"), F.asc("key")).limit(tops[metric])
+        part = part.select("section", "metric", "key", F.col("n").cast("double").alias("value"))
+        cat_rows = part if cat_rows is None else cat_rows.unionByName(part)
+    unique = counts.where(F.col("metric") == "top_skill").agg(F.count(F.lit(1)).alias("u")) \
+                   .select(F.lit("skills").alias("section"), F.lit("unique_skills").alias("metric"),
+                           F.lit("").alias("key"), F.col("u").cast("double").alias("value"))
+
+    # ---- pass 3: exact statistics for years and every signal in one describe
+    pairs = [F.struct(F.lit("years").alias("g"), years.cast("double").alias("v"))]
+    for name, sentinel in SIGNAL_STATS:
+        v = s[name]
+        if sentinel is not None:
+            v = F.when(v != sentinel, v)
+        pairs.append(F.struct(F.lit(name).alias("g"), v.cast("double").alias("v")))
+    stats = grouped_describe(raw.select(F.explode(F.array(*pairs)).alias("p")).select("p.g", "p.v"))
+    stat_rows = stats.select(
+        F.when(F.col("g") == "years", F.lit("experience")).otherwise(F.lit("signals")).alias("section"),
+        F.when(F.col("g") == "years", F.lit("years")).otherwise(F.lit("stat")).alias("metric"),
+        F.when(F.col("g") == "years", F.col("stat")).otherwise(F.concat(F.col("g"), F.lit("."), F.col("stat"))).alias("key"),
+        F.col("value").cast("double").alias("value"))
+    return scalar_rows.unionByName(cat_rows).unionByName(unique).unionByName(stat_rows)
