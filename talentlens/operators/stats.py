@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-STATS = ("n", "min", "max", "mean", "std", "median", "p25", "p75", "p90")
-
-
 def grouped_describe(long: DataFrame, group_col: str = "g", value_col: str = "v",
                      partitions: int | None = None) -> DataFrame:
     """Per group: n, min, max, mean, sample std (0 for n = 1), interpolated median and

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import DEFAULT, RubricConfig, TrainConfig
+from ..config import DEFAULT, TrainConfig
 from ..operators import audit, labeling, model, profile
 from ..operators.features import FEATURE_COLUMNS
 from ..sources import fixture_pools as P
@@ -41,7 +41,6 @@ def cascade_sql(total: int = SAMPLE_TOTAL, seed: str = SEED) -> str:
     masks = _mask_sql()
     parts = [f"sbase AS (SELECT candidate_id, md5('{seed}:' || candidate_id) AS skey, "
              + ", ".join(f"coalesce({m}, false) AS m_{b}" for b, m in masks.items()) + " FROM scored)"]
-    prev = []
     for i, b in enumerate(labeling.BUCKETS):
         excl = " AND candidate_id NOT IN (SELECT candidate_id FROM picked_{})".format(i - 1) if i else ""
         limit = f"{quota * (i + 1)} - " + (f"(SELECT count(*) FROM picked_{i - 1})" if i else "0")
@@ -51,7 +50,6 @@ def cascade_sql(total: int = SAMPLE_TOTAL, seed: str = SEED) -> str:
             f"WHERE m_{b}{excl}) WHERE rn <= {limit})")
         union = " UNION ALL ".join(f"SELECT * FROM b{j}" for j in range(i + 1))
         parts.append(f"picked_{i} AS ({union})")
-        prev.append(b)
     parts.append(f"sample AS (SELECT * FROM picked_{len(labeling.BUCKETS) - 1})")
     return ",\n".join(parts)
 

@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import py_strip
 from ..schema import candidate_schema
 from ..session import checkpoint_dir
 
@@ -54,7 +55,7 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
     ``explicit_null`` (a required key present as JSON null).
     """
     lines = _read_text(spark, path, partitions)
-    text = lines.where(F.trim(F.col("value")) != "")                     # S3
+    text = lines.where(py_strip(F.col("value")) != "")                   # S3 (Python strip semantics)
     v = F.try_parse_json(F.col("value"))
     kind = F.when(v.isNull(), F.lit("malformed")).when(
         F.schema_of_variant(v).startswith("OBJECT"), F.lit(None)).otherwise(F.lit("not_object"))
@@ -96,8 +97,9 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 def append_labels(labels: DataFrame, path: str, fmt: str = "csv") -> None:
     """Append label rows (newlines in the reasoning become spaces)."""
+    from ..operators.labeling import clean_reasoning
     clean = labels.select("candidate_id", F.col("llm_score").cast("int"),
-                          F.regexp_replace(F.coalesce("llm_reasoning", F.lit("")), r"[\r\n]", " ").alias("llm_reasoning"))
+                          clean_reasoning(F.coalesce("llm_reasoning", F.lit(""))).alias("llm_reasoning"))
     w = clean.write.mode("append")
     if fmt == "csv":
         w.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)

@@ -20,7 +20,7 @@ def write_lines(lines, gz=False):
     return p
 
 
-LINES = [json.dumps(base_record(1)), "", "   ", "{bad", "[1]", "{}", json.dumps(base_record(2))]
+LINES = [json.dumps(base_record(1)), "", "   ", "\t", "{bad", "[1]", "{}", json.dumps(base_record(2))]
 
 
 @pytest.mark.parametrize("gz", [False, True])
