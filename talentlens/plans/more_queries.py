@@ -680,3 +680,15 @@ SELECT user_id, strftime(max(ts), '%Y-%m-%d') AS last_active_date,
 FROM events GROUP BY user_id""")
 def q_events_recency(spark, sf):
     return EN.recency_from_events(read_table(spark, sf, "events"), EVENTS_REF)
+
+
+@register("model_contract", CORE + "\nSELECT CAST(count(*) FILTER (WHERE " + " AND ".join(
+    f"({c} IS NULL OR isnan(CAST({c} AS DOUBLE)))" for c in FEATURE_COLUMNS) + ") AS BIGINT) AS all_missing_rows, "
+    f"CAST({len(FEATURE_COLUMNS)} AS BIGINT) AS n_features FROM feat")
+def q_model_contract(spark, sf):
+    """M1: every model input present (else KeyError) and rows with all inputs missing."""
+    df = scored(spark, sf)
+    model.check_contract(df, FEATURE_COLUMNS)
+    return model.all_missing_rows(df, FEATURE_COLUMNS).select(
+        F.coalesce("all_missing_rows", F.lit(0)).cast("long").alias("all_missing_rows"),
+        F.lit(len(FEATURE_COLUMNS)).cast("long").alias("n_features"))
