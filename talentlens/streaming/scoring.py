@@ -8,7 +8,8 @@ flattened, featurised and scored per micro-batch.  Two sinks:
 * ``stream_topk`` — a running top-k kept with ``foreachBatch``: each batch's
   own top-k (TakeOrdered) is merged with the previous top-k snapshot, so the
   state is k rows regardless of stream volume.  Snapshots are written per
-  batch id, so a replayed batch overwrites its own snapshot (idempotent).
+  batch id, so a replayed batch overwrites its own snapshot (idempotent), and
+  only the last few are kept.
 """
 
 from __future__ import annotations
@@ -53,8 +54,24 @@ def _latest_snapshot(spark: SparkSession, out_dir: str, before: int | None = Non
     return None if last is None else snaps.where(F.col("batch_id") == last).drop("batch_id")
 
 
+def _prune_snapshots(spark: SparkSession, out_dir: str, keep_from: int) -> None:
+    """Drop snapshot folders ``batch_id < keep_from`` (Hadoop FS, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id=") and int(name.split("=", 1)[1]) < keep_from:
+            fs.delete(st.getPath(), True)
+
+
 def stream_topk(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, k: int = 100,
-                cfg: RankConfig = DEFAULT, max_files_per_trigger: int | None = 1) -> StreamingQuery:
+                cfg: RankConfig = DEFAULT, max_files_per_trigger: int | None = 1, keep: int = 3) -> StreamingQuery:
+    """Running top-k; the last ``keep`` (≥ 2) snapshots are retained so a replayed batch finds its predecessor."""
+    keep = max(keep, 2)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         cand = batch.select("candidate_id", "final_score")
         prev = _latest_snapshot(batch.sparkSession, out_dir, before=batch_id)   # replay-safe
@@ -63,6 +80,7 @@ def stream_topk(spark: SparkSession, source_dir: str, out_dir: str, checkpoint:
         top = (cand.orderBy(F.desc_nulls_last("final_score"), F.asc("candidate_id")).limit(k)
                    .withColumn("batch_id", F.lit(batch_id)))
         top.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir)
+        _prune_snapshots(batch.sparkSession, out_dir, batch_id - keep + 1)
 
     return (scored_stream(spark, source_dir, cfg, max_files_per_trigger).writeStream
             .foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
