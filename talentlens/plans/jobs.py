@@ -27,7 +27,8 @@ from . import pipeline as PL
 
 def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT,
              model_path: str | None = None) -> dict:
-    good, bad = FS.read_candidates(spark, candidates_path, cfg.signals_key)
+    # one JSON parse; scoring, the id check and the skipped count all read the staged table
+    good, bad = FS.stage_candidates(spark, candidates_path, cfg.signals_key)
     flat = flatten(good, cfg.signals_key)
     scorer, cols = (model.load(model_path) if model_path else (None, None))
     ranked = cut_lineage(PL.rank_candidates(PL.score_candidates(flat, cfg, scorer, cols), cfg))  # k rows

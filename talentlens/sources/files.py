@@ -72,6 +72,29 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
     return good, bad
 
 
+def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = False,
+                     out: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S1–S4 with a single parse: good records and quarantine in one Parquet table.
+
+    Rows are partitioned by ``_ok``; later passes read the typed columns of the
+    good partition (column pruning, no JSON re-parse) and the quarantine
+    partition separately (partition pruning).  Returns ``(good, quarantine)``.
+    """
+    good, bad = read_candidates(spark, path, signals_key, strict)
+    out = out or scratch_path(spark, "candidates-staged")
+    cols = good.columns
+    both = (good.select(*cols, F.lit(None).cast("string").alias("_value"), F.lit(None).cast("string").alias("_reason"),
+                        F.lit(True).alias("_ok"))
+            .unionByName(bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cols],
+                                    F.col("value").alias("_value"), F.col("reason").alias("_reason"),
+                                    F.lit(False).alias("_ok"))))
+    both.write.mode("overwrite").partitionBy("_ok").parquet(out)
+    staged = spark.read.parquet(out)
+    ok = F.col("_ok").cast("boolean")                  # partition values come back as text
+    return (staged.where(ok).select(*cols),
+            staged.where(~ok).select(F.col("_value").alias("value"), F.col("_reason").alias("reason")))
+
+
 def stage_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write once to Parquet so later jobs get column pruning and predicate pushdown."""
     df.write.mode(mode).parquet(path)
