@@ -79,3 +79,26 @@ def test_missing_activity_and_clamp(spark):
                        linkedin_connected=False)
     r = engagement.add_engagement(flatten(records_df(spark, [rec])), keep_components=True).collect()[0]
     assert r.recency_score == 0.1 and r.behavioral_score == 0.1      # 0.025 clamped up to the floor
+
+
+def test_missing_time_and_notice_default_to_best_bucket(spark):
+    """The loader turns missing values into 0, so the later 999/180 fallbacks never apply."""
+    from talentlens.operators.features import add_features
+    rec = base_record()
+    del rec["signals"]["avg_response_time_hours"]
+    del rec["signals"]["notice_period_days"]
+    rec["signals"]["recruiter_response_rate"] = 1.0
+    flat = flatten(records_df(spark, [rec]))
+    r = engagement.add_engagement(add_features(flat), keep_components=True).collect()[0]
+    assert r.responsiveness_score == 1.0 and r.feat_dim7_notice_score == 1.0
+
+
+def test_future_graduation_and_zero_years(spark):
+    """An end year in the future makes rule 1 fire; X11: 0 years with career months makes rule 2 fire."""
+    rec = with_profile(base_record(), years_of_experience=2.0)
+    rec["education"][0]["end_year"] = 2030
+    r = scored(spark, [rec])["CAND_0000001"]
+    assert r.rule_1_exp_vs_education
+    rec = with_profile(base_record(), years_of_experience=0.0)
+    r = scored(spark, [rec])["CAND_0000001"]
+    assert r.rule_2_career_vs_experience
