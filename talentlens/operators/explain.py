@@ -91,4 +91,14 @@ def reasoning(cfg: RankConfig = DEFAULT, rank_col: str = "rank") -> Column:
 
 
 def add_reasoning(ranked: DataFrame, cfg: RankConfig = DEFAULT) -> DataFrame:
-    return ranked.withColumn("reasoning", reasoning(cfg))
+    """Same text as :func:`reasoning`, with each fragment computed once as a column."""
+    cols = list(ranked.columns)
+    staged = ranked.select("*", company_fragment(cfg).alias("_company"), concern_fragment(cfg).alias("_concern"))
+    body = F.concat(F.concat_ws("; ", F.concat(title_fragment(), F.lit(" "), F.col("_company")),
+                                domain_fragment(), behaviour_fragment()), F.lit("."))
+    staged = staged.withColumn("_text", F.when(F.col("_concern") == "", body)
+                               .otherwise(F.concat(body, F.lit(" "), F.col("_concern"))))
+    limit = cfg.max_reasoning_chars
+    text = F.col("_text")
+    out = F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit - 3), F.lit("..."))).otherwise(text)
+    return staged.select(*cols, out.alias("reasoning"))
