@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import TrainConfig
 from .features import FEATURE_COLUMNS
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000     # ids and labels: a few MB at most
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
