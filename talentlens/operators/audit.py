@@ -53,7 +53,7 @@ def read_cells(spark: SparkSession, path: str) -> tuple[list[str] | None, DataFr
     """
     lines = spark.read.text(path).select(F.col("value"), F.monotonically_increasing_id().alias("_id"))
     parsed = lines.select("_id", F.from_csv(F.col("value"), "a string, b string, c string, d string, e string",
-                                            {"mode": "PERMISSIVE"}).alias("r"), "value")
+                                            {"mode": "PERMISSIVE", "escape": '"'}).alias("r"), "value")
     n_cells = F.size(F.split(F.col("value"), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"))
     numbered = parsed.where(F.trim(F.regexp_replace("value", '[",]', "")) != "") \
                      .withColumn("row_num", F.row_number().over(Window.orderBy("_id")))

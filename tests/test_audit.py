@@ -54,3 +54,23 @@ def test_header_filename_and_encoding(spark):
     assert checks(spark, write(['"id","rank","score","reasoning"'] + rows())) == ["header"]
     assert "filename_extension" in checks(spark, write([HEADER] + rows(), name="team.txt"))
     assert "encoding" in checks(spark, write([HEADER] + rows() + ["café"], encoding="latin-1"))
+
+
+def test_quoted_reasoning_with_commas_and_quotes(spark):
+    r = rows()
+    r[3] = '"CAND_0000004","4","0.9960","said ""great fit"", strong, ranked"'
+    path = write([HEADER] + r)
+    assert checks(spark, path) == []
+    _, cells, _ = audit.read_cells(spark, path)
+    got = cells.where("row_num = 5").collect()[0].reasoning
+    assert got == 'said "great fit", strong, ranked'
+
+
+def test_taxonomy_sizes():
+    from talentlens import config as C
+    sizes = [len(C.ENGINEERING_TITLES), len(C.NON_ENGINEERING_TITLES), len(C.PRODUCTION_KEYWORDS),
+             len(C.RETRIEVAL_KEYWORDS), len(C.RESEARCH_KEYWORDS), len(C.WRAPPER_KEYWORDS), len(C.CONSULTING_FIRMS),
+             len(C.MUST_HAVE_SKILLS), len(C.NICE_TO_HAVE_SKILLS), len(C.IRRELEVANT_SKILLS),
+             len(C.PREFERRED_CITIES), len(C.TIER1_CITIES)]
+    assert sizes == [22, 15, 26, 36, 10, 6, 19, 23, 12, 25, 2, 10]
+    assert len(C.PRODUCT_COMPANIES) == 45        # the platform's own name is left out (README)
