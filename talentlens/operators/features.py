@@ -32,6 +32,7 @@ HELPERS = {
     "_comps": lambda: X.split_items(X.lower0("career_all_companies")),
     "_skill_items": lambda: X.split_items(X.lower0("skills_names")),
     "_location": lambda: X.lower0("profile_location"),
+    "_fields": lambda: X.lower0("edu_fields"),
 }
 
 
@@ -96,7 +97,7 @@ def base_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
         "feat_dim7_salary_reasonable": _int(_salary_ok()),
         # D8 education
         "feat_dim8_best_tier": X.lookup(X.lower0("edu_best_tier"), C.TIER_NUMBER, 4).cast("long"),
-        "feat_dim8_relevant_field": _int(X.any_substring(X.lower0("edu_fields"), C.RELEVANT_FIELDS)),
+        "feat_dim8_relevant_field": _int(X.any_substring(F.col("_fields"), C.RELEVANT_FIELDS)),
         "feat_dim8_has_grad_degree": _int(X.in_set(X.lower0("edu_highest_degree"), C.GRAD_DEGREES)),
         # skill trust inputs kept for the next stage
         "_adv": adv,
