@@ -54,7 +54,11 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
     ``not_object`` (valid JSON but not an object) or, in strict mode,
     ``explicit_null`` (a required key present as JSON null).
     """
-    lines = _read_text(spark, path, partitions)
+    return classify_lines(_read_text(spark, path, partitions), signals_key, strict)
+
+
+def classify_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S3–S4 on a frame of text lines (batch or streaming): ``(good records, quarantine)``."""
     text = lines.where(py_strip(F.col("value")) != "")                   # S3 (Python strip semantics)
     v = F.try_parse_json(F.col("value"))
     kind = F.when(v.isNull(), F.lit("malformed")).when(

@@ -21,18 +21,31 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import DEFAULT, RankConfig
 from ..operators.flatten import flatten
 from ..plans.pipeline import score_candidates
-from ..schema import candidate_schema
+from ..sources.files import classify_lines
 
 SCORE_COLUMNS = ("candidate_id", "suspicion_score", "is_honeypot", "behavioral_score", "model_score", "final_score")
 
 
-def scored_stream(spark: SparkSession, source_dir: str, cfg: RankConfig = DEFAULT,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(candidate_schema(cfg.signals_key))
+def _lines(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(source_dir)
-    return score_candidates(flatten(raw, cfg.signals_key), cfg).select(*SCORE_COLUMNS)
+    return reader.load(source_dir)
+
+
+def scored_stream(spark: SparkSession, source_dir: str, cfg: RankConfig = DEFAULT,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines → same blank-skip / quarantine rules as the batch loader → scores."""
+    good, _ = classify_lines(_lines(spark, source_dir, max_files_per_trigger), cfg.signals_key)
+    return score_candidates(flatten(good, cfg.signals_key), cfg).select(*SCORE_COLUMNS)
+
+
+def quarantine_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+                      cfg: RankConfig = DEFAULT) -> StreamingQuery:
+    """Malformed / non-object lines of the stream, appended to Parquet."""
+    _, bad = classify_lines(_lines(spark, source_dir, None), cfg.signals_key)
+    return (bad.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(availableNow=True).start(sink_dir))
 
 
 def stream_scores(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,

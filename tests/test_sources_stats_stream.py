@@ -93,3 +93,15 @@ def test_order_statistics_property(spark, vals):
     assert got["n"] == n and got["min"] == s[0] and got["max"] == s[-1]
     assert got["p25"] == s[int(n * 0.25)] and got["p75"] == s[int(n * 0.75)] and got["p90"] == s[int(n * 0.9)]
     assert got["median"] == (s[(n - 1) // 2] + s[n // 2]) / 2
+
+
+def test_stream_quarantines_bad_lines(spark):
+    from talentlens.streaming import scoring as ST
+    src = os.path.dirname(write_lines(LINES))
+    sink, ck = FS.scratch_path(spark, "qsink"), FS.scratch_path(spark, "qck")
+    ST.stream_scores(spark, src, sink, ck).awaitTermination()
+    ids = sorted(r.candidate_id or "" for r in spark.read.parquet(sink).collect())
+    assert ids == ["", "CAND_0000001", "CAND_0000002"]          # "{}" is an object: kept, as in batch
+    qs, qck = FS.scratch_path(spark, "qbad"), FS.scratch_path(spark, "qbadck")
+    ST.quarantine_stream(spark, src, qs, qck).awaitTermination()
+    assert sorted(r.reason for r in spark.read.parquet(qs).collect()) == ["malformed", "not_object"]
