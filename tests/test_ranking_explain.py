@@ -110,3 +110,15 @@ def test_bridge_limits_groups_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2      # partial (before Exchange) + final
     partial = plan.rfind("WindowGroupLimit")
     assert "Exchange" in plan[:partial]
+
+
+def test_topk_carries_only_explanation_inputs(spark):
+    """Column pruning keeps the top-k funnel narrow (k rows per task × these columns)."""
+    import re
+    from conftest import SF001
+    from talentlens.plans.pipeline import rank_pipeline
+    df = rank_pipeline(spark, SF001)
+    s = df._jdf.queryExecution().explainString(
+        df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    m = re.search(r"TakeOrderedAndProject\nInput \[(\d+)\]", s)
+    assert m and int(m.group(1)) <= 16
