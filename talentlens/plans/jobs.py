@@ -40,7 +40,7 @@ def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: Rank
 def label_job(spark: SparkSession, candidates_path: str, labels_path: str, target_total: int = 3000,
               teacher: Callable[[list[str]], list[str]] | None = None, template: str = "", job_text: str = "",
               cfg: RankConfig = DEFAULT, rubric: RubricConfig = RubricConfig()) -> DataFrame:
-    raw, _ = FS.read_candidates(spark, candidates_path, cfg.signals_key)
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # one parse, many passes
     scored = PL.featurize(flatten(raw, cfg.signals_key), cfg)
     sample = labeling.cascade_sample(scored, target_total, cfg=cfg)
     todo = labeling.pending(sample, FS.read_labels(spark, labels_path))
@@ -85,7 +85,7 @@ def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model
 
 
 def qa_job(spark: SparkSession, submission_path: str, candidates_path: str, cfg: RankConfig = DEFAULT) -> DataFrame:
-    raw, _ = FS.read_candidates(spark, candidates_path, cfg.signals_key)
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # read by three audits
     flat = flatten(raw, cfg.signals_key)
     contract = cut_lineage(audit.validate_file(spark, submission_path, cfg.top_k))   # Q1
     header, cells, _ = audit.read_cells(spark, submission_path)
@@ -97,9 +97,8 @@ def qa_job(spark: SparkSession, submission_path: str, candidates_path: str, cfg:
 
 
 def profile_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT) -> str:
-    raw, _ = FS.read_candidates(spark, candidates_path, cfg.signals_key)
-    staged = FS.stage_parquet(raw, FS.scratch_path(spark, "profile-input"))   # scanned by ~25 aggregations
-    return FS.write_profile(profile.full_profile(spark.read.parquet(staged), cfg.signals_key), out_path)
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # scanned by the profile passes
+    return FS.write_profile(profile.full_profile(raw, cfg.signals_key), out_path)
 
 
 def score_with_model(spark: SparkSession, flat: DataFrame, model_path: str, cfg: RankConfig = DEFAULT) -> DataFrame:
