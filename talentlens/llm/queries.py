@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from ..session import read_table
-from . import bpe, decontaminate, language_id, toxicity
+from . import bpe, decontaminate, language_id, simhash, substring_dedup, toxicity
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,10 +16,18 @@ def op2_language_id(spark, sf):
             .select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op3_substring_dedup(spark, sf):
+    return substring_dedup.digests(read_table(spark, sf, "documents"))
+
+
 def op4_benchmark_decontamination(spark, sf):
     return decontaminate.digests(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
 
 
+def op5_simhash_near_dedup(spark, sf):
+    return simhash.digests(read_table(spark, sf, "documents"))
+
+
 def op9_byte_level_bpe(spark, sf):
     import public_tokenizers
 
@@ -33,5 +41,5 @@ def op10_toxicity(spark, sf):
             .select("doc_id", language_id.held_out().alias("held_out"), "score", "predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_benchmark_decontamination, op9_byte_level_bpe, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_substring_dedup, op4_benchmark_decontamination, op5_simhash_near_dedup, op9_byte_level_bpe, op10_toxicity)}
 ORACLE: dict[str, str] = {}
