@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from ..session import read_table
-from . import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from . import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -36,6 +36,10 @@ def op6_quality_rules(spark, sf):
     return quality.digests(read_table(spark, sf, "documents"))
 
 
+def op7_warc(spark, sf):
+    return warc.digests(read_table(spark, sf, "pages"))
+
+
 def op8_sharding(spark, sf):
     return sharding.digests(read_table(spark, sf, "documents"))
 
@@ -53,5 +57,5 @@ def op10_toxicity(spark, sf):
             .select("doc_id", language_id.held_out().alias("held_out"), "score", "predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_substring_dedup, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_quality_rules, op8_sharding, op9_byte_level_bpe, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_substring_dedup, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_quality_rules, op7_warc, op8_sharding, op9_byte_level_bpe, op10_toxicity)}
 ORACLE: dict[str, str] = {}
