@@ -229,6 +229,14 @@ def hex64(c: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
 
+def _roots(rows: DataFrame, order, distance: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every distinct fingerprint, and (root, least) with the least ``order`` of its component."""
+    distinct = rows.groupBy("fp").agg(F.min(order).alias("least"))
+    roots = connected(links(distinct.select("fp"), distance))
+    rooted = stage(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    return rooted.select("fp", "root"), rooted.groupBy("root").agg(F.min("least").alias("least"))
+
+
 def components(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the least doc_id that links reach, the own one included.
 
@@ -237,13 +245,21 @@ def components(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, dist
     the whole component has none (then component_id is null).  An empty table gives an empty table.
     """
     rows = stage(fingerprint_rows(docs, text, ["doc_id"], shingle), "fingerprints")
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected(links(distinct.select("fp"), distance))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = stage(rooted, "roots")
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(names, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp, least = _roots(rows, "doc_id", distance)
+    return rows.join(by_fp.join(least, "root").select("fp", F.col("least").alias("component_id")), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the least doc_id stays.
+
+    Of rows that share that id, or have none, one stays; a null id comes after every other.
+    """
+    rows = fingerprint_rows(docs, text, None, shingle)
+    rows = stage(rows.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(rows.columns[:-1])], "fp",
+                             F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.monotonically_increasing_id().alias("seq")), "rows")
+    _, least = _roots(rows, F.struct("id", "seq"), distance)
+    kept = rows.join(least.select(F.col("least.seq").alias("seq")), "seq", "left_semi")
+    return kept.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -157,8 +157,8 @@ _PASSAGE_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa
 _PASSAGE_SCHEMA = "r long, rt int, block int, copy int, id long, tag int, start int, words binary"
 
 
-def _spread(keep_n: int, window: int, gram: int, with_text: bool):
-    """From documents with their entries: their canonical text (kind 0 without entries, 1 with), and passages."""
+def _spread(keep_n: int, window: int, gram: int, with_text: bool, rejoin: bool = True):
+    """From documents with their entries: their text (kind 0 without entries, 1 with), and passages."""
     names = [f"k{i}" for i in range(keep_n)]
 
     def run(batches):
@@ -178,8 +178,9 @@ def _spread(keep_n: int, window: int, gram: int, with_text: bool):
                         out += _passages(words[first[i]:first[i + 1]], entries[i].as_py(), ids[row + i].as_py(), tags[row + i].as_py(), window, gram)
                 columns = [list(c) for c in zip(*out, strict=True)] if out else [[] for _ in range(9)]
                 if with_text:
-                    data = text.tobytes()
-                    texts = [data[starts[a]:ends[b - 1]] if b > a else b"" for a, b in zip(first[:-1], first[1:], strict=True)]
+                    data = text.tobytes() if rejoin else raw.tobytes()
+                    texts = ([data[starts[a]:ends[b - 1]] if b > a else b"" for a, b in zip(first[:-1], first[1:], strict=True)] if rejoin
+                             else [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
                     empty = [pa.nulls(n, t) for t in _PASSAGE_TYPES]
                     empty[4], empty[5] = part.column(batch.schema.get_field_index("id")), part.column(batch.schema.get_field_index("tag"))
                     yield pa.RecordBatch.from_arrays(
@@ -242,7 +243,7 @@ def _streamed(passages: DataFrame, window: int) -> DataFrame:
             .mapInArrow(_stream(window), "kind int, anchor long, id long, tag int, pos int, stop int"))
 
 
-def _cut(keep_n: int):
+def _cut(keep_n: int, rejoin: bool = True):
     """Texts with their hit runs: what is left of them."""
     names = [f"k{i}" for i in range(keep_n)]
 
@@ -263,6 +264,9 @@ def _cut(keep_n: int):
                 data = raw.tobytes()
                 texts = []
                 for a, b in zip(first[:-1], first[1:], strict=True):
+                    if not rejoin and total[b] == total[a]:
+                        texts.append(data[bounds[len(texts)]:bounds[len(texts) + 1]])
+                        continue
                     left = np.flatnonzero(~gone[a:b]) + a
                     texts.append(b" ".join([data[s:e] for s, e in zip(starts[left].tolist(), ends[left].tolist(), strict=True)]))
                 yield pa.RecordBatch.from_arrays(
@@ -272,9 +276,12 @@ def _cut(keep_n: int):
     return run
 
 
-def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, window: int = WINDOW, gram: int = GRAM,
+          rejoin: bool = True) -> DataFrame:
     """The rows of ``docs`` (columns ``keep``) with ``n_words``, ``n_removed`` and ``kept_text`` (kept words, joined by one space).
 
+    Without ``rejoin``, texts that lose nothing stay as they are (null: empty), with all their blanks.
+
     Windows are judged on the input.  Null and empty texts have no words; texts shorter than a window
     keep all of theirs.  A null doc_id comes after every other.  Rows of one doc_id never remove words
     from each other, whether their texts are the same or not.  An empty table gives an empty table.
@@ -285,7 +292,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     kept_schema = "".join(f"k{i} {t}, " for i, t in enumerate(types))
     anchors = stage(rows.select("id", "tag", "body").mapInArrow(_anchors(window, gram), "anchor long, id long, tag int, pos int"), "anchors")
     spread = stage(rows.join(_entries(anchors), ["id", "tag"], "left").select(*[f"k{i}" for i in range(len(keep))], "id", "tag", "body", "entries")
-                   .mapInArrow(_spread(len(keep), window, gram, True), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
+                   .mapInArrow(_spread(len(keep), window, gram, True, rejoin), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
     first = stage(_streamed(spread.where("kind >= 2"), window), "matches")
     missed = first.where("kind = 1").select("anchor", "id", "tag", "pos").distinct()
     second = (spread.where("kind = 1").select("id", "tag", "body").join(_entries(missed), ["id", "tag"])
@@ -294,7 +301,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     spans = hits.groupBy("id", "tag").agg(F.collect_set(F.struct("pos", "stop")).alias("spans"))
     names = [f"k{i}" for i in range(len(keep))]
     cut = (spread.where("kind = 1").select(*names, "n_words", "body", "id", "tag").join(spans, ["id", "tag"], "left").select(*names, "n_words", "body", "spans")
-           .mapInArrow(_cut(len(keep)), f"{kept_schema}n_words long, n_removed long, kept_text string"))
+           .mapInArrow(_cut(len(keep), rejoin), f"{kept_schema}n_words long, n_removed long, kept_text string"))
     clean = spread.where("kind = 0").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("body").alias("kept_text"))
     return clean.union(cut).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_words", "n_removed", "kept_text")
 
