@@ -100,6 +100,11 @@ def r9(expr: str) -> str:
 # flat candidate table
 # ---------------------------------------------------------------------------
 
+def number(order_key: str) -> str:
+    whens = " ".join(f"WHEN {order_key} % {P.BLOCK} < {upto} THEN {sub}" for sub, upto in enumerate(P.BLOCK_CUTS))
+    return f"(({order_key} // {P.BLOCK}) * 7 + CASE {whens} END)"
+
+
 def flat_ctes() -> str:
     k = "k"
     deg1, deg2 = pick(P.DEGREES, "k"), pick(P.DEGREES, "k + 3")
@@ -112,20 +117,22 @@ def flat_ctes() -> str:
                    "ELSE strftime(DATE '2026-06-01' - CAST((k * 29) % 260 AS INTEGER), '%Y-%m-%d') END")
     return f"""
 ord AS (
-  SELECT o_custkey AS k, o_orderkey AS ok,
-         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-  FROM orders WHERE o_custkey % 29 <> 0),
+  SELECT {number('o_orderkey')} AS k, o_custkey AS ck, o_orderkey AS ok, o_orderdate AS od,
+         row_number() OVER (PARTITION BY {number('o_orderkey')} ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders),
 jobs AS (
-  SELECT k, rn,
+  SELECT k, rn, ck,
     CASE WHEN k % 11 = 0 THEN {pick(P.CONSULTING, 'ok')} ELSE {pick(P.COMPANIES, 'ok')} END AS company,
     {pick(P.TITLES, 'k + 3 * (rn - 1)')} AS title,
     {pick(P.INDUSTRIES, 'ok')} AS industry,
     {pick(P.DESCRIPTIONS, 'ok + rn')} AS description,
     CAST(CASE WHEN k % 23 = 0 THEN 260 + ok % 40 WHEN k % 13 = 0 THEN 6 + ok % 10 ELSE 6 + ok % 40 END AS DOUBLE) AS dur,
-    (rn = 1 OR (k % 37 = 0 AND rn = 2)) AS is_current
-  FROM ord WHERE rn <= 1 + k % 4),
+    (rn = 1 OR (k % 37 = 0 AND rn = 2)) AS is_current,
+    CASE WHEN ok % 53 = 0 THEN '10000+' WHEN ok % 47 <> 0 THEN {pick(P.COMPANY_SIZES, 'ok')} END AS size_text,
+    CASE WHEN ok % 61 = 0 THEN strftime(od, '%m/%d/%Y') ELSE strftime(od, '%Y-%m-%d') END AS start_text
+  FROM ord),
 cr AS (
-  SELECT k,
+  SELECT k, arg_min(ck, rn) AS ck,
     string_agg(title, '|' ORDER BY rn) AS titles,
     string_agg(company, '|' ORDER BY rn) AS companies,
     string_agg(industry, '|' ORDER BY rn) AS industries,
@@ -134,29 +141,37 @@ cr AS (
     arg_max(company, rn) FILTER (WHERE is_current) AS cur_company,
     arg_max(title, rn) FILTER (WHERE is_current) AS cur_title
   FROM jobs GROUP BY k),
+parts AS (
+  SELECT l_orderkey, CAST(ceil(count(*) / {P.ORDER_ITEMS}) AS BIGINT) AS parts FROM lineitem GROUP BY l_orderkey),
+dealt AS (
+  SELECT l.*, (l.l_partkey * 31 + l.l_suppkey * 17 + l.l_linenumber) % p.parts AS part
+  FROM lineitem l JOIN parts p ON l.l_orderkey = p.l_orderkey),
+numbered AS (
+  SELECT *, CASE WHEN part = 0 THEN {number('l_orderkey')} ELSE (l_orderkey * 1048576 + part) * 7 + 6 END AS k FROM dealt),
 li AS (
-  SELECT o.o_custkey AS k, l.l_partkey, l.l_suppkey, l.l_quantity,
-    row_number() OVER (PARTITION BY o.o_custkey ORDER BY l.l_orderkey, l.l_linenumber, l.l_partkey,
-                       l.l_suppkey, l.l_extendedprice, l.l_quantity) AS rn
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE o.o_custkey % 31 <> 0),
+  SELECT k, l_partkey, l_suppkey, l_quantity,
+    row_number() OVER (PARTITION BY k ORDER BY l_orderkey, l_linenumber, l_partkey,
+                       l_suppkey, l_extendedprice, l_quantity) AS rn
+  FROM numbered),
 sk AS (
   SELECT k, rn, {pick(P.SKILLS, 'l_partkey')} AS name,
     CASE WHEN k % 17 = 0 THEN 'expert' ELSE {pick(P.LEVELS, 'l_partkey // 7')} END AS prof,
     CAST(CASE WHEN k % 17 = 0 THEN 0 ELSE CAST(trunc(l_quantity) AS BIGINT) END AS DOUBLE) AS endorse,
     CAST((l_suppkey * 3) % 60 AS DOUBLE) AS dur
-  FROM li WHERE rn <= {P.MAX_SKILLS}),
+  FROM li),
 sa AS (
   SELECT k, string_agg(lower(name), '|' ORDER BY rn) AS names, count(*) AS n_sk,
     count(*) FILTER (WHERE lower(prof) IN ('advanced', 'expert')) AS adv,
     sum(endorse) AS endorse, sum(dur) AS dur_total, arg_min(name, rn) AS first_skill
   FROM sk GROUP BY k),
+history AS (
+  SELECT coalesce(cr.k, sa.k) AS k, cr.* EXCLUDE (k), sa.* EXCLUDE (k) FROM cr FULL OUTER JOIN sa ON cr.k = sa.k
+  UNION ALL BY NAME SELECT c_custkey * 7 + 5 AS k, c_custkey AS ck FROM customer),
 cbase AS (
-  SELECT c.c_custkey AS k, c.c_mktsegment, cr.* EXCLUDE (k), sa.* EXCLUDE (k)
-  FROM customer c LEFT JOIN cr ON cr.k = c.c_custkey LEFT JOIN sa ON sa.k = c.c_custkey),
+  SELECT h.*, c.c_mktsegment, c.c_name FROM history h LEFT JOIN customer c ON c.c_custkey = h.ck),
 cand AS (
   SELECT
-    'CAND_' || lpad(CAST(k AS VARCHAR), 7, '0') AS candidate_id,
+    'CAND_' || CASE WHEN k < 1000000 THEN lpad(CAST(k AS VARCHAR), 7, '0') ELSE CAST(k AS VARCHAR) END AS candidate_id,
     {pick(P.HEADLINES, 'k')} AS profile_headline,
     {pick(P.DESCRIPTIONS, 'k * 5')} AS profile_summary,
     {pick(P.LOCATIONS, 'k * 3')} AS profile_location,

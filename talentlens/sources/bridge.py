@@ -1,15 +1,16 @@
 """Candidate fixture: nested candidate records derived from the driver tables.
 
-``customer`` rows become candidates; each candidate's first orders become its
-career, its first line items become its skills, and everything else is key
-arithmetic over literal pools (see ``fixture_pools``).  The work scales with
-the tables: one pass over ``orders``, one over ``lineitem`` (+ a join to
-``orders`` on ``o_orderkey``), and a final join on ``c_custkey`` of three
-frames that each hold at most one row per customer.
-
-Top-n-per-group uses ``row_number() <= literal`` so Spark plans a partial
-``WindowGroupLimit`` *before* the shuffle: a customer (or order) holding a third
-of all rows still ships at most n rows per map task.
+Every order is one job and every line item one skill of exactly one candidate;
+nothing is left out.  Order keys are dealt to candidates in blocks of
+``BLOCK`` keys, cut into candidates of 1, 2, 3, 6 and 11 jobs, so the size of a
+candidate doesn't depend on how many orders a customer has.  An order with more
+than ``ORDER_ITEMS`` line items spreads them over further candidates without a
+career.  Every customer also is a candidate without any history.  The rest of a
+record is arithmetic on the candidate's number over literal pools (see
+``fixture_pools``).
+
+The work is one pass over ``orders``, one over ``lineitem``, and joins on keys
+that are unique on one side.
 """
 
 from __future__ import annotations
@@ -33,56 +34,53 @@ def _dbl(c: Column) -> Column:
     return c.cast("double")
 
 
+def candidate_number(order_key: str) -> Column:
+    """Number of the candidate that an order belongs to: seven numbers for each block of keys, five of them for orders."""
+    whens = " ".join(f"WHEN pmod({order_key}, {P.BLOCK}) < {upto} THEN {sub}" for sub, upto in enumerate(P.BLOCK_CUTS))
+    return F.expr(f"CAST(floor({order_key} / {P.BLOCK}) AS BIGINT) * 7 + CASE {whens} END").cast("long")
+
+
 def career_rows(orders: DataFrame) -> DataFrame:
-    """One row per (customer, job): first ``1 + k % 4`` orders by date, key."""
-    k, ok = F.col("o_custkey"), F.col("o_orderkey")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    ranked = (
-        orders.select("o_custkey", "o_orderkey", "o_orderdate")
-        .where(F.pmod(k, F.lit(29)) != 0)
-        .withColumn("rn", F.row_number().over(w))
-        .where(F.col("rn") <= P.MAX_JOBS)                       # literal → WindowGroupLimit
-        .where(F.col("rn") <= 1 + F.pmod(k, F.lit(P.MAX_JOBS)))
-    )
-    rn = F.col("rn")
+    """One row per (candidate, job): all orders, by date and key; ``P.BLOCK_CUTS`` bounds a candidate's."""
+    ordered = orders.select("o_custkey", "o_orderkey", "o_orderdate", candidate_number("o_orderkey").alias("k"))
+    w = Window.partitionBy("k").orderBy("o_orderdate", "o_orderkey")
+    ranked = ordered.withColumn("rn", F.row_number().over(w))
+    rn, k, ok = F.col("rn"), F.col("k"), F.col("o_orderkey")
     return ranked.select(
-        F.col("o_custkey").alias("k"), rn,
+        "k", rn, F.col("o_custkey").alias("ck"),
         F.struct(
             F.when(F.pmod(k, F.lit(11)) == 0, _pick(P.CONSULTING, ok))
              .otherwise(_pick(P.COMPANIES, ok)).alias("company"),
             _pick(P.TITLES, k + 3 * (rn - 1)).alias("title"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
+            F.when(F.pmod(ok, F.lit(61)) == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
+             .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("start_date"),
             F.lit(None).cast("string").alias("end_date"),
             _dbl(F.when(F.pmod(k, F.lit(23)) == 0, 260 + F.pmod(ok, F.lit(40)))
                  .when(F.pmod(k, F.lit(13)) == 0, 6 + F.pmod(ok, F.lit(10)))
                  .otherwise(6 + F.pmod(ok, F.lit(40)))).alias("duration_months"),
             ((rn == 1) | ((F.pmod(k, F.lit(37)) == 0) & (rn == 2))).alias("is_current"),
             _pick(P.INDUSTRIES, ok).alias("industry"),
-            F.lit(None).cast("string").alias("company_size"),
+            F.when(F.pmod(ok, F.lit(53)) == 0, F.lit("10000+"))
+             .when(F.pmod(ok, F.lit(47)) != 0, _pick(P.COMPANY_SIZES, ok)).alias("company_size"),
             _pick(P.DESCRIPTIONS, ok + rn).alias("description"),
         ).alias("job"),
     )
 
 
-def skill_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One row per (customer, skill): first 12 line items of the customer's orders."""
+def skill_rows(lineitem: DataFrame) -> DataFrame:
+    """One row per (candidate, skill): all line items of the candidate's orders.
+
+    A large order's items are dealt by their part and supplier; one candidate gets about ``P.ORDER_ITEMS``.
+    """
     order_cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    # exact pre-reduction: a customer's first 12 items lie within the first 12 of each order
-    w_order = Window.partitionBy("l_orderkey").orderBy(*order_cols[1:])
-    items = (
-        lineitem.select(*order_cols)
-        .withColumn("rn_o", F.row_number().over(w_order))
-        .where(F.col("rn_o") <= P.MAX_SKILLS)
-        .drop("rn_o")
-    )
-    owners = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k")) \
-                   .where(F.pmod(F.col("k"), F.lit(31)) != 0)
-    w_cust = Window.partitionBy("k").orderBy(*order_cols)
-    ranked = (
-        items.join(owners, "l_orderkey")
-        .withColumn("rn", F.row_number().over(w_cust))
-        .where(F.col("rn") <= P.MAX_SKILLS)
-    )
+    items = lineitem.select(*order_cols)
+    large = (items.groupBy("l_orderkey").agg(F.ceil(F.count(F.lit(1)) / P.ORDER_ITEMS).cast("long").alias("parts"))
+             .where("parts > 1"))
+    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.expr("pmod(l_partkey * 31 + l_suppkey * 17 + l_linenumber, parts)"))
+    dealt = items.join(large, "l_orderkey", "left").withColumn("part", part.cast("long"))
+    spill = (F.col("l_orderkey") * (1 << 20) + F.col("part")) * 7 + 6
+    numbered = dealt.withColumn("k", F.when(F.col("part") == 0, candidate_number("l_orderkey")).otherwise(spill))
+    ranked = numbered.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order_cols)))
     k, pk = F.col("k"), F.col("l_partkey")
     stuffer = F.pmod(k, F.lit(17)) == 0
     return ranked.select(
@@ -97,29 +95,35 @@ def skill_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _collect_ordered(rows: DataFrame, item: str, out: str) -> DataFrame:
-    """Per customer: the (≤ n) items ordered by ``rn`` as an array of structs."""
+def _collect_ordered(rows: DataFrame, item: str, out: str, *more: Column) -> DataFrame:
+    """Per candidate: its items ordered by ``rn`` as an array of structs."""
     return rows.groupBy("k").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("rn", item))),
             lambda x: x[item],
-        ).alias(out)
+        ).alias(out), *more
     )
 
 
+def candidate_id(k: Column) -> Column:
+    """``CAND_`` and the number, padded to seven digits; a longer number keeps all of its digits."""
+    digits = k.cast("string")
+    return F.concat(F.lit("CAND_"), F.when(F.length(digits) < 7, F.lpad(digits, 7, "0")).otherwise(digits))
+
+
 def candidates(spark: SparkSession, sf_dir: str, signals_key: str = "signals") -> DataFrame:
     """Nested candidate records (schema ``schema.candidate_schema``)."""
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = read_table(spark, sf_dir, "orders")
     lineitem = read_table(spark, sf_dir, "lineitem")
 
-    careers = _collect_ordered(career_rows(orders), "job", "career_history")
-    skills = _collect_ordered(skill_rows(orders, lineitem), "skill", "skills")
+    careers = _collect_ordered(career_rows(orders), "job", "career_history", F.min_by("ck", "rn").alias("ck"))
+    skills = _collect_ordered(skill_rows(lineitem), "skill", "skills")
+    alone = customer.select((F.col("c_custkey") * 7 + 5).alias("k"), F.col("c_custkey").alias("ck"))
 
     base = (
-        customer.withColumnRenamed("c_custkey", "k")
-        .join(careers, "k", "left")
-        .join(skills, "k", "left")
+        careers.join(skills, "k", "full_outer").unionByName(alone, allowMissingColumns=True)
+        .join(customer.withColumnRenamed("c_custkey", "ck"), "ck", "left")
     )
     k = F.col("k")
     career = F.coalesce(F.col("career_history"), F.array().cast(T.ArrayType(S.JOB)))
@@ -130,10 +134,10 @@ def candidates(spark: SparkSession, sf_dir: str, signals_key: str = "signals") -
 
     def edu(offset_deg, offset_tier, offset_field, year_add):
         return F.struct(
-            F.lit(None).cast("string").alias("institution"),
+            F.when(F.pmod(k, F.lit(43)) != 0, F.concat(F.lit("Institute "), F.pmod(k, F.lit(9)).cast("string"))).alias("institution"),
             _pick(P.DEGREES, k + offset_deg).alias("degree"),
             _pick(P.FIELDS, k + offset_field).alias("field_of_study"),
-            _dbl(1996 + F.pmod(k, F.lit(30)) + year_add).alias("start_year"),
+            _dbl(F.when(F.pmod(k, F.lit(53)) == 0, 1950).otherwise(1996 + F.pmod(k, F.lit(30)) + year_add)).alias("start_year"),
             _dbl(2000 + F.pmod(k, F.lit(30)) + year_add).alias("end_year"),
             F.lit(None).cast("string").alias("grade"),
             _pick(P.TIERS, k + offset_tier).alias("tier"),
@@ -203,13 +207,19 @@ def candidates(spark: SparkSession, sf_dir: str, signals_key: str = "signals") -
         F.lit(None).cast("string").alias("company_size"),
         F.col("c_mktsegment").alias("current_industry"),
     )
+    certifications = F.when(F.pmod(k, F.lit(8)) == 0, F.array(F.struct(
+        F.lit("Cloud practitioner").alias("name"), F.when(F.pmod(k, F.lit(16)) != 0, F.lit("Board")).alias("issuer"), F.lit(2020.0).alias("year")))) \
+        .otherwise(F.array().cast(T.ArrayType(S.CERTIFICATION)))
+    languages = F.when(F.pmod(k, F.lit(3)) == 0, F.array(F.struct(
+        F.when(F.pmod(k, F.lit(51)) != 0, F.lit("English")).alias("language"), _pick(P.LANGUAGE_LEVELS, k).alias("proficiency")))) \
+        .otherwise(F.array().cast(T.ArrayType(S.LANGUAGE)))
     return base.select(
-        F.concat(F.lit("CAND_"), F.lpad(k.cast("string"), 7, "0")).alias("candidate_id"),
+        candidate_id(k).alias("candidate_id"),
         profile.alias("profile"),
         career.alias("career_history"),
         education.alias("education"),
         skills_arr.alias("skills"),
-        F.array().cast(T.ArrayType(S.CERTIFICATION)).alias("certifications"),
-        F.array().cast(T.ArrayType(S.LANGUAGE)).alias("languages"),
+        certifications.alias("certifications"),
+        languages.alias("languages"),
         signals.alias(signals_key),
     )

@@ -65,11 +65,14 @@ LOCATIONS = (
 )
 COUNTRIES = ("India", "India", "India", "India", "India", "India", "United Kingdom", "Singapore")
 
-COMPANY_SIZES = ("1-10", "11-50", "51-200", "201-500", "501-1000", "1001-5000", "5001-10000", "10000+")
+COMPANY_SIZES = ("1-10", "11-50", "51-200", "201-500", "501-1000", "1001-5000", "5001-10000", "10001+")
 
 NOTICE_DAYS = (0, 15, 30, 45, 60, 75, 90, 120, 150, 180)
 
+LANGUAGE_LEVELS = ("basic", "conversational", "professional", "native", "fluent")
+
 WORK_MODES = ("remote", "hybrid", "onsite", "flexible", "")
 
-MAX_JOBS = 4          # career = first 1 + k % 4 orders
-MAX_SKILLS = 12       # skills = first 12 line items
+BLOCK = 23                        # order keys dealt together
+BLOCK_CUTS = (1, 3, 6, 12, 23)    # to candidates of 1, 2, 3, 6 and 11 jobs
+ORDER_ITEMS = 24                  # line items of one order that one candidate gets, about
