@@ -112,3 +112,13 @@ def title_regex(c, pattern: str = "data engineer|qa|junior|intern") -> Column:
 
 def bool_int(c: Column) -> Column:
     return F.coalesce(c, F.lit(False)).cast("long")
+
+
+_DIGITS = "[0-9]+(_[0-9]+)*"
+FLOAT_TEXT = rf"^[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))$"
+
+
+def py_float(text: Column) -> Column:
+    """The number that stripped text stands for as Python reads it, else null (no type suffixes, no hexadecimal)."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), "_", ""), "^[+-]nan$", "nan")
+    return F.when(text.rlike(FLOAT_TEXT), plain.try_cast("double"))

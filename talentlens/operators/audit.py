@@ -10,6 +10,7 @@ scanned, never collected.
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT, RankConfig
-from ..functions.text import py_strip
+from ..functions.text import py_float, py_strip
 from .labeling import sample_key
 
 VIOLATION = "check string, severity string, row_num long, detail string"
@@ -33,62 +34,73 @@ def _v(df: DataFrame, check: str, severity: str, detail: Column) -> DataFrame:
 # sources: raw submission cells
 # ---------------------------------------------------------------------------
 
-def to_cells(ranked: DataFrame, decimals: int = 4) -> DataFrame:
-    """Typed submission → string cells as written to CSV, with the file row number."""
-    return ranked.select(
-        F.col("candidate_id").cast("string").alias("candidate_id"),
-        F.col("rank").cast("string").alias("rank"),
-        F.format_string(f"%.{decimals}f", F.col("score")).alias("score"),
-        F.col("reasoning").cast("string").alias("reasoning"),
-        (F.col("rank").cast("long") + 1).alias("row_num"),
-    )
+#: Bytes beyond which a submission is not read: a hundred rows never need as much.
+MAX_FILE_BYTES = 64 << 20
+
+
+def _parse(batches):
+    """Rows of a whole CSV file: quoted newlines belong to their cell, blank data rows are dropped before numbering."""
+    import csv
+    import io
+
+    import pandas as pd
+
+    for batch in batches:
+        out = []
+        for length, content in zip(batch["length"], batch["content"], strict=True):
+            if length > MAX_FILE_BYTES:
+                out.append(("oversize", 0, [str(length)]))
+                continue
+            try:
+                rows = list(csv.reader(io.StringIO(bytes(content).decode("utf-8"), newline="")))
+            except UnicodeDecodeError:
+                out.append(("encoding", 0, []))
+                continue
+            except csv.Error as e:
+                out.append(("unreadable", 0, [str(e)]))
+                continue
+            if rows:
+                out.append(("header", 1, rows[0]))
+            data = [r for r in rows[1:] if any(cell.strip() for cell in r)]
+            out += [("row", 2 + i, r) for i, r in enumerate(data)]
+        yield pd.DataFrame(out, columns=["kind", "row_num", "cells"])
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(kind, row_num, cells)`` of one submission file; ``kind`` is header, row, or what keeps the file from being read."""
+    files = spark.read.format("binaryFile").load(path)
+    small = files.select("length", F.when(F.col("length") <= MAX_FILE_BYTES, F.col("content")).alias("content"))
+    return small.mapInPandas(_parse, "kind string, row_num long, cells array<string>")
 
 
 def read_cells(spark: SparkSession, path: str) -> tuple[list[str] | None, DataFrame, DataFrame]:
-    """All-string read of a submission CSV.
+    """``(header, cells, bad_rows)`` of a submission file.
 
-    Returns ``(header, cells, bad_rows)``: ``cells`` holds rows with exactly four
-    cells and their file row numbers; ``bad_rows`` the rows with another cell
-    count.  Blank rows are dropped before numbering, as the contract does.
-    """
-    lines = spark.read.text(path).select(F.col("value"), F.monotonically_increasing_id().alias("_id"))
-    parsed = lines.select("_id", F.from_csv(F.col("value"), "a string, b string, c string, d string, e string",
-                                            {"mode": "PERMISSIVE", "escape": '"'}).alias("r"), "value")
-    n_cells = F.size(F.split(F.col("value"), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"))
-    numbered = parsed.where(F.trim(F.regexp_replace("value", '[",]', "")) != "") \
-                     .withColumn("row_num", F.row_number().over(Window.orderBy("_id")))
-    first = numbered.where(F.col("row_num") == 1).select("r").collect()
-    header = None
-    if first:
-        r = first[0]["r"]
-        header = [x for x in (r["a"], r["b"], r["c"], r["d"], r["e"]) if x is not None]
-    body = numbered.where(F.col("row_num") > 1)
-    ok = body.where(n_cells == 4)
-    cells = ok.select(F.col("r")["a"].alias("candidate_id"), F.col("r")["b"].alias("rank"),
-                      F.col("r")["c"].alias("score"), F.col("r")["d"].alias("reasoning"), "row_num")
-    bad = body.where(n_cells != 4).select("row_num", n_cells.alias("cells"))
-    return header, cells, bad
-
-
-def file_checks(spark: SparkSession, path: str, header: list[str] | None) -> list[tuple[str, str, int, str]]:
-    """V1/V2: filename, encoding, emptiness, header.
-
-    The encoding check runs in Spark (``binaryFile`` + ``is_valid_utf8``), on any
-    filesystem; only a flag reaches the driver.
+    ``cells`` holds the rows of exactly four cells with their file row numbers, ``bad_rows`` the others.
     """
+    return _split_rows(read_rows(spark, path))
+
+
+def _split_rows(rows: DataFrame) -> tuple[list[str] | None, DataFrame, DataFrame]:
+    header = rows.where("kind = 'header'").select("cells").first()
+    body = rows.where("kind = 'row'")
+    c = F.col("cells")
+    cells = body.where(F.size(c) == 4).select(c[0].alias("candidate_id"), c[1].alias("rank"), c[2].alias("score"), c[3].alias("reasoning"), "row_num")
+    return None if header is None else list(header["cells"]), cells, body.where(F.size(c) != 4).select("row_num", F.size(c).alias("cells"))
+
+
+def file_checks(path: str, header: list[str] | None, faults: list[tuple[str, str]] = ()) -> list[tuple[str, str, int, str]]:
+    """V1/V2: filename, encoding, emptiness, header.  The header is the first row of the file, cell by cell."""
     out = []
     stem, ext = os.path.splitext(os.path.basename(path))
     if ext.lower() != ".csv":
         out.append(("filename_extension", "error", 0, "filename must use a .csv extension"))
     elif not stem:
         out.append(("filename_stem", "error", 0, "filename must be the participant id"))
-    try:
-        valid = spark.read.format("binaryFile").load(path) \
-                     .agg(F.min(F.is_valid_utf8("content").cast("int")).alias("ok")).collect()[0]["ok"]
-        if valid == 0:
-            out.append(("encoding", "error", 0, "file must be UTF-8"))
-    except Exception as e:  # noqa: BLE001
-        out.append(("unreadable", "error", 0, str(e)[:200]))
+    for kind, detail in faults:
+        out.append((kind, "error", 0, "file must be UTF-8" if kind == "encoding" else detail[:200]))
+    if faults:
+        return out
     if header is None:
         out.append(("empty_file", "error", 1, "row 1 must be the header"))
     elif tuple(header) != C.SUBMISSION_HEADER:
@@ -100,6 +112,44 @@ def file_checks(spark: SparkSession, path: str, header: list[str] | None) -> lis
 # V3–V10 on cells
 # ---------------------------------------------------------------------------
 
+def _checked(cells: DataFrame) -> DataFrame:
+    """Cells with their parsed forms and what needs other rows: earlier occurrences, and the next row by rank."""
+    cid = py_strip(F.coalesce(F.col("candidate_id"), F.lit("")))
+    rank = py_strip(F.coalesce(F.col("rank"), F.lit("")))
+    score = py_strip(F.coalesce(F.col("score"), F.lit("")))
+    c = cells.select("row_num", cid.alias("cid"), rank.alias("rank_s"), score.alias("score_s"),
+                     F.when(rank.rlike(RANK_TEXT), rank.try_cast("long")).alias("rank_i"), py_float(score).alias("score_d"))
+    valid = F.col("cid").rlike(C.CANDIDATE_ID_PATTERN)
+    in_order = F.col("rank_i").isNotNull() & F.col("score_d").isNotNull() & (F.col("cid") != "")
+    # the submission's rows only; k of them unless the row count is wrong
+    by_rank = Window.partitionBy("in_order").orderBy("rank_i", "row_num")
+    return (c.withColumn("id_occ", F.row_number().over(Window.partitionBy("cid").orderBy("row_num")))
+             .withColumn("rank_occ", F.row_number().over(Window.partitionBy("rank_i").orderBy("row_num")))
+             .withColumn("valid_id", valid).withColumn("in_order", in_order)
+             .withColumn("next", F.lead(F.struct("score_d", "cid", "rank_i")).over(by_rank)))
+
+
+def _row_checks(k: int) -> Column:
+    """All checks of one row as an array of (check, detail); null where a check passes."""
+    cid, rank, rank_s, score, nxt = (F.col(c) for c in ("cid", "rank_i", "rank_s", "score_d", "next"))
+
+    def bad(check: str, when: Column, detail: Column) -> Column:
+        return F.when(when, F.struct(F.lit(check).alias("check"), detail.cast("string").alias("detail")))
+
+    numbers = F.col("in_order") & nxt.isNotNull() & ~F.isnan(score) & ~F.isnan(nxt["score_d"])     # a NaN compares with nothing
+    return F.array_compact(F.array(
+        bad("id_required", cid == "", F.lit("")),
+        bad("id_pattern", (cid != "") & ~F.col("valid_id"), cid),
+        bad("id_duplicate", F.col("valid_id") & (F.col("id_occ") > 1), cid),
+        bad("rank_not_integer", rank.isNull(), rank_s),
+        bad("rank_range", ~rank.between(1, k), rank_s),
+        bad("rank_duplicate", rank.between(1, k) & (F.col("rank_occ") > 1), rank_s),
+        bad("score_not_float", score.isNull(), F.col("score_s")),
+        bad("score_increase", numbers & (score < nxt["score_d"]),
+            F.concat(F.lit("rank "), rank.cast("string"), F.lit(" < rank "), nxt["rank_i"].cast("string"))),
+        bad("tie_order", numbers & (score == nxt["score_d"]) & (cid > nxt["cid"]), F.concat(cid, F.lit(" > "), nxt["cid"]))))
+
+
 def check_row_count(cells: DataFrame, bad_rows: DataFrame | None = None, expected: int = 100) -> DataFrame:
     """V3: non-blank data rows (including malformed ones) must equal ``expected``."""
     n = cells.select("row_num")
@@ -116,62 +166,19 @@ def check_cell_count(bad_rows: DataFrame) -> DataFrame:
     return _v(bad_rows, "column_count", "error", F.concat(F.lit("cells "), F.col("cells").cast("string")))
 
 
-def _ids(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("cid", py_strip(F.coalesce(F.col("candidate_id"), F.lit(""))))
-
-
-def check_ids(cells: DataFrame) -> DataFrame:
-    """V5: required, pattern, duplicates (2nd+ occurrence among pattern-valid ids)."""
-    c = _ids(cells)
-    missing = _v(c.where(F.col("cid") == ""), "id_required", "error", F.lit(""))
-    pattern = _v(c.where((F.col("cid") != "") & ~F.col("cid").rlike(C.CANDIDATE_ID_PATTERN)), "id_pattern", "error", F.col("cid"))
-    valid = c.where(F.col("cid").rlike(C.CANDIDATE_ID_PATTERN))
-    dup = valid.withColumn("occ", F.row_number().over(Window.partitionBy("cid").orderBy("row_num"))).where(F.col("occ") > 1)
-    return missing.unionByName(pattern).unionByName(_v(dup, "id_duplicate", "error", F.col("cid")))
-
-
-def _ranks(cells: DataFrame) -> DataFrame:
-    r = py_strip(F.coalesce(F.col("rank"), F.lit("")))
-    return cells.withColumn("rank_s", r).withColumn(
-        "rank_i", F.when(r.rlike(RANK_TEXT), r.try_cast("long")))
-
-
-def check_ranks(cells: DataFrame, k: int = 100) -> DataFrame:
-    """V6: canonical integer text, 1..k, no duplicates (2nd+ occurrence)."""
-    c = _ranks(cells)
-    not_int = _v(c.where(F.col("rank_i").isNull()), "rank_not_integer", "error", F.col("rank_s"))
-    rng = _v(c.where(F.col("rank_i").isNotNull() & ~F.col("rank_i").between(1, k)), "rank_range", "error", F.col("rank_s"))
-    ok = c.where(F.col("rank_i").between(1, k))
-    dup = ok.withColumn("occ", F.row_number().over(Window.partitionBy("rank_i").orderBy("row_num"))).where(F.col("occ") > 1)
-    return not_int.unionByName(rng).unionByName(_v(dup, "rank_duplicate", "error", F.col("rank_s")))
-
-
-def check_scores(cells: DataFrame) -> DataFrame:
-    """V7: score must parse as a float."""
-    s = py_strip(F.coalesce(F.col("score"), F.lit("")))
-    return _v(cells.where(s.try_cast("double").isNull()), "score_not_float", "error", s)
-
-
 def check_missing_ranks(cells: DataFrame, k: int = 100) -> DataFrame:
     """V8: ranks 1..k never seen (``spark.range`` anti-join)."""
-    seen = _ranks(cells).where(F.col("rank_i").between(1, k)).select(F.col("rank_i").alias("id"))
+    rank = py_strip(F.coalesce(F.col("rank"), F.lit("")))
+    seen = cells.where(rank.rlike(RANK_TEXT)).select(rank.try_cast("long").alias("id")).where(F.col("id").between(1, k))
     missing = cells.sparkSession.range(1, k + 1).join(seen, "id", "left_anti")
     return missing.select(F.lit("rank_missing").alias("check"), F.lit("error").alias("severity"),
                           F.lit(0).cast("long").alias("row_num"), F.col("id").cast("string").alias("detail"))
 
 
-def check_order(cells: DataFrame) -> DataFrame:
-    """By rank, scores non-increasing; equal scores need ids ascending."""
-    c = _ranks(_ids(cells)).withColumn("score_d", py_strip(F.col("score")).try_cast("double"))
-    rows = c.where(F.col("rank_i").isNotNull() & F.col("score_d").isNotNull() & (F.col("cid") != ""))
-    w = Window.orderBy("rank_i", "row_num")
-    nxt = rows.withColumn("s2", F.lead("score_d").over(w)).withColumn("c2", F.lead("cid").over(w)) \
-              .withColumn("r2", F.lead("rank_i").over(w)).where(F.col("s2").isNotNull())
-    inc = _v(nxt.where(F.col("score_d") < F.col("s2")), "score_increase", "error",
-             F.concat(F.lit("rank "), F.col("rank_i").cast("string"), F.lit(" < rank "), F.col("r2").cast("string")))
-    tie = _v(nxt.where((F.col("score_d") == F.col("s2")) & (F.col("cid") > F.col("c2"))), "tie_order", "error",
-             F.concat(F.col("cid"), F.lit(" > "), F.col("c2")))
-    return inc.unionByName(tie)
+def check_rows(cells: DataFrame, k: int = 100) -> DataFrame:
+    """Every check of a row in one projection over one set of windows."""
+    found = _checked(cells).select("row_num", F.explode(_row_checks(k)).alias("v"))
+    return found.select("v.check", F.lit("error").alias("severity"), F.col("row_num").cast("long").alias("row_num"), "v.detail")
 
 
 def validate_cells(cells: DataFrame, bad_rows: DataFrame | None = None, k: int = 100) -> DataFrame:
@@ -179,15 +186,21 @@ def validate_cells(cells: DataFrame, bad_rows: DataFrame | None = None, k: int =
     out = check_row_count(cells, bad_rows, k)
     if bad_rows is not None:
         out = out.unionByName(check_cell_count(bad_rows))
-    return (out.unionByName(check_ids(cells)).unionByName(check_ranks(cells, k)).unionByName(check_scores(cells))
-               .unionByName(check_missing_ranks(cells, k)).unionByName(check_order(cells)))
+    return out.unionByName(check_rows(cells, k)).unionByName(check_missing_ranks(cells, k))
 
 
 def validate_file(spark: SparkSession, path: str, k: int = 100) -> DataFrame:
-    """Q1: the whole contract (V1–V10) for a CSV file, as violation rows."""
-    header, cells, bad = read_cells(spark, path)
-    head = spark.createDataFrame(file_checks(spark, path, header), VIOLATION)
-    return head.unionByName(validate_cells(cells, bad, k))
+    """Q1: the whole contract (V1–V10) for a CSV file, as violation rows.  What can't be read isn't checked further."""
+    return validate_rows(spark, path, path, k)
+
+
+def validate_rows(spark: SparkSession, path: str, name: str, k: int = 100) -> DataFrame:
+    """The contract for the file at ``path`` as if it had the given name."""
+    rows = read_rows(spark, path)
+    faults = [(r["kind"], (list(r["cells"]) or [""])[0]) for r in rows.where("kind NOT IN ('header', 'row')").collect()]     # one for each file
+    header, cells, bad = _split_rows(rows)
+    head = spark.createDataFrame(file_checks(name, header, faults), VIOLATION)
+    return head if faults or header is None else head.unionByName(validate_cells(cells, bad, k))
 
 
 # ---------------------------------------------------------------------------
@@ -197,7 +210,7 @@ def validate_file(spark: SparkSession, path: str, k: int = 100) -> DataFrame:
 def typed(cells: DataFrame) -> DataFrame:
     return cells.select(py_strip("candidate_id").alias("candidate_id"),
                         py_strip("rank").try_cast("int").alias("rank"),
-                        py_strip("score").try_cast("double").alias("score"), "reasoning", "row_num")
+                        py_float(py_strip("score")).alias("score"), "reasoning", "row_num")
 
 
 def _known(sub: DataFrame, source: DataFrame) -> DataFrame:
@@ -224,12 +237,15 @@ def audit_titles(sub: DataFrame, flat: DataFrame, top: int = 10) -> DataFrame:
 
 
 def audit_reasoning(sub: DataFrame, min_chars: int = 30) -> DataFrame:
-    """Q4–Q6: empty, duplicate (2nd+ in file order) and short explanations."""
+    """Q4–Q6: empty, duplicate (2nd+ in file order) and short explanations.
+
+    An empty cell is a missing text: missing texts duplicate each other and aren't short.
+    """
     r = F.col("reasoning")
     empty = sub.where(r.isNull() | (r == "")).select(F.lit("empty").alias("issue"), "rank")
-    dup = sub.where(r.isNotNull()).withColumn("occ", F.row_number().over(Window.partitionBy("reasoning").orderBy("row_num"))) \
+    dup = sub.withColumn("occ", F.row_number().over(Window.partitionBy(F.coalesce(r, F.lit(""))).orderBy("row_num"))) \
              .where(F.col("occ") > 1).select(F.lit("duplicate").alias("issue"), "rank")
-    short = sub.where(F.length(r) < min_chars).select(F.lit("short").alias("issue"), "rank")
+    short = sub.where(F.length(r).between(1, min_chars - 1)).select(F.lit("short").alias("issue"), "rank")
     return empty.unionByName(dup).unionByName(short)
 
 
@@ -253,17 +269,21 @@ def audit_unknown_ids(sub: DataFrame, source_ids: DataFrame) -> DataFrame:
 
 
 def layer_summary(contract: DataFrame, flagged: DataFrame, titles: DataFrame, reasoning: DataFrame,
-                  scores: DataFrame, unknown: DataFrame, min_unique: int = 10) -> DataFrame:
-    """Q11: one PASS/FAIL/WARN per layer plus the overall verdict (single aggregation per layer)."""
-    def layer(df: DataFrame, name: str, bad: str = "FAIL") -> DataFrame:
+                  scores: DataFrame, unknown: DataFrame, min_unique: int = 10, min_spread: float = 0.01) -> DataFrame:
+    """Q9/Q11: PASS or FAIL for each layer, WARN for a narrow score spread, and the overall verdict.
+
+    Any failed layer fails the whole, a bad title among the top ranks included; a narrow spread doesn't.
+    """
+    def layer(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("layer"), F.when(F.col("n") == 0, F.lit("PASS")).otherwise(F.lit(bad)).alias("status"))
+            F.lit(name).alias("layer"), F.when(F.col("n") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
 
-    score_layer = scores.select(F.lit("scores").alias("layer"), F.when(
-        F.col("unique_scores") >= min_unique, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
+    score_layers = scores.select(F.explode(F.array(
+        F.struct(F.lit("scores").alias("layer"), F.when(F.col("unique_scores") >= min_unique, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status")),
+        F.struct(F.lit("spread").alias("layer"), F.when(F.col("spread") < min_spread, F.lit("WARN")).otherwise(F.lit("PASS")).alias("status")))).alias("s")).select("s.*")
     layers = (layer(contract, "contract").unionByName(layer(flagged, "flagged"))
-              .unionByName(layer(titles.where("flagged"), "titles", "WARN")).unionByName(layer(reasoning, "reasoning"))
-              .unionByName(score_layer).unionByName(layer(unknown, "ids")))
+              .unionByName(layer(titles.where("flagged"), "titles")).unionByName(layer(reasoning, "reasoning"))
+              .unionByName(score_layers).unionByName(layer(unknown, "ids")))
     overall = layers.agg(F.when(F.sum((F.col("status") == "FAIL").cast("long")) == 0, F.lit("PASS"))
                          .otherwise(F.lit("FAIL")).alias("status")).select(F.lit("overall").alias("layer"), "status")
     return layers.unionByName(overall)
@@ -273,35 +293,81 @@ def layer_summary(contract: DataFrame, flagged: DataFrame, titles: DataFrame, re
 # Q12 declared-schema conformance on raw nested records
 # ---------------------------------------------------------------------------
 
+# FIXED VALUES of the declared record schema
 PROFICIENCY = ("beginner", "intermediate", "advanced", "expert")
+LANGUAGE_PROFICIENCY = ("basic", "conversational", "professional", "native")
 WORK_MODES = ("remote", "hybrid", "onsite", "flexible")
 TIERS = ("tier_1", "tier_2", "tier_3", "tier_4", "unknown")
-COMPANY_SIZES = ("1-10", "11-50", "51-200", "201-500", "501-1000", "1001-5000", "5001-10000", "10000+")
+COMPANY_SIZES = ("1-10", "11-50", "51-200", "201-500", "501-1000", "1001-5000", "5001-10000", "10001+")
+REQUIRED = {
+    "profile": ("anonymized_name", "headline", "summary", "location", "country", "years_of_experience", "current_title", "current_company",
+                "current_company_size", "current_industry"),
+    "job": ("company", "title", "start_date", "duration_months", "is_current", "industry", "company_size", "description"),
+    "education": ("institution", "degree", "field_of_study", "start_year", "end_year"),
+    "skill": ("name", "proficiency", "endorsements"),
+    "certification": ("name", "issuer", "year"),
+    "language": ("language", "proficiency"),
+    "signals": ("profile_completeness_score", "signup_date", "last_active_date", "open_to_work_flag", "profile_views_received_30d",
+                "applications_submitted_30d", "recruiter_response_rate", "avg_response_time_hours", "skill_assessment_scores", "connection_count",
+                "endorsements_received", "notice_period_days", "expected_salary_range_inr_lpa", "preferred_work_mode", "willing_to_relocate",
+                "github_activity_score", "search_appearance_30d", "saved_by_recruiters_30d", "interview_completion_rate", "offer_acceptance_rate",
+                "verified_email", "verified_phone", "linkedin_connected"),
+}
+COUNTS = ("profile_views_received_30d", "applications_submitted_30d", "connection_count", "endorsements_received", "search_appearance_30d", "saved_by_recruiters_30d")
 
 
 def conformance_rules(signals_key: str = "signals") -> dict[str, Column]:
-    """Violation predicates per record for the declared (never enforced) constraints."""
+    """Violation predicates per record for the declared (never enforced) constraints.
+
+    A key that must be there but may be null (a job's end date, a grade) can't be told from a missing
+    one in a typed record and isn't checked.
+    """
     p, s = F.col("profile"), F.col(signals_key)
     jobs, ed, sk = F.col("career_history"), F.col("education"), F.col("skills")
+    certs, langs, salary = F.col("certifications"), F.col("languages"), s["expected_salary_range_inr_lpa"]
     out_of = lambda v, lo, hi: v.isNotNull() & ~v.between(lo, hi)
-    rate = lambda v: out_of(v, 0.0, 1.0)
+    below = lambda v, lo=0: v.isNotNull() & (v < lo)
+    other = lambda v, values: v.isNotNull() & ~v.isin(*values)
+    not_date = lambda v: v.isNotNull() & ~F.coalesce(v.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & v.try_cast("date").isNotNull(), F.lit(False))
+    some = lambda items, test: F.exists(F.coalesce(items, F.array()), test)
+
+    def lacks(item: Column, what: str) -> Column:
+        return functools.reduce(lambda a, b: a | b, [item[c].isNull() for c in REQUIRED[what]])
+
     return {
         "required_keys": p.isNull() | jobs.isNull() | ed.isNull() | sk.isNull() | s.isNull() | F.col("candidate_id").isNull(),
+        "profile_required": p.isNotNull() & lacks(p, "profile"),
+        "job_required": some(jobs, lambda j: lacks(j, "job")),
+        "education_required": some(ed, lambda e: lacks(e, "education")),
+        "skill_required": some(sk, lambda x: lacks(x, "skill")),
+        "certification_required": some(certs, lambda x: lacks(x, "certification")),
+        "language_required": some(langs, lambda x: lacks(x, "language")),
+        "signals_required": s.isNotNull() & (lacks(s, "signals") | salary["min"].isNull() | salary["max"].isNull()),
         "candidate_id_pattern": ~F.coalesce(F.col("candidate_id"), F.lit("")).rlike(C.CANDIDATE_ID_PATTERN),
         "years_range": out_of(p["years_of_experience"], 0.0, 50.0),
-        "company_size_enum": p["current_company_size"].isNotNull() & ~p["current_company_size"].isin(*COMPANY_SIZES),
+        "company_size_enum": other(p["current_company_size"], COMPANY_SIZES),
         "career_items": jobs.isNotNull() & ~F.size(jobs).between(1, 10),
+        "job_dates": some(jobs, lambda j: not_date(j["start_date"]) | not_date(j["end_date"])),
+        "job_duration": some(jobs, lambda j: below(j["duration_months"])),
+        "job_company_size_enum": some(jobs, lambda j: other(j["company_size"], COMPANY_SIZES)),
         "education_items": ed.isNotNull() & (F.size(ed) > 5),
-        "end_year_range": F.exists(F.coalesce(ed, F.array()), lambda e: out_of(e["end_year"], 1970.0, 2035.0)),
-        "tier_enum": F.exists(F.coalesce(ed, F.array()), lambda e: e["tier"].isNotNull() & ~e["tier"].isin(*TIERS)),
-        "proficiency_enum": F.exists(F.coalesce(sk, F.array()),
-                                     lambda x: x["proficiency"].isNotNull() & ~x["proficiency"].isin(*PROFICIENCY)),
-        "response_rate_range": rate(s["recruiter_response_rate"]),
-        "interview_rate_range": rate(s["interview_completion_rate"]),
-        "offer_rate_range": s["offer_acceptance_rate"].isNotNull() & (s["offer_acceptance_rate"] != -1)
-                            & ~s["offer_acceptance_rate"].between(0.0, 1.0),
+        "start_year_range": some(ed, lambda e: out_of(e["start_year"], 1970.0, 2030.0)),
+        "end_year_range": some(ed, lambda e: out_of(e["end_year"], 1970.0, 2035.0)),
+        "tier_enum": some(ed, lambda e: other(e["tier"], TIERS)),
+        "proficiency_enum": some(sk, lambda x: other(x["proficiency"], PROFICIENCY)),
+        "skill_numbers": some(sk, lambda x: below(x["endorsements"]) | below(x["duration_months"])),
+        "language_proficiency_enum": some(langs, lambda x: other(x["proficiency"], LANGUAGE_PROFICIENCY)),
+        "completeness_range": out_of(s["profile_completeness_score"], 0.0, 100.0),
+        "signal_dates": not_date(s["signup_date"]) | not_date(s["last_active_date"]),
+        "counts_range": functools.reduce(lambda a, b: a | b, [below(s[c]) for c in COUNTS]),
+        "response_rate_range": out_of(s["recruiter_response_rate"], 0.0, 1.0),
+        "response_time_range": below(s["avg_response_time_hours"]),
+        "interview_rate_range": out_of(s["interview_completion_rate"], 0.0, 1.0),
+        "offer_rate_range": out_of(s["offer_acceptance_rate"], -1.0, 1.0),
         "notice_range": out_of(s["notice_period_days"], 0.0, 180.0),
-        "work_mode_enum": s["preferred_work_mode"].isNotNull() & ~s["preferred_work_mode"].isin(*WORK_MODES),
+        "salary_range": below(salary["min"]) | below(salary["max"]),
+        "work_mode_enum": other(s["preferred_work_mode"], WORK_MODES),
+        "github_range": out_of(s["github_activity_score"], -1.0, 100.0),
         "assessment_range": F.exists(F.map_values(F.coalesce(s["skill_assessment_scores"], F.create_map().cast("map<string,double>"))),
                                      lambda v: ~v.between(0.0, 100.0)),
     }

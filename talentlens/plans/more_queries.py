@@ -203,21 +203,28 @@ def defective_cells(spark, sf) -> DataFrame:
     s = (sub.withColumn("prev_id", F.lag("candidate_id").over(w)).withColumn("next_id", F.lead("candidate_id").over(w))
             .withColumn("prev_score", F.lag("score").over(w)).withColumn("prev_reason", F.lag("reasoning").over(w)))
     r = F.col("rank")
-    cid = (F.when(r == 5, F.col("prev_id")).when(r == 9, F.lit("CAND_12")).when(r == 33, F.col("next_id"))
+    flagged = audit.flagged_without_features(flat(spark, sf)).agg(F.min("candidate_id")).first()[0]
+    cid = (F.when(r == 77, F.coalesce(F.lit(flagged), F.col("candidate_id"))).when(r == 5, F.col("prev_id")).when(r == 9, F.lit("CAND_12")).when(r == 33, F.col("next_id"))
             .when(r == 34, F.col("prev_id")).when(r == 60, F.lit("CAND_9999999")).when(r == 70, F.lit(""))
             .otherwise(F.col("candidate_id")))
     score = (F.when(r == 21, F.col("prev_score") + 0.5).when(r == 34, F.col("prev_score")).otherwise(F.col("score")))
     score_s = F.when(r == 17, F.lit("n/a")).otherwise(F.format_string("%.4f", score))
     rank_s = (F.when(r == 13, F.lit("013")).when(r == 25, F.lit("101")).when(r == 29, F.lit("28"))
                .otherwise(r.cast("string")))
-    reason = (F.when(r == 40, F.lit("")).when(r == 45, F.col("prev_reason")).when(r == 50, F.lit("ok"))
+    reason = (F.when(r == 40, F.lit("")).when(r == 45, F.col("prev_reason")).when(r == 82, F.lit("")).when(r == 50, F.lit("ok"))
                .otherwise(F.col("reasoning")))
     # k rows, written once: every audit reads the same cells without re-ranking
     return cut_lineage(s.select(cid.alias("candidate_id"), rank_s.alias("rank"), score_s.alias("score"),
                                 reason.alias("reasoning"), (r + 1).cast("long").alias("row_num")))
 
 
-CELLS_SQL = EXPLAINED + """,
+NF_RULES = O.rule_exprs(has_features=False)
+FLAGGED_NF = ("flagged_nf AS (SELECT candidate_id FROM cand WHERE least("
+              + " + ".join(f"CAST(({e}) AS DOUBLE) * {O.d(w)}" for e, w in zip(NF_RULES.values(), DEFAULT.rule_weights))
+              + f", {O.d(1.0)}) > {O.d(DEFAULT.honeypot_threshold)})")
+
+
+CELLS_SQL = EXPLAINED + ",\n" + FLAGGED_NF + """,
 lagged AS (
   SELECT *, lag(candidate_id) OVER (ORDER BY rank) AS prev_id, lead(candidate_id) OVER (ORDER BY rank) AS next_id,
     lag(score) OVER (ORDER BY rank) AS prev_score, lag(reasoning) OVER (ORDER BY rank) AS prev_reason
@@ -225,11 +232,12 @@ lagged AS (
 cells AS (
   SELECT
     CASE WHEN rank = 5 THEN prev_id WHEN rank = 9 THEN 'CAND_12' WHEN rank = 33 THEN next_id WHEN rank = 34 THEN prev_id
-         WHEN rank = 60 THEN 'CAND_9999999' WHEN rank = 70 THEN '' ELSE candidate_id END AS candidate_id,
+         WHEN rank = 60 THEN 'CAND_9999999' WHEN rank = 70 THEN ''
+         WHEN rank = 77 THEN coalesce((SELECT min(candidate_id) FROM flagged_nf), candidate_id) ELSE candidate_id END AS candidate_id,
     CASE WHEN rank = 13 THEN '013' WHEN rank = 25 THEN '101' WHEN rank = 29 THEN '28' ELSE CAST(rank AS VARCHAR) END AS rank,
     CASE WHEN rank = 17 THEN 'n/a' ELSE printf('%.4f', CASE WHEN rank = 21 THEN prev_score + CAST(0.5 AS DOUBLE)
          WHEN rank = 34 THEN prev_score ELSE score END) END AS score,
-    CASE WHEN rank = 40 THEN '' WHEN rank = 45 THEN prev_reason WHEN rank = 50 THEN 'ok' ELSE reasoning END AS reasoning,
+    CASE WHEN rank = 40 THEN '' WHEN rank = 45 THEN prev_reason WHEN rank = 82 THEN '' WHEN rank = 50 THEN 'ok' ELSE reasoning END AS reasoning,
     CAST(rank + 1 AS BIGINT) AS row_num
   FROM lagged),
 cv AS (
@@ -284,13 +292,7 @@ def q_audit_missing_ranks(spark, sf):
     return audit.check_missing_ranks(defective_cells(spark, sf)).select(F.col("detail").cast("long").alias("missing_rank"))
 
 
-NF_RULES = O.rule_exprs(has_features=False)
-FLAGGED_NF = ("flagged_nf AS (SELECT candidate_id FROM cand WHERE least("
-              + " + ".join(f"CAST(({e}) AS DOUBLE) * {O.d(w)}" for e, w in zip(NF_RULES.values(), DEFAULT.rule_weights))
-              + f", {O.d(1.0)}) > {O.d(DEFAULT.honeypot_threshold)})")
-
-
-@register("audit_flagged", CELLS_SQL + ",\n" + FLAGGED_NF +
+@register("audit_flagged", CELLS_SQL +
           "\nSELECT candidate_id, rank FROM typed WHERE candidate_id IN (SELECT candidate_id FROM flagged_nf)")
 def q_audit_flagged(spark, sf):
     sub = audit.typed(defective_cells(spark, sf))
@@ -307,9 +309,9 @@ def q_audit_titles(spark, sf):
 
 @register("audit_reasoning", CELLS_SQL + """
 SELECT 'empty' AS issue, rank FROM typed WHERE reasoning IS NULL OR reasoning = ''
-UNION ALL SELECT 'duplicate', rank FROM (SELECT rank, row_number() OVER (PARTITION BY reasoning ORDER BY row_num) AS occ
-  FROM typed WHERE reasoning IS NOT NULL) WHERE occ > 1
-UNION ALL SELECT 'short', rank FROM typed WHERE length(reasoning) < 30""")
+UNION ALL SELECT 'duplicate', rank FROM (SELECT rank, row_number() OVER (PARTITION BY coalesce(reasoning, '') ORDER BY row_num) AS occ
+  FROM typed) WHERE occ > 1
+UNION ALL SELECT 'short', rank FROM typed WHERE length(reasoning) BETWEEN 1 AND 29""")
 def q_audit_reasoning(spark, sf):
     return audit.audit_reasoning(audit.typed(defective_cells(spark, sf)))
 
@@ -336,7 +338,7 @@ def q_audit_ids(spark, sf):
     return audit.audit_unknown_ids(audit.typed(defective_cells(spark, sf)), flat(spark, sf))
 
 
-SUMMARY_SQL = CELLS_SQL + ",\n" + FLAGGED_NF + f""",
+SUMMARY_SQL = CELLS_SQL + f""",
 violations AS ({VIOLATIONS_BODY}),
 layers AS (
   SELECT 'contract' AS layer, CASE WHEN (SELECT count(*) FROM violations) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
@@ -344,10 +346,11 @@ layers AS (
     THEN 'PASS' ELSE 'FAIL' END
   UNION ALL SELECT 'titles', CASE WHEN (SELECT count(*) FROM typed t JOIN cand c USING (candidate_id)
     WHERE t.rank <= 10 AND lower(coalesce(c.profile_current_title, '')) IN {O.inlist(C.AUDIT_NON_ENG_TITLES)}) = 0
-    THEN 'PASS' ELSE 'WARN' END
-  UNION ALL SELECT 'reasoning', CASE WHEN (SELECT count(*) FROM typed WHERE reasoning IS NULL OR reasoning = '' OR length(reasoning) < 30)
-    + (SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY reasoning ORDER BY row_num) AS occ FROM typed
-       WHERE reasoning IS NOT NULL) WHERE occ > 1) = 0 THEN 'PASS' ELSE 'FAIL' END
+    THEN 'PASS' ELSE 'FAIL' END
+  UNION ALL SELECT 'reasoning', CASE WHEN (SELECT count(*) FROM typed WHERE reasoning IS NULL OR length(reasoning) < 30)
+    + (SELECT count(*) FROM (SELECT row_number() OVER (PARTITION BY coalesce(reasoning, '') ORDER BY row_num) AS occ FROM typed) WHERE occ > 1) = 0
+    THEN 'PASS' ELSE 'FAIL' END
+  UNION ALL SELECT 'spread', CASE WHEN (SELECT arg_min(score, row_num) - arg_max(score, row_num) FROM typed) < 0.01 THEN 'WARN' ELSE 'PASS' END
   UNION ALL SELECT 'scores', CASE WHEN (SELECT count(DISTINCT score) FROM typed) >= 10 THEN 'PASS' ELSE 'FAIL' END
   UNION ALL SELECT 'ids', CASE WHEN (SELECT count(*) FROM typed WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)) = 0
     THEN 'PASS' ELSE 'FAIL' END)
@@ -366,32 +369,58 @@ def q_audit_summary(spark, sf):
         audit.audit_unknown_ids(sub, fl))
 
 
-@register("output_assertions", EXPLAINED + """
-SELECT 'unknown_id' AS "check", candidate_id AS detail FROM submission WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)
-UNION ALL SELECT 'row_count', '' FROM submission HAVING count(*) <> 100""")
+@register("output_assertions", EXPLAINED + f""",
+broken AS (SELECT CASE WHEN rank = 3 THEN 'CAND_0' || candidate_id ELSE candidate_id END AS candidate_id, rank FROM submission WHERE rank <> 7)
+SELECT 'unknown_id' AS "check", candidate_id AS detail FROM broken WHERE candidate_id NOT IN (SELECT candidate_id FROM cand)
+UNION ALL SELECT 'row_count', '' FROM broken HAVING count(*) <> {DEFAULT.top_k}
+UNION ALL SELECT 'rank_set', '' FROM broken HAVING max(rank) <> count(*)""")
 def q_output_assertions(spark, sf):
-    ranked = PL.rank_pipeline(spark, sf)
-    return PL.ranking.output_violations(ranked, flat(spark, sf), DEFAULT.top_k)
+    """K8 on a ranking that lost a row and got an id that isn't in the source."""
+    broken = PL.rank_pipeline(spark, sf).where("rank <> 7").withColumn(
+        "candidate_id", F.when(F.col("rank") == 3, F.concat(F.lit("CAND_0"), F.col("candidate_id"))).otherwise(F.col("candidate_id")))
+    return PL.ranking.output_violations(broken, flat(spark, sf), DEFAULT.top_k)
 
 
 def _conformance_sql() -> str:
     profs = O.inlist(audit.PROFICIENCY)
     modes = O.inlist(audit.WORK_MODES)
+    date = "'^[0-9]{4}-[0-9]{2}-[0-9]{2}$'"
+    counts = ", ".join(c for c in ("sig_profile_views_30d", "sig_applications_30d", "sig_connection_count", "sig_endorsements", "sig_search_appear_30d", "sig_saved_recruiters_30d"))
+    edu = "k % 10 <> 0"
     checks = {
-        "required_keys": "SELECT 0",
+        "required_keys": "SELECT count(*) FROM cand WHERE candidate_id IS NULL",
+        "profile_required": "SELECT count(*) FROM cbase WHERE c_name IS NULL OR c_mktsegment IS NULL",
+        "job_required": "SELECT count(DISTINCT k) FROM jobs WHERE size_text IS NULL OR company IS NULL OR title IS NULL OR start_text IS NULL",
+        "education_required": f"SELECT count(*) FROM cbase WHERE {edu} AND k % 43 = 0",
+        "skill_required": "SELECT count(DISTINCT k) FROM sk WHERE name IS NULL OR prof IS NULL OR endorse IS NULL",
+        "certification_required": "SELECT count(*) FROM cbase WHERE k % 16 = 0",
+        "language_required": "SELECT count(*) FROM cbase WHERE k % 51 = 0",
+        "signals_required": f"SELECT count(*) FROM cand WHERE sig_signup_date IS NULL OR sig_last_active_date IS NULL OR least({counts}) IS NULL",
         "candidate_id_pattern": f"SELECT count(*) FROM cand WHERE NOT regexp_matches(candidate_id, '{C.CANDIDATE_ID_PATTERN}')",
         "years_range": "SELECT count(*) FROM cand WHERE NOT profile_years_of_exp BETWEEN 0 AND 50",
         "company_size_enum": f"SELECT count(*) FROM cand WHERE profile_company_size NOT IN {O.inlist(audit.COMPANY_SIZES)}",
         "career_items": "SELECT count(*) FROM cand WHERE NOT career_num_jobs BETWEEN 1 AND 10",
-        "education_items": "SELECT 0",
+        "job_dates": f"SELECT count(DISTINCT k) FROM jobs WHERE NOT regexp_matches(start_text, {date})",
+        "job_duration": "SELECT count(DISTINCT k) FROM jobs WHERE dur < 0",
+        "job_company_size_enum": f"SELECT count(DISTINCT k) FROM jobs WHERE size_text NOT IN {O.inlist(audit.COMPANY_SIZES)}",
+        "education_items": "SELECT count(*) FROM cbase WHERE CASE WHEN k % 10 = 0 THEN 0 WHEN k % 2 = 0 THEN 1 ELSE 2 END > 5",
+        "start_year_range": f"SELECT count(*) FROM cbase WHERE {edu} AND NOT CASE WHEN k % 53 = 0 THEN 1950 ELSE 1996 + k % 30 END BETWEEN 1970 AND 2030",
         "end_year_range": "SELECT count(*) FROM cand WHERE edu_latest_end_year > 0 AND NOT edu_latest_end_year BETWEEN 1970 AND 2035",
-        "tier_enum": "SELECT 0",
+        "tier_enum": f"SELECT count(*) FROM cand WHERE edu_best_tier <> '' AND edu_best_tier NOT IN {O.inlist(audit.TIERS)}",
         "proficiency_enum": f"SELECT count(DISTINCT k) FROM sk WHERE prof NOT IN {profs}",
+        "skill_numbers": "SELECT count(DISTINCT k) FROM sk WHERE endorse < 0 OR dur < 0",
+        "language_proficiency_enum": f"SELECT count(*) FROM cbase WHERE k % 3 = 0 AND {O.pick(P.LANGUAGE_LEVELS, 'k')} NOT IN {O.inlist(audit.LANGUAGE_PROFICIENCY)}",
+        "completeness_range": "SELECT count(*) FROM cand WHERE NOT sig_profile_completeness BETWEEN 0 AND 100",
+        "signal_dates": f"SELECT count(*) FROM cand WHERE NOT regexp_matches(sig_signup_date, {date}) OR NOT regexp_matches(sig_last_active_date, {date})",
+        "counts_range": f"SELECT count(*) FROM cand WHERE least({counts}) < 0",
         "response_rate_range": "SELECT count(*) FROM cand WHERE NOT sig_response_rate BETWEEN 0 AND 1",
+        "response_time_range": "SELECT count(*) FROM cand WHERE sig_avg_response_hours < 0",
         "interview_rate_range": "SELECT count(*) FROM cand WHERE NOT sig_interview_completion BETWEEN 0 AND 1",
-        "offer_rate_range": "SELECT count(*) FROM cand WHERE sig_offer_acceptance <> -1 AND NOT sig_offer_acceptance BETWEEN 0 AND 1",
+        "offer_rate_range": "SELECT count(*) FROM cand WHERE NOT sig_offer_acceptance BETWEEN -1 AND 1",
         "notice_range": "SELECT count(*) FROM cand WHERE NOT sig_notice_period_days BETWEEN 0 AND 180",
+        "salary_range": "SELECT count(*) FROM cand WHERE sig_salary_min < 0 OR sig_salary_max < 0",
         "work_mode_enum": f"SELECT count(*) FROM cand WHERE sig_work_mode NOT IN {modes}",
+        "github_range": "SELECT count(*) FROM cand WHERE NOT sig_github_score BETWEEN -1 AND 100",
         "assessment_range": "SELECT count(*) FROM cand WHERE len(list_filter(assess_vals, lambda v: NOT v BETWEEN 0 AND 100)) > 0",
     }
     return CORE + "\nSELECT * FROM (" + " UNION ALL ".join(
@@ -617,11 +646,25 @@ def q_submission_csv(spark, sf):
     return FS.read_submission(spark, FS.single_csv_file(spark, folder))
 
 
-@register("submission_file_contract", "SELECT 'none' AS \"check\", 'none' AS severity, CAST(0 AS BIGINT) AS row_num, "
-          "'none' AS detail WHERE false")
+FILE_SQL = CELLS_SQL.replace("FROM lagged),\ncv AS", "FROM lagged WHERE rank <> 90),\ncv AS") + f"""
+SELECT 'header' AS "check", 'error' AS severity, CAST(1 AS BIGINT) AS row_num, 'candidate_id,rank,score,reason' AS detail
+UNION ALL SELECT 'column_count', 'error', CAST(91 AS BIGINT), 'cells 5' FROM submission WHERE rank = 90
+UNION ALL SELECT * FROM ({VIOLATIONS_BODY}) WHERE "check" <> 'row_count'"""
+
+
+@register("submission_file_contract", FILE_SQL)
 def q_submission_file_contract(spark, sf):
-    folder = FS.write_submission(PL.rank_pipeline(spark, sf), FS.scratch_path(spark, "submission"))
-    return audit.validate_file(spark, FS.single_csv_file(spark, folder))
+    """The defective submission as a CSV file with a wrong header, a quoted newline, and a row of five cells."""
+    cells = defective_cells(spark, sf)
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    reason = F.when(F.col("row_num") == 3, F.concat(F.col("reasoning"), F.lit("\n"))).otherwise(F.col("reasoning"))
+    line = F.concat_ws(",", *[quoted(c) for c in (F.col("candidate_id"), F.col("rank"), F.col("score"), reason)])
+    line = F.when(F.col("row_num") == 91, F.concat(line, F.lit(",more"))).otherwise(line)
+    head = spark.createDataFrame([(1, "candidate_id,rank,score,reason")], "row_num long, value string")
+    rows = head.union(cells.select("row_num", line.alias("value")))
+    folder = FS.scratch_path(spark, "defective-submission")
+    rows.coalesce(1).sortWithinPartitions("row_num").select("value").write.text(folder)      # a file of a hundred rows
+    return audit.validate_rows(spark, FS.single_csv_file(spark, folder), "submission.csv")
 
 
 # ---------------------------------------------------------------------------
@@ -682,13 +725,33 @@ def q_events_recency(spark, sf):
     return EN.recency_from_events(read_table(spark, sf, "events"), EVENTS_REF)
 
 
-@register("model_contract", CORE + "\nSELECT CAST(count(*) FILTER (WHERE " + " AND ".join(
-    f"({c} IS NULL OR isnan(CAST({c} AS DOUBLE)))" for c in FEATURE_COLUMNS) + ") AS BIGINT) AS all_missing_rows, "
-    f"CAST({len(FEATURE_COLUMNS)} AS BIGINT) AS n_features FROM feat")
+_BLANK = "CAST(substr(candidate_id, 6) AS BIGINT) % 90 = 7"
+_IMPUTED = ("feat_dim1_eng_title_ratio", "feat_dim4_skill_trust_score", "feat_dim5_years_exp", "feat_dim7_salary_reasonable")
+
+
+def _with_gaps(df: DataFrame) -> DataFrame:
+    """Feature rows with missing inputs by arithmetic on the id: all of them, one as null, one as NaN."""
+    number = F.substring("candidate_id", 6, 20).cast("long")
+    gap = {c: F.when(F.pmod(number, F.lit(90)) == 7, F.lit(None)).when(F.pmod(number, F.lit(11 + i)) == 3, F.lit(float("nan")) if i % 2 else F.lit(None))
+           .otherwise(F.col(c).cast("double")) for i, c in enumerate(_IMPUTED)}
+    blank = {c: F.when(F.pmod(number, F.lit(90)) != 7, F.col(c).cast("double")) for c in FEATURE_COLUMNS if c not in gap}
+    return df.select("candidate_id", *[(gap | blank)[c].alias(c) for c in FEATURE_COLUMNS])
+
+
+@register("model_contract", CORE + f"\nSELECT CAST(count(*) FILTER (WHERE {_BLANK}) AS BIGINT) AS all_missing_rows, "
+          f"CAST({len(FEATURE_COLUMNS)} AS BIGINT) AS n_features FROM feat")
 def q_model_contract(spark, sf):
     """M1: every model input present (else KeyError) and rows with all inputs missing."""
-    df = scored(spark, sf)
+    df = _with_gaps(scored(spark, sf))
     model.check_contract(df, FEATURE_COLUMNS)
     return model.all_missing_rows(df, FEATURE_COLUMNS).select(
         F.coalesce("all_missing_rows", F.lit(0)).cast("long").alias("all_missing_rows"),
         F.lit(len(FEATURE_COLUMNS)).cast("long").alias("n_features"))
+
+
+@register("model_imputation", CORE + "\nSELECT candidate_id, " + ", ".join(
+    f"CASE WHEN {_BLANK} OR CAST(substr(candidate_id, 6) AS BIGINT) % {11 + i} = 3 THEN CAST(-1 AS DOUBLE) ELSE CAST({c} AS DOUBLE) END AS {c}"
+    for i, c in enumerate(_IMPUTED)) + " FROM feat")
+def q_model_imputation(spark, sf):
+    """M2: missing and NaN inputs become -1."""
+    return model.impute(_with_gaps(scored(spark, sf)), list(_IMPUTED)).select("candidate_id", *[F.col(f"__x_{c}").alias(c) for c in _IMPUTED])

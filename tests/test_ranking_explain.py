@@ -101,15 +101,44 @@ def test_partition_invariance(spark):
     assert a == b and len(a) == 100
 
 
-def test_bridge_limits_groups_before_the_shuffle(spark):
-    """Top-n per customer/order is pre-limited map-side (WindowGroupLimit under the Exchange)."""
+def test_fixture_uses_every_order_and_line_item(spark):
     from conftest import SF001
+    from pyspark.sql import functions as F
     from talentlens.session import read_table
     from talentlens.sources import bridge
-    plan = bridge.career_rows(read_table(spark, SF001, "orders"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") >= 2      # partial (before Exchange) + final
-    partial = plan.rfind("WindowGroupLimit")
-    assert "Exchange" in plan[:partial]
+    c = bridge.candidates(spark, SF001)
+    jobs, skills, n, ids, most = c.agg(F.sum(F.size("career_history")), F.sum(F.size("skills")), F.count(F.lit(1)), F.countDistinct("candidate_id"),
+                                       F.max(F.size("career_history"))).first()
+    assert jobs == read_table(spark, SF001, "orders").count()
+    assert skills == read_table(spark, SF001, "lineitem").count()
+    assert n == ids and most == 11
+
+
+def test_fixture_splits_hot_customers_and_hot_orders(spark, tmp_path):
+    """A customer with a third of all orders and an order with a third of all items fill many candidates."""
+    from conftest import SF001
+    from pyspark.sql import functions as F
+    from talentlens.session import read_table
+    from talentlens.sources import bridge, fixture_pools as P
+    orders = read_table(spark, SF001, "orders")
+    items = read_table(spark, SF001, "lineitem")
+    orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast(orders.schema["o_custkey"].dataType)).otherwise(F.col("o_custkey"))) \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    items.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(7).cast(items.schema["l_orderkey"].dataType)).otherwise(F.col("l_orderkey"))) \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    read_table(spark, SF001, "customer").write.parquet(f"{tmp_path}/customer.parquet")
+    c = bridge.candidates(spark, str(tmp_path))
+    jobs, skills, most_jobs, most_skills = c.agg(F.sum(F.size("career_history")), F.sum(F.size("skills")), F.max(F.size("career_history")), F.max(F.size("skills"))).first()
+    assert (jobs, skills) == (orders.count(), items.count())
+    assert most_jobs == 11 and most_skills < 6 * P.ORDER_ITEMS
+    assert c.select("candidate_id").distinct().count() == c.count()
+
+
+def test_long_candidate_numbers_keep_their_digits(spark):
+    from pyspark.sql import functions as F
+    from talentlens.sources import bridge
+    ids = [r[0] for r in spark.createDataFrame([(7,), (12345678,), (12345679,)], "k long").select(bridge.candidate_id(F.col("k"))).collect()]
+    assert ids == ["CAND_0000007", "CAND_12345678", "CAND_12345679"]
 
 
 def test_topk_carries_only_explanation_inputs(spark):
