@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 400
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 1 << 20
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

@@ -217,7 +217,7 @@ def fingerprint_rows(docs: DataFrame, text: str = "text", keep: list[str] | None
 
     def run(batches):
         for batch in batches:
-            for row, raw, bounds in slices(batch, "sim_text", 2 << 20):
+            for row, raw, bounds in slices(batch, "sim_text"):
                 part = batch.slice(row, len(bounds) - 1)
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array(fingerprints(raw, bounds, shingle).view(np.int64))], names=[*names, "fp"])
 

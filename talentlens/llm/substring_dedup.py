@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import release, stage
 from .text import Rolling, canonical, covered, mix, slices, winnow, word_hashes, word_spans
 
 WINDOW = 50
@@ -203,7 +203,7 @@ def _stream(window: int):
 
     def run(batches):
         shard, automaton = None, None
-        for batch in batches:
+        for batch in (b.slice(a, 500) for b in batches for a in range(0, len(b), 500)):
             runs, missed = [], []
             for kind, *key, id_, tag, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = np.frombuffer(words, np.uint64)
@@ -293,6 +293,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     anchors = stage(rows.select("id", "tag", "body").mapInArrow(_anchors(window, gram), "anchor long, id long, tag int, pos int"), "anchors")
     spread = stage(rows.join(_entries(anchors), ["id", "tag"], "left").select(*[f"k{i}" for i in range(len(keep))], "id", "tag", "body", "entries")
                    .mapInArrow(_spread(len(keep), window, gram, True, rejoin), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
+    release(docs.sparkSession)
     first = stage(_streamed(spread.where("kind >= 2"), window), "matches")
     missed = first.where("kind = 1").select("anchor", "id", "tag", "pos").distinct()
     second = (spread.where("kind = 1").select("id", "tag", "body").join(_entries(missed), ["id", "tag"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Text bytes handled at once; one longer document is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Separators of ``[^\x20\x09-\x0D]+`` words.
 SPACES = np.zeros(256, bool)
