@@ -21,14 +21,12 @@ never gathered; tasks merge their own ties before anything is shuffled.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import stage
+from .staging import release, stage
 from .text import U64, Rolling, covered, difference_cover, mix, slices
 
 LENGTH = 400
@@ -38,7 +36,7 @@ COVER_Q = 11
 BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 256
 #: Bytes of text whose suffixes a task merges before they are shuffled.
-FLUSH_BYTES = 16 << 20
+FLUSH_BYTES = 8 << 20
 NO_ID = (1 << 63) - 1
 
 _PLACE = np.dtype([("id", "<i8"), ("tag", "<i4"), ("pos", "<i4")])
@@ -258,12 +256,6 @@ def _cut(keep_n: int, length: int, q: int):
     return run
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps: their results are staged."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, length: int = LENGTH, q: int = COVER_Q) -> DataFrame:
     """The rows of ``docs`` (columns ``keep``) with ``n_bytes``, ``n_removed``, ``spans`` (removed runs as start, end, start, end ...) and ``kept`` (bytes).
 
@@ -290,12 +282,12 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, le
     long_enough = rows.where(F.octet_length("body") >= length)
     entries = stage(by_document(sorted_by_bucket(
         long_enough.select("id", "tag", "body").mapInArrow(_cover_suffixes(length, q, buckets), _BUCKET_SCHEMA), True), "entries"), "ties")
-    _release(spark)
+    release(spark)
     undecided = entries.where(F.exists("entries", lambda e: e.bitwiseAND(2) > 0))
     more = stage(by_document(sorted_by_bucket(
         long_enough.select("id", "tag", "body").join(undecided, ["id", "tag"]).select("id", "tag", "body", "entries")
         .mapInArrow(_open_suffixes(length, q, buckets), _BUCKET_SCHEMA), False), "more"), "ends")
-    _release(spark)
+    release(spark)
     names = [f"k{i}" for i in range(len(keep))]
     types = [rows.schema[n].dataType.simpleString() for n in names]
     out = (rows.join(entries, ["id", "tag"], "left").join(more, ["id", "tag"], "left").select(*names, "body", "entries", "more")
