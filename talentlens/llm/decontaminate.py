@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import columns_to_keep
 from .text import ALNUM_BYTES, LOWER_AZ, U64, Rolling, bytes_of, covered, mix, slices, winnow, word_hashes, word_spans
 
 WINDOW = 10
@@ -157,7 +158,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     """
     sc = docs.sparkSession.sparkContext
     blocks = [sc.broadcast(b) for b in _blocks(benchmark, item_id, benchmark_text, block_words, window, gram)]
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["n_words", "n_hit", "spans", "items"])
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("dec_text"))
     names = [f"k{i}" for i in range(len(keep))]
 

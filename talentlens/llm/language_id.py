@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import columns_to_keep
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 400
@@ -153,7 +155,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
     could be learned.  Rows stay as they are; only the text is read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["lang_pred", "score"])
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("lid_text"))
     names = [f"k{i}" for i in range(len(keep))]
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .staging import connected, stage
+from .staging import columns_to_keep, connected, stage
 from .text import U64, canonical, slices
 
 SHINGLE = 3
@@ -211,7 +211,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, block: int = BLOCK) ->
 
 def fingerprint_rows(docs: DataFrame, text: str = "text", keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` with ``fp``, the signed 64-bit SimHash of the whole text (null or wordless: 0)."""
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["fp"])
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("sim_text"))
     names = [f"k{i}" for i in range(len(keep))]
 
@@ -254,12 +254,12 @@ def keep_one(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distan
 
     Of rows that share that id, or have none, one stays; a null id comes after every other.
     """
-    rows = fingerprint_rows(docs, text, None, shingle)
-    rows = stage(rows.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(rows.columns[:-1])], "fp",
-                             F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.monotonically_increasing_id().alias("seq")), "rows")
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
+    rows = stage(fingerprint_rows(packed, "text", ["row"], shingle)
+                 .select("row", "fp", F.coalesce(F.col("row.doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.monotonically_increasing_id().alias("seq")), "rows")
     _, least = _roots(rows, F.struct("id", "seq"), distance)
     kept = rows.join(least.select(F.col("least.seq").alias("seq")), "seq", "left_semi")
-    return kept.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return kept.select("row.*")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -25,6 +25,22 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches between Spark and Python that suit whole texts, unless the session has its own setting.
+
+    Spark's default of 10,000 rows makes batches of tens of megabytes out of documents, several of
+    which each Python worker and the JVM hold at a time.
+    """
+    for key, default, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b")):
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, value)
+
+
+def columns_to_keep(docs: DataFrame, keep: list[str] | None, new: list[str]) -> list[str]:
+    """The columns of ``docs`` (or those named) that an operator hands on: a column that bears a new one's name gives way to it."""
+    return [c for c in (docs.columns if keep is None else keep) if c.lower() not in new]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps, whose results are staged.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import release, stage
+from .staging import columns_to_keep, release, stage
 from .text import Rolling, canonical, covered, mix, slices, winnow, word_hashes, word_spans
 
 WINDOW = 50
@@ -286,7 +286,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     keep all of theirs.  A null doc_id comes after every other.  Rows of one doc_id never remove words
     from each other, whether their texts are the same or not.  An empty table gives an empty table.
     """
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["n_words", "n_removed", "kept_text"])
     rows = _keyed(docs, text, keep)
     types = [f.dataType.simpleString() for f in rows.schema.fields[:len(keep)]]
     kept_schema = "".join(f"k{i} {t}, " for i, t in enumerate(types))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import release, stage
+from .staging import columns_to_keep, release, stage
 from .text import U64, Rolling, covered, difference_cover, mix, slices
 
 LENGTH = 400
@@ -264,7 +264,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, le
     of each other.  An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["n_bytes", "n_removed", "spans", "kept"])
     if length - difference_cover(q)[0] < 1:
         raise ValueError("the difference cover must be shorter than the strings")
     body = F.col(f"`{text}`").cast("string")

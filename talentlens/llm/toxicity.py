@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .staging import columns_to_keep
 from .text import ALNUM_BYTES, LOWER_AZ, U64, mix, slices, word_hashes, word_spans
 
 BITS = 20
@@ -124,7 +125,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "te
     Rows stay as they are; only the text is read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["score", "predicted"])
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("tox_text"))
     names = [f"k{i}" for i in range(len(keep))]
 
