@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import shared_path, stage
+from .staging import columns_to_keep, shared_path, stage
 
 SHARDS = 8
 LEAST_RANGES, RANGE_BYTES, MOST_RANGES = 64, 512 << 20, 100_000
@@ -112,8 +112,8 @@ def assign(staged: DataFrame, shards: int = SHARDS) -> DataFrame:
               .withColumn("group_size", F.sum("size").over(group)).withColumn("group_upto", F.min(F.col("upto") - F.col("size")).over(group))
               .join(F.broadcast(offsets), "range"))                                            # MOST_RANGES rows at most, but for subdivisions
     snapped = F.col("group_size") <= F.lit(TOLERANCE * total / shards)
-    at = F.col("bytes_before") + F.when(snapped, F.col("group_upto")).otherwise(F.col("upto") - F.col("size"))
-    placed = placed.select("seq", F.least(F.lit(shards - 1), F.floor(at.cast("decimal(38,0)") * shards / F.lit(max(total, 1)))).cast("int").alias("shard"),
+    at = F.col("bytes_before") + F.when(snapped, F.col("group_upto") + F.col("group_size") / 2).otherwise(F.col("upto") - F.col("size") / 2)      # its middle
+    placed = placed.select("seq", F.least(F.lit(shards - 1), F.floor(at * shards / F.lit(float(max(total, 1))))).cast("int").alias("shard"),
                            (F.col("rows_before") + F.col("row") - 1).alias("nth"))
     placed = stage(placed, "places")
     first = placed.groupBy("shard").agg(F.min("nth").alias("first"))
@@ -127,14 +127,13 @@ def shard(docs: DataFrame, text: str = "text", shards: int = SHARDS) -> DataFram
     repeat, and rows without an id, each have a slot of their own.  Columns of ``docs`` that bear one of
     the new names give way to it.  An empty table gives an empty table.
     """
-    new = {"size", "text_crc32", "shard", "slot", "seq", "h", "k"}
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    kept = [c for c in docs.columns if c not in new]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"),
+    kept = columns_to_keep(docs, None, ["size", "text_crc32", "shard", "slot"])
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"),
                        F.monotonically_increasing_id().alias("seq"), F.xxhash64(body).alias("h"))
     staged = stage(rows, "rows").withColumn("k", F.xxhash64("seq", F.lit("row")))
     places = assign(staged, shards)
-    return staged.drop("h", "k").join(places, "seq").drop("seq")
+    return staged.join(places, "seq").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "size", "text_crc32", "shard", "slot")
 
 
 def write(docs: DataFrame, path: str, text: str = "text", shards: int = SHARDS) -> None:
