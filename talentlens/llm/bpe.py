@@ -24,10 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct pre-tokens that a worker remembers between blocks.
-CACHE_WORDS = 1_500_000
-#: Characters of text replayed together.
-BLOCK_CHARS = 4 << 20
+from .staging import columns_to_keep
+
+#: Distinct pre-tokens that a worker remembers between blocks, in each of two generations.
+CACHE_WORDS = 200_000
+#: Characters of text, and new pre-tokens, replayed together.
+BLOCK_CHARS = 1 << 20
+BLOCK_WORDS = 40_000
+#: Documents whose texts and ids are held as Python objects at once.
+BATCH_ROWS = 256
 
 
 class MergeReplay:
@@ -42,6 +47,7 @@ class MergeReplay:
             self.tokens[r] = token
         self.shift = size.bit_length()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @functools.cached_property
     def find(self):
@@ -60,27 +66,41 @@ class MergeReplay:
                     out[a << self.shift | b] = r
         return out
 
+    @functools.cached_property
+    def first_merges(self) -> np.ndarray:
+        """Rank of every pair of bytes, or -1; 256 stands for the fence between words."""
+        table = np.full((257, 257), -1, np.int32)
+        for a in range(256):
+            for b in range(256):
+                table[a, b] = self.ranks.get(bytes([a, b]), -1)
+        return table
+
     def learn(self, words: list[str]) -> None:
         """Replay the merges over all ``words`` at once and remember their ids as little-endian bytes."""
-        merges, shift, byte_ids = self.merges, self.shift, self.byte_ids
-        ids: list[int] = []
-        bounds = [0]
-        for w in words:
-            ids += [byte_ids[b] for b in w.encode()]
-            ids.append(-1)                       # fence: no pair spans two words
-            bounds.append(len(ids))
+        get, shift = self.merges.get, self.shift
+        raw = [w.encode() for w in words]
+        for w, r in zip(words, raw, strict=True):
+            if r in self.ranks:                  # a word that is a token stays whole
+                self.known[w] = self.ranks[r].to_bytes(4, "little")
+        rest = [x for x in zip(words, raw, strict=True) if x[0] not in self.known]
+        if not rest:
+            return
+        words, raw = zip(*rest, strict=True)
+        sizes = np.array([len(r) + 1 for r in raw], np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        seen = np.full(int(bounds[-1]), 256, np.int32)           # bytes, a fence after each word
+        inside = np.ones(len(seen), bool)
+        inside[bounds[1:] - 1] = False
+        seen[inside] = np.frombuffer(b"".join(raw), np.uint8)
+        ids = np.where(inside, np.array([*self.byte_ids, -1], np.int64)[seen], -1).tolist()
         n = len(ids)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        index: dict[int, list[int]] = {}
-        get = merges.get
-        for i in range(n - 1):
-            a, b = ids[i], ids[i + 1]
-            if a >= 0 and b >= 0 and (r := get(a << shift | b)) is not None:
-                if r in index:
-                    index[r].append(i)
-                else:
-                    index[r] = [i]
+        rank_at = self.first_merges[seen[:-1], seen[1:]]
+        at = np.flatnonzero(rank_at >= 0)
+        at = at[np.argsort(rank_at[at], kind="stable")]
+        ranks, cut = np.unique(rank_at[at], return_index=True)
+        index = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=True)} if len(at) else {}
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -145,10 +165,18 @@ class MergeReplay:
                 end += 1
             split = [self.find(t) for t in texts[at:end]]
             if len(known) > CACHE_WORDS:
-                known.clear()
-            fresh = {w for words in split for w in words if w not in known}
-            if fresh:
-                self.learn(list(fresh))
+                self.older, self.known = known, {}
+                known = self.known
+            older = self.older
+            fresh = []
+            for w in {w for words in split for w in words}:
+                if w not in known:
+                    if w in older:
+                        known[w] = older[w]
+                    else:
+                        fresh.append(w)
+            for a in range(0, len(fresh), BLOCK_WORDS):
+                self.learn(fresh[a:a + BLOCK_WORDS])
             look = known.__getitem__
             out += [b"".join(map(look, words)) for words in split]
             at = end
@@ -172,12 +200,12 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", ke
     """
     with open(rank_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
-    keep = list(docs.columns) if keep is None else keep
+    keep = columns_to_keep(docs, keep, ["n_tokens", "ids"])
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("bpe_text"))
 
     def run(batches):
         replay = replay_of(*model.value)
-        for batch in batches:
+        for batch in (b.slice(a, BATCH_ROWS) for b in batches for a in range(0, len(b), BATCH_ROWS)):
             ids = replay.encode(batch.column(len(keep)).fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -192,12 +220,12 @@ def decode(encoded: DataFrame, rank_path: str, pattern: str, ids: str = "ids", k
     """The rows of ``encoded`` with ``decoded`` (bytes) in place of the ids; null ids decode to nothing."""
     with open(rank_path, "rb") as f:
         model = encoded.sparkSession.sparkContext.broadcast((f.read(), pattern))
-    keep = [c for c in encoded.columns if c != ids] if keep is None else keep
+    keep = columns_to_keep(encoded, keep or [c for c in encoded.columns if c != ids], ["decoded"])
     kept = encoded.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{ids}`").alias("bpe_ids"))
 
     def run(batches):
         replay = replay_of(*model.value)
-        for batch in batches:
+        for batch in (b.slice(a, BATCH_ROWS) for b in batches for a in range(0, len(b), BATCH_ROWS)):
             decoded = [replay.decode(x or b"") for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(decoded, pa.binary())],
                                              names=[*(f"k{i}" for i in range(len(keep))), "decoded"])
