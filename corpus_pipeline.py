@@ -16,32 +16,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talentlens.llm import bpe, decontaminate, language_id, simhash, substring_dedup, toxicity
-from talentlens.llm.queries import VOCABULARY
-from talentlens.llm.staging import stage
-from talentlens.session import read_table
+from talentlens.llm.queries import VOCABULARY, read_table
+from talentlens.llm.staging import small_batches, stage
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The text beside the whole row, so that no column of the row can clash with an operator's."""
+    return docs.select("doc_id", "text", F.struct("*").alias("row"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learned from the labelled documents that aren't held out, as the toxicity query does."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~language_id.held_out()))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(_packed(docs), model, keep=["row"]).where("predicted = 0").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = substring_dedup.dedup(docs, keep=rest, rejoin=False).where("n_removed = 0 OR n_removed < n_words")
-    return cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(*docs.columns)
+    small_batches(spark)
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")])
+    cut = substring_dedup.dedup(docs.select("doc_id", "text", rest.alias("row")), keep=["row"], rejoin=False).where("n_removed = 0 OR n_removed < n_words")
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return cut.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.find(docs, read_table(spark, sf_dir, "benchmark")).where("n_hit = 0").select(*docs.columns)
+    return decontaminate.find(_packed(docs), read_table(spark, sf_dir, "benchmark"), keep=["row"]).where("n_hit = 0").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     import public_tokenizers
 
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN

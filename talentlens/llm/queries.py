@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 
-from ..session import read_table
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import session
 from . import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from .staging import small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
+    return session.read_table(spark, sf_dir, name)
+
+
 def op1_suffix_array_dedup(spark, sf):
     return suffix_dedup.digests(read_table(spark, sf, "documents"))
 
