@@ -28,19 +28,23 @@ from . import pipeline as PL
 def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT,
              model_path: str | None = None) -> dict:
     # one JSON parse; scoring, the id check and the skipped count all read the staged table
-    good, bad = FS.stage_candidates(spark, candidates_path, cfg.signals_key)
+    staged = FS.scratch_path(spark, "candidates-staged")
+    good, bad = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)
     flat = flatten(good, cfg.signals_key)
     scorer, cols = (model.load(model_path) if model_path else (None, None))
     ranked = cut_lineage(PL.rank_candidates(PL.score_candidates(flat, cfg, scorer, cols), cfg))  # k rows
     FS.write_submission(ranked, out_path, cfg.score_decimals)
     violations = PL.ranking.output_violations(ranked, flat, cfg.top_k).collect()   # ≤ k rows
-    return {"skipped": bad.count(), "violations": [r.asDict() for r in violations], "output": out_path}
+    skipped = bad.count()
+    FS.drop_path(spark, staged)
+    return {"skipped": skipped, "violations": [r.asDict() for r in violations], "output": out_path}
 
 
 def label_job(spark: SparkSession, candidates_path: str, labels_path: str, target_total: int = 3000,
               teacher: Callable[[list[str]], list[str]] | None = None, template: str = "", job_text: str = "",
               cfg: RankConfig = DEFAULT, rubric: RubricConfig = RubricConfig()) -> DataFrame:
-    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # one parse, many passes
+    staged = FS.scratch_path(spark, "candidates-staged")
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)     # one parse, many passes
     scored = PL.featurize(flatten(raw, cfg.signals_key), cfg)
     sample = labeling.cascade_sample(scored, target_total, cfg=cfg)
     todo = labeling.pending(sample, FS.read_labels(spark, labels_path))
@@ -50,6 +54,7 @@ def label_job(spark: SparkSession, candidates_path: str, labels_path: str, targe
         records = FS.records_by_ids(raw, todo)
         labels = labeling.teacher_labels(labeling.render_prompts(records, template, job_text), teacher)
     FS.append_labels(labels, labels_path)
+    FS.drop_path(spark, staged)
     return labeling.label_distribution(FS.read_labels(spark, labels_path))
 
 
@@ -97,11 +102,8 @@ def qa_job(spark: SparkSession, submission_path: str, candidates_path: str, cfg:
 
 
 def profile_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT) -> str:
-    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # scanned by the profile passes
-    return FS.write_profile(profile.full_profile(raw, cfg.signals_key), out_path)
-
-
-def score_with_model(spark: SparkSession, flat: DataFrame, model_path: str, cfg: RankConfig = DEFAULT) -> DataFrame:
-    fitted, cols = model.load(model_path)
-    return PL.score_candidates(flat, cfg, fitted, cols)
-
+    staged = FS.scratch_path(spark, "candidates-staged")
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)     # scanned by the profile passes
+    out = FS.write_profile(profile.full_profile(raw, cfg.signals_key), out_path)
+    FS.drop_path(spark, staged)
+    return out

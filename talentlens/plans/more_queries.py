@@ -596,11 +596,39 @@ from ..streaming import scoring as ST  # noqa: E402
 from .queries import ORACLE  # noqa: E402
 
 
-def _jsonl_copy(spark, sf, gzip=False, files=4) -> str:
-    """The fixture candidates written as JSONL (several files) under the shared scratch folder."""
+def _jsonl_copy(spark, sf, gzip=False) -> str:
+    """The fixture candidates written as JSONL under the shared scratch folder, by as many tasks as read them."""
     path = FS.scratch_path(spark, "candidates-jsonl")
-    raw = PL.fixture_candidates(spark, sf).repartition(files, "candidate_id")
-    return FS.write_jsonl(raw, path, gzip=gzip)
+    return FS.write_jsonl(PL.fixture_candidates(spark, sf), path, gzip=gzip)
+
+
+_NUMBER = "CAST(substr(candidate_id, 6) AS BIGINT)"
+
+
+@register("jsonl_quarantine", CORE + f"""
+SELECT CASE {_NUMBER} % 50 WHEN 1 THEN 'malformed' WHEN 2 THEN 'not_object' WHEN 3 THEN 'profile.years_of_experience' WHEN 4 THEN 'skills'
+  WHEN 5 THEN 'career_history' WHEN 6 THEN 'signals.notice_period_days' ELSE 'good' END AS reason,
+  count(*) AS n, {O.r9('sum(CASE WHEN ' + _NUMBER + ' % 50 IN (1, 2, 3, 4, 5, 6) THEN 0 WHEN ' + _NUMBER + ' % 50 = 7 THEN 7 ELSE profile_years_of_exp END)')} AS years
+FROM cand GROUP BY 1""")
+def q_jsonl_quarantine(spark, sf):
+    """S1–S4 over lines with injected faults: counts by reason, and the years that the good records hold."""
+    raw = PL.fixture_candidates(spark, sf)
+    case = F.pmod(F.substring("candidate_id", 6, 20).cast("long"), F.lit(50))
+
+    def line(**parts):
+        return F.to_json(F.struct(*[parts.get(c, F.col(c)).alias(c) for c in raw.columns]), {"ignoreNullFields": "false"})
+
+    plain = F.to_json(F.struct(*raw.columns))
+    years = lambda v: F.col("profile").withField("years_of_experience", v)
+    value = (F.when(case == 1, F.concat(F.lit("{"), plain)).when(case == 2, F.concat(F.lit("["), plain, F.lit("]")))
+             .when(case == 3, line(profile=years(F.lit("abc")))).when(case == 4, line(skills=F.lit("python")))
+             .when(case == 5, line(career_history=F.array(F.lit(5)))).when(case == 6, line(signals=F.col("signals").withField("notice_period_days", F.lit(None).cast("int"))))
+             .when(case == 7, F.to_json(F.struct(*[years(F.lit("7")).alias(c) if c == "profile" else F.col(c) for c in raw.columns]))).otherwise(plain))
+    path = FS.scratch_path(spark, "faulty-jsonl")
+    raw.select(value.alias("value")).write.text(path)
+    good, bad = FS.stage_candidates(spark, path)
+    held = good.select(F.lit("good").alias("reason"), F.col("profile.years_of_experience").alias("y")).union(bad.select("reason", F.lit(0.0)))
+    return held.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), r9(F.sum("y")).alias("years"))
 
 
 @register("jsonl_flatten_career", ORACLE["flatten_career"])
@@ -617,7 +645,7 @@ def q_jsonl_flatten_career(spark, sf):
 @register("jsonl_gzip_skills", ORACLE["flatten_skills"])
 def q_jsonl_gzip_skills(spark, sf):
     from ..operators.flatten import flatten
-    good, _ = FS.read_candidates(spark, _jsonl_copy(spark, sf, gzip=True) + "/*.gz")
+    good, _ = FS.read_candidates(spark, _jsonl_copy(spark, sf, gzip=True))
     return flatten(good).select("candidate_id", "skills_names", F.col("skills_count").cast("long"),
                                 F.col("skills_advanced_count").cast("long"),
                                 F.col("skills_total_endorsements").cast("long"), "skills_avg_duration")

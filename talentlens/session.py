@@ -8,6 +8,7 @@ only ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,14 +40,17 @@ _FALLBACK: dict[str, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local runs, tests) a scratch folder is
-    created once per application; it is registered with
+    Without the setting, a local run (``local`` or ``local[n]``, where driver and
+    executors are one process) gets a scratch folder of its own, once per
+    application; any other master is an error.  The folder is registered with
     ``SparkContext.setCheckpointDir`` (the conf key itself is not modifiable at
     runtime).
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = _FALLBACK.get(sc.applicationId)
         if path is None:
             path = tempfile.mkdtemp(prefix="talentlens-ckpt-", dir="/tmp")

@@ -1,9 +1,9 @@
 """File sources and sinks.
 
-* JSONL candidates are read as text, blank lines dropped, each line parsed
-  once with ``try_parse_json`` (VARIANT) to route malformed or non-object
-  lines to a quarantine frame, then typed with an explicit schema (no
-  inference, unused keys pruned at parse).
+* JSONL candidates are read as text, blank lines dropped, and each line is
+  parsed once, to a VARIANT.  Validity rules and the typed record both come from
+  that value in one projection; what a rule rejects goes to quarantine with the
+  rule's name.
 * Gzip input is unsplittable, so it is repartitioned right after the read.
 * Sinks write through the DataFrame writer; the submission CSV quotes every
   field including the header.
@@ -25,8 +25,11 @@ from ..session import checkpoint_dir
 LABEL_SCHEMA = "candidate_id string, llm_score int, llm_reasoning string"
 SUBMISSION_SCHEMA = "candidate_id string, rank int, score double, reasoning string"
 
-# keys whose explicit null makes the strict loader reject a record
-STRICT_PATHS = ("$.candidate_id", "$.profile", "$.profile.years_of_experience")
+#: Parts of the signals that are read as numbers.
+SIGNAL_NUMBERS = (
+    "profile_completeness_score", "profile_views_received_30d", "applications_submitted_30d", "recruiter_response_rate", "avg_response_time_hours",
+    "connection_count", "endorsements_received", "notice_period_days", "expected_salary_range_inr_lpa.min", "expected_salary_range_inr_lpa.max",
+    "github_activity_score", "search_appearance_30d", "saved_by_recruiters_30d", "interview_completion_rate", "offer_acceptance_rate")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,62 +44,117 @@ def _read_text(spark: SparkSession, path: str, partitions: int | None) -> DataFr
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Cannot find data file at {path}") from e
         raise
-    if str(path).endswith(".gz"):                       # S2: one task per gzip file → spread it
+    if any(f.endswith(".gz") for f in lines.inputFiles()):      # S2: one task per gzip file → spread it
         lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
     return lines
 
 
-def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = False,
-                    partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(good records, quarantine)``.
+def _rules(signals_key: str) -> dict[str, str]:
+    """What makes a record unusable, as SQL over its VARIANT ``v``; the first that holds names the reason.
 
-    quarantine rows are ``(value, reason)`` with reason ``malformed`` (not JSON),
-    ``not_object`` (valid JSON but not an object) or, in strict mode,
-    ``explicit_null`` (a required key present as JSON null).
+    A missing key takes its default.  A key that is there must be usable: an object where an object is
+    needed, a list of objects (or something empty) for the three histories, texts and numbers inside them,
+    and something that reads as a number, ``"7"`` included, for the other numbers.
     """
-    return classify_lines(_read_text(spark, path, partitions), signals_key, strict)
+    at = lambda path, of="v": f"variant_get({of}, '$.{path}', 'variant')"
+    kind = lambda x: f"schema_of_variant({x})"
 
+    def not_object(path: str) -> str:
+        return f"{at(path)} IS NOT NULL AND NOT startswith({kind(at(path))}, 'OBJECT')"
 
-def classify_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """S3–S4 on a frame of text lines (batch or streaming): ``(good records, quarantine)``."""
+    def not_number(path: str) -> str:
+        return f"{at(path)} IS NOT NULL AND try_variant_get(v, '$.{path}', 'double') IS NULL"
+
+    def not_a(types: str, path: str) -> str:
+        return f"({at(path, 'x')} IS NOT NULL AND NOT {kind(at(path, 'x'))} RLIKE '^({types})')"
+
+    def bad_history(path: str, texts: tuple[str, ...], numbers: tuple[str, ...]) -> str:
+        whole, items = at(path), f"try_variant_get(v, '$.{path}', 'array<variant>')"
+        empty = f"coalesce(to_json({whole}) IN ('null', '{{}}', '[]', '\"\"', '0', 'false'), false)"
+        wrong = " OR ".join([f"NOT startswith({kind('x')}, 'OBJECT')", *(not_a("STRING", t) for t in texts), *(not_a("BIGINT|DOUBLE|DECIMAL|BOOLEAN", n) for n in numbers)])
+        return f"{whole} IS NOT NULL AND NOT {empty} AND ({items} IS NULL OR exists({items}, x -> {wrong}))"
+
+    rules = {
+        "profile": not_object("profile"),
+        "profile.years_of_experience": not_number("profile.years_of_experience"),
+        "career_history": bad_history("career_history", ("title", "company", "industry", "description"), ("duration_months",)),
+        "skills": bad_history("skills", ("name", "proficiency"), ("endorsements", "duration_months")),
+        "education": bad_history("education", ("degree", "tier", "field_of_study"), ("end_year",)),
+        signals_key: not_object(signals_key),
+        f"{signals_key}.expected_salary_range_inr_lpa": not_object(f"{signals_key}.expected_salary_range_inr_lpa"),
+    }
+    return rules | {f"{signals_key}.{n}": not_number(f"{signals_key}.{n}") for n in SIGNAL_NUMBERS}
+
+
+def tag_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = True) -> DataFrame:
+    """``(value, reason, r, has_signals)`` of every line that isn't blank, from one parse.
+
+    ``reason`` is null for a usable record; ``malformed`` (not JSON), ``not_object``, or with ``strict`` the
+    name of the part that can't be used.
+    """
     text = lines.where(py_strip(F.col("value")) != "")                   # S3 (Python strip semantics)
-    v = F.try_parse_json(F.col("value"))
-    kind = F.when(v.isNull(), F.lit("malformed")).when(
-        F.schema_of_variant(v).startswith("OBJECT"), F.lit(None)).otherwise(F.lit("not_object"))
+    v = text.select("value", F.try_parse_json(F.col("value")).alias("v"))
+    cases = ["WHEN v IS NULL THEN 'malformed'", "WHEN NOT startswith(schema_of_variant(v), 'OBJECT') THEN 'not_object'"]
     if strict:
-        nulls = None
-        for p in STRICT_PATHS:
-            c = F.is_variant_null(F.variant_get(v, p, "variant"))
-            nulls = c if nulls is None else (nulls | c)
-        kind = F.when(kind.isNull() & F.coalesce(nulls, F.lit(False)), F.lit("explicit_null")).otherwise(kind)
-    tagged = text.select("value", kind.alias("reason"))
-    schema = candidate_schema(signals_key)
-    good = tagged.where(F.col("reason").isNull()).select(F.from_json("value", schema).alias("r")).select("r.*")
-    bad = tagged.where(F.col("reason").isNotNull())
-    return good, bad
-
-
-def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = False,
+        cases += [f"WHEN {test} THEN '{name}'" for name, test in _rules(signals_key).items()]
+    schema = candidate_schema(signals_key).simpleString()
+    return v.select("value", F.expr(f"CASE {' '.join(cases)} END").alias("reason"), F.expr(f"try_variant_get(v, '$', '{schema}')").alias("r"),
+                    F.expr(f"coalesce(startswith(schema_of_variant(variant_get(v, '$.{signals_key}', 'variant')), 'OBJECT'), false)").alias("has_signals"))
+
+
+class SignalsMissing(ValueError):
+    """No record of the input has the configured signals key."""
+
+    def __init__(self, key: str):
+        super().__init__(f"no record has an object under {key!r}; name the key that holds the signals (signals_key)")
+
+
+def _split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return tagged.where(F.col("reason").isNull()).select("r.*"), tagged.where(F.col("reason").isNotNull()).select("value", "reason")
+
+
+def classify_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S3–S4 on a frame of text lines (batch or streaming): ``(good records, quarantine)``."""
+    return _split_tagged(tag_lines(lines, signals_key, strict))
+
+
+def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = True,
+                    partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(good records, quarantine of (value, reason))``.
+
+    Raises ``SignalsMissing`` if there are good records and none has the signals key: their signals
+    would silently be all defaults.  Both frames scan the file; ``stage_candidates`` scans it once.
+    """
+    tagged = tag_lines(_read_text(spark, path, partitions), signals_key, strict)
+    usable = tagged.where(F.col("reason").isNull())
+    if usable.where("has_signals").select("has_signals").isEmpty() and not usable.select("has_signals").isEmpty():
+        raise SignalsMissing(signals_key)
+    return _split_tagged(tagged)
+
+
+def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = True,
                      out: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """S1–S4 with a single parse: good records and quarantine in one Parquet table.
+    """S1–S4 with one scan and one parse: good records and quarantine in one Parquet table.
 
-    Rows are partitioned by ``_ok``; later passes read the typed columns of the
-    good partition (column pruning, no JSON re-parse) and the quarantine
-    partition separately (partition pruning).  Returns ``(good, quarantine)``.
+    Rows are partitioned by ``_ok``; later passes read the typed columns of the good partition and the
+    quarantine separately.  Returns ``(good, quarantine)``; raises ``SignalsMissing`` as ``read_candidates`` does.
     """
-    good, bad = read_candidates(spark, path, signals_key, strict)
+    tagged = tag_lines(_read_text(spark, path, None), signals_key, strict)
     out = out or scratch_path(spark, "candidates-staged")
-    cols = good.columns
-    both = (good.select(*cols, F.lit(None).cast("string").alias("_value"), F.lit(None).cast("string").alias("_reason"),
-                        F.lit(True).alias("_ok"))
-            .unionByName(bad.select(*[F.lit(None).cast(good.schema[c].dataType).alias(c) for c in cols],
-                                    F.col("value").alias("_value"), F.col("reason").alias("_reason"),
-                                    F.lit(False).alias("_ok"))))
-    both.write.mode("overwrite").partitionBy("_ok").parquet(out)
-    staged = spark.read.parquet(out)
-    ok = F.col("_ok").cast("boolean")                  # partition values come back as text
-    return (staged.where(ok).select(*cols),
-            staged.where(~ok).select(F.col("_value").alias("value"), F.col("_reason").alias("reason")))
+    ok = F.col("reason").isNull()
+    (tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok, F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
+     .write.mode("overwrite").partitionBy("_ok").parquet(out))
+    staged = spark.read.schema(f"r {candidate_schema(signals_key).simpleString()}, value string, reason string, has_signals boolean, _ok boolean").parquet(out)
+    good = staged.where("_ok")
+    if good.where("has_signals").select("has_signals").isEmpty() and not good.select("has_signals").isEmpty():
+        raise SignalsMissing(signals_key)
+    return good.select("r.*"), staged.where("NOT _ok").select("value", "reason")
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder (Hadoop FS, any scheme)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def stage_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:

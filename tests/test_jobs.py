@@ -2,7 +2,8 @@
 import pytest
 from conftest import SF001
 
-from talentlens.config import TrainConfig
+from talentlens.config import DEFAULT, TrainConfig
+from talentlens.operators import model
 from talentlens.plans import jobs
 from talentlens.plans import pipeline as PL
 from talentlens.sources import files as FS
@@ -35,11 +36,23 @@ def test_label_train_and_score(spark, jsonl):
     model_path = FS.scratch_path(spark, "model")
     out = jobs.train_job(spark, jsonl, labels, model_path, TrainConfig(max_iter=3, folds=3))
     assert out["config"]["training_samples"] == 60 and len(out["report"]["cv_scores"]) == 3
-    scored = jobs.score_with_model(spark, PL.flat_candidates(spark, SF001), model_path)
+    fitted, cols = model.load(model_path)
+    scored = PL.score_candidates(PL.flat_candidates(spark, SF001), DEFAULT, fitted, cols)
     assert scored.where("model_score < 0 or model_score > 1").count() == 0
 
 
 def test_profile_job(spark, jsonl):
     out = jobs.profile_job(spark, jsonl, FS.scratch_path(spark, "profile"))
     rows = spark.read.json(out)
-    assert rows.where("metric = 'total_candidates'").collect()[0].value == 150.0
+    assert rows.where("metric = 'total_candidates'").collect()[0].value == spark.read.json(jsonl).count()
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    from types import SimpleNamespace
+
+    from talentlens.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        spark = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master=master, applicationId="x"))
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(spark)

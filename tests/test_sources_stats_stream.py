@@ -30,12 +30,70 @@ def test_jsonl_quarantine(spark, gz):
     assert sorted(r.reason for r in bad.collect()) == ["malformed", "not_object"]
 
 
-def test_strict_mode_rejects_explicit_null(spark):
-    rec = base_record(3)
-    rec["profile"]["years_of_experience"] = None
-    good, bad = FS.read_candidates(spark, write_lines([json.dumps(rec), json.dumps(base_record(4))]), strict=True)
-    assert [r.candidate_id for r in good.collect()] == ["CAND_0000004"]
-    assert [r.reason for r in bad.collect()] == ["explicit_null"]
+def changed(k=3, **parts):
+    rec = base_record(k)
+    for path, value in parts.items():
+        *way, last = path.split("__")
+        at = rec
+        for w in way:
+            at = at[int(w)] if w.isdigit() else at[w]
+        at[last] = value
+    return rec
+
+
+REJECTED = [
+    ({"profile": None}, "profile"), ({"profile": []}, "profile"), ({"profile__years_of_experience": None}, "profile.years_of_experience"),
+    ({"profile__years_of_experience": "abc"}, "profile.years_of_experience"), ({"skills": "python"}, "skills"), ({"skills": 5}, "skills"),
+    ({"skills": ["python"]}, "skills"), ({"career_history": {"a": 1}}, "career_history"), ({"career_history__0__title": None}, "career_history"),
+    ({"career_history__0__duration_months": "7"}, "career_history"), ({"career_history__1__description": 5}, "career_history"),
+    ({"skills__0__endorsements": None}, "skills"), ({"skills__0__name": None}, "skills"), ({"education__0__tier": None}, "education"),
+    ({"education__0__end_year": "2018"}, "education"), ({"signals": None}, "signals"), ({"signals": "x"}, "signals"),
+    ({"signals__notice_period_days": None}, "signals.notice_period_days"), ({"signals__github_activity_score": "high"}, "signals.github_activity_score"),
+    ({"signals__expected_salary_range_inr_lpa": None}, "signals.expected_salary_range_inr_lpa"),
+    ({"signals__expected_salary_range_inr_lpa": {"min": "x", "max": 3}}, "signals.expected_salary_range_inr_lpa.min")]
+KEPT = [{"candidate_id": None}, {"profile__headline": None}, {"skills": None}, {"skills": []}, {"education": {}}, {"career_history": ""},
+        {"profile__years_of_experience": "7"}, {"profile__years_of_experience": True}, {"signals__notice_period_days": "30"},
+        {"career_history__0__duration_months": 2.5}, {"signals__skill_assessment_scores": None}]
+
+
+def test_strict_loader_rejects_what_can_t_be_used(spark):
+    lines = [json.dumps(changed(**c)) for c, _ in REJECTED] + [json.dumps(changed(**c)) for c in KEPT]
+    good, bad = FS.read_candidates(spark, write_lines(lines))
+    reasons = {r.value: r.reason for r in bad.collect()}
+    assert [reasons.get(line) for line in lines] == [why for _, why in REJECTED] + [None] * len(KEPT)
+    assert good.count() == len(KEPT)
+    lenient, none = FS.read_candidates(spark, write_lines(lines), strict=False)
+    assert lenient.count() == len(lines) and none.count() == 0
+
+
+def test_numbers_in_text_are_numbers(spark):
+    good, _ = FS.read_candidates(spark, write_lines([json.dumps(changed(**{"profile__years_of_experience": "7"}))]))
+    assert good.select("profile.years_of_experience").first()[0] == 7.0
+
+
+def test_input_without_the_signals_key_is_an_error(spark):
+    rec = base_record(1)
+    rec["other_signals"] = rec.pop("signals")
+    path = write_lines([json.dumps(rec)])
+    for load in (FS.read_candidates, FS.stage_candidates):
+        with pytest.raises(FS.SignalsMissing):
+            load(spark, path)
+    assert FS.stage_candidates(spark, path, "other_signals")[0].count() == 1
+    assert FS.stage_candidates(spark, write_lines([]))[0].count() == 0
+
+
+def test_staging_scans_and_parses_once(spark):
+    path = write_lines(LINES)
+    tagged = FS.tag_lines(spark.read.text(path))
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and plan.lower().count("parsejson") == 1
+    good, bad = FS.stage_candidates(spark, path)
+    assert (good.count(), bad.count()) == (3, 2)
+
+
+def test_a_folder_of_gzip_files_is_spread(spark):
+    folder = os.path.dirname(write_lines([json.dumps(base_record(i)) for i in range(40)], gz=True))
+    assert FS._read_text(spark, folder, 5).rdd.getNumPartitions() == 5
 
 
 def test_missing_file(spark):
