@@ -265,6 +265,7 @@ class TrainConfig:
     """Gradient-boosted regression settings (MLlib names)."""
 
     max_iter: int = 300
+    max_labels: int = 20_000     # labelled rows that a fit and its cross-validation use at most
     max_depth: int = 6
     step_size: float = 0.05
     subsampling_rate: float = 0.8

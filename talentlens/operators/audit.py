@@ -214,11 +214,10 @@ def typed(cells: DataFrame) -> DataFrame:
 
 
 def _known(sub: DataFrame, source: DataFrame) -> DataFrame:
-    """Submitted ids present in ``source``: the big side is probed with the broadcast
-    submission (≤ k distinct ids, size checked), so it is scanned, never shuffled."""
-    from .model import bounded_broadcast
+    """Submitted ids present in ``source``: the big side is probed with the broadcast submission
+    (a file of at most ``MAX_FILE_BYTES``, or k ranked rows), so it is scanned, never shuffled."""
     ids = sub.select("candidate_id").distinct()
-    return source.select("candidate_id").join(bounded_broadcast(ids), "candidate_id", "left_semi")
+    return source.select("candidate_id").join(F.broadcast(ids), "candidate_id", "left_semi")
 
 
 def audit_flagged(sub: DataFrame, flagged_ids: DataFrame) -> DataFrame:

@@ -59,8 +59,6 @@ def base_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
         "feat_dim2_retrieval_kw_count": X.count_substrings(desc, cfg.retrieval_keywords).cast("long"),
         "feat_dim2_research_kw_count": X.count_substrings(desc, cfg.research_keywords).cast("long"),
         "feat_dim2_wrapper_kw_count": X.count_substrings(desc, cfg.wrapper_keywords).cast("long"),
-        "feat_dim2_shipped_ml": _int(X.any_substring(desc, C.ML_WORDS)
-                                     & X.any_substring(desc, cfg.production_keywords)),
         "feat_dim2_summary_production": _int(X.any_substring(F.col("_summary"), cfg.production_keywords)),
         # D3 retrieval domain
         "feat_dim3_retrieval_skill_count": X.count_substrings(skills, cfg.retrieval_keywords).cast("long"),
@@ -126,6 +124,7 @@ def derived_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
     avg_end = endorse / F.greatest(adv, F.lit(1))           # only read when adv > 0
     relevant_ratio = must / (must + irr + F.lit(1))
     return {
+        "feat_dim2_shipped_ml": _int((prod > 0) & X.any_substring(f("_desc"), C.ML_WORDS)),     # the keywords are counted already
         "feat_dim2_production_ratio": prod / (prod + research + F.lit(1)),
         "feat_dim3_retrieval_desc_count": f("feat_dim2_retrieval_kw_count"),
         "feat_dim3_retrieval_composite": (

@@ -1,25 +1,23 @@
 """Stratified cascade sampling and label jobs.
 
 Sampling order is ``md5('<seed>:<candidate_id>')`` then id: portable,
-deterministic and independent of partitioning.  The cascade is evaluated
-without joins: each bucket's pick is "eligible ∧ (key, id) ≤ threshold", where
-the threshold is the quota-th smallest key among eligible rows (one distributed
-top-quota per bucket; only one row reaches the driver).  The narrow
-``(id, key, masks)`` frame is checkpointed once so the six passes don't
-recompute features.
+deterministic and independent of partitioning.  No bucket can take more than
+``target_total`` rows, so of every combination of bucket masks only the first
+``target_total`` rows can be picked: one pass keeps those (map-side limited), and
+the cascade runs on that bounded remainder.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import DEFAULT, RankConfig, RubricConfig
 from ..functions.text import title_regex
-from ..session import cut_lineage
 from .engagement import days_since_active
 
 BUCKETS = ("relevant", "plausible", "edge", "irrelevant", "suspicious", "random")
@@ -43,40 +41,33 @@ def bucket_masks(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
     }
 
 
-def cascade_sample(scored: DataFrame, target_total: int = 3000, seed: str = "42",
-                   cfg: RankConfig = DEFAULT, checkpoint: bool = True) -> DataFrame:
-    """L2: quota ⌊N/6⌋ per bucket; each bucket skips earlier picks; shortfall carries over.
+def first_per_mask(scored: DataFrame, limit: int, seed: str = "42", cfg: RankConfig = DEFAULT) -> DataFrame:
+    """(candidate_id, key, mask): the first ``limit`` rows by key of every combination of bucket masks.
 
-    Returns ``candidate_id, bucket``.
+    Tasks keep their own first rows, 64 groups of tasks each their first, and only those meet by mask.
     """
     masks = bucket_masks(cfg)
-    narrow = scored.select("candidate_id", sample_key(seed).alias("_key"),
-                           *[F.coalesce(m, F.lit(False)).alias(f"_m_{b}") for b, m in masks.items()])
-    if checkpoint:
-        narrow = cut_lineage(narrow)
-    quota = target_total // len(BUCKETS)
-    carry = 0
-    picked_any: Column = F.lit(False)
-    bucket_of: Column = F.lit(None).cast("string")
-    for b in BUCKETS:
+    mask = sum((F.coalesce(masks[b], F.lit(False)).cast("int") * (1 << i) for i, b in enumerate(BUCKETS)), F.lit(0))
+    rows = scored.select("candidate_id", sample_key(seed).alias("key"), mask.alias("mask"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("salt"))
+    for group in (("mask", "salt"), ("mask",)):
+        w = Window.partitionBy(*group).orderBy("key", "candidate_id")
+        rows = rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit).drop("rn")
+    return rows.select("candidate_id", "key", "mask")
+
+
+def cascade_sample(scored: DataFrame, target_total: int = 3000, seed: str = "42", cfg: RankConfig = DEFAULT) -> DataFrame:
+    """L2: quota ⌊N/6⌋ per bucket; each bucket skips earlier picks; shortfall carries over.
+
+    Returns ``candidate_id, bucket``.  At most ``2**6 * target_total`` ids and keys reach the driver.
+    """
+    rows = sorted((r["key"], r["candidate_id"], r["mask"]) for r in first_per_mask(scored, target_total, seed, cfg).collect())
+    quota, carry, picked = target_total // len(BUCKETS), 0, {}
+    for i, bucket in enumerate(BUCKETS):
         limit = quota + carry
-        eligible = F.col(f"_m_{b}") & ~picked_any
-        if limit > 0:
-            top = narrow.where(eligible).select("_key", "candidate_id") \
-                        .orderBy("_key", "candidate_id").limit(limit)
-            row = top.agg(F.count(F.lit(1)).alias("n"),
-                          F.max(F.struct("_key", "candidate_id")).alias("t")).collect()[0]
-            n, t = row["n"], row["t"]
-        else:
-            n, t = 0, None
-        if n > 0:
-            pick = eligible & (F.struct("_key", "candidate_id") <= F.struct(F.lit(t["_key"]), F.lit(t["candidate_id"])))
-        else:
-            pick = F.lit(False)
-        bucket_of = F.when(bucket_of.isNull() & pick, F.lit(b)).otherwise(bucket_of)
-        picked_any = picked_any | pick
-        carry = limit - n
-    return narrow.select("candidate_id", bucket_of.alias("bucket")).where(F.col("bucket").isNotNull())
+        own = [cid for _, cid, mask in rows if mask >> i & 1 and cid not in picked][:max(limit, 0)]
+        picked.update(dict.fromkeys(own, bucket))
+        carry = limit - len(own)
+    return scored.sparkSession.createDataFrame(list(picked.items()), "candidate_id string, bucket string")
 
 
 def seeded_sample(df: DataFrame, n: int, seed: str = "42", id_col: str = "candidate_id") -> DataFrame:
@@ -91,30 +82,67 @@ def pending(sampled: DataFrame, labelled: DataFrame | None) -> DataFrame:
     return sampled.join(labelled.select("candidate_id"), "candidate_id", "left_anti")
 
 
-def render_prompts(raw: DataFrame, template: str, job_text: str = "") -> DataFrame:
-    """Prompt per record: template with the job text and the record as JSON."""
-    record = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
-    body = F.replace(F.lit(template), F.lit("{JOB_DESCRIPTION}"), F.lit(job_text))
-    return raw.select("candidate_id", F.replace(body, F.lit("{CANDIDATE_JSON}"), record).alias("prompt"))
+def render_prompts(records: DataFrame, template: str, job_text: str = "") -> DataFrame:
+    """Prompt per raw record (``candidate_id``, ``value`` its line of JSON): unknown keys and nulls stay in."""
+    def run(batches):
+        for pdf in batches:
+            bodies = [json.dumps(json.loads(v), indent=2) for v in pdf["value"]]
+            pdf["prompt"] = [template.replace("{JOB_DESCRIPTION}", job_text).replace("{CANDIDATE_JSON}", b) for b in bodies]
+            yield pdf[["candidate_id", "prompt"]]
+
+    return records.select("candidate_id", "value").mapInPandas(run, "candidate_id string, prompt string")
+
+
+def parse_reply(text: str | None) -> dict:
+    """The JSON object of a reply, code fences removed; raises if it isn't one or lacks a key."""
+    content = (text or "").strip()
+    if content.startswith("```json"):
+        content = content[7:]
+    if content.startswith("```"):
+        content = content[3:]
+    if content.endswith("```"):
+        content = content[:-3]
+    parsed = json.loads(content)
+    if "score" not in parsed or "reasoning" not in parsed:
+        raise ValueError("Missing keys in LLM response")
+    return parsed
+
 
+def _label(reply: dict) -> tuple[int, str] | None:
+    """Score and reasoning of a parsed reply; None if the score is no whole number or the reasoning no text."""
+    try:
+        return (int(reply["score"]), reply["reasoning"]) if isinstance(reply["reasoning"], str) else None
+    except (TypeError, ValueError, OverflowError):
+        return None
 
-RESPONSE_SCHEMA = T.StructType([
-    T.StructField("score", T.DoubleType()), T.StructField("reasoning", T.StringType())])
+
+_LABEL = "candidate_id string, llm_score int, llm_reasoning string"
+
+
+def _labelled(pairs):
+    import pandas as pd
+
+    found = [(cid, *label) for cid, reply in pairs if (label := _label(reply)) is not None]
+    return pd.DataFrame(found, columns=["candidate_id", "llm_score", "llm_reasoning"])
+
+
+def _failed(error: Exception) -> dict:
+    return {"score": 1, "reasoning": f"Error: {error}"}
 
 
 def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
-    """Strip code fences, parse JSON, require score+reasoning; else score 1 + error text."""
-    t = F.trim(F.col(text_col))
-    t = F.regexp_replace(t, r"^```json", "")
-    t = F.regexp_replace(t, r"^```", "")
-    t = F.regexp_replace(t, r"```$", "")
-    parsed = F.from_json(t, RESPONSE_SCHEMA)
-    ok = parsed.isNotNull() & parsed["score"].isNotNull() & parsed["reasoning"].isNotNull()
-    return responses.select(
-        "candidate_id",
-        F.when(ok, parsed["score"].cast("int")).otherwise(F.lit(1)).alias("llm_score"),
-        F.when(ok, parsed["reasoning"]).otherwise(F.lit("Error: unparseable or incomplete response")).alias("llm_reasoning"),
-    )
+    """L6 on replies at hand: what can't be read gets score 1 and the error; what has no usable score or text gets no row."""
+    def read(text):
+        try:
+            return parse_reply(text)
+        except Exception as e:  # noqa: BLE001  whatever a reply holds, its record gets a label
+            return _failed(e)
+
+    def run(batches):
+        for pdf in batches:
+            yield _labelled((cid, read(t)) for cid, t in zip(pdf["candidate_id"], pdf["text"], strict=True))
+
+    return responses.select("candidate_id", F.col(text_col).alias("text")).mapInPandas(run, _LABEL)
 
 
 def clean_reasoning(c: Column) -> Column:
@@ -162,20 +190,38 @@ def rubric_labels(scored: DataFrame, rub: RubricConfig = RubricConfig(), cfg: Ra
                          comp["llm_reasoning"].alias("llm_reasoning"))
 
 
-def teacher_labels(prompts: DataFrame, teacher: Callable[[list[str]], list[str]]) -> DataFrame:
-    """L7 (pluggable teacher): ``teacher(prompts) -> responses`` per Arrow batch, then L6.
+def teacher_labels(prompts: DataFrame, teacher: Callable[[list[str]], list[str]], tries: int = 3, pause: float = 5.0) -> DataFrame:
+    """L7 (pluggable teacher): ``teacher(prompts) -> replies`` for a batch, then record by record for what failed.
 
-    ``mapInPandas`` keeps the call batched and distributed; the callable must be
-    picklable and should do its own retries.
+    A record whose reply can't be had or read after ``tries`` calls gets score 1 and the last error; the
+    others keep their labels.  The callable must be picklable.
     """
+    def ask(prompt, first, error):
+        for attempt in range(tries):
+            try:
+                if attempt or first is None:
+                    if attempt and pause:
+                        time.sleep(pause)
+                    if not attempt and error is not None:
+                        raise error
+                    first = teacher([prompt])[0]
+                return parse_reply(first)
+            except Exception as e:  # noqa: BLE001  a failing call must not lose the other records
+                error = e
+        return _failed(error)
+
     def run(batches):
         for pdf in batches:
-            out = pdf[["candidate_id"]].copy()
-            out["response"] = list(teacher(pdf["prompt"].tolist()))
-            yield out
-
-    responses = prompts.mapInPandas(run, "candidate_id string, response string")
-    return parse_responses(responses)
+            prompts_, error = pdf["prompt"].tolist(), None
+            try:
+                replies = list(teacher(prompts_))
+                if len(replies) != len(prompts_):
+                    raise ValueError(f"{len(replies)} replies to {len(prompts_)} prompts")
+            except Exception as e:  # noqa: BLE001
+                replies, error = [None] * len(prompts_), e
+            yield _labelled((cid, ask(p, r, error)) for cid, p, r in zip(pdf["candidate_id"], prompts_, replies, strict=True))
+
+    return prompts.mapInPandas(run, _LABEL)
 
 
 def label_distribution(labels: DataFrame, label_col: str = "llm_score") -> DataFrame:

@@ -1,10 +1,8 @@
 """Model training and batch scoring with Spark MLlib.
 
-The label table is small (it comes from a bounded sample), so training data is
-joined by broadcasting the labels only after checking their row count; above
-the bound the join falls back to a shuffle join.  Folds are a column
-(``md5`` of seed and id), so cross-validation is five filtered fits on one
-cached frame, with no global window.
+The label table is a bounded sample (``TrainConfig.max_labels``); joins with it carry no
+hint, adaptive execution broadcasts it where it is small.  Folds are a column: the labelled
+ids in md5 order, dealt in turn, so their sizes differ by at most one.
 """
 
 from __future__ import annotations
@@ -12,25 +10,18 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import TrainConfig
-from .features import FEATURE_COLUMNS
-
-BROADCAST_MAX_ROWS = 200_000     # ids and labels: a few MB at most
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame is proven to hold ≤ ``max_rows`` rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+#: A fit runs some thousand small jobs over the bounded labelled rows; a few partitions suit them.
+FIT_PARTITIONS = 4
 
 
 def label_join(features: DataFrame, labels: DataFrame, label_col: str = "llm_score") -> DataFrame:
     """Inner equi-join of features and labels on candidate_id."""
     lab = labels.select("candidate_id", F.col(label_col).cast("double").alias(label_col))
-    return features.join(bounded_broadcast(lab), "candidate_id")
+    return features.join(lab, "candidate_id")
 
 
 def feature_columns(df: DataFrame, prefix: str = "feat_") -> list[str]:
@@ -57,10 +48,16 @@ def usable_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if c not in const]
 
 
-def fold_of(n_folds: int = 5, seed: str = "42", id_col: str = "candidate_id") -> Column:
-    """fold = first 8 hex digits of md5(seed:id) mod n (deterministic, partition-free)."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col))), 1, 8), 16, 10).cast("long")
-    return F.pmod(h, F.lit(n_folds)).cast("int")
+def bounded_labels(train: DataFrame, tc: TrainConfig = TrainConfig(), id_col: str = "candidate_id") -> DataFrame:
+    """The first ``tc.max_labels`` labelled rows in md5 order: the documented bound of what a model is fitted on."""
+    return train.orderBy(F.md5(F.concat(F.lit(f"{tc.fold_seed}:"), F.col(id_col))), id_col).limit(tc.max_labels)
+
+
+def with_folds(train: DataFrame, n_folds: int = 5, seed: str = "42", id_col: str = "candidate_id") -> DataFrame:
+    """``fold`` = place in md5 order of the (bounded) labelled ids modulo n: balanced and independent of partitions."""
+    w = Window.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col))), F.col(id_col))
+    ids = train.select(id_col).withColumn("fold", ((F.row_number().over(w) - 1) % n_folds).cast("int"))
+    return train.join(ids, id_col)
 
 
 def impute(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -88,20 +85,22 @@ def regression_metrics(pred: DataFrame, label_col: str = "llm_score", group: str
 
 
 def cross_validate(train: DataFrame, cols: list[str], tc: TrainConfig = TrainConfig()) -> DataFrame:
-    """K fits on the folds' complements; per-fold RMSE/MAE rows."""
-    data = impute(train, cols).withColumn("fold", fold_of(tc.folds, tc.fold_seed)).cache()
-    out = None
-    for k in range(tc.folds):
-        model = _pipeline(cols, tc).fit(data.where(F.col("fold") != k))
-        metrics = regression_metrics(model.transform(data.where(F.col("fold") == k)), tc.label_col) \
-            .withColumn("fold", F.lit(k))
-        out = metrics if out is None else out.unionByName(metrics)
-    return out.select("fold", "rmse", "mae", "n")
+    """K fits on the folds' complements; per-fold RMSE/MAE rows (k rows, computed here)."""
+    data = with_folds(impute(bounded_labels(train, tc), cols), tc.folds, tc.fold_seed).coalesce(FIT_PARTITIONS).cache()
+    try:
+        rows = []
+        for k in range(tc.folds):
+            model = _pipeline(cols, tc).fit(data.where(F.col("fold") != k))
+            m = regression_metrics(model.transform(data.where(F.col("fold") == k)), tc.label_col).first()
+            rows.append((k, m["rmse"], m["mae"], m["n"]))
+    finally:
+        data.unpersist()
+    return train.sparkSession.createDataFrame(rows, "fold int, rmse double, mae double, n long")
 
 
 def fit(train: DataFrame, cols: list[str], tc: TrainConfig = TrainConfig()) -> PipelineModel:
-    """Final fit on all labelled rows."""
-    return _pipeline(cols, tc).fit(impute(train, cols))
+    """Final fit on the labelled rows, ``tc.max_labels`` at most."""
+    return _pipeline(cols, tc).fit(impute(bounded_labels(train, tc), cols).coalesce(FIT_PARTITIONS))
 
 
 def importances(model: PipelineModel, cols: list[str]) -> list[tuple[str, float]]:
@@ -158,6 +157,3 @@ def load(path: str) -> tuple[PipelineModel, list[str]]:
     model = PipelineModel.load(path)
     cols = [c[len("__x_"):] for c in model.stages[0].getInputCols()]
     return model, cols
-
-
-DEFAULT_FEATURES = FEATURE_COLUMNS

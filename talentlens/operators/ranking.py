@@ -1,8 +1,10 @@
 """Score combination and deterministic top-k (M4, K1–K9).
 
-``top_k`` is an ``orderBy(...).limit(k)``, which Spark plans as
-``TakeOrderedAndProject``: every partition keeps its own k best rows and only
-k × partitions rows are merged — no global sort, no shuffle of the table.
+``top_k`` has two levels: every task keeps its own k best rows (a group limit
+before the shuffle), ``FUNNELS`` groups of tasks keep theirs, and an
+``orderBy(...).limit(k)`` merges the ``FUNNELS`` × k rows that are left.  No
+global sort, no shuffle of the table, and no single task that gets k rows of
+every other.
 Ranks, the monotone repair and explanations run on those k rows only.
 """
 
@@ -15,6 +17,10 @@ from ..config import DEFAULT, RankConfig
 from ..functions.numeric import clip, nan_to_null, round_half_even
 
 
+#: Groups of tasks that each keep their k best rows.
+FUNNELS = 64
+
+
 def normalise_model_score(raw: Column) -> Column:
     """M4: raw 0–5 prediction → [0, 1]."""
     return clip(raw / F.lit(5.0), 0.0, 1.0)
@@ -33,8 +39,10 @@ def final_score(cfg: RankConfig = DEFAULT, model_col: str = "model_score") -> Co
 
 def top_k(scored: DataFrame, k: int, score_col: str = "final_score", id_col: str = "candidate_id") -> DataFrame:
     """K3: score descending (NaN treated as missing → last), id ascending, first k."""
-    ordered = scored.withColumn(score_col, nan_to_null(F.col(score_col)))
-    return ordered.orderBy(F.desc_nulls_last(score_col), F.asc(id_col)).limit(k)
+    order = [F.desc_nulls_last(score_col), F.asc(id_col)]
+    salted = scored.withColumn(score_col, nan_to_null(F.col(score_col))).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(FUNNELS)))
+    first = salted.withColumn("_rn", F.row_number().over(Window.partitionBy("_salt").orderBy(*order))).where(F.col("_rn") <= k)
+    return first.drop("_salt", "_rn").orderBy(*order).limit(k)
 
 
 def assign_rank(top: DataFrame, score_col: str = "final_score", id_col: str = "candidate_id") -> DataFrame:

@@ -6,15 +6,13 @@ distributed prefix sum over the *frequency table* of the column:
 1. ``groupBy(group, value).count()`` — map-side combined, so a hot value
    costs one row per map task;
 2. range-partition the distinct (group, value) pairs and checkpoint them
-   reliably so the layout is fixed; total each (partition, group) — a
-   partitions × groups table of numbers reaches the driver;
-3. offsets of earlier partitions become a literal map; a window *within* each
-   partition adds the running count; the value whose cumulative range covers
-   position ``i`` is ``sorted[i]``.
+   reliably so the layout is fixed; total each (partition, group);
+3. a prefix sum of the totals by group gives each partition's offset, a window
+   *within* each partition adds the running count; the value whose cumulative
+   range covers position ``i`` is ``sorted[i]``.
 
-No task ever holds more than its range of distinct values.  Meant for a
-modest number of groups (signals, columns): the offsets travel as a literal
-map of partitions × groups entries.
+No task ever holds more than its range of distinct values, or one group's totals
+(a row for each partition).
 """
 
 from __future__ import annotations
@@ -38,17 +36,12 @@ def grouped_describe(long: DataFrame, group_col: str = "g", value_col: str = "v"
     freq = data.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = cut_lineage(freq.repartitionByRange(parts, "g", "v").withColumn("pid", F.spark_partition_id()))
-    totals = sorted((r["g"], r["pid"], r["t"]) for r in laid.groupBy("g", "pid").agg(F.sum("c").alias("t")).collect())
-    offsets, run, last_g = [], 0, None
-    for g, pid, t in totals:
-        if g != last_g:
-            run, last_g = 0, g
-        offsets += [F.lit(f"{pid}:{g}"), F.lit(run)]
-        run += t
-    key = F.concat(F.col("pid").cast("string"), F.lit(":"), F.col("g"))
-    offset = F.coalesce(F.create_map(*offsets)[key], F.lit(0)) if offsets else F.lit(0)
+    totals = laid.groupBy("g", "pid").agg(F.sum("c").alias("t"))          # partitions × groups rows
+    before = Window.partitionBy("g").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("g", "pid", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("offset"))
     w = Window.partitionBy("pid", "g").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = laid.withColumn("hi", offset + F.sum("c").over(w)).withColumn("lo", F.col("hi") - F.col("c"))
+    running = laid.withColumn("run", F.sum("c").over(w)).join(offsets, ["g", "pid"])
+    cum = running.withColumn("hi", F.col("offset") + F.col("run")).withColumn("lo", F.col("hi") - F.col("c"))
     n = F.col("n")
     wanted = basics.select("g", F.explode(F.array(
         F.struct(F.lit("p25").alias("stat"), F.floor(n * 0.25).cast("long").alias("pos")),
@@ -57,9 +50,6 @@ def grouped_describe(long: DataFrame, group_col: str = "g", value_col: str = "v"
         F.struct(F.lit("_m1").alias("stat"), F.floor((n - 1) / 2).cast("long").alias("pos")),
         F.struct(F.lit("_m2").alias("stat"), F.floor(n / 2).cast("long").alias("pos")),
     )).alias("w")).select(F.col("g").alias("wg"), "w.stat", "w.pos")
-    # one row per group × 5 positions; the group count is known from ``totals``
-    n_groups = len({g for g, _, _ in totals})
-    wanted = F.broadcast(wanted) if n_groups * 5 <= 1_000_000 else wanted
     picked = cum.join(wanted, (F.col("g") == F.col("wg")) & (F.col("pos") >= F.col("lo"))
                       & (F.col("pos") < F.col("hi"))).select("g", "stat", F.col("v").alias("value"))
     median = picked.where(F.col("stat").startswith("_")).groupBy("g").agg(
@@ -69,8 +59,3 @@ def grouped_describe(long: DataFrame, group_col: str = "g", value_col: str = "v"
         F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("value"))
         for s in ("n", "min", "max", "mean", "std")])).alias("s")).select("g", "s.stat", "s.value")
     return head.unionByName(median).unionByName(pcts)
-
-
-def describe_exact(df: DataFrame, col: str) -> DataFrame:
-    """Single-column version of :func:`grouped_describe`: ``(stat, value)``."""
-    return grouped_describe(df.select(F.lit("_").alias("g"), F.col(col).alias("v"))).drop("g")

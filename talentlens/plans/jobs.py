@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RankConfig, RubricConfig, TrainConfig
 from ..operators import audit, labeling, model, profile
@@ -42,18 +43,21 @@ def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: Rank
 
 def label_job(spark: SparkSession, candidates_path: str, labels_path: str, target_total: int = 3000,
               teacher: Callable[[list[str]], list[str]] | None = None, template: str = "", job_text: str = "",
-              cfg: RankConfig = DEFAULT, rubric: RubricConfig = RubricConfig()) -> DataFrame:
+              cfg: RankConfig = DEFAULT, rubric: RubricConfig = RubricConfig(), chunk: int = 200, pause: float = 5.0) -> DataFrame:
+    """Label the pending part of the cascade sample; a teacher's labels are appended ``chunk`` records at a time."""
     staged = FS.scratch_path(spark, "candidates-staged")
-    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)     # one parse, many passes
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged, keep_text=True)     # one parse, many passes
     scored = PL.featurize(flatten(raw, cfg.signals_key), cfg)
     sample = labeling.cascade_sample(scored, target_total, cfg=cfg)
     todo = labeling.pending(sample, FS.read_labels(spark, labels_path))
     if teacher is None:
-        labels = labeling.rubric_labels(scored.join(model.bounded_broadcast(todo), "candidate_id", "left_semi"), rubric, cfg)
+        FS.append_labels(labeling.rubric_labels(FS.records_by_ids(scored, todo), rubric, cfg), labels_path)
     else:
-        records = FS.records_by_ids(raw, todo)
-        labels = labeling.teacher_labels(labeling.render_prompts(records, template, job_text), teacher)
-    FS.append_labels(labels, labels_path)
+        records = cut_lineage(FS.records_by_ids(raw.select("candidate_id", "value"), todo))      # target_total lines at most
+        parts = -(-target_total // chunk)
+        for part in range(parts):                       # what is labelled stays, whatever happens to the rest
+            own = records.where(F.pmod(F.xxhash64("candidate_id"), F.lit(parts)) == part)
+            FS.append_labels(labeling.teacher_labels(labeling.render_prompts(own, template, job_text), teacher, pause=pause), labels_path)
     FS.drop_path(spark, staged)
     return labeling.label_distribution(FS.read_labels(spark, labels_path))
 
@@ -65,7 +69,7 @@ def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model
     # features are row-local: restrict to labelled ids first, then featurise
     labelled_raw = FS.records_by_ids(raw, labels)
     feats = PL.featurize(flatten(labelled_raw, cfg.signals_key), cfg)
-    train = cut_lineage(model.label_join(feats, labels, tc.label_col))           # bounded by the label count
+    train = cut_lineage(model.bounded_labels(model.label_join(feats, labels, tc.label_col), tc))
     cols = model.usable_columns(train, FEATURE_COLUMNS)                           # N2–N3
     folds = model.cross_validate(train, cols, tc).collect()                      # N4–N6 (k rows)
     fitted = model.fit(train, cols, tc)                                          # N5

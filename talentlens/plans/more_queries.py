@@ -66,7 +66,7 @@ def labelled_sample(spark, sf) -> DataFrame:
     s = scored(spark, sf)
     sample = labeling.cascade_sample(s, SAMPLE_TOTAL, SEED)
     comp = labeling.rubric_components()
-    rows = s.join(model.bounded_broadcast(sample), "candidate_id")
+    rows = s.join(F.broadcast(sample), "candidate_id")                    # SAMPLE_TOTAL rows at most
     # bounded by the sample size; written once so CV / fits don't re-run the cascade
     return cut_lineage(rows.withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"]))
 
@@ -98,9 +98,9 @@ def q_label_distribution(spark, sf):
 @register("label_join", SAMPLED + "\nSELECT s.candidate_id, s.llm_score, s.feat_dim5_years_exp, s.feat_dim3_retrieval_composite, "
           "s.feat_dim4_skill_trust_score FROM scored s JOIN sample USING (candidate_id)")
 def q_label_join(spark, sf):
-    feats_df = scored(spark, sf)
-    labels = labeling.rubric_labels(feats_df).join(sample_frame(spark, sf), "candidate_id", "left_semi")
-    return model.label_join(feats_df, labels).select(
+    picked = F.broadcast(sample_frame(spark, sf))                          # SAMPLE_TOTAL rows at most
+    feats_df = PL.score_candidates(flat(spark, sf).join(picked, "candidate_id", "left_semi"))      # features of the sampled rows only
+    return model.label_join(feats_df, labeling.rubric_labels(feats_df)).select(
         "candidate_id", F.col("llm_score").cast("long").alias("llm_score"), "feat_dim5_years_exp",
         "feat_dim3_retrieval_composite", "feat_dim4_skill_trust_score")
 
@@ -112,23 +112,24 @@ def q_constant_features(spark, sf):
     return model.constant_columns(labelled_sample(spark, sf), FEATURE_COLUMNS)
 
 
-FOLD_SQL = f"(('0x' || substr(md5('{SEED}:' || candidate_id), 1, 8))::BIGINT % 5)"
+FOLDED = SAMPLED + f""",
+folded AS (SELECT candidate_id, CAST((row_number() OVER (ORDER BY md5('{SEED}:' || candidate_id), candidate_id) - 1) % 5 AS INTEGER) AS fold FROM sample)"""
 
 
-@register("fold_assignment", SAMPLED + f"\nSELECT candidate_id, CAST({FOLD_SQL} AS INTEGER) AS fold FROM sample")
+@register("fold_assignment", FOLDED + "\nSELECT candidate_id, fold FROM folded")
 def q_fold_assignment(spark, sf):
-    return sample_frame(spark, sf).select("candidate_id", model.fold_of(5, SEED).alias("fold"))
+    return model.with_folds(sample_frame(spark, sf), 5, SEED).select("candidate_id", "fold")
 
 
-@register("regression_metrics", SAMPLED + f"""
-SELECT CAST({FOLD_SQL} AS INTEGER) AS fold,
+@register("regression_metrics", FOLDED + f"""
+SELECT fold,
   {O.r9('sqrt(avg((CAST(rubric_base AS DOUBLE) - llm_score) * (CAST(rubric_base AS DOUBLE) - llm_score)))')} AS rmse,
   {O.r9('avg(abs(CAST(rubric_base AS DOUBLE) - llm_score))')} AS mae, count(*) AS n
-FROM scored WHERE candidate_id IN (SELECT candidate_id FROM sample) GROUP BY 1""")
+FROM scored JOIN folded USING (candidate_id) GROUP BY fold""")
 def q_regression_metrics(spark, sf):
-    ls = labelled_sample(spark, sf).select(
-        "candidate_id", F.col("rubric_base").cast("double").alias("prediction"),
-        F.col("llm_score").cast("double").alias("llm_score")).withColumn("fold", model.fold_of(5, SEED))
+    ls = model.with_folds(labelled_sample(spark, sf), 5, SEED).select(
+        "candidate_id", "fold", F.col("rubric_base").cast("double").alias("prediction"),
+        F.col("llm_score").cast("double").alias("llm_score"))
     m = model.regression_metrics(ls, "llm_score", group="fold")
     return m.select("fold", r9("rmse").alias("rmse"), r9("mae").alias("mae"), "n")
 
@@ -150,14 +151,14 @@ def q_gbt_cv(spark, sf):
     train = labelled_sample(spark, sf)
     cols = model.usable_columns(train, FEATURE_COLUMNS)
     return model.cross_validate(train.withColumn("llm_score", F.col("llm_score").cast("double")), cols,
-                                TrainConfig(max_iter=10))
+                                TrainConfig())
 
 
 @register("gbt_score")
 def q_gbt_score(spark, sf):
     train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
     cols = model.usable_columns(train, FEATURE_COLUMNS)
-    fitted = model.fit(train, cols, TrainConfig(max_iter=10))
+    fitted = model.fit(train, cols, TrainConfig())
     all_rows = PL.featurize(flat(spark, sf))
     out = model.score(fitted, all_rows, cols).withColumn("final_score", PL.ranking.final_score())
     return PL.rank_candidates(out)
@@ -167,7 +168,7 @@ def q_gbt_score(spark, sf):
 def q_feature_importances(spark, sf):
     train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
     cols = model.usable_columns(train, FEATURE_COLUMNS)
-    fitted = model.fit(train, cols, TrainConfig(max_iter=10))
+    fitted = model.fit(train, cols, TrainConfig())
     return spark.createDataFrame(model.importances(fitted, cols), "feature string, importance double")
 
 
@@ -175,21 +176,50 @@ PROMPT = ("Rate this candidate from 0 to 5 for the role below and answer as JSON
           "{\"score\": n, \"reasoning\": \"...\"}.\nROLE: {JOB_DESCRIPTION}\nCANDIDATE: {CANDIDATE_JSON}")
 
 
-@register("teacher_prompts")
-def q_teacher_prompts(spark, sf):
+def _prompts(spark, sf) -> DataFrame:
+    """Prompts of the sampled records, each a line of JSON with a key that the schema doesn't know and a null."""
     raw = PL.fixture_candidates(spark, sf)
-    pend = raw.join(model.bounded_broadcast(sample_frame(spark, sf).select("candidate_id")), "candidate_id", "left_semi")
-    return labeling.render_prompts(pend, PROMPT, "Senior engineer for search and ranking systems")
-
+    line = F.to_json(F.struct(*raw.columns, F.lit("kept").alias("extra"), F.lit(None).cast("string").alias("nothing")), {"ignoreNullFields": "false"})
+    pend = raw.join(F.broadcast(sample_frame(spark, sf)), "candidate_id", "left_semi")             # SAMPLE_TOTAL rows at most
+    return labeling.render_prompts(pend.select("candidate_id", line.alias("value")), PROMPT, "Senior engineer for search and ranking systems")
 
-def _echo_teacher(prompts):
-    # deterministic stand-in for an external model: answers from prompt length
-    return ['```json\n{"score": %d, "reasoning": "length %d"}\n```' % (len(p) % 6, len(p)) for p in prompts]
 
-
-@register("teacher_parse")
+@register("teacher_prompts", SAMPLED + """
+SELECT candidate_id, profile_headline AS headline, career_num_jobs AS jobs, 'kept' AS extra, true AS has_null, true AS framed
+FROM cand WHERE candidate_id IN (SELECT candidate_id FROM sample)""")
+def q_teacher_prompts(spark, sf):
+    """What each prompt holds of its raw record."""
+    body = F.split_part("prompt", F.lit("CANDIDATE: "), F.lit(2))
+    return _prompts(spark, sf).select(
+        "candidate_id", F.get_json_object(body, "$.profile.headline").alias("headline"),
+        F.json_array_length(F.get_json_object(body, "$.career_history")).alias("jobs"), F.get_json_object(body, "$.extra").alias("extra"),
+        F.contains(body, F.lit('"nothing": null')).alias("has_null"),
+        F.contains("prompt", F.lit("ROLE: Senior engineer for search and ranking systems\nCANDIDATE: {\n")).alias("framed"))
+
+
+def _teacher(prompts):
+    """A stand-in teacher with many forms of reply, by the candidate's number; fails as a whole for a batch with number 9 modulo 10."""
+    out = []
+    for p in prompts:
+        n = int(re.search(r'"candidate_id": "CAND_0*([0-9]+)"', p)[1])
+        form, score = n % 10, n % 6
+        if form == 9:
+            raise ConnectionError("refused")
+        out.append({0: '```json\n{"score": %d, "reasoning": "fenced"}\n```', 1: '\n\t```\n{"score": %d, "reasoning": "blank first"}```', 2: '{"score": "%d", "reasoning": "text score"}',
+                    3: '{"score": %d, "reasoning": "then"} more', 4: '{"score": %d, "reasoning": {"a": 1}}', 5: '{"score": %d}', 6: '{"score": %d.7, "reasoning": "cut"}',
+                    7: 'score %d', 8: '{"score": "high", "reasoning": "%d"}'}[form] % score)
+    return out
+
+
+@register("teacher_parse", SAMPLED + f"""
+, replied AS (SELECT candidate_id, CAST(substr(candidate_id, 6) AS BIGINT) AS n FROM sample)
+SELECT candidate_id, CAST(CASE WHEN n % 10 IN (3, 5, 7, 9) THEN 1 ELSE n % 6 END AS INTEGER) AS llm_score,
+  CASE n % 10 WHEN 0 THEN 'fenced' WHEN 1 THEN 'blank first' WHEN 2 THEN 'text score' WHEN 6 THEN 'cut' ELSE 'Error' END AS reasoning
+FROM replied WHERE n % 10 NOT IN (4, 8)""")
 def q_teacher_parse(spark, sf):
-    return labeling.teacher_labels(q_teacher_prompts(spark, sf), _echo_teacher)
+    """Labels from a teacher whose replies take many forms and whose calls fail for some records."""
+    labels = labeling.teacher_labels(_prompts(spark, sf), _teacher, pause=0.0)
+    return labels.select("candidate_id", "llm_score", F.when(F.col("llm_reasoning").startswith("Error: "), F.lit("Error")).otherwise(F.col("llm_reasoning")).alias("reasoning"))
 
 
 # ---------------------------------------------------------------------------
@@ -707,10 +737,10 @@ from ..session import read_table  # noqa: E402
 TEXT_TAXONOMY = ("tion", "ing", "the", "ere", "and", "ou", "nt", "sh", "ly", "qz")
 
 
-def _doc_counts(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", X.lower0("text").alias("t"))
+def _doc_counts(spark, sf, docs=None, *keep):
+    docs = (read_table(spark, sf, "documents") if docs is None else docs).select("doc_id", *keep, X.lower0("text").alias("t"))
     return docs.select(
-        "doc_id",
+        "doc_id", *keep,
         X.count_substrings("t", DEFAULT.retrieval_keywords).cast("long").alias("retrieval_kw"),
         X.count_substrings("t", DEFAULT.production_keywords).cast("long").alias("production_kw"),
         X.bool_int(X.any_substring("t", C.AI_TITLE_WORDS)).alias("mentions_ai"),
@@ -734,8 +764,8 @@ SELECT l.quality AS label, {O.r9('avg(CAST(d.text_kw AS DOUBLE))')} AS mean_text
 FROM doc_counts d JOIN labels l USING (doc_id) GROUP BY l.quality""")
 def q_text_quality_calibration(spark, sf):
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
-    j = _doc_counts(spark, sf).join(model.bounded_broadcast(labels), "doc_id")
-    return j.groupBy(F.col("quality").alias("label")).agg(
+    docs = read_table(spark, sf, "documents").join(labels, "doc_id")                     # count keywords in labelled documents only
+    return _doc_counts(spark, sf, docs, "quality").groupBy(F.col("quality").alias("label")).agg(
         r9(F.avg(F.col("text_kw").cast("double"))).alias("mean_text_kw"),
         r9(F.avg(F.col("retrieval_kw").cast("double"))).alias("mean_retrieval_kw"),
         F.count(F.lit(1)).alias("n"))

@@ -133,22 +133,23 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
 
 
 def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = True,
-                     out: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     out: str | None = None, keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """S1–S4 with one scan and one parse: good records and quarantine in one Parquet table.
 
     Rows are partitioned by ``_ok``; later passes read the typed columns of the good partition and the
     quarantine separately.  Returns ``(good, quarantine)``; raises ``SignalsMissing`` as ``read_candidates`` does.
+    With ``keep_text`` the good records also have their line, as ``value``.
     """
     tagged = tag_lines(_read_text(spark, path, None), signals_key, strict)
     out = out or scratch_path(spark, "candidates-staged")
     ok = F.col("reason").isNull()
-    (tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok, F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
+    (tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok | F.lit(keep_text), F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
      .write.mode("overwrite").partitionBy("_ok").parquet(out))
     staged = spark.read.schema(f"r {candidate_schema(signals_key).simpleString()}, value string, reason string, has_signals boolean, _ok boolean").parquet(out)
     good = staged.where("_ok")
     if good.where("has_signals").select("has_signals").isEmpty() and not good.select("has_signals").isEmpty():
         raise SignalsMissing(signals_key)
-    return good.select("r.*"), staged.where("NOT _ok").select("value", "reason")
+    return good.select("r.*", *(["value"] if keep_text else [])), staged.where("NOT _ok").select("value", "reason")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -218,9 +219,8 @@ def single_csv_file(spark: SparkSession, folder: str) -> str:
 
 
 def records_by_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:
-    """Raw records whose id is in ``ids`` (semi-join; ``ids`` broadcast only when small)."""
-    from ..operators.model import bounded_broadcast
-    return raw.join(bounded_broadcast(ids.select("candidate_id").distinct()), "candidate_id", "left_semi")
+    """Raw records whose id is in ``ids`` (semi-join; adaptive execution broadcasts what turns out small)."""
+    return raw.join(ids.select("candidate_id").distinct(), "candidate_id", "left_semi")
 
 
 def write_json_rows(spark: SparkSession, rows: list[dict], path: str) -> str:

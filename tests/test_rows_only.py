@@ -1,20 +1,38 @@
 """Brute-force checks for the registered queries that have no SQL oracle (sf0.001)."""
+import functools
 import json
 import math
 
 import pytest
 from conftest import SF001
 
-from __spark_entry__ import oracle_sql, queries
+from talentlens.operators import labeling, model
 from talentlens.plans import more_queries as MQ
+from talentlens.plans.queries import oracle_sql, queries
 
-ROWS_ONLY = {"gbt_cv", "gbt_score", "feature_importances", "teacher_prompts", "teacher_parse"}
+ROWS_ONLY = {"gbt_cv", "gbt_score", "feature_importances"}
 
 
-def test_rows_only_set_is_exactly_the_model_and_teacher_queries():
+@pytest.fixture(autouse=True)
+def few_trees(monkeypatch):
+    """The queries fit 300 trees; a few show the same here."""
+    monkeypatch.setattr(MQ, "TrainConfig", functools.partial(MQ.TrainConfig, max_iter=5))
+
+
+def test_rows_only_set_is_exactly_the_model_queries():
     assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
 
 
+def test_registered_fits_are_full_size():
+    from talentlens.config import TrainConfig
+    assert TrainConfig().max_iter == 300 and TrainConfig().max_labels >= 3000
+
+
+def test_folds_are_balanced(spark):
+    sizes = [r["count"] for r in model.with_folds(MQ.sample_frame(spark, SF001), 5, "42").groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
 def test_gbt_cv_folds_partition_the_sample(spark):
     rows = queries()["gbt_cv"](spark, SF001).collect()
     sample = MQ.sample_frame(spark, SF001).count()
@@ -37,19 +55,56 @@ def test_gbt_score_is_a_valid_ranking(spark):
     assert len({r.candidate_id for r in rows}) == 100
 
 
-def test_teacher_prompts_and_parse_match_python(spark):
-    prompts = {r.candidate_id: r.prompt for r in queries()["teacher_prompts"](spark, SF001).collect()}
-    sample = {r.candidate_id for r in MQ.sample_frame(spark, SF001).collect()}
-    assert set(prompts) == sample
-    for cid, p in prompts.items():
-        assert f'"candidate_id":"{cid}"' in p and "{CANDIDATE_JSON}" not in p
-    parsed = {r.candidate_id: (r.llm_score, r.llm_reasoning) for r in queries()["teacher_parse"](spark, SF001).collect()}
-    for cid, p in prompts.items():                       # brute force: same stand-in teacher, Python json
-        raw = MQ._echo_teacher([p])[0].strip()
-        for fence in ("```json", "```"):
-            if raw.startswith(fence):
-                raw = raw[len(fence):]
-        if raw.endswith("```"):
-            raw = raw[:-3]
-        obj = json.loads(raw)
-        assert parsed[cid] == (int(obj["score"]), obj["reasoning"])
+REPLIES = {
+    "plain": ('{"score": 4, "reasoning": "r"}', (4, "r")), "fence": ('```json\n{"score": 2, "reasoning": "r"}\n```', (2, "r")),
+    "blank": ('\n \u00a0```\n{"score": 3, "reasoning": "r"}```\n', (3, "r")), "text": ('{"score": "4", "reasoning": "r"}', (4, "r")),
+    "cut": ('{"score": 4.9, "reasoning": ""}', (4, "")), "true": ('{"score": true, "reasoning": "r"}', (1, "r")),
+    "half": ('{"score": "4.5", "reasoning": "r"}', None), "null": ('{"score": null, "reasoning": "r"}', None), "object": ('{"score": 4, "reasoning": {}}', None),
+    "list": ('["score", "reasoning"]', None), "trail": ('{"score": 4, "reasoning": "r"} so', (1, "Error")), "keys": ('{"score": 4}', (1, "Error")),
+    "none": (None, (1, "Error")), "words": ("I think 4", (1, "Error"))}
+
+
+def test_replies_are_read_as_python_reads_them(spark):
+    rows = spark.createDataFrame([(k, r) for k, (r, _) in REPLIES.items() if k != "list"], "candidate_id string, response string")
+    got = {r.candidate_id: (r.llm_score, "Error" if r.llm_reasoning.startswith("Error: ") else r.llm_reasoning) for r in labeling.parse_responses(rows).collect()}
+    assert got == {k: v for k, (_, v) in REPLIES.items() if v is not None}
+
+
+def test_one_failing_record_keeps_the_others(spark):
+    def teacher(prompts):
+        if any("bad" in p for p in prompts):
+            raise ConnectionError("refused")
+        return ['{"score": 5, "reasoning": "%s"}' % p for p in prompts]
+
+    prompts = spark.createDataFrame([(f"c{i}", "bad" if i == 3 else f"p{i}") for i in range(8)], "candidate_id string, prompt string").coalesce(1)
+    got = {r.candidate_id: (r.llm_score, r.llm_reasoning) for r in labeling.teacher_labels(prompts, teacher, pause=0).collect()}
+    assert got == {f"c{i}": (1, "Error: refused") if i == 3 else (5, f"p{i}") for i in range(8)}
+
+
+def test_a_job_that_breaks_off_keeps_its_labels_and_resumes(spark, tmp_path):
+    from talentlens.plans import jobs
+    from talentlens.plans import pipeline as PL
+    from talentlens.sources import files as FS
+    src = FS.write_jsonl(PL.fixture_candidates(spark, SF001), FS.scratch_path(spark, "label-src"))
+    labels, flag = FS.scratch_path(spark, "labels"), str(tmp_path / "broken")
+
+    def teacher(prompts, flag=flag):
+        import os
+        if len(prompts) > 3 and not os.path.exists(flag) and any('"CAND_0000' in p for p in prompts[3:4]):
+            open(flag, "w").close()
+            os._exit(1)                                   # the worker dies: this part of the job fails
+        return ['{"score": 3, "reasoning": "fine"}' for _ in prompts]
+
+    try:
+        jobs.label_job(spark, src, labels, target_total=60, teacher=teacher, template="{CANDIDATE_JSON}", chunk=20, pause=0)
+    except Exception:  # noqa: BLE001  a task may be retried or not, by the master's setting
+        pass
+    dist = {r.label: r.n for r in jobs.label_job(spark, src, labels, target_total=60, teacher=teacher, template="{CANDIDATE_JSON}", chunk=20, pause=0).collect()}
+    assert dist == {3: 60}
+
+
+def test_prompts_hold_the_raw_record(spark):
+    raw = {"candidate_id": "c1", "unknown": {"é": None}, "skills": [1]}
+    rows = spark.createDataFrame([("c1", json.dumps(raw))], "candidate_id string, value string")
+    got = labeling.render_prompts(rows, "{JOB_DESCRIPTION}:{CANDIDATE_JSON}", "job").first().prompt
+    assert got == "job:" + json.dumps(raw, indent=2)
