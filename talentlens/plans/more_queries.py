@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .. import schema as S
 from ..config import DEFAULT, TrainConfig
 from ..operators import audit, labeling, model, profile
 from ..operators.features import FEATURE_COLUMNS
@@ -665,9 +666,7 @@ def q_jsonl_quarantine(spark, sf):
 def q_jsonl_flatten_career(spark, sf):
     from ..operators.flatten import flatten
     good, _ = FS.read_candidates(spark, _jsonl_copy(spark, sf))
-    cols = ["candidate_id", "career_all_titles", "career_all_companies", "career_all_industries",
-            "career_all_descriptions", "career_num_jobs", "career_total_months", "career_avg_tenure_months",
-            "career_current_company", "career_current_title"]
+    cols = ["candidate_id", *S.CAREER_COLUMNS]
     ints = {"career_num_jobs", "career_total_months"}
     return flatten(good).select(*[F.col(c).cast("long").alias(c) if c in ints else F.col(c) for c in cols])
 

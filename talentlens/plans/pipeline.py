@@ -25,8 +25,7 @@ _STAGED: dict[tuple, str] = {}
 def fixture_candidates(spark: SparkSession, sf_dir: str, cfg: RankConfig = DEFAULT, staged: bool = True) -> DataFrame:
     """Nested candidate records derived from the driver tables.
 
-    The derivation (two windowed top-n passes and joins over ``orders`` and
-    ``lineitem``) plays the role of the reference's input file, so by default
+    The derivation (one pass each over ``orders`` and ``lineitem``, and joins) plays the role of the reference's input file, so by default
     it is written once per session as a Parquet table in the shared checkpoint
     folder and later plans scan that table (column pruning, no recompute,
     survives executor loss).  ``staged=False`` returns the lazy derivation.
@@ -37,7 +36,8 @@ def fixture_candidates(spark: SparkSession, sf_dir: str, cfg: RankConfig = DEFAU
     path = _STAGED.get(key)
     if path is None:
         from ..sources.files import scratch_path, stage_parquet
-        path = stage_parquet(bridge.candidates(spark, sf_dir, cfg.signals_key), scratch_path(spark, "candidates"))
+        rows = bridge.candidates(spark, sf_dir, cfg.signals_key).repartition(spark.sparkContext.defaultParallelism)
+        path = stage_parquet(rows, scratch_path(spark, "candidates"))
         _STAGED[key] = path
     return spark.read.parquet(path)
 

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..config import DEFAULT
 from ..functions.numeric import round_half_even
 from ..operators import engagement, features, integrity, labeling
@@ -69,21 +70,11 @@ EXPLAINED = O.core_explained()
 # P: flatten
 # ---------------------------------------------------------------------------
 
-_PROFILE = ["candidate_id", "profile_headline", "profile_summary", "profile_location", "profile_country",
-            "profile_years_of_exp", "profile_current_title", "profile_current_company",
-            "profile_company_size", "profile_current_industry"]
-_CAREER = ["candidate_id", "career_all_titles", "career_all_companies", "career_all_industries",
-           "career_all_descriptions", "career_num_jobs", "career_total_months", "career_avg_tenure_months",
-           "career_current_company", "career_current_title"]
-_SKILLS = ["candidate_id", "skills_names", "skills_count", "skills_advanced_count",
-           "skills_total_endorsements", "skills_avg_duration"]
-_EDU = ["candidate_id", "edu_highest_degree", "edu_best_tier", "edu_fields", "edu_latest_end_year"]
-_SIG_SCALAR = ["sig_profile_completeness", "sig_signup_date", "sig_last_active_date", "sig_open_to_work",
-               "sig_profile_views_30d", "sig_applications_30d", "sig_response_rate", "sig_avg_response_hours",
-               "sig_connection_count", "sig_endorsements", "sig_notice_period_days", "sig_salary_min",
-               "sig_salary_max", "sig_work_mode", "sig_willing_relocate", "sig_github_score",
-               "sig_search_appear_30d", "sig_saved_recruiters_30d", "sig_interview_completion",
-               "sig_offer_acceptance", "sig_verified_email", "sig_verified_phone", "sig_linkedin_connected"]
+_PROFILE = S.PROFILE_COLUMNS
+_CAREER = ["candidate_id", *S.CAREER_COLUMNS]
+_SKILLS = ["candidate_id", *S.SKILL_COLUMNS]
+_EDU = ["candidate_id", *S.EDUCATION_COLUMNS]
+_SIG_SCALAR = [c for c in S.SIGNAL_COLUMNS if c != "sig_assessment_scores"]
 
 
 def _cast_ints(cols: list[str], ints: set[str]):

@@ -57,10 +57,11 @@ def stream_scores(spark: SparkSession, source_dir: str, sink_dir: str, checkpoin
 
 
 def _latest_snapshot(spark: SparkSession, out_dir: str, before: int | None = None) -> DataFrame | None:
-    try:
-        snaps = spark.read.parquet(out_dir)
-    except Exception:  # noqa: BLE001  (no snapshot yet)
-        return None
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root) or not any(s.getPath().getName().startswith("batch_id=") for s in fs.listStatus(root)):
+        return None                                        # no snapshot yet; a damaged one is an error
+    snaps = spark.read.parquet(out_dir)
     if before is not None:
         snaps = snaps.where(F.col("batch_id") < before)
     last = snaps.agg(F.max("batch_id")).collect()[0][0]

@@ -163,3 +163,12 @@ def test_stream_quarantines_bad_lines(spark):
     qs, qck = FS.scratch_path(spark, "qbad"), FS.scratch_path(spark, "qbadck")
     ST.quarantine_stream(spark, src, qs, qck).awaitTermination()
     assert sorted(r.reason for r in spark.read.parquet(qs).collect()) == ["malformed", "not_object"]
+
+
+def test_damaged_snapshot_is_an_error(spark, tmp_path):
+    from talentlens.streaming import scoring as ST
+    assert ST._latest_snapshot(spark, str(tmp_path / "none")) is None
+    (tmp_path / "s" / "batch_id=0").mkdir(parents=True)
+    (tmp_path / "s" / "batch_id=0" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        ST._latest_snapshot(spark, str(tmp_path / "s")).collect()
