@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, language_id, oracles, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .staging import small_batches
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -66,4 +66,8 @@ def op10_toxicity(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_substring_dedup, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_quality_rules, op7_warc, op8_sharding, op9_byte_level_bpe, op10_toxicity)}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    op3_substring_dedup.__name__: oracles.SUBSTRING_DEDUP,
+    op4_benchmark_decontamination.__name__: oracles.DECONTAMINATION,
+    op7_warc.__name__: oracles.WARC,
+}
