@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import TrainConfig
-#: A fit runs some thousand small jobs over the bounded labelled rows; a few partitions suit them.
-FIT_PARTITIONS = 4
+#: A fit runs some thousand small jobs over the labelled rows, which max_labels bounds: one partition suits them.
+FIT_PARTITIONS = 1
 
 
 def label_join(features: DataFrame, labels: DataFrame, label_col: str = "llm_score") -> DataFrame:
