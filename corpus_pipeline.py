@@ -53,7 +53,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(docs, *vocabulary, keep=["doc_id", "text"]), *vocabulary, keep=["doc_id", "n_tokens", "ids", "text"])
+    decoded = bpe.encode(docs, *vocabulary, keep=["doc_id", "text"], decoded=True)
     return decoded.select("doc_id", "n_tokens", "ids", (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("exact"))
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep
+from .text import tidy
 
 #: Distinct pre-tokens that a worker remembers between blocks, in each of two generations.
 CACHE_WORDS = 200_000
@@ -192,28 +193,30 @@ def replay_of(rank_lines: bytes, pattern: str) -> MergeReplay:
     return MergeReplay(rank_lines, pattern)
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
     """The rows of ``docs`` (columns ``keep``) with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers).
 
-    A null text counts as empty and has no tokens.  Rows stay as they are: repeated rows are
-    encoded alike, an empty table gives an empty table, and no other column is read.
+    With ``decoded`` they also have the bytes that those ids decode to.  A null text counts as empty and
+    has no tokens.  Rows stay as they are: repeated rows are encoded alike, an empty table gives an
+    empty table, and no other column is read.
     """
     with open(rank_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
-    keep = columns_to_keep(docs, keep, ["n_tokens", "ids"])
+    new = ["n_tokens", "ids", *(["decoded"] if decoded else [])]
+    keep = columns_to_keep(docs, keep, new)
     kept = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("bpe_text"))
+    names = [f"k{i}" for i in range(len(keep))]
 
     def run(batches):
         replay = replay_of(*model.value)
         for batch in (b.slice(a, BATCH_ROWS) for b in batches for a in range(0, len(b), BATCH_ROWS)):
             ids = replay.encode(batch.column(len(keep)).fill_null("").to_pylist())
+            back = [pa.array([replay.decode(x) for x in ids], pa.binary())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[*(f"k{i}" for i in range(len(keep))), "n_tokens", "ids"])
+                [*batch.columns[:len(keep)], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *back], names=[*names, *new])
 
-    schema = ", ".join([*(f"k{i} {kept.schema[i].dataType.simpleString()}" for i in range(len(keep))), "n_tokens long", "ids binary"])
-    out = kept.mapInArrow(run, schema)
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "ids")
+    schema = ", ".join([*(f"{n} {kept.schema[i].dataType.simpleString()}" for i, n in enumerate(names)), "n_tokens long, ids binary", *(["decoded binary"] if decoded else [])])
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], *new)
 
 
 def decode(encoded: DataFrame, rank_path: str, pattern: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -231,11 +234,10 @@ def decode(encoded: DataFrame, rank_path: str, pattern: str, ids: str = "ids", k
                                              names=[*(f"k{i}" for i in range(len(keep))), "decoded"])
 
     schema = ", ".join([*(f"k{i} {kept.schema[i].dataType.simpleString()}" for i in range(len(keep))), "decoded binary"])
-    return kept.mapInArrow(run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "decoded")
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "decoded")
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str, text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encoding, and decoding of those ids, of every document."""
-    both = encode(docs, rank_path, pattern, text, ["doc_id"])
-    both = decode(both.withColumn("ids_sha256", F.sha2("ids", 256)), rank_path, pattern, "ids", ["doc_id", "n_tokens", "ids_sha256"])
-    return both.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = encode(docs, rank_path, pattern, text, ["doc_id"], decoded=True)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep
-from .text import ALNUM_BYTES, LOWER_AZ, U64, Rolling, bytes_of, covered, mix, slices, winnow, word_hashes, word_spans
+from .text import ALNUM_BYTES, LOWER_AZ, U64, Rolling, bytes_of, covered, mix, slices, tidy, winnow, word_hashes, word_spans
 
 WINDOW = 10
 GRAM = 5
@@ -194,7 +194,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
 
     schema = ", ".join([*(f"{n} {kept.schema[i].dataType.simpleString()}" for i, n in enumerate(names)),
                         "n_words long, n_hit long, spans array<long>, items array<string>"])
-    return kept.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_words", "n_hit", "spans", "items")
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_words", "n_hit", "spans", "items")
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

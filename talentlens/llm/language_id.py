@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep
+from .text import tidy
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
@@ -135,7 +136,7 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
             yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
                                              names=["lang", "bucket", "n"])
 
-    counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     got = counted.toArrow()
     languages = sorted(set(got.column("lang").to_pylist()))
     if len(languages) > MAX_LANGUAGES:
@@ -166,4 +167,4 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
                                              names=[*names, "lang_pred", "score"])
 
     schema = ", ".join([*(f"{n} {kept.schema[i].dataType.simpleString()}" for i, n in enumerate(names)), "lang_pred string", "score double"])
-    return kept.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score")
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score")

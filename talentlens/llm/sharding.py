@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep, shared_path, stage
+from .text import tidy
 
 SHARDS = 8
 LEAST_RANGES, RANGE_BYTES, MOST_RANGES = 64, 512 << 20, 100_000
@@ -74,7 +75,7 @@ def _ranged(meta: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
             place = range_of(batch.column(1).to_numpy(), batch.column(2).to_numpy(), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place, pa.int32())], names=[*batch.schema.names, "range"])
 
-    return meta.select("seq", "h", "k", "size").mapInArrow(run, "seq long, h long, k long, size long, range int")
+    return meta.select("seq", "h", "k", "size").mapInArrow(tidy(run), "seq long, h long, k long, size long, range int")
 
 
 def assign(staged: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep, connected, stage
-from .text import U64, canonical, slices
+from .text import U64, canonical, slices, tidy
 
 SHINGLE = 3
 DISTANCE = 3
@@ -199,13 +199,13 @@ def links(distinct: DataFrame, distance: int = DISTANCE, block: int = BLOCK) ->
     variants = (distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("w"))
                 .selectExpr("fp", "w", "shiftrightunsigned(fp, 32 * shiftright(w, 5)) & 4294967295L AS segment")
                 .selectExpr("shiftleft(cast(w AS bigint), 32) | (segment & ~shiftleft(1L, w & 31)) AS key", "fp"))
-    found = stage(variants.repartition("key").sortWithinPartitions("key").mapInArrow(_group_links(distance, block), _LINKS), "links")
+    found = stage(variants.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_group_links(distance, block)), _LINKS), "links")
     near = found.where("kind = 0").select("a", "b")
     blocks = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "part")
     parts = blocks.groupBy("key").agg(F.max("part").alias("last"))
     pairs = (blocks.join(parts, "key").select("key", "fp", "part", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
              .select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp"))
-    crossed = pairs.repartition("key").sortWithinPartitions("key").mapInArrow(_group_links(distance, 1 << 62), _LINKS)
+    crossed = pairs.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_group_links(distance, 1 << 62)), _LINKS)
     return near.union(crossed.select("a", "b"))
 
 
@@ -222,7 +222,7 @@ def fingerprint_rows(docs: DataFrame, text: str = "text", keep: list[str] | None
                 yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], pa.array(fingerprints(raw, bounds, shingle).view(np.int64))], names=[*names, "fp"])
 
     schema = ", ".join([*(f"{n} {kept.schema[i].dataType.simpleString()}" for i, n in enumerate(names)), "fp long"])
-    return kept.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "fp")
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "fp")
 
 
 def hex64(c: str | Column) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep, release, stage
-from .text import Rolling, canonical, covered, mix, slices, winnow, word_hashes, word_spans
+from .text import Rolling, canonical, covered, mix, slices, tidy, winnow, word_hashes, word_spans
 
 WINDOW = 50
 GRAM = 16
@@ -240,7 +240,7 @@ def _stream(window: int):
 def _streamed(passages: DataFrame, window: int) -> DataFrame:
     shard = ["r", "rt", "block", "copy"]
     return (passages.select("kind", *_PASSAGE).repartition(*shard).sortWithinPartitions(*shard, "kind")
-            .mapInArrow(_stream(window), "kind int, anchor long, id long, tag int, pos int, stop int"))
+            .mapInArrow(tidy(_stream(window)), "kind int, anchor long, id long, tag int, pos int, stop int"))
 
 
 def _cut(keep_n: int, rejoin: bool = True):
@@ -290,19 +290,19 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     rows = _keyed(docs, text, keep)
     types = [f.dataType.simpleString() for f in rows.schema.fields[:len(keep)]]
     kept_schema = "".join(f"k{i} {t}, " for i, t in enumerate(types))
-    anchors = stage(rows.select("id", "tag", "body").mapInArrow(_anchors(window, gram), "anchor long, id long, tag int, pos int"), "anchors")
+    anchors = stage(rows.select("id", "tag", "body").mapInArrow(tidy(_anchors(window, gram)), "anchor long, id long, tag int, pos int"), "anchors")
     spread = stage(rows.join(_entries(anchors), ["id", "tag"], "left").select(*[f"k{i}" for i in range(len(keep))], "id", "tag", "body", "entries")
-                   .mapInArrow(_spread(len(keep), window, gram, True, rejoin), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
+                   .mapInArrow(tidy(_spread(len(keep), window, gram, True, rejoin)), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
     release(docs.sparkSession)
     first = stage(_streamed(spread.where("kind >= 2"), window), "matches")
     missed = first.where("kind = 1").select("anchor", "id", "tag", "pos").distinct()
     second = (spread.where("kind = 1").select("id", "tag", "body").join(_entries(missed), ["id", "tag"])
-              .mapInArrow(_spread(0, window, window, False), f"kind int, {_PASSAGE_SCHEMA}"))
+              .mapInArrow(tidy(_spread(0, window, window, False)), f"kind int, {_PASSAGE_SCHEMA}"))
     hits = first.where("kind = 0").union(_streamed(second, window).where("kind = 0"))
     spans = hits.groupBy("id", "tag").agg(F.collect_set(F.struct("pos", "stop")).alias("spans"))
     names = [f"k{i}" for i in range(len(keep))]
     cut = (spread.where("kind = 1").select(*names, "n_words", "body", "id", "tag").join(spans, ["id", "tag"], "left").select(*names, "n_words", "body", "spans")
-           .mapInArrow(_cut(len(keep), rejoin), f"{kept_schema}n_words long, n_removed long, kept_text string"))
+           .mapInArrow(tidy(_cut(len(keep), rejoin)), f"{kept_schema}n_words long, n_removed long, kept_text string"))
     clean = spread.where("kind = 0").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("body").alias("kept_text"))
     return clean.union(cut).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_words", "n_removed", "kept_text")
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep, release, stage
-from .text import U64, Rolling, covered, difference_cover, mix, slices
+from .text import U64, Rolling, covered, difference_cover, mix, slices, tidy
 
 LENGTH = 400
 #: v = 133, 12 places of the cover.
@@ -274,24 +274,24 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, le
     buckets = max(MIN_BUCKETS, total // BUCKET_BYTES)
 
     def sorted_by_bucket(suffixes, cover):
-        return suffixes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_buckets(cover), "id long, tag int, entry long")
+        return suffixes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_sort_buckets(cover)), "id long, tag int, entry long")
 
     def by_document(places, name):
         return places.groupBy("id", "tag").agg(F.collect_list("entry").alias(name))
 
     long_enough = rows.where(F.octet_length("body") >= length)
     entries = stage(by_document(sorted_by_bucket(
-        long_enough.select("id", "tag", "body").mapInArrow(_cover_suffixes(length, q, buckets), _BUCKET_SCHEMA), True), "entries"), "ties")
+        long_enough.select("id", "tag", "body").mapInArrow(tidy(_cover_suffixes(length, q, buckets)), _BUCKET_SCHEMA), True), "entries"), "ties")
     release(spark)
     undecided = entries.where(F.exists("entries", lambda e: e.bitwiseAND(2) > 0))
     more = stage(by_document(sorted_by_bucket(
         long_enough.select("id", "tag", "body").join(undecided, ["id", "tag"]).select("id", "tag", "body", "entries")
-        .mapInArrow(_open_suffixes(length, q, buckets), _BUCKET_SCHEMA), False), "more"), "ends")
+        .mapInArrow(tidy(_open_suffixes(length, q, buckets)), _BUCKET_SCHEMA), False), "more"), "ends")
     release(spark)
     names = [f"k{i}" for i in range(len(keep))]
     types = [rows.schema[n].dataType.simpleString() for n in names]
     out = (rows.join(entries, ["id", "tag"], "left").join(more, ["id", "tag"], "left").select(*names, "body", "entries", "more")
-           .mapInArrow(_cut(len(keep), length, q), "".join(f"{n} {t}, " for n, t in zip(names, types, strict=True)) + "n_bytes long, n_removed long, spans array<long>, kept binary"))
+           .mapInArrow(tidy(_cut(len(keep), length, q)), "".join(f"{n} {t}, " for n, t in zip(names, types, strict=True)) + "n_bytes long, n_removed long, spans array<long>, kept binary"))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_bytes", "n_removed", "spans", "kept")
 
 

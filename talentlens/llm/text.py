@@ -7,6 +7,7 @@ here knows about Spark; the operators call it from ``mapInArrow``.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -14,6 +15,24 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+
+
+def tidy(run):
+    """An Arrow function that gives the memory it freed back to the system at its end.
+
+    Python workers live on from task to task and stage to stage; what their allocators keep counts
+    against the executor all the while.
+    """
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # glibc only
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 #: Text bytes handled at once; one longer document is handled alone.
 SLICE_BYTES = 1 << 20
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .staging import columns_to_keep
-from .text import ALNUM_BYTES, LOWER_AZ, U64, mix, slices, word_hashes, word_spans
+from .text import ALNUM_BYTES, LOWER_AZ, U64, mix, slices, tidy, word_hashes, word_spans
 
 BITS = 20
 MAX_ROWS = 16_000
@@ -112,8 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, params: Ft
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(w[at], pa.float64())], names=["feature", "weight"])
 
-    features = keyed.mapInArrow(extract, "k long, y int, features binary")
-    got = features.repartition(1).mapInArrow(learn, "feature int, weight double").toArrow()
+    features = keyed.mapInArrow(tidy(extract), "k long, y int, features binary")
+    got = features.repartition(1).mapInArrow(tidy(learn), "feature int, weight double").toArrow()
     return got.column("feature").to_numpy(), got.column("weight").to_numpy()
 
 
@@ -148,4 +148,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "te
                                                  names=[*names, "score", "predicted"])
 
     schema = ", ".join([*(f"{n} {kept.schema[i].dataType.simpleString()}" for i, n in enumerate(names)), "score double", "predicted int"])
-    return kept.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "score", "predicted")
+    return kept.mapInArrow(tidy(run), schema).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "score", "predicted")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .staging import shared_path, stage
+from .text import tidy
 
 ARCHIVE_BYTES = 16 << 20
 DATE = "20260101000000"
@@ -183,7 +184,7 @@ def write_arc(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -
             yield archive(number, held)
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    _written(rows.mapInArrow(run, "archive string, value string"), path, "\n")
+    _written(rows.mapInArrow(tidy(run), "archive string, value string"), path, "\n")
 
 
 _INDEX = "archive string, offset long, record string, page_id long, n long, digest string"
@@ -203,7 +204,7 @@ def index_arc(spark: SparkSession, path: str) -> DataFrame:
                     kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["archive", "offset", "record", "page_id", "n", "digest"])
 
-    return _files(spark, path).mapInArrow(run, _INDEX)
+    return _files(spark, path).mapInArrow(tidy(run), _INDEX)
 
 
 def convert_archives(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST) -> None:
@@ -224,7 +225,7 @@ def convert_archives(spark: SparkSession, arc_path: str, warc_path: str, least:
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([warc], pa.binary()).cast(pa.string())], names=["archive", "value"])
 
     both = _files(spark, arc_path).join(revisits, "archive", "left").select("archive", "content", "revisits")
-    _written(both.mapInArrow(run, "archive string, value string"), warc_path, "\r\n\r\n")
+    _written(both.mapInArrow(tidy(run), "archive string, value string"), warc_path, "\r\n\r\n")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -252,7 +253,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
                                                      names=["record", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_record"])
 
-    return _files(spark, path).mapInArrow(run, "record string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_record string")
+    return _files(spark, path).mapInArrow(tidy(run), "record string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_record string")
 
 
 def digests(pages: DataFrame) -> DataFrame:
