@@ -28,7 +28,7 @@ WINDOW = 50
 GRAM = 16
 SHARD_WORDS = 256
 #: Anchors of one shard that go to one copy of its automaton.
-SHARE = 2000
+SHARE = 200
 NO_ID = (1 << 63) - 1
 
 
