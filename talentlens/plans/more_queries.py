@@ -517,7 +517,7 @@ SIG_LONG = "sig_long AS (" + " UNION ALL ".join(
         "sig_interview_completion", "sig_search_appear_30d", "sig_saved_recruiters_30d", "sig_github_score",
         "sig_offer_acceptance"])) + ")"
 
-PROFILE_BASE = CORE + ",\ncustomer_k AS (SELECT c_custkey AS k FROM customer),\n" + EDU_ENTRIES + ",\n" + SIG_LONG + \
+PROFILE_BASE = CORE + ",\ncustomer_k AS (SELECT k FROM cbase),\n" + EDU_ENTRIES + ",\n" + SIG_LONG + \
     ",\nyears_long AS (SELECT 'years' AS g, profile_years_of_exp AS v FROM cand)"
 
 PROFILE_SECTIONS = {
