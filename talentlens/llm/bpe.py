@@ -28,7 +28,7 @@ from .staging import columns_to_keep
 from .text import tidy
 
 #: Distinct pre-tokens that a worker remembers between blocks, in each of two generations.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Characters of text, and new pre-tokens, replayed together.
 BLOCK_CHARS = 1 << 20
 BLOCK_WORDS = 40_000
@@ -102,6 +102,7 @@ class MergeReplay:
         at = at[np.argsort(rank_at[at], kind="stable")]
         ranks, cut = np.unique(rank_at[at], return_index=True)
         index = {r: p.tolist() for r, p in zip(ranks.tolist(), np.split(at, cut[1:]), strict=True)} if len(at) else {}
+        merge_at = [*rank_at.tolist(), -1]       # the merge that applies to a token and the one after it
         heap = list(index)
         heapq.heapify(heap)
         while heap:
@@ -111,22 +112,24 @@ class MergeReplay:
             held = -1                            # up to here an earlier merge goes first in this word
             again: list[int] = []
             for i in places:
-                a = ids[i]
-                if a < 0:
-                    continue
-                j = after[i]
-                b = ids[j]
-                if b < 0 or get(a << shift | b) != rank:
+                if merge_at[i] != rank:          # gone, or merged with another neighbour
                     continue
                 if i < held:
                     again.append(i)
                     continue
+                j = after[i]
+                k = after[j]
                 ids[i] = rank
                 ids[j] = -2                      # gone
-                k = after[j]
+                merge_at[j] = -1
                 after[i] = k
                 before[k] = i
-                if ids[k] >= 0 and (r := get(rank << shift | ids[k])) is not None:
+                c = ids[k]
+                r = get(rank << shift | c) if c >= 0 else None
+                if r is None:
+                    merge_at[i] = -1
+                else:
+                    merge_at[i] = r
                     if r in index:
                         index[r].append(i)
                     else:
@@ -134,15 +137,21 @@ class MergeReplay:
                         heapq.heappush(heap, r)
                     if r < rank:
                         held = ids.index(-1, i)
-                h = before[i]
-                if h >= 0 and ids[h] >= 0 and (r := get(ids[h] << shift | rank)) is not None:
-                    if r in index:
-                        index[r].append(h)
+                h = before[i]                    # before the first token: the last fence
+                c = ids[h]
+                if c >= 0:
+                    r = get(c << shift | rank)
+                    if r is None:
+                        merge_at[h] = -1
                     else:
-                        index[r] = [h]
-                        heapq.heappush(heap, r)
-                    if r < rank:
-                        held = ids.index(-1, i)
+                        merge_at[h] = r
+                        if r in index:
+                            index[r].append(h)
+                        else:
+                            index[r] = [h]
+                            heapq.heappush(heap, r)
+                        if r < rank:
+                            held = ids.index(-1, i)
             if again:
                 if rank in index:
                     index[rank] += again
