@@ -261,7 +261,7 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, le
 
     Strings are judged on the input.  A null text counts as empty; texts shorter than ``length`` keep all
     their bytes.  Every row is a document of its own: rows that repeat, with one doc_id or none, are copies
-    of each other.  An empty table gives an empty table.
+    of each other.  An empty table gives an empty table.  A text may have up to 512 MB (places have 29 bits).
     """
     spark = docs.sparkSession
     keep = columns_to_keep(docs, keep, ["n_bytes", "n_removed", "spans", "kept"])
