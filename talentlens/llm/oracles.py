@@ -44,3 +44,19 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + {_BIT} AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to
 FROM x"""
+
+#: Bytes that a 400-byte string covers which also starts anywhere else.
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+win AS (SELECT doc_id, s, md5(array_slice(b, s, s + 399)) AS g FROM (SELECT doc_id, b, unnest(range(1, n - 398)) AS s FROM d WHERE n >= 400)),
+often AS (SELECT doc_id, s FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)),
+cut AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400 THEN 0 ELSE 1 END AS fresh FROM often),
+run AS (SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM cut),
+span AS (SELECT doc_id, min(s) AS a, max(s) + 400 AS e FROM run GROUP BY doc_id, r),
+piece AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 1) AS f, a AS t FROM span
+  UNION ALL SELECT d.doc_id, coalesce(x.e, 1), d.n + 1 FROM d LEFT JOIN (SELECT doc_id, max(e) AS e FROM span GROUP BY doc_id) x USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(hex(array_slice(b, f, t - 1)), '' ORDER BY f) AS h FROM piece JOIN d USING (doc_id) WHERE t > f GROUP BY doc_id),
+gone AS (SELECT doc_id, CAST(sum(e - a) AS BIGINT) AS removed, count(*) AS spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(h, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)"""

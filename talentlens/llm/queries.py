@@ -67,6 +67,7 @@ def op10_toxicity(spark, sf):
 
 QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_substring_dedup, op4_benchmark_decontamination, op5_simhash_near_dedup, op6_quality_rules, op7_warc, op8_sharding, op9_byte_level_bpe, op10_toxicity)}
 ORACLE = {
+    op1_suffix_array_dedup.__name__: oracles.SUFFIX_DEDUP,
     op3_substring_dedup.__name__: oracles.SUBSTRING_DEDUP,
     op4_benchmark_decontamination.__name__: oracles.DECONTAMINATION,
     op7_warc.__name__: oracles.WARC,
