@@ -7,6 +7,9 @@ ids in md5 order, dealt in turn, so their sizes differ by at most one.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -87,15 +90,20 @@ def regression_metrics(pred: DataFrame, label_col: str = "llm_score", group: str
 def cross_validate(train: DataFrame, cols: list[str], tc: TrainConfig = TrainConfig()) -> DataFrame:
     """K fits on the folds' complements; per-fold RMSE/MAE rows (k rows, computed here)."""
     data = with_folds(impute(bounded_labels(train, tc), cols), tc.folds, tc.fold_seed).coalesce(FIT_PARTITIONS).cache()
-    try:
-        rows = []
-        for k in range(tc.folds):
-            model = _pipeline(cols, tc).fit(data.where(F.col("fold") != k))
-            m = regression_metrics(model.transform(data.where(F.col("fold") == k)), tc.label_col).first()
-            rows.append((k, m["rmse"], m["mae"], m["n"]))
+    spark = train.sparkSession
+
+    def one(k: int) -> tuple:
+        model = _pipeline(cols, tc).fit(data.where(F.col("fold") != k))
+        m = regression_metrics(model.transform(data.where(F.col("fold") == k)), tc.label_col).first()
+        return k, m["rmse"], m["mae"], m["n"]
+
+    try:                                             # the folds' many small jobs run side by side
+        data.count()
+        with ThreadPoolExecutor(tc.folds) as pool:
+            rows = list(pool.map(inheritable_thread_target(spark)(one), range(tc.folds)))
     finally:
         data.unpersist()
-    return train.sparkSession.createDataFrame(rows, "fold int, rmse double, mae double, n long")
+    return spark.createDataFrame(rows, "fold int, rmse double, mae double, n long")
 
 
 def fit(train: DataFrame, cols: list[str], tc: TrainConfig = TrainConfig()) -> PipelineModel:
