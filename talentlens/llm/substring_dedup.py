@@ -83,10 +83,10 @@ class SuffixAutomaton:
 
 
 def _keyed(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """k0.. (the columns to keep), id, tag (tells rows of one id apart by their text), body."""
+    """k0.. (the columns to keep), id, seq (the number of the row, tells rows of one id apart), body."""
     return docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)],
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.hash(F.col(f"`{text}`").cast("string")).alias("tag"), F.col(f"`{text}`").cast("string").alias("body"))
+                       F.monotonically_increasing_id().alias("seq"), F.col(f"`{text}`").cast("string").alias("body"))
 
 
 def _anchors(window: int, gram: int):
@@ -101,29 +101,29 @@ def _anchors(window: int, gram: int):
                 part = batch.slice(row, len(bounds) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[at].view(np.int64)), part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc)), pa.array((at - first[doc]).astype(np.int32))],
-                    names=["anchor", "id", "tag", "pos"])
+                    names=["anchor", "id", "seq", "pos"])
 
     return run
 
 
 def _entries(anchors: DataFrame) -> DataFrame:
-    """(id, tag, entries) of every document with an anchor that documents of different ids hold.
+    """(id, seq, entries) of every document with an anchor that documents of different ids hold.
 
     An entry is the anchor's place, its reference shard and the number of copies of that shard.
     """
-    place = F.struct("id", "tag", "pos")
+    place = F.struct("id", "seq", "pos")
     classes = (anchors.groupBy("anchor").agg(F.min(place).alias("ref"), F.max("id").alias("top"), F.count(F.lit(1)).alias("n")).where("ref.id < top")
-               .select("anchor", "ref", "n", F.struct("ref.id", "ref.tag", F.floor(F.col("ref.pos") / SHARD_WORDS).cast("int").alias("block")).alias("shard")))
+               .select("anchor", "ref", "n", F.struct("ref.id", "ref.seq", F.floor(F.col("ref.pos") / SHARD_WORDS).cast("int").alias("block")).alias("shard")))
     classes = stage(classes, "classes")
     copies = classes.groupBy("shard").agg(F.ceil(F.sum("n") / SHARE).cast("int").alias("copies"))
     live = classes.join(copies, "shard").select("anchor", "ref", "shard", "copies")
     return (anchors.join(live, "anchor")
-            .select("id", "tag", F.struct("pos", F.col("shard.id").alias("r"), F.col("shard.tag").alias("rt"), F.col("shard.block").alias("block"), "copies",
-                                          (F.struct("id", "tag", "pos") == F.col("ref")).alias("is_ref")).alias("e"))
-            .groupBy("id", "tag").agg(F.collect_list("e").alias("entries")))
+            .select("id", "seq", F.struct("pos", F.col("shard.id").alias("r"), F.col("shard.seq").alias("rs"), F.col("shard.block").alias("block"), "copies",
+                                          (F.struct("id", "seq", "pos") == F.col("ref")).alias("is_ref")).alias("e"))
+            .groupBy("id", "seq").agg(F.collect_list("e").alias("entries")))
 
 
-def _passages(words: np.ndarray, entries: list[dict], id_: int, tag: int, window: int, gram: int):
+def _passages(words: np.ndarray, entries: list[dict], id_: int, seq: int, window: int, gram: int):
     """Reference passages (kind 2, one per copy) and query runs (kind 3) of one document."""
     reach, n = window - gram, len(words)
     refs, queries = {}, {}
@@ -131,14 +131,14 @@ def _passages(words: np.ndarray, entries: list[dict], id_: int, tag: int, window
         if e["is_ref"]:
             refs[e["block"]] = e["copies"]
         else:
-            queries.setdefault((e["r"], e["rt"], e["block"], e["copies"]), set()).add(e["pos"])
+            queries.setdefault((e["r"], e["rs"], e["block"], e["copies"]), set()).add(e["pos"])
     for block, copies in refs.items():
         lo, hi = max(0, block * SHARD_WORDS - reach), min(n, (block + 1) * SHARD_WORDS + window)
         passage = words[lo:hi].tobytes()
         for copy in range(copies):
-            yield 2, id_, tag, block, copy, id_, tag, lo, passage
-    for (r, rt, block, copies), places in queries.items():
-        copy = (id_ * 31 + tag) % copies
+            yield 2, id_, seq, block, copy, id_, seq, lo, passage
+    for (r, rs, block, copies), places in queries.items():
+        copy = (id_ * 31 + seq) % copies
         lo = hi = None                                     # window starts of the run so far
         for p in [*sorted(places), None]:
             if p is not None and hi is not None and p - reach <= hi + 1:
@@ -147,14 +147,14 @@ def _passages(words: np.ndarray, entries: list[dict], id_: int, tag: int, window
             if hi is not None:
                 begin, end = max(0, lo), min(n, hi + window)
                 if end - begin >= window:
-                    yield 3, r, rt, block, copy, id_, tag, begin, words[begin:end].tobytes()
+                    yield 3, r, rs, block, copy, id_, seq, begin, words[begin:end].tobytes()
             if p is not None:
                 lo, hi = p - reach, p
 
 
-_PASSAGE = ["r", "rt", "block", "copy", "id", "tag", "start", "words"]
-_PASSAGE_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-_PASSAGE_SCHEMA = "r long, rt int, block int, copy int, id long, tag int, start int, words binary"
+_PASSAGE = ["r", "rs", "block", "copy", "id", "seq", "start", "words"]
+_PASSAGE_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+_PASSAGE_SCHEMA = "r long, rs long, block int, copy int, id long, seq long, start int, words binary"
 
 
 def _spread(keep_n: int, window: int, gram: int, with_text: bool, rejoin: bool = True):
@@ -164,7 +164,7 @@ def _spread(keep_n: int, window: int, gram: int, with_text: bool, rejoin: bool =
     def run(batches):
         for batch in batches:
             entries_col = batch.column(batch.schema.get_field_index("entries"))
-            ids, tags = (batch.column(batch.schema.get_field_index(c)) for c in ("id", "tag"))
+            ids, seqs = (batch.column(batch.schema.get_field_index(c)) for c in ("id", "seq"))
             for row, raw, bounds in slices(batch, "body"):
                 n = len(bounds) - 1
                 part = batch.slice(row, n)
@@ -175,14 +175,14 @@ def _spread(keep_n: int, window: int, gram: int, with_text: bool, rejoin: bool =
                 if has.any():
                     words = word_hashes(text, starts, ends)
                     for i in np.flatnonzero(has).tolist():
-                        out += _passages(words[first[i]:first[i + 1]], entries[i].as_py(), ids[row + i].as_py(), tags[row + i].as_py(), window, gram)
+                        out += _passages(words[first[i]:first[i + 1]], entries[i].as_py(), ids[row + i].as_py(), seqs[row + i].as_py(), window, gram)
                 columns = [list(c) for c in zip(*out, strict=True)] if out else [[] for _ in range(9)]
                 if with_text:
                     data = text.tobytes() if rejoin else raw.tobytes()
                     texts = ([data[starts[a]:ends[b - 1]] if b > a else b"" for a, b in zip(first[:-1], first[1:], strict=True)] if rejoin
                              else [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
                     empty = [pa.nulls(n, t) for t in _PASSAGE_TYPES]
-                    empty[4], empty[5] = part.column(batch.schema.get_field_index("id")), part.column(batch.schema.get_field_index("tag"))
+                    empty[4], empty[5] = part.column(batch.schema.get_field_index("id")), part.column(batch.schema.get_field_index("seq"))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(has.astype(np.int32)), *part.columns[:keep_n], pa.array(np.diff(first)), pa.array(texts, pa.binary()).cast(pa.string()), *empty],
                         names=["kind", *names, "n_words", "body", *_PASSAGE])
@@ -205,7 +205,7 @@ def _stream(window: int):
         shard, automaton = None, None
         for batch in (b.slice(a, 500) for b in batches for a in range(0, len(b), 500)):
             runs, missed = [], []
-            for kind, *key, id_, tag, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind, *key, id_, seq, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = np.frombuffer(words, np.uint64)
                 if kind == 2:
                     if key != shard:
@@ -217,30 +217,30 @@ def _stream(window: int):
                 if id_ > key[0] and len(ends):
                     inside = covered(ends - window + 1, ends + 1, len(tokens))
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
-                    runs += [(id_, tag, start + s, start + e) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
+                    runs += [(id_, seq, start + s, start + e) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)]
                 left = np.flatnonzero(~hit)
                 if len(left):
-                    missed.append((mix(Rolling(tokens).every(window))[left].view(np.int64), id_, tag, start + left))
+                    missed.append((mix(Rolling(tokens).every(window))[left].view(np.int64), id_, seq, start + left))
             n = len(runs)
             if n:
                 i, g, s, e = zip(*runs, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(i, pa.int64()), pa.array(g, pa.int32()), pa.array(s, pa.int32()), pa.array(e, pa.int32())],
-                                                 names=["kind", "anchor", "id", "tag", "pos", "stop"])
+                yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(i, pa.int64()), pa.array(g, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())],
+                                                 names=["kind", "anchor", "id", "seq", "pos", "stop"])
             if missed:
                 keys, i, g, p = zip(*missed, strict=True)
                 sizes = [len(k) for k in keys]
                 n = sum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(n, np.int32)), pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(i, np.int64), sizes)), pa.array(np.repeat(np.array(g, np.int32), sizes)),
-                     pa.array(np.concatenate(p).astype(np.int32)), pa.nulls(n, pa.int32())], names=["kind", "anchor", "id", "tag", "pos", "stop"])
+                    [pa.array(np.ones(n, np.int32)), pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(i, np.int64), sizes)), pa.array(np.repeat(np.array(g, np.int64), sizes)),
+                     pa.array(np.concatenate(p).astype(np.int32)), pa.nulls(n, pa.int32())], names=["kind", "anchor", "id", "seq", "pos", "stop"])
 
     return run
 
 
 def _streamed(passages: DataFrame, window: int) -> DataFrame:
-    shard = ["r", "rt", "block", "copy"]
+    shard = ["r", "rs", "block", "copy"]
     return (passages.select("kind", *_PASSAGE).repartition(*shard).sortWithinPartitions(*shard, "kind")
-            .mapInArrow(tidy(_stream(window)), "kind int, anchor long, id long, tag int, pos int, stop int"))
+            .mapInArrow(tidy(_stream(window)), "kind int, anchor long, id long, seq long, pos int, stop int"))
 
 
 def _cut(keep_n: int, rejoin: bool = True):
@@ -287,21 +287,21 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, wi
     from each other, whether their texts are the same or not.  An empty table gives an empty table.
     """
     keep = columns_to_keep(docs, keep, ["n_words", "n_removed", "kept_text"])
-    rows = _keyed(docs, text, keep)
+    rows = stage(_keyed(docs, text, keep), "rows")
     types = [f.dataType.simpleString() for f in rows.schema.fields[:len(keep)]]
     kept_schema = "".join(f"k{i} {t}, " for i, t in enumerate(types))
-    anchors = stage(rows.select("id", "tag", "body").mapInArrow(tidy(_anchors(window, gram)), "anchor long, id long, tag int, pos int"), "anchors")
-    spread = stage(rows.join(_entries(anchors), ["id", "tag"], "left").select(*[f"k{i}" for i in range(len(keep))], "id", "tag", "body", "entries")
+    anchors = stage(rows.select("id", "seq", "body").mapInArrow(tidy(_anchors(window, gram)), "anchor long, id long, seq long, pos int"), "anchors")
+    spread = stage(rows.join(_entries(anchors), ["id", "seq"], "left").select(*[f"k{i}" for i in range(len(keep))], "id", "seq", "body", "entries")
                    .mapInArrow(tidy(_spread(len(keep), window, gram, True, rejoin)), f"kind int, {kept_schema}n_words long, body string, {_PASSAGE_SCHEMA}"), "passages")
     release(docs.sparkSession)
     first = stage(_streamed(spread.where("kind >= 2"), window), "matches")
-    missed = first.where("kind = 1").select("anchor", "id", "tag", "pos").distinct()
-    second = (spread.where("kind = 1").select("id", "tag", "body").join(_entries(missed), ["id", "tag"])
+    missed = first.where("kind = 1").select("anchor", "id", "seq", "pos").distinct()
+    second = (spread.where("kind = 1").select("id", "seq", "body").join(_entries(missed), ["id", "seq"])
               .mapInArrow(tidy(_spread(0, window, window, False)), f"kind int, {_PASSAGE_SCHEMA}"))
     hits = first.where("kind = 0").union(_streamed(second, window).where("kind = 0"))
-    spans = hits.groupBy("id", "tag").agg(F.collect_set(F.struct("pos", "stop")).alias("spans"))
+    spans = hits.groupBy("id", "seq").agg(F.collect_set(F.struct("pos", "stop")).alias("spans"))
     names = [f"k{i}" for i in range(len(keep))]
-    cut = (spread.where("kind = 1").select(*names, "n_words", "body", "id", "tag").join(spans, ["id", "tag"], "left").select(*names, "n_words", "body", "spans")
+    cut = (spread.where("kind = 1").select(*names, "n_words", "body", "id", "seq").join(spans, ["id", "seq"], "left").select(*names, "n_words", "body", "spans")
            .mapInArrow(tidy(_cut(len(keep), rejoin)), f"{kept_schema}n_words long, n_removed long, kept_text string"))
     clean = spread.where("kind = 0").select(*names, "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("body").alias("kept_text"))
     return clean.union(cut).select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_words", "n_removed", "kept_text")

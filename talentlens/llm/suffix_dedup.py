@@ -37,9 +37,8 @@ BUCKET_BYTES = 8 << 20
 MIN_BUCKETS = 256
 #: Bytes of text whose suffixes a task merges before they are shuffled.
 FLUSH_BYTES = 8 << 20
-NO_ID = (1 << 63) - 1
 
-_PLACE = np.dtype([("id", "<i8"), ("tag", "<i4"), ("pos", "<i4")])
+_PLACE = np.dtype([("seq", "<i8"), ("pos", "<i4")])
 _MULTI = 1 << 30          # flag in pos: stands for several ties of its task
 _WANTED = 1 << 29         # flag in pos: the document asks whether this suffix ties
 _POS = _WANTED - 1
@@ -47,18 +46,16 @@ _BUCKET_SCHEMA = "bucket int, cls binary, grp binary, n int, places binary, n_do
 
 
 def _pack(places: np.ndarray) -> bytes:
-    ids = np.diff(places["id"], prepend=np.int64(0))
-    return pa.Codec("zstd", compression_level=1).compress(
-        ids.tobytes() + np.ascontiguousarray(places["tag"]).tobytes() + np.ascontiguousarray(places["pos"]).tobytes(), asbytes=True) if len(places) else b""
+    seqs = np.diff(places["seq"], prepend=np.int64(0))
+    return pa.Codec("zstd", compression_level=1).compress(seqs.tobytes() + np.ascontiguousarray(places["pos"]).tobytes(), asbytes=True) if len(places) else b""
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
     out = np.zeros(n, _PLACE)
     if n:
-        raw = pa.Codec("zstd").decompress(data, decompressed_size=16 * n, asbytes=True)
-        out["id"] = np.cumsum(np.frombuffer(raw, "<i8", n))
-        out["tag"] = np.frombuffer(raw, "<i4", n, 8 * n)
-        out["pos"] = np.frombuffer(raw, "<i4", n, 12 * n)
+        raw = pa.Codec("zstd").decompress(data, decompressed_size=12 * n, asbytes=True)
+        out["seq"] = np.cumsum(np.frombuffer(raw, "<i8", n))
+        out["pos"] = np.frombuffer(raw, "<i4", n, 8 * n)
     return out
 
 
@@ -107,7 +104,7 @@ def _cover_suffixes(length: int, q: int, buckets: int):
     def run(batches):
         out, size = _Buckets(buckets), 0
         for batch in batches:
-            ids, tags = (batch.column(i).to_numpy() for i in range(2))
+            seqs = batch.column(0).to_numpy()
             for row, raw, bounds in slices(batch, "body"):
                 n = np.diff(bounds)
                 at = np.sort((np.arange(0, int(n.max()) // v + 1)[:, None] * v + cover).ravel())
@@ -122,7 +119,7 @@ def _cover_suffixes(length: int, q: int, buckets: int):
                 shape = (begin + p - lo).astype(U64) * U64(1 << 20) + (hi - begin - p).astype(U64)
                 wide = mix(rolling.window(lo, hi) + mix(shape))
                 places = np.zeros(len(p), _PLACE)
-                places["id"], places["tag"], places["pos"] = ids[row + doc], tags[row + doc], p
+                places["seq"], places["pos"] = seqs[row + doc], p
                 out.add(narrow, narrow & U64(0xFFFFFFFF), wide, places)
                 size += len(raw)
                 if size >= FLUSH_BYTES:
@@ -165,8 +162,8 @@ def _sort_buckets(cover: bool):
         for a in range(0, len(at), 50_000):
             some = at[a:a + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(places["id"][some]), pa.array(places["tag"][some]), pa.array((places["pos"][some] & _POS).astype(np.int64) << 2 | kind[some])],
-                names=["id", "tag", "entry"])
+                [pa.array(places["seq"][some]), pa.array((places["pos"][some] & _POS).astype(np.int64) << 2 | kind[some])],
+                names=["seq", "entry"])
 
     def run(batches):
         held = []
@@ -195,8 +192,8 @@ def _open_suffixes(length: int, q: int, buckets: int):
     def run(batches):
         out, size = _Buckets(buckets), 0
         for batch in batches:
-            ids, tags = (batch.column(i).to_numpy() for i in range(2))
-            entries = batch.column(3)
+            seqs = batch.column(0).to_numpy()
+            entries = batch.column(2)
             for row, raw, bounds in slices(batch, "body"):
                 n, parts = np.diff(bounds), []
                 for i in range(len(n)):
@@ -207,7 +204,7 @@ def _open_suffixes(length: int, q: int, buckets: int):
                     inside = np.concatenate([[0], np.cumsum(covered(lo, hi, int(n[i])))])
                     wanted = inside[starts + length] - inside[starts] < length
                     places = np.zeros(len(starts), _PLACE)
-                    places["id"], places["tag"], places["pos"] = ids[row + i], tags[row + i], starts | np.where(wanted, _WANTED, 0)
+                    places["seq"], places["pos"] = seqs[row + i], starts | np.where(wanted, _WANTED, 0)
                     parts.append((starts + bounds[i], places))
                 at = np.concatenate([s for s, _ in parts])
                 one, two = (mix(Rolling(raw, k).window(at, at + length)) for k in (0, 1))
@@ -268,29 +265,28 @@ def dedup(docs: DataFrame, text: str = "text", keep: list[str] | None = None, le
     if length - difference_cover(q)[0] < 1:
         raise ValueError("the difference cover must be shorter than the strings")
     body = F.col(f"`{text}`").cast("string")
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash(body).alias("tag"), body.alias("body"),
-                       *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("seq"), body.alias("body"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]), "rows")
     total = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, total // BUCKET_BYTES)
 
     def sorted_by_bucket(suffixes, cover):
-        return suffixes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_sort_buckets(cover)), "id long, tag int, entry long")
+        return suffixes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_sort_buckets(cover)), "seq long, entry long")
 
     def by_document(places, name):
-        return places.groupBy("id", "tag").agg(F.collect_list("entry").alias(name))
+        return places.groupBy("seq").agg(F.collect_list("entry").alias(name))
 
     long_enough = rows.where(F.octet_length("body") >= length)
     entries = stage(by_document(sorted_by_bucket(
-        long_enough.select("id", "tag", "body").mapInArrow(tidy(_cover_suffixes(length, q, buckets)), _BUCKET_SCHEMA), True), "entries"), "ties")
+        long_enough.select("seq", "body").mapInArrow(tidy(_cover_suffixes(length, q, buckets)), _BUCKET_SCHEMA), True), "entries"), "ties")
     release(spark)
     undecided = entries.where(F.exists("entries", lambda e: e.bitwiseAND(2) > 0))
     more = stage(by_document(sorted_by_bucket(
-        long_enough.select("id", "tag", "body").join(undecided, ["id", "tag"]).select("id", "tag", "body", "entries")
+        long_enough.select("seq", "body").join(undecided, "seq").select("seq", "body", "entries")
         .mapInArrow(tidy(_open_suffixes(length, q, buckets)), _BUCKET_SCHEMA), False), "more"), "ends")
     release(spark)
     names = [f"k{i}" for i in range(len(keep))]
     types = [rows.schema[n].dataType.simpleString() for n in names]
-    out = (rows.join(entries, ["id", "tag"], "left").join(more, ["id", "tag"], "left").select(*names, "body", "entries", "more")
+    out = (rows.join(entries, "seq", "left").join(more, "seq", "left").select(*names, "body", "entries", "more")
            .mapInArrow(tidy(_cut(len(keep), length, q)), "".join(f"{n} {t}, " for n, t in zip(names, types, strict=True)) + "n_bytes long, n_removed long, spans array<long>, kept binary"))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "n_bytes", "n_removed", "spans", "kept")
 

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from talentlens.llm import simhash, substring_dedup, suffix_dedup
 from talentlens.llm.text import difference_cover, slices, winnow
@@ -212,3 +213,19 @@ def test_simhash_keeps_one_of_each_component(spark):
     kept = [r.doc_id for r in got.collect()]
     assert len(kept) == len(set(kept)) and set(kept) == expected
     assert simhash.keep_one(got.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("operator", ["suffix", "substring"])
+def test_rows_without_ids_are_told_apart_though_hashes_of_their_texts_collide(spark, operator):
+    """A long and a short text of one 32-bit hash, both without an id: only the long one's copied passage goes."""
+    passage = " ".join(f"passage{i}" for i in range(60))
+    number = spark.range(200_000).select(F.col("id").cast("string").alias("i"))
+    long, short = (number.select(F.concat(F.lit(t), "i").alias(c)).withColumn("h", F.hash(c)) for c, t in (("a", passage + " "), ("b", "own words ")))
+    pairs = long.join(short, "h").select("a", "b").collect()
+    assert pairs
+    docs = [(1, passage), *((None, t) for pair in pairs for t in pair)]
+    rows = spark.createDataFrame(docs, SCHEMA)
+    if operator == "suffix":
+        same(suffix_dedup.digests(rows).collect(), removed_bytes(docs, 400))
+    else:
+        same(substring_dedup.digests(rows).collect(), removed_words(docs, 50))
