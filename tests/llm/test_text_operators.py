@@ -179,6 +179,25 @@ def test_quality_rejects_noise_and_keeps_prose(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("junk", ["letters", "boilerplate"])
+def test_quality_rejects_a_hot_source_of_junk(spark, junk):
+    """A third of the documents is junk: it goes, prose stays."""
+    docs = read_table(spark, SF, "documents").where("lang = 'en'").select("doc_id", "text", "lang")
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    one = " ".join(word() for _ in range(120))
+    rows = [(10_000 + i, one if junk == "boilerplate" else " ".join(word() for _ in range(120)), "en") for i in range(docs.count() // 2)]
+    got = quality.judge(docs.union(spark.createDataFrame(rows, "doc_id long, text string, lang string")), keep=["doc_id"]).where("NOT base_failed").collect()
+    planted, prose = [r.kept for r in got if r.doc_id >= 10_000], [r.kept for r in got if r.doc_id < 10_000]
+    assert len(planted) == len(rows) and sum(planted) < 0.01 * len(planted) and sum(prose) > 0.9 * len(prose)
+
+
+def test_quality_band_of_few_and_of_equal_values():
+    for bits, n in (([2.0], [1]), ([2.0, 2.4], [1, 1]), ([2.0, 2.01, 2.1], [1, 1, 1]), ([2.0], [1000])):
+        least, most = quality.band(np.array(bits), np.array(n))
+        assert least < min(bits) and max(bits) < most
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     path = public_tokenizers.path(VOCABULARY)
