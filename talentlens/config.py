@@ -231,6 +231,9 @@ class RankConfig:
     max_reasoning_chars: int = 300
     minor_concern_rank: int = 30
 
+    # seconds after which a ranking run warns
+    budget_seconds: float = 270.0
+
     # key under which the behavioural signals sit in a candidate record
     signals_key: str = "signals"
 

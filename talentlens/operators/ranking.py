@@ -1,4 +1,4 @@
-"""Score combination and deterministic top-k (M4, K1–K9).
+"""Score combination and deterministic top-k (M4, K1–K8; K9 is in ``metrics``).
 
 ``top_k`` has two levels: every task keeps its own k best rows (a group limit
 before the shuffle), ``FUNNELS`` groups of tasks keep theirs, and an
@@ -62,18 +62,6 @@ def flagged_in_top(ranked: DataFrame) -> DataFrame:
     return ranked.agg(F.coalesce(F.sum(F.col("is_honeypot").cast("long")), F.lit(0)).alias("flagged_in_top"))
 
 
-def stage_summary(df: DataFrame, col: str, stage: str) -> DataFrame:
-    """K9: one aggregation per stage: count, mean, sample std, min, max."""
-    return df.agg(
-        F.lit(stage).alias("stage"),
-        F.count(F.lit(1)).alias("rows"),
-        F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"),
-        F.min(col).alias("min"),
-        F.max(col).alias("max"),
-    )
-
-
 def output_violations(ranked: DataFrame, source_ids: DataFrame, k: int) -> DataFrame:
     """K8: output assertions as violation rows (empty = all pass).
 

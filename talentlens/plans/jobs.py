@@ -21,24 +21,40 @@ from ..config import DEFAULT, RankConfig, RubricConfig, TrainConfig
 from ..operators import audit, labeling, model, profile
 from ..operators.features import FEATURE_COLUMNS
 from ..operators.flatten import flatten
+from ..operators.metrics import RunMetrics
 from ..session import cut_lineage
 from ..sources import files as FS
 from . import pipeline as PL
 
 
 def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT,
-             model_path: str | None = None) -> dict:
-    # one JSON parse; scoring, the id check and the skipped count all read the staged table
-    staged = FS.scratch_path(spark, "candidates-staged")
-    good, bad = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)
+             model_path: str | None = None, metrics: RunMetrics | None = None) -> dict:
+    """Rank a candidates file; the result says what was read, skipped, scored and chosen, and how long each phase took.
+
+    All counts come from the two actions that stage the records and rank them (``metrics``), not from passes of their
+    own.  A run that exceeds ``cfg.budget_seconds`` says so (``over_budget``) and warns at the phase's end; it isn't cut off.
+    """
+    metrics = metrics or RunMetrics(cfg.budget_seconds)
+    # one JSON parse; scoring and the id check read the staged table
+    staged, ranked_path = FS.scratch_path(spark, "candidates-staged"), FS.scratch_path(spark, "ranked")
+    good, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged, metrics=metrics)
+    metrics.mark("load")
     flat = flatten(good, cfg.signals_key)
     scorer, cols = (model.load(model_path) if model_path else (None, None))
-    ranked = cut_lineage(PL.rank_candidates(PL.score_candidates(flat, cfg, scorer, cols), cfg))  # k rows
+    scored = PL.score_candidates(flat, cfg, scorer, cols)
+    ranked = spark.read.parquet(FS.stage_parquet(PL.rank_candidates(scored, cfg, metrics=metrics), ranked_path))      # k rows
+    metrics.mark("rank")
     FS.write_submission(ranked, out_path, cfg.score_decimals)
     violations = PL.ranking.output_violations(ranked, flat, cfg.top_k).collect()   # ≤ k rows
-    skipped = bad.count()
     FS.drop_path(spark, staged)
-    return {"skipped": skipped, "violations": [r.asDict() for r in violations], "output": out_path}
+    FS.drop_path(spark, ranked_path)
+    metrics.mark("check")
+    load, top = metrics.of("load"), metrics.of("top")
+    return {"lines": metrics.of("lines")["rows"], "records": load["rows"], "skipped": load["rows"] - load["usable"],
+            "skipped_by_reason": {k.removeprefix("skipped "): n for k, n in load.items() if k.startswith("skipped ") and n},
+            "scored": metrics.of("scored"), "flagged_in_top": top["flagged"], "score_range": (top["final_score_min"], top["final_score_max"]),
+            "seconds": dict(metrics.seconds), "elapsed": metrics.elapsed, "over_budget": metrics.over_budget,
+            "violations": [r.asDict() for r in violations], "output": out_path}
 
 
 def label_job(spark: SparkSession, candidates_path: str, labels_path: str, target_total: int = 3000,
@@ -64,12 +80,14 @@ def label_job(spark: SparkSession, candidates_path: str, labels_path: str, targe
 
 def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model_path: str,
               tc: TrainConfig = TrainConfig(), cfg: RankConfig = DEFAULT) -> dict:
-    raw, _ = FS.read_candidates(spark, candidates_path, cfg.signals_key)
+    staged = FS.scratch_path(spark, "candidates-staged")
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)
     labels = FS.read_labels(spark, labels_path)
     # features are row-local: restrict to labelled ids first, then featurise
     labelled_raw = FS.records_by_ids(raw, labels)
     feats = PL.featurize(flatten(labelled_raw, cfg.signals_key), cfg)
     train = cut_lineage(model.bounded_labels(model.label_join(feats, labels, tc.label_col), tc))
+    FS.drop_path(spark, staged)
     cols = model.usable_columns(train, FEATURE_COLUMNS)                           # N2–N3
     folds = model.cross_validate(train, cols, tc).collect()                      # N4–N6 (k rows)
     fitted = model.fit(train, cols, tc)                                          # N5
@@ -94,15 +112,18 @@ def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model
 
 
 def qa_job(spark: SparkSession, submission_path: str, candidates_path: str, cfg: RankConfig = DEFAULT) -> DataFrame:
-    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key)     # read by three audits
+    staged = FS.scratch_path(spark, "candidates-staged")
+    raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)     # read by three audits
     flat = flatten(raw, cfg.signals_key)
     contract = cut_lineage(audit.validate_file(spark, submission_path, cfg.top_k))   # Q1
     header, cells, _ = audit.read_cells(spark, submission_path)
     sub = cut_lineage(audit.typed(cells))                                            # ≤ k rows, read once
-    return audit.layer_summary(
+    summary = cut_lineage(audit.layer_summary(                                       # a row for each layer
         contract, audit.audit_flagged(sub, audit.flagged_without_features(flat, cfg)),
         audit.audit_titles(sub, flat), audit.audit_reasoning(sub), audit.audit_scores(sub),
-        audit.audit_unknown_ids(sub, flat))
+        audit.audit_unknown_ids(sub, flat)))
+    FS.drop_path(spark, staged)
+    return summary
 
 
 def profile_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: RankConfig = DEFAULT) -> str:

@@ -16,11 +16,15 @@ from ..config import DEFAULT, RankConfig, RubricConfig
 from ..functions.numeric import round_half_even
 from ..operators import engagement, explain, features, integrity, labeling, model, ranking
 from ..operators.flatten import flatten
+from ..operators.metrics import RunMetrics, count_of
 from ..sources import bridge
 
 
 _STAGED: dict[tuple, str] = {}
 
+#: The column that each scoring stage adds.
+STAGE_SCORES = {"integrity": "suspicion_score", "behaviour": "behavioral_score", "model": "model_score", "final": "final_score"}
+
 
 def fixture_candidates(spark: SparkSession, sf_dir: str, cfg: RankConfig = DEFAULT, staged: bool = True) -> DataFrame:
     """Nested candidate records derived from the driver tables.
@@ -68,10 +72,18 @@ def score_candidates(flat: DataFrame, cfg: RankConfig = DEFAULT, scorer: Pipelin
     return df.withColumn("final_score", ranking.final_score(cfg))
 
 
-def rank_candidates(scored: DataFrame, cfg: RankConfig = DEFAULT, k: int | None = None) -> DataFrame:
-    """Top-k submission rows: candidate_id, rank, score, reasoning."""
+def rank_candidates(scored: DataFrame, cfg: RankConfig = DEFAULT, k: int | None = None, metrics: RunMetrics | None = None) -> DataFrame:
+    """Top-k submission rows: candidate_id, rank, score, reasoning.
+
+    With ``metrics``, the action that ranks also counts every scored candidate (stage ``scored``) and the top k (``top``).
+    """
     k = k or cfg.top_k
+    flagged = count_of(F.col("is_honeypot"))
+    if metrics:
+        scored = metrics.watch(scored, "scored", STAGE_SCORES.values(), flagged=flagged)
     top = ranking.assign_rank(ranking.top_k(scored, k))
+    if metrics:
+        top = metrics.watch(top, "top", ("final_score",), flagged=flagged)
     top = explain.add_reasoning(top, cfg)
     out = top.select("candidate_id", F.col("rank").cast("int").alias("rank"),
                      F.col("final_score").alias("score"), "reasoning")

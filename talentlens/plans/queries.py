@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..config import DEFAULT
 from ..functions.numeric import round_half_even
-from ..operators import engagement, features, integrity, labeling
+from ..operators import engagement, features, integrity, labeling, metrics
 from ..operators.engagement import COMPONENTS
 from ..operators.features import dimension_columns
 from ..operators.integrity import RULE_NAMES
+from ..sources import files as FS
 from . import oracle as O
 from . import pipeline as PL
 
@@ -246,22 +247,32 @@ def q_model_score_distribution(spark, sf):
     return summary.unionByName(top).unionByName(bottom)
 
 
-_STAGES = (("integrity", "suspicion_score"), ("behaviour", "behavioral_score"), ("model", "model_score"),
-           ("final", "final_score"))
-
-
 @register("stage_summary", CORE + "\nSELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{st}' AS stage, count(*) AS rows, {O.r9(f'avg({c})')} AS mean, {O.r9(f'stddev_samp({c})')} AS std, "
-    f"min({c}) AS min, max({c}) AS max FROM scored" for st, c in _STAGES) + ")")
+    f"min({c}) AS min, max({c}) AS max FROM scored" for st, c in PL.STAGE_SCORES.items()) + ")")
 def q_stage_summary(spark, sf):
-    """K9: one aggregation per pipeline stage."""
-    s = scored(spark, sf)
-    out = None
-    for st, c in _STAGES:
-        df = PL.ranking.stage_summary(s, c, st).select("stage", "rows", r9("mean").alias("mean"), r9("std").alias("std"),
-                                                        "min", "max")
-        out = df if out is None else out.unionByName(df)
-    return out
+    """K9: all stages from one pass."""
+    return metrics.summaries(scored(spark, sf), PL.STAGE_SCORES).select("stage", "rows", r9("mean").alias("mean"), r9("std").alias("std"), "min", "max")
+
+
+_OBSERVED = "".join(f" UNION ALL SELECT 'scored', '{c}_{f}', {O.r9(f'CAST({g}({c}) AS DOUBLE)')} FROM scored"
+                    for c in PL.STAGE_SCORES.values() for f, g in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")))
+
+
+@register("rank_run_metrics", EXPLAINED + f"""
+SELECT 'scored' AS stage, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM scored
+UNION ALL SELECT 'scored', 'flagged', CAST(count(*) FILTER (WHERE is_honeypot) AS DOUBLE) FROM scored{_OBSERVED}
+UNION ALL SELECT 'top', 'rows', CAST(count(*) AS DOUBLE) FROM topk
+UNION ALL SELECT 'top', 'flagged', CAST(count(*) FILTER (WHERE is_honeypot) AS DOUBLE) FROM topk
+UNION ALL SELECT 'top', 'final_score_mean', {O.r9('avg(final_score)')} FROM topk
+UNION ALL SELECT 'top', 'final_score_std', {O.r9('stddev_samp(final_score)')} FROM topk
+UNION ALL SELECT 'top', 'final_score_min', min(final_score) FROM topk
+UNION ALL SELECT 'top', 'final_score_max', max(final_score) FROM topk""")
+def q_rank_run_metrics(spark, sf):
+    """K9 while the ranking itself runs: no pass but the one that writes the submission."""
+    seen = metrics.RunMetrics()
+    FS.write_submission(PL.rank_candidates(scored(spark, sf), metrics=seen), FS.scratch_path(spark, "submission"))
+    return seen.report(spark).select("stage", "metric", r9("value").alias("value"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

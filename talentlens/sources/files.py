@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import py_strip
+from ..operators.metrics import RunMetrics, count_of
 from ..schema import candidate_schema
 from ..session import checkpoint_dir
 
@@ -132,22 +133,31 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
     return _split_tagged(tagged)
 
 
+def skip_reasons(signals_key: str = "signals") -> list[str]:
+    """Every reason for which a line can be skipped."""
+    return ["malformed", "not_object", *_rules(signals_key)]
+
+
 def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals", strict: bool = True,
-                     out: str | None = None, keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
+                     out: str | None = None, keep_text: bool = False, metrics: RunMetrics | None = None) -> tuple[DataFrame, DataFrame]:
     """S1–S4 with one scan and one parse: good records and quarantine in one Parquet table.
 
     Rows are partitioned by ``_ok``; later passes read the typed columns of the good partition and the
     quarantine separately.  Returns ``(good, quarantine)``; raises ``SignalsMissing`` as ``read_candidates`` does.
-    With ``keep_text`` the good records also have their line, as ``value``.
+    With ``keep_text`` the good records also have their line, as ``value``.  While it writes, the job counts lines
+    (``lines``: rows) and records (``load``: rows, usable, with_signals, and one number for each skip reason) in ``metrics``.
     """
-    tagged = tag_lines(_read_text(spark, path, None), signals_key, strict)
-    out = out or scratch_path(spark, "candidates-staged")
+    metrics = metrics or RunMetrics()
     ok = F.col("reason").isNull()
+    tagged = metrics.watch(tag_lines(metrics.watch(_read_text(spark, path, None), "lines"), signals_key, strict), "load",
+                           usable=count_of(ok), with_signals=count_of(ok & F.col("has_signals")),
+                           **{f"skipped {r}": count_of(F.col("reason") == r) for r in skip_reasons(signals_key)})
+    out = out or scratch_path(spark, "candidates-staged")
     (tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok | F.lit(keep_text), F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
      .write.mode("overwrite").partitionBy("_ok").parquet(out))
     staged = spark.read.schema(f"r {candidate_schema(signals_key).simpleString()}, value string, reason string, has_signals boolean, _ok boolean").parquet(out)
-    good = staged.where("_ok")
-    if good.where("has_signals").select("has_signals").isEmpty() and not good.select("has_signals").isEmpty():
+    good, seen = staged.where("_ok"), metrics.of("load")
+    if seen["usable"] and not seen["with_signals"]:
         raise SignalsMissing(signals_key)
     return good.select("r.*", *(["value"] if keep_text else [])), staged.where("NOT _ok").select("value", "reason")
 
