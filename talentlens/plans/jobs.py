@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RankConfig, RubricConfig, TrainConfig
-from ..operators import audit, labeling, model, profile
+from ..operators import audit, labeling, model, profile, trees
 from ..operators.features import FEATURE_COLUMNS
 from ..operators.flatten import flatten
 from ..operators.metrics import RunMetrics
@@ -92,6 +92,7 @@ def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model
     folds = model.cross_validate(train, cols, tc).collect()                      # N4–N6 (k rows)
     fitted = model.fit(train, cols, tc)                                          # N5
     model.save(fitted, model_path, cols)                                         # S12
+    FS.stage_parquet(trees.node_table(fitted, cols), model_path + "_nodes")       # the same model for any engine
     importances = model.importances(fitted, cols)                                # N7
     pred = fitted.transform(model.impute(train, cols))
     calib = [r.asDict() for r in model.calibration(pred, tc.label_col).collect()]   # N8 (≤ 6 rows)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .. import schema as S
 from ..config import DEFAULT, TrainConfig
-from ..operators import audit, labeling, model, profile
+from ..operators import audit, labeling, model, profile, trees
 from ..operators.features import FEATURE_COLUMNS
 from ..sources import fixture_pools as P
 from . import oracle as O
@@ -165,6 +165,70 @@ def q_gbt_score(spark, sf):
     return PL.rank_candidates(out)
 
 
+def _stated_nodes() -> list[tuple]:
+    """A model that a rule states, so that SQL can state it too: twelve trees of two splits over the features in turn."""
+    pick = lambda i: FEATURE_COLUMNS[i % len(FEATURE_COLUMNS)]
+    rows = []
+    for i in range(12):
+        value = lambda k: ((i * 7 + k * 5) % 11 - 4) / 4
+        samples = 100 + i
+        rows += [(i, 1.0 if i == 0 else 0.25, 0, pick(5 * i), i % 4 * 0.5, 1, 2, value(0), 1.0 + i, 2 * samples),
+                 (i, 1.0 if i == 0 else 0.25, 1, None, None, None, None, value(1), None, samples),
+                 (i, 1.0 if i == 0 else 0.25, 2, pick(5 * i + 3), i % 3 + 0.25, 3, 4, value(2), 0.5 * i, samples),
+                 (i, 1.0 if i == 0 else 0.25, 3, None, None, None, None, value(3), None, 10),
+                 (i, 1.0 if i == 0 else 0.25, 4, None, None, None, None, value(4), None, 90 + i)]
+    return rows
+
+
+def _nodes_sql() -> str:
+    null = lambda x, as_: f"CAST({'NULL' if x is None else O.q(x) if isinstance(x, str) else x} AS {as_})"
+    kinds = ("INTEGER", "DOUBLE", "INTEGER", "VARCHAR", "DOUBLE", "INTEGER", "INTEGER", "DOUBLE", "DOUBLE", "BIGINT")
+    values = ", ".join("(" + ", ".join(null(x, k) for x, k in zip(r, kinds, strict=True)) + ")" for r in _stated_nodes())
+    return f'node(tree, weight, node, feature, threshold, "left", "right", value, gain, samples) AS (VALUES {values})'
+
+
+_WALK_SQL = (CORE.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+{_nodes_sql()},
+model_input AS (SELECT candidate_id, MAP({O.lst(FEATURE_COLUMNS)}, [{", ".join(f"coalesce(CAST({c} AS DOUBLE), -1.0)" for c in FEATURE_COLUMNS)}]) AS x FROM feat),
+walk AS (SELECT candidate_id, tree, 0 AS here FROM model_input, (SELECT DISTINCT tree FROM node)
+  UNION ALL SELECT walk.candidate_id, walk.tree, CASE WHEN x[feature] <= threshold THEN "left" ELSE "right" END
+  FROM walk JOIN node ON node.tree = walk.tree AND node.node = walk.here AND node.feature IS NOT NULL JOIN model_input USING (candidate_id)),
+raw AS (SELECT candidate_id, sum(weight * value) AS p FROM walk JOIN node ON node.tree = walk.tree AND node.node = walk.here WHERE node.feature IS NULL GROUP BY candidate_id)""")
+
+
+@register("tree_table_score", f"""{_WALK_SQL}
+SELECT candidate_id, {O.r9('p')} AS raw_model_score, {O.r9('least(greatest(p / 5.0, 0.0), 1.0)')} AS model_score FROM raw""")
+def q_tree_table_score(spark, sf):
+    """M3: a model given as a table of nodes scores every candidate."""
+    nodes = spark.createDataFrame(_stated_nodes(), trees.NODE_SCHEMA)
+    scored_rows = model.score(trees.model_from_nodes(nodes, FEATURE_COLUMNS), PL.featurize(flat(spark, sf)), FEATURE_COLUMNS)
+    return scored_rows.select("candidate_id", r9("raw_model_score").alias("raw_model_score"), r9("model_score").alias("model_score"))
+
+
+@register("gbt_score_agreement", CORE + "\nSELECT candidate_id, TRUE AS agrees FROM cand")
+def q_gbt_score_agreement(spark, sf):
+    """M3 of a fitted model: MLlib's prediction and a walk of the exported nodes agree for every candidate."""
+    train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
+    cols = model.usable_columns(train, FEATURE_COLUMNS)
+    fitted = model.fit(train, cols, TrainConfig(max_iter=8))
+    rows = model.score(fitted, PL.featurize(flat(spark, sf)), cols)
+    walked = trees.expression(trees.node_table(fitted, cols), "__x_")
+    return model.impute(rows, cols).select("candidate_id", (F.abs(walked - F.col("raw_model_score")) < 1e-9).alias("agrees"))
+
+
+@register("tree_table_importances", f"""{_WALK_SQL},
+f AS (SELECT unnest({O.lst(FEATURE_COLUMNS)}) AS feature),
+reached AS (SELECT tree, here AS node, count(*) AS n FROM walk GROUP BY tree, here),
+s AS (SELECT feature, sum(gain * coalesce(n, 0)) AS total, avg(gain) AS mean, count(*) AS splits FROM node LEFT JOIN reached USING (tree, node) WHERE feature IS NOT NULL GROUP BY feature)
+SELECT feature, {O.r9('coalesce(total / sum(total) OVER (), 0.0)')} AS importance, {O.r9('coalesce(mean / sum(mean) OVER (), 0.0)')} AS gain_importance,
+  CAST(coalesce(splits, 0) AS BIGINT) AS splits FROM f LEFT JOIN s USING (feature)""")
+def q_tree_table_importances(spark, sf):
+    """N7 of a model given as a table of nodes: each split weighs what reaches it of all candidates."""
+    rows = model.impute(PL.featurize(flat(spark, sf)), FEATURE_COLUMNS)
+    nodes = trees.cover(spark.createDataFrame(_stated_nodes(), trees.NODE_SCHEMA), rows)
+    return trees.importances(nodes, FEATURE_COLUMNS).select("feature", r9("importance").alias("importance"), r9("gain_importance").alias("gain_importance"), "splits")
+
+
 @register("feature_importances")
 def q_feature_importances(spark, sf):
     train = labelled_sample(spark, sf).withColumn("llm_score", F.col("llm_score").cast("double"))
