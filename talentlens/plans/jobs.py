@@ -24,6 +24,7 @@ from ..operators.flatten import flatten
 from ..operators.metrics import RunMetrics
 from ..session import cut_lineage
 from ..sources import files as FS
+from ..sources.label_log import LabelLog
 from . import pipeline as PL
 
 
@@ -60,20 +61,25 @@ def rank_job(spark: SparkSession, candidates_path: str, out_path: str, cfg: Rank
 def label_job(spark: SparkSession, candidates_path: str, labels_path: str, target_total: int = 3000,
               teacher: Callable[[list[str]], list[str]] | None = None, template: str = "", job_text: str = "",
               cfg: RankConfig = DEFAULT, rubric: RubricConfig = RubricConfig(), chunk: int = 200, pause: float = 5.0) -> DataFrame:
-    """Label the pending part of the cascade sample; a teacher's labels are appended ``chunk`` records at a time."""
+    """Label the pending part of the cascade sample; a teacher's labels are committed ``chunk`` records at a time.
+
+    ``labels_path`` is a label log (or a CSV of earlier labels, which then only counts as labelled): a job that dies
+    keeps its committed chunks, and one that is run again labels what is still pending.
+    """
+    log = LabelLog(spark, labels_path)
     staged = FS.scratch_path(spark, "candidates-staged")
     raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged, keep_text=True)     # one parse, many passes
     scored = PL.featurize(flatten(raw, cfg.signals_key), cfg)
     sample = labeling.cascade_sample(scored, target_total, cfg=cfg)
     todo = labeling.pending(sample, FS.read_labels(spark, labels_path))
     if teacher is None:
-        FS.append_labels(labeling.rubric_labels(FS.records_by_ids(scored, todo), rubric, cfg), labels_path)
+        log.append(labeling.rubric_labels(FS.records_by_ids(scored, todo), rubric, cfg))
     else:
         records = cut_lineage(FS.records_by_ids(raw.select("candidate_id", "value"), todo))      # target_total lines at most
         parts = -(-target_total // chunk)
         for part in range(parts):                       # what is labelled stays, whatever happens to the rest
             own = records.where(F.pmod(F.xxhash64("candidate_id"), F.lit(parts)) == part)
-            FS.append_labels(labeling.teacher_labels(labeling.render_prompts(own, template, job_text), teacher, pause=pause), labels_path)
+            log.append(labeling.teacher_labels(labeling.render_prompts(own, template, job_text), teacher, pause=pause))
     FS.drop_path(spark, staged)
     return labeling.label_distribution(FS.read_labels(spark, labels_path))
 

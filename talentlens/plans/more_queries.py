@@ -16,7 +16,9 @@ from ..sources import fixture_pools as P
 from . import oracle as O
 from . import pipeline as PL
 from ..session import cut_lineage
-from .queries import CORE, EXPLAINED, flat, r9, register, scored
+from ..sources import files as FS
+from ..sources.label_log import LabelLog
+from .queries import CORE, EXPLAINED, feats_scored, flat, r9, register, scored
 
 SAMPLE_TOTAL = 600
 SEED = "42"
@@ -90,6 +92,25 @@ def q_labels_pending(spark, sf):
     return labeling.pending(sample, done)
 
 
+@register("label_log", f"""{CORE},
+part AS (SELECT candidate_id, llm_score, CAST(right(candidate_id, 1) AS INTEGER) % 3 AS k FROM scored)
+SELECT candidate_id, CAST(CASE k WHEN 1 THEN 5 - llm_score ELSE llm_score END AS INTEGER) AS llm_score, CASE k WHEN 1 THEN 'again' ELSE 'first' END AS llm_reasoning FROM part""")
+def q_label_log(spark, sf):
+    """Three chunks of labels of all candidates; one is appended again with other labels, a repeated one and a dead one change nothing."""
+    comp = labeling.rubric_components()
+    all_labels = feats_scored(spark, sf).select("candidate_id", comp["llm_score"].alias("llm_score"), F.lit("first").alias("llm_reasoning"),
+                                                (F.right("candidate_id", F.lit(1)).cast("int") % 3).alias("k"))
+    all_labels = spark.read.parquet(FS.stage_parquet(all_labels, FS.scratch_path(spark, "labels")))
+    log = LabelLog(spark, FS.scratch_path(spark, "label-log"))
+    part = lambda k: all_labels.where(F.col("k") == k).drop("k")
+    for k in range(3):
+        log.append(part(k), f"part-{k}")
+    log.append(part(0), "part-0")
+    log.append(part(1).withColumn("llm_score", 5 - F.col("llm_score")).withColumn("llm_reasoning", F.lit("again")), "part-1")
+    log.write_attempt(part(2).withColumn("llm_reasoning", F.lit("dead")), "part-2")                  # never committed
+    return log.labels()
+
+
 @register("label_distribution", SAMPLED + "\nSELECT llm_score AS label, count(*) AS n FROM scored "
           "WHERE candidate_id IN (SELECT candidate_id FROM sample) GROUP BY llm_score")
 def q_label_distribution(spark, sf):
@@ -686,7 +707,6 @@ register("profile_full", _profile_sql([p for parts in PROFILE_SECTIONS.values()
 # S: file sources / sinks and streaming, over files Spark derives from the tables
 # ---------------------------------------------------------------------------
 
-from ..sources import files as FS  # noqa: E402
 from ..streaming import scoring as ST  # noqa: E402
 from .queries import ORACLE  # noqa: E402
 

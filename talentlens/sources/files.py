@@ -183,7 +183,11 @@ def write_jsonl(df: DataFrame, path: str, gzip: bool = False) -> str:
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """S6 (+L4): label CSV; an unreadable file gives an empty frame."""
+    """S6 (+L4): a label CSV, or a :class:`~.label_log.LabelLog`; what can't be read gives an empty frame."""
+    from .label_log import LabelLog
+    log = LabelLog(spark, path)
+    if log.exists():
+        return log.labels()
     try:
         return (spark.read.schema(LABEL_SCHEMA).option("header", True).option("escape", '"')
                 .option("mode", "PERMISSIVE").csv(path))
@@ -192,7 +196,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_labels(labels: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Append label rows (newlines in the reasoning become spaces)."""
+    """Append label rows to plain files (newlines in the reasoning become spaces); ``LabelLog`` is safe to replay."""
     from ..operators.labeling import clean_reasoning
     clean = labels.select("candidate_id", F.col("llm_score").cast("int"),
                           clean_reasoning(F.coalesce("llm_reasoning", F.lit(""))).alias("llm_reasoning"))
