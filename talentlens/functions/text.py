@@ -1,13 +1,18 @@
 """Taxonomy predicates (T1–T11) as native Column expressions.
 
 All matching is done with built-in functions (``contains``, ``InSet``,
-higher-order ``filter``/``exists``) so it runs inside the JVM; no Python
+higher-order ``filter``/``exists`` for lists) so it runs inside the JVM; no Python
 worker is involved.  Keyword matching is *substring* matching of distinct
-keywords, as in the semantics being reproduced ("map" matches "roadmap").
+keywords, as in the semantics being reproduced ("map" matches "roadmap"); a
+taxonomy is compiled once into groups that one scan for a shared string can
+rule out, as plain conditions that whole-stage code generation takes in.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+from collections import Counter
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -28,20 +33,62 @@ def in_set(c, values: Iterable[str]) -> Column:
     return col(c).isin(*list(values))
 
 
-def _kw_array(keywords: Iterable[str]) -> Column:
-    return F.array(*[F.lit(k) for k in keywords])
+#: Characters of a text for which the use of a guard is weighed.
+TYPICAL_LENGTH = 400
+
+
+@functools.cache
+def keyword_plan(keywords: tuple[str, ...]) -> tuple[tuple[str | None, tuple[str, ...]], ...]:
+    """Groups (guard, keywords) of distinct keywords: a text without the guard holds none of the group's keywords.
+
+    A guard is a string of three or more characters that several keywords share (often a keyword itself), so that one
+    scan of a text settles them all.  Taken are, one after another, the guards that save most scans: all but one where
+    a text lacks it.  How likely a text holds it is reckoned from the characters' frequencies in the keywords.
+    Keywords that no guard covers stand under ``None``.
+    """
+    letters = Counter("".join(keywords))
+    total = sum(letters.values())
+
+    def saved(guard: str, members: list[str]) -> float:
+        present = min(1.0, TYPICAL_LENGTH * math.prod(letters[c] / total for c in guard))
+        return len(members) - 1 - present * len(members)
+
+    left, groups = list(keywords), []
+    while True:
+        shared: dict[str, list[str]] = {}
+        for k in left:
+            for s in {k[i:j] for i in range(len(k)) for j in range(i + 3, len(k) + 1)}:
+                shared.setdefault(s, []).append(k)
+        best = max(((saved(s, m), len(s), s) for s, m in shared.items() if len(m) > 1), default=(0.0, 0, ""))
+        if best[0] <= 0:
+            return (*groups, *(((None, tuple(left)),) if left else ()))
+        groups.append((best[2], tuple(shared[best[2]])))
+        left = [k for k in left if k not in shared[best[2]]]
 
 
 def any_substring(text, keywords: Iterable[str]) -> Column:
     """Any keyword occurs in ``text`` (text already lower-cased)."""
-    t = col(text)
-    return F.exists(_kw_array(keywords), lambda k: F.contains(t, k))
+    t, found = col(text), F.lit(False)
+    for k in _shortest(keywords):
+        found = found | F.contains(t, F.lit(k))
+    return found
+
+
+def _shortest(keywords: Iterable[str]) -> list[str]:
+    """The keywords that hold no other one: a text that holds any keyword holds one of these."""
+    words = list(dict.fromkeys(keywords))
+    return [k for k in words if not any(o != k and o in k for o in words)]
 
 
 def count_substrings(text, keywords: Iterable[str]) -> Column:
-    """T4: number of *distinct* keywords occurring in ``text``."""
-    t = col(text)
-    return F.size(F.filter(_kw_array(dict.fromkeys(keywords)), lambda k: F.contains(t, k)))
+    """T4: number of *distinct* keywords occurring in ``text`` (null: none), by the groups of ``keyword_plan``."""
+    t, count = col(text), F.lit(0)
+    for guard, members in keyword_plan(tuple(dict.fromkeys(keywords))):
+        hits = F.lit(0)
+        for k in members:
+            hits = hits + (F.lit(1) if k == guard else F.contains(t, F.lit(k)).cast("int"))
+        count = count + (hits if guard is None else F.when(F.contains(t, F.lit(guard)), hits).otherwise(F.lit(0)))
+    return F.when(t.isNotNull(), count).otherwise(F.lit(0))
 
 
 # every character Python's str.strip() removes (derived by rule, not listed)

@@ -66,5 +66,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to every core if its input is too small for a full split each (one row group is one task, whatever it costs to read on).
+
+    For steps whose work on a row is far dearer than moving it.  An input of more than a split for each core stays as it is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores) if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < cores * split else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

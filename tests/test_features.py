@@ -82,3 +82,55 @@ def test_history_items_strip_all_python_whitespace(spark):
     rec["career_history"][1]["company"] = "　infosys\n"
     r = feats(spark, [rec])["CAND_0000001"]
     assert r.feat_dim6_consulting_only == 1
+
+
+def test_keyword_groups_hold_every_keyword_and_only_texts_with_the_guard():
+    from talentlens.config import DEFAULT as cfg
+    from talentlens.functions import text as X
+    for words in (cfg.production_keywords, cfg.retrieval_keywords, cfg.research_keywords, cfg.wrapper_keywords, ("a", "ab", "abc"), ()):
+        words = tuple(dict.fromkeys(words))
+        plan = X.keyword_plan(words)
+        assert sorted(k for _, members in plan for k in members) == sorted(words)
+        assert all(guard in k for guard, members in plan if guard is not None for k in members)
+        assert sum(len(m) if g is None else 1 for g, m in plan) <= len(words)
+        short = X._shortest(words)
+        assert all(any(s in k for s in short) for k in words)
+    assert X._shortest(("search", "vector search", "map", "search")) == ["search", "map"]
+
+
+def test_keyword_counts_equal_plain_counts(spark):
+    import random
+
+    from talentlens.config import DEFAULT as cfg
+    from talentlens.functions import text as X
+    rng = random.Random(2)
+    sets = (cfg.production_keywords, cfg.retrieval_keywords, cfg.research_keywords, cfg.wrapper_keywords, ("é", "日本", "日本語"), ("a.b", "%", "_", "\\"))
+    words = [k for s in sets for k in s]
+    texts = [None, "", *words, *("".join(rng.choice([*words, " ", "ing", "xsearchx", "roadmap"])[:rng.randint(1, 30)] for _ in range(rng.randint(1, 9))) for _ in range(400))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", *[X.count_substrings("t", s).alias(f"n{i}") for i, s in enumerate(sets)], *[X.bool_int(X.any_substring("t", s)).alias(f"a{i}") for i, s in enumerate(sets)])
+    for r in got.collect():
+        counts = [sum(k in (r.t or "") for k in dict.fromkeys(s)) if r.t is not None else 0 for s in sets]
+        assert [r[f"n{i}"] for i in range(len(sets))] == counts and [r[f"a{i}"] for i in range(len(sets))] == [int(c > 0) for c in counts]
+
+
+def test_keyword_features_run_no_interpreted_scan_for_each_keyword(spark):
+    from conftest import SF001
+
+    from talentlens.operators import features
+    from talentlens.plans import pipeline as PL
+    plan = features.add_features(PL.flat_candidates(spark, SF001)).select(*features.dimension_columns(2))._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction(Contains" not in plan and "lambdafunction(contains" not in plan.lower() and "Contains(" in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_small_inputs_are_spread_and_large_ones_stay(spark):
+    from talentlens.session import read_table, spread
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    assert spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert "Exchange" not in spread(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
