@@ -381,6 +381,65 @@ def schema_conformance(raw: DataFrame, signals_key: str = "signals") -> DataFram
     return wide.selectExpr(stack)
 
 
+def declared_schema(signals_key: str = "signals") -> dict:
+    """The declared record schema as a JSON Schema document, for ``json_schema``; a file of one's own serves as well."""
+    text, flag, date = {"type": "string"}, {"type": "boolean"}, {"type": "string", "format": "date"}
+    whole = lambda lo=0, hi=None: {"type": "integer", "minimum": lo} | ({} if hi is None else {"maximum": hi})
+    number = lambda lo=0, hi=None: {"type": "number", "minimum": lo} | ({} if hi is None else {"maximum": hi})
+    listed = lambda values: {"type": "string", "enum": list(values)}
+    or_null = lambda s: s | {"type": [s["type"], "null"]}
+
+    def record(what: str, required: tuple = (), **special: dict) -> dict:
+        return {"type": "object", "required": [*REQUIRED[what], *required], "properties": {c: text for c in REQUIRED[what]} | special}
+
+    def several(items: dict, **bounds: int) -> dict:
+        return {"type": "array", "items": items} | bounds
+
+    flags = ("open_to_work_flag", "willing_to_relocate", "verified_email", "verified_phone", "linkedin_connected")
+    signals = record(
+        "signals", profile_completeness_score=number(0, 100), signup_date=date, last_active_date=date, recruiter_response_rate=number(0, 1),
+        avg_response_time_hours=number(), skill_assessment_scores={"type": "object", "additionalProperties": number(0, 100)}, notice_period_days=whole(0, 180),
+        expected_salary_range_inr_lpa={"type": "object", "required": ["min", "max"], "properties": {"min": number(), "max": number()}},
+        preferred_work_mode=listed(WORK_MODES), github_activity_score=number(-1, 100), interview_completion_rate=number(0, 1), offer_acceptance_rate=number(-1, 1),
+        **dict.fromkeys(flags, flag), **dict.fromkeys(COUNTS, whole()))
+    return {"type": "object", "required": ["candidate_id", "profile", "career_history", "education", "skills", signals_key], "properties": {
+        "candidate_id": {"type": "string", "pattern": C.CANDIDATE_ID_PATTERN},
+        "profile": record("profile", years_of_experience=number(0, 50), current_company_size=listed(COMPANY_SIZES)),
+        "career_history": several(record("job", ("end_date",), start_date=date, end_date=or_null(date), duration_months=whole(), is_current=flag,
+                                         company_size=listed(COMPANY_SIZES)), minItems=1, maxItems=10),
+        "education": several(record("education", start_year=whole(1970, 2030), end_year=whole(1970, 2035), grade=or_null(text), tier=listed(TIERS)), minItems=0, maxItems=5),
+        "skills": several(record("skill", proficiency=listed(PROFICIENCY), endorsements=whole(), duration_months=whole()), minItems=0),
+        "certifications": several(record("certification", year={"type": "integer"})),
+        "languages": several(record("language", proficiency=listed(LANGUAGE_PROFICIENCY))),
+        signals_key: signals}}
+
+
+def conformance_groups(rule_names: list[str], signals_key: str = "signals") -> dict[str, list[str]]:
+    """The names of ``conformance_rules`` and the compiled rules of the declared schema that each of them stands for."""
+    s = signals_key
+    parts = {"job": "career_history[]", "education": "education[]", "skill": "skills[]", "certification": "certifications[]", "language": "languages[]", "signals": s, "profile": "profile"}
+    some = lambda paths, words: [f"{p}: {w}" for p in paths for w in words if f"{p}: {w}" in rule_names]
+    out = {"required_keys": [n for n in rule_names if n.startswith(": required")] + some(["candidate_id", "profile", "career_history", "education", "skills", s], ["type"])}
+    for part, path in parts.items():
+        out[f"{part}_required"] = [n for n in rule_names if n.startswith(f"{path}: required")] + some([f"{path}.{c}" for c in REQUIRED[part]], ["type"])
+    salary = [f"{s}.expected_salary_range_inr_lpa.{x}" for x in ("min", "max")]
+    out["signals_required"] += [n for n in rule_names if n.startswith(f"{s}.expected_salary_range_inr_lpa: required")] + some(salary, ["type"])
+    bounds = ["minimum", "maximum"]
+    return out | {
+        "candidate_id_pattern": some(["candidate_id"], ["type", "pattern"]), "years_range": some(["profile.years_of_experience"], bounds),
+        "company_size_enum": some(["profile.current_company_size"], ["enum"]), "career_items": some(["career_history"], ["minItems", "maxItems"]),
+        "job_dates": some(["career_history[].start_date", "career_history[].end_date"], ["format"]), "job_duration": some(["career_history[].duration_months"], bounds),
+        "job_company_size_enum": some(["career_history[].company_size"], ["enum"]), "education_items": some(["education"], ["minItems", "maxItems"]),
+        "start_year_range": some(["education[].start_year"], bounds), "end_year_range": some(["education[].end_year"], bounds), "tier_enum": some(["education[].tier"], ["enum"]),
+        "proficiency_enum": some(["skills[].proficiency"], ["enum"]), "skill_numbers": some(["skills[].endorsements", "skills[].duration_months"], bounds),
+        "language_proficiency_enum": some(["languages[].proficiency"], ["enum"]), "completeness_range": some([f"{s}.profile_completeness_score"], bounds),
+        "signal_dates": some([f"{s}.signup_date", f"{s}.last_active_date"], ["format"]), "counts_range": some([f"{s}.{c}" for c in COUNTS], bounds),
+        "response_rate_range": some([f"{s}.recruiter_response_rate"], bounds), "response_time_range": some([f"{s}.avg_response_time_hours"], bounds),
+        "interview_rate_range": some([f"{s}.interview_completion_rate"], bounds), "offer_rate_range": some([f"{s}.offer_acceptance_rate"], bounds),
+        "notice_range": some([f"{s}.notice_period_days"], bounds), "salary_range": some(salary, bounds), "work_mode_enum": some([f"{s}.preferred_work_mode"], ["enum"]),
+        "github_range": some([f"{s}.github_activity_score"], bounds), "assessment_range": some([f"{s}.skill_assessment_scores{{}}"], bounds)}
+
+
 def flagged_without_features(flat: DataFrame, cfg: RankConfig = DEFAULT) -> DataFrame:
     """Ids flagged when the rules run on the flat table alone (title rule inactive)."""
     from .integrity import add_integrity

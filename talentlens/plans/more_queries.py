@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .. import schema as S
 from ..config import DEFAULT, TrainConfig
-from ..operators import audit, labeling, model, profile, trees
+from ..operators import audit, json_schema, labeling, model, profile, trees
 from ..operators.features import FEATURE_COLUMNS
 from ..sources import fixture_pools as P
 from . import oracle as O
@@ -497,7 +497,8 @@ def q_output_assertions(spark, sf):
     return PL.ranking.output_violations(broken, flat(spark, sf), DEFAULT.top_k)
 
 
-def _conformance_sql() -> str:
+def _conformance_sql(nulls: str = "") -> str:
+    """``nulls``: condition under which a null job size also isn't one of the listed (as in a schema document)."""
     profs = O.inlist(audit.PROFICIENCY)
     modes = O.inlist(audit.WORK_MODES)
     date = "'^[0-9]{4}-[0-9]{2}-[0-9]{2}$'"
@@ -518,7 +519,7 @@ def _conformance_sql() -> str:
         "career_items": "SELECT count(*) FROM cand WHERE NOT career_num_jobs BETWEEN 1 AND 10",
         "job_dates": f"SELECT count(DISTINCT k) FROM jobs WHERE NOT regexp_matches(start_text, {date})",
         "job_duration": "SELECT count(DISTINCT k) FROM jobs WHERE dur < 0",
-        "job_company_size_enum": f"SELECT count(DISTINCT k) FROM jobs WHERE size_text NOT IN {O.inlist(audit.COMPANY_SIZES)}",
+        "job_company_size_enum": f"SELECT count(DISTINCT k) FROM jobs WHERE size_text NOT IN {O.inlist(audit.COMPANY_SIZES)}{nulls}",
         "education_items": "SELECT count(*) FROM cbase WHERE CASE WHEN k % 10 = 0 THEN 0 WHEN k % 2 = 0 THEN 1 ELSE 2 END > 5",
         "start_year_range": f"SELECT count(*) FROM cbase WHERE {edu} AND NOT CASE WHEN k % 53 = 0 THEN 1950 ELSE 1996 + k % 30 END BETWEEN 1970 AND 2030",
         "end_year_range": "SELECT count(*) FROM cand WHERE edu_latest_end_year > 0 AND NOT edu_latest_end_year BETWEEN 1970 AND 2035",
@@ -543,6 +544,17 @@ def _conformance_sql() -> str:
         f"SELECT '{n}' AS rule, CAST(({q}) AS BIGINT) AS violations" for n, q in checks.items()) + ")"
 
 
+@register("schema_document", _conformance_sql(" OR size_text IS NULL"))
+def q_schema_document(spark, sf):
+    """Q12 from a schema document read from a file, over every candidate's line of JSON."""
+    path = FS.write_json_rows(spark, [audit.declared_schema()], FS.scratch_path(spark, "schema"))
+    document = json_schema.load(spark, path)
+    raw = PL.fixture_candidates(spark, sf)
+    lines = raw.select(F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"}).alias("value"))
+    groups = audit.conformance_groups([r.name for r in json_schema.compile_schema(document).rules])
+    return json_schema.conformance(lines, document, groups=groups).select("rule", F.col("violations").cast("long"))
+
+
 @register("schema_conformance", _conformance_sql())
 def q_schema_conformance(spark, sf):
     return audit.schema_conformance(PL.fixture_candidates(spark, sf)).select("rule", F.col("violations").cast("long"))
@@ -814,14 +826,14 @@ def q_submission_file_contract(spark, sf):
 
 from ..functions import text as X  # noqa: E402
 from ..operators import engagement as EN  # noqa: E402
-from ..session import read_table  # noqa: E402
+from ..session import read_table, spread  # noqa: E402
 
 # a taxonomy taken from the documents' own (invented) vocabulary
 TEXT_TAXONOMY = ("tion", "ing", "the", "ere", "and", "ou", "nt", "sh", "ly", "qz")
 
 
 def _doc_counts(spark, sf, docs=None, *keep):
-    docs = (read_table(spark, sf, "documents") if docs is None else docs).select("doc_id", *keep, X.lower0("text").alias("t"))
+    docs = spread((read_table(spark, sf, "documents") if docs is None else docs).select("doc_id", *keep, "text")).select("doc_id", *keep, X.lower0("text").alias("t"))
     return docs.select(
         "doc_id", *keep,
         X.count_substrings("t", DEFAULT.retrieval_keywords).cast("long").alias("retrieval_kw"),
