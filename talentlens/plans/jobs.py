@@ -73,9 +73,9 @@ def label_job(spark: SparkSession, candidates_path: str, labels_path: str, targe
     sample = labeling.cascade_sample(scored, target_total, cfg=cfg)
     todo = labeling.pending(sample, FS.read_labels(spark, labels_path))
     if teacher is None:
-        log.append(labeling.rubric_labels(FS.records_by_ids(scored, todo), rubric, cfg))
+        log.append(labeling.rubric_labels(FS.fetch_by_ids(scored, todo), rubric, cfg))
     else:
-        records = cut_lineage(FS.records_by_ids(raw.select("candidate_id", "value"), todo))      # target_total lines at most
+        records = cut_lineage(FS.fetch_by_ids(raw.select("candidate_id", "value"), todo))      # target_total lines at most
         parts = -(-target_total // chunk)
         for part in range(parts):                       # what is labelled stays, whatever happens to the rest
             own = records.where(F.pmod(F.xxhash64("candidate_id"), F.lit(parts)) == part)
@@ -90,7 +90,7 @@ def train_job(spark: SparkSession, candidates_path: str, labels_path: str, model
     raw, _ = FS.stage_candidates(spark, candidates_path, cfg.signals_key, out=staged)
     labels = FS.read_labels(spark, labels_path)
     # features are row-local: restrict to labelled ids first, then featurise
-    labelled_raw = FS.records_by_ids(raw, labels)
+    labelled_raw = FS.fetch_by_ids(raw, labels)
     feats = PL.featurize(flatten(labelled_raw, cfg.signals_key), cfg)
     train = cut_lineage(model.bounded_labels(model.label_join(feats, labels, tc.label_col), tc))
     FS.drop_path(spark, staged)

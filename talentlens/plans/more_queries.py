@@ -266,7 +266,7 @@ def _prompts(spark, sf) -> DataFrame:
     """Prompts of the sampled records, each a line of JSON with a key that the schema doesn't know and a null."""
     raw = PL.fixture_candidates(spark, sf)
     line = F.to_json(F.struct(*raw.columns, F.lit("kept").alias("extra"), F.lit(None).cast("string").alias("nothing")), {"ignoreNullFields": "false"})
-    pend = raw.join(F.broadcast(sample_frame(spark, sf)), "candidate_id", "left_semi")             # SAMPLE_TOTAL rows at most
+    pend = FS.fetch_by_ids(raw, sample_frame(spark, sf))                                            # SAMPLE_TOTAL rows at most
     return labeling.render_prompts(pend.select("candidate_id", line.alias("value")), PROMPT, "Senior engineer for search and ranking systems")
 
 

@@ -153,8 +153,8 @@ def stage_candidates(spark: SparkSession, path: str, signals_key: str = "signals
                            usable=count_of(ok), with_signals=count_of(ok & F.col("has_signals")),
                            **{f"skipped {r}": count_of(F.col("reason") == r) for r in skip_reasons(signals_key)})
     out = out or scratch_path(spark, "candidates-staged")
-    (tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok | F.lit(keep_text), F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
-     .write.mode("overwrite").partitionBy("_ok").parquet(out))
+    rows = tagged.select(F.when(ok, F.col("r")).alias("r"), F.when(~ok | F.lit(keep_text), F.col("value")).alias("value"), "reason", "has_signals", ok.alias("_ok"))
+    bloom(rows.write.mode("overwrite").partitionBy("_ok"), "r.candidate_id").parquet(out)
     staged = spark.read.schema(f"r {candidate_schema(signals_key).simpleString()}, value string, reason string, has_signals boolean, _ok boolean").parquet(out)
     good, seen = staged.where("_ok"), metrics.of("load")
     if seen["usable"] and not seen["with_signals"]:
@@ -168,12 +168,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write once to Parquet so later jobs get column pruning and predicate pushdown."""
-    df.write.mode(mode).parquet(path)
+def stage_parquet(df: DataFrame, path: str, mode: str = "overwrite", looked_up: str | None = None) -> str:
+    """Write once to Parquet so later jobs get column pruning and predicate pushdown; see ``bloom`` for ``looked_up``."""
+    bloom(df.write.mode(mode), looked_up).parquet(path)
     return path
 
 
+def bloom(writer, column: str | None):
+    """Have every row group written with a Bloom filter of ``column``, so that ``fetch_by_ids`` skips the groups without its ids."""
+    if column:                                                      # adaptive: the smallest of several sizes that fits the group's ids
+        return writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    return writer
+
+
 def write_jsonl(df: DataFrame, path: str, gzip: bool = False) -> str:
     w = df.write.mode("overwrite")
     if gzip:
@@ -232,11 +239,27 @@ def single_csv_file(spark: SparkSession, folder: str) -> str:
     return parts[0]
 
 
+#: Ids that a fetch pushes down to the scan as a condition.
+FETCH_IDS = 10_000
+
+
 def records_by_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:
     """Raw records whose id is in ``ids`` (semi-join; adaptive execution broadcasts what turns out small)."""
     return raw.join(ids.select("candidate_id").distinct(), "candidate_id", "left_semi")
 
 
+def fetch_by_ids(raw: DataFrame, ids: DataFrame) -> DataFrame:
+    """S9 for a few ids of many records: up to ``FETCH_IDS`` ids become a condition that reaches the scan; more are joined.
+
+    Over a table staged with a Bloom filter of the id, row groups (and pages) that hold none of the ids aren't read,
+    in whatever order its rows are.  Null ids match nothing, as in the join.
+    """
+    found = [r[0] for r in ids.select("candidate_id").where("candidate_id IS NOT NULL").distinct().limit(FETCH_IDS + 1).collect()]
+    if len(found) > FETCH_IDS:
+        return records_by_ids(raw, ids)
+    return raw.where(F.col("candidate_id").isin(found)) if found else raw.where(F.lit(False))
+
+
 def write_json_rows(spark: SparkSession, rows: list[dict], path: str) -> str:
     """Small artefacts (feature config, training report) as JSON lines."""
     spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1) \
