@@ -12,13 +12,15 @@ sets, in two steps that never write all pairs of a group:
 
 1. In every band group the members are compared with one of them, the pivot: first within each task's own
    groups, then among the pivots that the tasks report.  Confirmed links join classes to components.
-2. Groups that still hold more than one component are gone through again, and pairs of
-   different components that may link (sizes and signatures allow it) are confirmed as well.  A group of
-   more than ``BLOCK`` classes is dealt in blocks whose pairs are compared by separate tasks; what is one
-   component already isn't compared with itself.
-
-Sets travel as texts: of each pair one text goes to the pivot's task, and a pivot of many pairs is
-copied to as many tasks as it needs.
+2. Groups that still hold more than one component are gone through again, and pairs of different
+   components that may link (sizes and signatures allow it) are confirmed where they meet, each in the group of the
+   first band that it shares.  First the signatures alone tell which members have such a pair; only those send
+   their texts, and only links come back, so rows grow with the members, not with their pairs.  A group of more than
+   ``BLOCK`` classes is dealt in blocks whose pairs are compared by separate tasks; what is one component already
+   isn't compared with itself.
+
+Sets travel as texts.  In the first step one text of each pair goes to the pivot's task, and a pivot of many
+pairs is copied to as many tasks as it needs.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ SIMILARITY = 80
 ROWS, BANDS = 4, 32
 #: Coordinates of 128 that agree where similarity is 0.8: 102 on average, fewer than 64 with a probability below 10^-14.
 AGREE = 64
-#: Classes whose band groups a task looks through at once; members of a block of a large group.
-CHUNK, BLOCK = 32_768, 2_048
+#: Classes whose band groups a task looks through at once; members of a block of a large group, and their shingles.
+CHUNK, BLOCK, BLOCK_SHINGLES = 32_768, 4_096, 2_000_000
 #: Pairs of one pivot that a task confirms.
 SHARE = 1_000
 
@@ -189,13 +191,11 @@ def _global_stars(batches):
 
 def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) whose full sets link; ``texts`` has (seq, text)."""
-    size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    copies = F.ceil(F.col("n") / SHARE).cast("int")
-    members = (pairs.join(size.select("a", copies.alias("copies")).where("copies > 1"), "a", "left")
-               .select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"))
-               .join(texts.withColumnRenamed("seq", "b"), "b").select("a", "copy", "b", "text"))
-    pivots = (size.join(texts.withColumnRenamed("seq", "a"), "a")
-              .select("a", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"), F.lit(None).cast("long").alias("b"), "text"))
+    size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("copies"))
+    members = (pairs.join(size.where("copies > 1"), "a", "left")
+               .select(F.col("b").alias("seq"), "a", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"), "b"))
+    pivots = size.select(F.col("a").alias("seq"), "a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(None).cast("long"))
+    sent = members.union(pivots).join(texts.hint("merge"), "seq").select("a", "copy", "b", "text")
 
     def run(batches):
         held = None, None
@@ -215,51 +215,95 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: int) -
                             out.append(r)
             yield pa.RecordBatch.from_arrays([pa.array(a[out]), pa.array(b[out])], names=["a", "b"])
 
-    dealt = pivots.union(members).repartition("a", "copy").sortWithinPartitions("a", "copy", F.col("b").asc_nulls_first())
+    dealt = sent.repartition("a", "copy").sortWithinPartitions("a", "copy", F.col("b").asc_nulls_first())
     return dealt.mapInArrow(tidy(run), "a long, b long")
 
 
-def _cross_pairs(similarity: int):
-    """Arrow function over (key, side, component, rep, n, sig) sorted by key: pairs of a group that may link, of different components.
-
-    Side 0 is compared with side 1; in a group of side 2 all are compared with one another.
+def _groups(batches):
+    """One batch for each group of rows that agree in the first column, from batches sorted by it."""
+    key, held = None, []
+    for batch in batches:
+        k = batch.column(0).to_numpy()
+        if not len(k):
+            continue
+        cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
+        for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if k[s] != key:
+                if held:
+                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                key, held = k[s], []
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _candidates(group: pa.RecordBatch, similarity: int):
+    """(i, others) of a group (pair, key, side, component, rep, n, sig): pairs of different components that may link and share no earlier band.
+
+    Side 0 is compared with side 1; in a group of side 2 all are compared with one another.  ``component`` is read anew
+    for each i, so that links found on the way count.
     """
+    side, component, n = group.column(2).to_numpy(), group.column(3).to_numpy().copy(), group.column(5).to_numpy()
+    sig = _signature_matrix(group.column(6))
+    bands = sig.view(U64)
+    band = int(np.flatnonzero(_band_keys(sig[:1])[0] == U64(group.column(1)[0].as_py() & ((1 << 64) - 1)))[0])
+    left, right = (np.arange(len(n)),) * 2 if side[0] == 2 else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    for i in left.tolist():
+        other = right[(component[right] != component[i]) & _long_enough(n[right], n[i], similarity)]
+        other = other[other > i] if side[0] == 2 else other
+        other = other[_agree(sig[other], sig[i])]
+        if len(other):
+            other = other[~(bands[other, :band] == bands[i, :band]).any(axis=1)]
+        if len(other):
+            yield component, i, other
+
+
+def _members_with_pairs(similarity: int):
+    """Arrow function over a group's rows (``_candidates``): those members that have a pair to be confirmed."""
 
-    def group(rows):
-        side, component, rep, n = (np.concatenate([r[i] for r in rows]) for i in range(4))
-        sig = np.concatenate([r[4] for r in rows])
-        left, right = (np.arange(len(rep)),) * 2 if side[0] == 2 else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        for i in left.tolist():
-            other = right[(component[right] != component[i]) & _long_enough(n[right], n[i], similarity)]
-            other = other[other > i] if side[0] == 2 else other
-            other = other[_agree(sig[other], sig[i])]
-            if len(other):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[other], rep[i])), pa.array(np.maximum(rep[other], rep[i]))], names=["a", "b"])
+    def run(batches):
+        for group in _groups(batches):
+            met = np.zeros(len(group), bool)
+            for _, i, other in _candidates(group, similarity):
+                met[i] = True
+                met[other] = True
+            kept = group.filter(pa.array(met))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), kept.column(2), kept.column(4)], names=["pair", "key", "side", "rep"])
+
+    return run
+
+
+def _group_links(shingle: int, similarity: int):
+    """Arrow function over a group's rows with their texts: links that join its components."""
 
     def run(batches):
-        key, held = None, []
-        for batch in batches:
-            k = batch.column(0).to_numpy()
-            if not len(k):
-                continue
-            columns = [batch.column(i).to_numpy() for i in range(1, 5)] + [_signature_matrix(batch.column(5))]
-            cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
-            for s, e in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                if k[s] != key:
-                    if held:
-                        yield from group(held)
-                    key, held = k[s], []
-                held.append([c[s:e] for c in columns])
-        if held:
-            yield from group(held)
+        for group in _groups(batches):
+            parts, ends = [], [np.zeros(1, np.int64)]
+            for _, raw, bounds in slices(group, "text"):
+                h, first = shingle_sets(raw, bounds, shingle)
+                parts.append(h)
+                ends.append(first[1:] + ends[-1][-1])
+            h, first = np.concatenate(parts), np.concatenate(ends)
+            rep, a, b = group.column(4).to_numpy(), [], []
+            for component, i, other in _candidates(group, similarity):
+                own, sizes = h[first[i]:first[i + 1]], first[other + 1] - first[other]
+                theirs = np.concatenate([h[first[j]:first[j + 1]] for j in other.tolist()])
+                place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+                common = np.add.reduceat((own[place] == theirs).astype(np.int64), np.cumsum(sizes) - sizes)
+                for j in other[100 * common >= similarity * (len(own) + sizes - common)].tolist():
+                    if component[i] != component[j]:
+                        a.append(rep[i])
+                        b.append(rep[j])
+                        component[component == component[j]] = component[i]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def open_pairs(sets: DataFrame, component: DataFrame, similarity: int, block: int | None = None) -> DataFrame:
-    """Pairs that may link, of classes in one band group but in different components (``component``: node, root).
+def open_links(sets: DataFrame, texts: DataFrame, component: DataFrame, shingle: int, similarity: int, block: int | None = None) -> DataFrame:
+    """Links (a, b) that join what classes in one band group but in different components (``component``: node, root) have in common.
 
-    ``sets`` has the classes' seq, n and sig.
+    ``sets`` has the classes' seq, n and sig, ``texts`` seq and text.
     """
     block = BLOCK if block is None else block
 
@@ -268,29 +312,32 @@ def open_pairs(sets: DataFrame, component: DataFrame, similarity: int, block: in
             sig = _signature_matrix(batch.column(3))
             keys = _band_keys(sig).view(np.int64).ravel() if len(sig) else np.zeros(0, np.int64)
             at = pa.array(np.repeat(np.arange(len(batch)), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(1).take(at), batch.column(0).take(at)], names=["key", "root", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(batch.column(c).take(at) for c in (1, 0, 2))], names=["key", "root", "rep", "n"])
 
     rooted = stage(sets.withColumnRenamed("seq", "rep").join(component.withColumnRenamed("node", "rep"), "rep").select("rep", "root", "n", "sig"), "rooted")
-    index = rooted.mapInArrow(tidy(run), "key long, root long, rep long")
-    parts = index.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = stage(parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("total")).where("roots > 1"), "mixed")
+    index = rooted.mapInArrow(tidy(run), "key long, root long, rep long, n long")
+    parts = index.groupBy("key", "root").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("n"))
+    mixed = stage(parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("members"), F.sum("n").alias("n")).where("roots > 1"), "mixed")
     # a component with more than a block of a group's members has blocks of its own, the others share blocks
-    large = parts.join(mixed, "key", "left_semi").where(F.col("n") > block).select("key", "root", F.ceil(F.col("n") / block).cast("int").alias("own"))
-    members = (index.join(mixed.select("key", F.ceil(F.col("total") / block).cast("int").alias("shared")), "key").join(large, ["key", "root"], "left")
+    blocks_of = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("n") / BLOCK_SHINGLES)).cast("int")
+    large = parts.join(mixed, "key", "left_semi").select("key", "root", blocks_of.alias("own")).where("own > 1")
+    members = (index.join(mixed.select("key", blocks_of.alias("shared")), "key").join(large, ["key", "root"], "left")
                .select("key", "root", "rep", F.when(F.col("own").isNull(), F.pmod(F.xxhash64("root", F.lit(1)), "shared"))
-                       .otherwise(F.pmod(F.xxhash64("rep"), "own")).cast("int").alias("part"), F.when(F.col("own").isNotNull(), F.col("root")).alias("alone")))
+                       .otherwise(F.pmod(F.xxhash64("rep"), "own")).cast("int").alias("part"), F.when(F.col("own").isNotNull(), F.col("root")).otherwise(-1).alias("alone")))
     members = stage(members, "members")
     blocks = members.select("key", "alone", "part").distinct()
-    one, two = (blocks.select("key", F.struct(F.coalesce("alone", F.lit(-1)).alias("alone"), "part").alias(c)) for c in "xy")
+    one, two = (blocks.select("key", F.struct("alone", "part").alias(c)) for c in "xy")
     meet = one.join(two, "key").where("x < y AND (x.alone < 0 OR x.alone <> y.alone) OR x = y AND x.alone < 0")
     pair = F.xxhash64("key", "x", "y")
     sides = (meet.where("x <> y").select("key", pair.alias("pair"), F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("x").alias("b")), F.struct(F.lit(1).alias("side"), F.col("y").alias("b")))).alias("s"))
              .union(meet.where("x = y").select("key", pair.alias("pair"), F.struct(F.lit(2).alias("side"), F.col("x").alias("b")).alias("s"))))
     sides = sides.select("key", "pair", "s.side", "s.b.alone", "s.b.part")
-    dealt = members.withColumn("alone", F.coalesce("alone", F.lit(-1))).join(sides, ["key", "alone", "part"]).select("pair", "side", "rep")
-    full = dealt.join(rooted, "rep").select("pair", "side", "root", "rep", "n", "sig")
-    found = full.repartition("pair").sortWithinPartitions("pair").mapInArrow(tidy(_cross_pairs(similarity)), "a long, b long")
-    return found.distinct()
+    dealt = members.join(sides, ["key", "alone", "part"]).select("pair", "key", "side", "rep")
+    group = ["pair", "key", "side", "root", "rep", "n", "sig"]
+    asked = dealt.join(rooted, "rep").select(*group).repartition("pair").sortWithinPartitions("pair")
+    needed = stage(asked.mapInArrow(tidy(_members_with_pairs(similarity)), "pair long, key long, side int, rep long"), "needed")
+    full = needed.join(rooted, "rep").join(texts.withColumnRenamed("seq", "rep").hint("merge"), "rep").select(*group, "text").repartition("pair").sortWithinPartitions("pair")
+    return full.mapInArrow(tidy(_group_links(shingle, similarity)), "a long, b long")
 
 
 def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None, *, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -315,12 +362,12 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     leads = stars.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("rep"))
     across = leads.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(tidy(_global_stars), "a long, b long")
     pairs = stage(stars.where("kind = 0").select("a", "b").union(across).distinct(), "pairs")
-    texts = rows.select("seq", "text")
+    seen = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).union(stars.where("kind = 2").select("a")).distinct(), "seen")
+    # all texts are shuffled once, for the members of groups; what follows moves only those
+    texts = stage(rows.select("seq", "text").join(seen.select(F.col("node").alias("seq")).hint("merge"), "seq"), "texts")
     links = stage(confirm(pairs, texts, shingle, similarity), "links")
-    seen = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(stars.where("kind = 2").select("a")).distinct()
     roots = stage(seen.join(connected(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
-    late = stage(open_pairs(some.select("seq", "n", "sig"), roots, similarity).join(pairs, ["a", "b"], "left_anti"), "open")
-    more = confirm(late, texts, shingle, similarity)
+    more = open_links(some.select("seq", "n", "sig"), texts, roots, shingle, similarity)
     names = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
     joined = connected(more.join(names[0], "a").join(names[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
     last = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("r")), "root", "left").select("node", F.coalesce("r", "root").alias("root"))

@@ -193,7 +193,7 @@ def test_signature_coordinates_agree_as_often_as_sets_overlap():
     assert abs(np.mean(hits) - 0.8) < 0.02 and min(hits) > minhash.AGREE / 128
 
 
-@pytest.mark.parametrize("chunk,block,share", [(32_768, 2_048, 1_000), (7, 4, 3)])
+@pytest.mark.parametrize("chunk,block,share", [(32_768, 4_096, 1_000), (7, 4, 3)])
 def test_minhash_components(spark, monkeypatch, chunk, block, share):
     monkeypatch.setattr(minhash, "CHUNK", chunk)
     monkeypatch.setattr(minhash, "BLOCK", block)
@@ -207,17 +207,29 @@ def test_minhash_components(spark, monkeypatch, chunk, block, share):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(expected, key=key)
 
 
-@pytest.mark.parametrize("block", [2_048, 2])
-def test_open_groups_pair_all_that_may_link_across_components(spark, block):
+@pytest.mark.parametrize("block", [4_096, 2])
+def test_open_groups_link_all_components_that_share_a_link(spark, block):
     """Whether components share blocks or have blocks of their own."""
     docs = [(i, t) for i, (_, t) in enumerate(near_texts(120))]
     words = [re.findall(WORD, lower(t)) for _, t in docs]
     sets = [{tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))} if w else set() for w in words]
     root = {i: i if i % 3 else 0 for i in range(len(docs))}          # a third is one component already
-    rows = minhash.set_rows(spark.createDataFrame(docs, "seq long, text string"), 4).where("n > 0").select("seq", "n", "sig")
-    got = [tuple(r) for r in minhash.open_pairs(rows, spark.createDataFrame(list(root.items()), "node long, root long"), 80, block).collect()]
-    linked = {(j, i) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if root[i] != root[j] and a and 100 * len(a & b) >= 80 * len(a | b)}
-    assert len(got) == len(set(got)) and linked <= set(got) and all(a < b and root[a] != root[b] for a, b in got) and len(linked) > 100
+    table = spark.createDataFrame(docs, "seq long, text string")
+    rows = minhash.set_rows(table, 4).where("n > 0").select("seq", "n", "sig")
+    got = [tuple(r) for r in minhash.open_links(rows, table, spark.createDataFrame(list(root.items()), "node long, root long"), 4, 80, block).collect()]
+    linked = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if root[i] != root[j] and a and 100 * len(a & b) >= 80 * len(a | b)}
+    assert got and set(got) <= linked
+
+    def joined(links):
+        least = dict(root)
+        for _ in root:
+            for a, b in links:
+                x, y = least[a], least[b]
+                if x != y:
+                    least = {k: min(x, y) if v in (x, y) else v for k, v in least.items()}
+        return least
+
+    assert joined(got) == joined(linked)
 
 
 def test_minhash_keeps_columns_and_takes_empty_tables(spark):
