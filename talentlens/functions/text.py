@@ -2,7 +2,8 @@
 
 All matching is done with built-in functions (``contains``, ``InSet``,
 higher-order ``filter``/``exists`` for lists) so it runs inside the JVM; no Python
-worker is involved.  Keyword matching is *substring* matching of distinct
+worker is involved.  Conditions over a taxonomy are written as SQL over a column's name:
+built call by call, the literals alone would cost seconds a plan.  Keyword matching is *substring* matching of distinct
 keywords, as in the semantics being reproduced ("map" matches "roadmap"); a
 taxonomy is compiled once into groups that one scan for a shared string can
 rule out, as plain conditions that whole-stage code generation takes in.
@@ -28,9 +29,18 @@ def lower0(c) -> Column:
     return F.lower(F.coalesce(col(c), F.lit("")))
 
 
-def in_set(c, values: Iterable[str]) -> Column:
+def quoted(s: str) -> str:
+    """A SQL text literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _listed(values: Iterable[str]) -> str:
+    return ", ".join(map(quoted, dict.fromkeys(values))) or "NULL"
+
+
+def in_set(c: str, values: Iterable[str]) -> Column:
     """Exact membership; a literal list becomes an ``InSet`` hash lookup."""
-    return col(c).isin(*list(values))
+    return F.expr(f"{c} IN ({_listed(values)})")
 
 
 #: Characters of a text for which the use of a guard is weighed.
@@ -66,12 +76,9 @@ def keyword_plan(keywords: tuple[str, ...]) -> tuple[tuple[str | None, tuple[str
         left = [k for k in left if k not in shared[best[2]]]
 
 
-def any_substring(text, keywords: Iterable[str]) -> Column:
-    """Any keyword occurs in ``text`` (text already lower-cased)."""
-    t, found = col(text), F.lit(False)
-    for k in _shortest(keywords):
-        found = found | F.contains(t, F.lit(k))
-    return found
+def any_substring(text: str, keywords: Iterable[str]) -> Column:
+    """Any keyword occurs in the column ``text`` (already lower-cased)."""
+    return F.expr(" OR ".join(f"contains({text}, {quoted(k)})" for k in _shortest(keywords)) or "false")
 
 
 def _shortest(keywords: Iterable[str]) -> list[str]:
@@ -80,15 +87,13 @@ def _shortest(keywords: Iterable[str]) -> list[str]:
     return [k for k in words if not any(o != k and o in k for o in words)]
 
 
-def count_substrings(text, keywords: Iterable[str]) -> Column:
-    """T4: number of *distinct* keywords occurring in ``text`` (null: none), by the groups of ``keyword_plan``."""
-    t, count = col(text), F.lit(0)
+def count_substrings(text: str, keywords: Iterable[str]) -> Column:
+    """T4: number of *distinct* keywords occurring in the column ``text`` (null: none), by the groups of ``keyword_plan``."""
+    parts = []
     for guard, members in keyword_plan(tuple(dict.fromkeys(keywords))):
-        hits = F.lit(0)
-        for k in members:
-            hits = hits + (F.lit(1) if k == guard else F.contains(t, F.lit(k)).cast("int"))
-        count = count + (hits if guard is None else F.when(F.contains(t, F.lit(guard)), hits).otherwise(F.lit(0)))
-    return F.when(t.isNotNull(), count).otherwise(F.lit(0))
+        hits = " + ".join("1" if k == guard else f"int(contains({text}, {quoted(k)}))" for k in members)
+        parts.append(hits if guard is None else f"CASE WHEN contains({text}, {quoted(guard)}) THEN {hits} ELSE 0 END")
+    return F.expr(f"coalesce({' + '.join(parts) or '0'}, 0)")
 
 
 # every character Python's str.strip() removes (derived by rule, not listed)
@@ -105,41 +110,41 @@ def split_items(joined) -> Column:
     return F.array_remove(F.transform(F.split(col(joined), r"\|"), py_strip), "")
 
 
-def count_members(items: Column, values: Iterable[str]) -> Column:
-    """T5: elements of ``items`` (duplicates counted) that are in ``values``."""
-    vals = list(values)
-    return F.size(F.filter(items, lambda x: x.isin(*vals)))
+def _members(items: str, values: Iterable[str]) -> str:
+    return f"size(filter({items}, x -> x IN ({_listed(values)})))"
+
+
+def count_members(items: str, values: Iterable[str]) -> Column:
+    """T5: elements of the column ``items`` (duplicates counted) that are in ``values``."""
+    return F.expr(_members(items, values))
 
 
-def any_member(items: Column, values: Iterable[str]) -> Column:
+def any_member(items: str, values: Iterable[str]) -> Column:
     """T6 any."""
-    vals = list(values)
-    return F.exists(items, lambda x: x.isin(*vals))
+    return F.expr(f"exists({items}, x -> x IN ({_listed(values)}))")
 
 
-def all_members(items: Column, values: Iterable[str]) -> Column:
+def all_members(items: str, values: Iterable[str]) -> Column:
     """T6 all, with the empty list → False (``forall([])`` is true in Spark)."""
-    vals = list(values)
-    return (F.size(items) > 0) & F.forall(items, lambda x: x.isin(*vals))
+    return F.expr(f"size({items}) > 0 AND forall({items}, x -> x IN ({_listed(values)}))")
 
 
-def member_ratio(items: Column, values: Iterable[str]) -> Column:
+def member_ratio(items: str, values: Iterable[str]) -> Column:
     """T6 ratio; empty list → 0.0."""
-    n = F.size(items)
-    return F.when(n > 0, count_members(items, values) / n).otherwise(F.lit(0.0))
+    return F.expr(f"CASE WHEN size({items}) > 0 THEN {_members(items, values)} / size({items}) ELSE 0.0D END")
 
 
-def count_distinct_members(items: Column, values: Iterable[str]) -> Column:
+def count_distinct_members(items: str, values: Iterable[str]) -> Column:
     """Distinct elements in ``values``."""
-    return count_members(F.array_distinct(items), values)
+    return F.expr(_members(f"array_distinct({items})", values))
 
 
-def strip_then_contains(text, phrases: Iterable[str], word: str) -> Column:
+def strip_then_contains(text: str, phrases: Iterable[str], word: str) -> Column:
     """Remove each phrase (in order), then test for ``word``."""
-    t = col(text)
+    t = text
     for p in phrases:
-        t = F.replace(t, F.lit(p), F.lit(""))
-    return F.contains(t, F.lit(word))
+        t = f"replace({t}, {quoted(p)}, '')"
+    return F.expr(f"contains({t}, {quoted(word)})")
 
 
 def lookup(c, pairs, default) -> Column:

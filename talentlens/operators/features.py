@@ -31,6 +31,8 @@ HELPERS = {
     "_titles": lambda: X.split_items(X.lower0("career_all_titles")),
     "_comps": lambda: X.split_items(X.lower0("career_all_companies")),
     "_skill_items": lambda: X.split_items(X.lower0("skills_names")),
+    "_company": lambda: X.lower0("profile_current_company"),
+    "_degree": lambda: X.lower0("edu_highest_degree"),
     "_location": lambda: X.lower0("profile_location"),
     "_fields": lambda: X.lower0("edu_fields"),
 }
@@ -41,8 +43,8 @@ def _int(c: Column) -> Column:
 
 
 def base_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
-    t, desc, skills = F.col("_title"), F.col("_desc"), F.col("_skills")
-    titles, comps, items = F.col("_titles"), F.col("_comps"), F.col("_skill_items")
+    t, desc, skills = "_title", "_desc", "_skills"
+    titles, comps, items = "_titles", "_comps", "_skill_items"
     years = F.coalesce(F.col("profile_years_of_exp"), F.lit(0.0)).cast("double")
     z = (years - F.lit(cfg.ideal_years)) / F.lit(cfg.ideal_years_sigma)
     adv = F.col("skills_advanced_count")
@@ -59,11 +61,11 @@ def base_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
         "feat_dim2_retrieval_kw_count": X.count_substrings(desc, cfg.retrieval_keywords).cast("long"),
         "feat_dim2_research_kw_count": X.count_substrings(desc, cfg.research_keywords).cast("long"),
         "feat_dim2_wrapper_kw_count": X.count_substrings(desc, cfg.wrapper_keywords).cast("long"),
-        "feat_dim2_summary_production": _int(X.any_substring(F.col("_summary"), cfg.production_keywords)),
+        "feat_dim2_summary_production": _int(X.any_substring("_summary", cfg.production_keywords)),
         # D3 retrieval domain
         "feat_dim3_retrieval_skill_count": X.count_substrings(skills, cfg.retrieval_keywords).cast("long"),
-        "feat_dim3_headline_retrieval": _int(X.any_substring(F.col("_headline"), C.RETRIEVAL_CORE_WORDS)
-                                             | X.any_substring(F.col("_summary"), C.RETRIEVAL_CORE_WORDS)),
+        "feat_dim3_headline_retrieval": _int(X.any_substring("_headline", C.RETRIEVAL_CORE_WORDS)
+                                             | X.any_substring("_summary", C.RETRIEVAL_CORE_WORDS)),
         "feat_dim3_recommendation_exp": _int(F.contains(desc, F.lit("recommendation"))),
         "feat_dim3_search_system_exp": _int(X.strip_then_contains(desc, C.SEARCH_FALSE_POSITIVES, "search")),
         # D4 technical stack
@@ -80,23 +82,23 @@ def base_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
         "feat_dim5_too_junior": _int(years < F.lit(cfg.too_junior_below)),
         "feat_dim5_too_senior": _int(years > F.lit(cfg.too_senior_above)),
         # D6 company & career type
-        "feat_dim6_current_consulting": _int(X.in_set(X.lower0("profile_current_company"), cfg.consulting_firms)),
+        "feat_dim6_current_consulting": _int(X.in_set("_company", cfg.consulting_firms)),
         "feat_dim6_consulting_only": _int(X.all_members(comps, cfg.consulting_firms)),
         "feat_dim6_consulting_ratio": X.member_ratio(comps, cfg.consulting_firms),
         "feat_dim6_product_company_count": X.count_distinct_members(comps, cfg.product_companies).cast("long"),
         "feat_dim6_avg_tenure": F.coalesce(F.col("career_avg_tenure_months"), F.lit(0.0)).cast("double"),
         # D7 location & logistics
         "feat_dim7_is_india": _int(X.lower0("profile_country") == F.lit("india")),
-        "feat_dim7_preferred_city": _int(X.any_substring(F.col("_location"), cfg.preferred_cities)),
-        "feat_dim7_tier1_city": _int(X.any_substring(F.col("_location"), cfg.tier1_cities)),
+        "feat_dim7_preferred_city": _int(X.any_substring("_location", cfg.preferred_cities)),
+        "feat_dim7_tier1_city": _int(X.any_substring("_location", cfg.tier1_cities)),
         "feat_dim7_notice_period": F.coalesce(F.col("sig_notice_period_days"), F.lit(180)).cast("long"),
         "feat_dim7_willing_relocate": _int(F.col("sig_willing_relocate")),
         "feat_dim7_workmode_score": X.lookup(X.lower0("sig_work_mode"), C.WORKMODE_SCORE, 0.5),
         "feat_dim7_salary_reasonable": _int(_salary_ok()),
         # D8 education
         "feat_dim8_best_tier": X.lookup(X.lower0("edu_best_tier"), C.TIER_NUMBER, 4).cast("long"),
-        "feat_dim8_relevant_field": _int(X.any_substring(F.col("_fields"), C.RELEVANT_FIELDS)),
-        "feat_dim8_has_grad_degree": _int(X.in_set(X.lower0("edu_highest_degree"), C.GRAD_DEGREES)),
+        "feat_dim8_relevant_field": _int(X.any_substring("_fields", C.RELEVANT_FIELDS)),
+        "feat_dim8_has_grad_degree": _int(X.in_set("_degree", C.GRAD_DEGREES)),
         # skill trust inputs kept for the next stage
         "_adv": adv,
     }
@@ -124,7 +126,7 @@ def derived_features(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
     avg_end = endorse / F.greatest(adv, F.lit(1))           # only read when adv > 0
     relevant_ratio = must / (must + irr + F.lit(1))
     return {
-        "feat_dim2_shipped_ml": _int((prod > 0) & X.any_substring(f("_desc"), C.ML_WORDS)),     # the keywords are counted already
+        "feat_dim2_shipped_ml": _int((prod > 0) & X.any_substring("_desc", C.ML_WORDS)),     # the keywords are counted already
         "feat_dim2_production_ratio": prod / (prod + research + F.lit(1)),
         "feat_dim3_retrieval_desc_count": f("feat_dim2_retrieval_kw_count"),
         "feat_dim3_retrieval_composite": (

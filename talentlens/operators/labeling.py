@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RankConfig, RubricConfig
-from ..functions.text import title_regex
+from ..functions.text import py_strip, title_regex
 from .engagement import days_since_active
 
 BUCKETS = ("relevant", "plausible", "edge", "irrelevant", "suspicious", "random")
@@ -130,19 +130,36 @@ def _failed(error: Exception) -> dict:
     return {"score": 1, "reasoning": f"Error: {error}"}
 
 
-def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
-    """L6 on replies at hand: what can't be read gets score 1 and the error; what has no usable score or text gets no row."""
-    def read(text):
-        try:
-            return parse_reply(text)
-        except Exception as e:  # noqa: BLE001  whatever a reply holds, its record gets a label
-            return _failed(e)
+def unfenced(text: Column) -> Column:
+    """A reply without surrounding white space and code fences."""
+    opened = F.regexp_replace(py_strip(F.coalesce(text, F.lit(""))), "^(?:```json)?(?:```)?", "")
+    return F.regexp_replace(opened, r"```\z", "")
 
-    def run(batches):
-        for pdf in batches:
-            yield _labelled((cid, read(t)) for cid, t in zip(pdf["candidate_id"], pdf["text"], strict=True))
 
-    return responses.select("candidate_id", F.col(text_col).alias("text")).mapInPandas(run, _LABEL)
+def parse_responses(responses: DataFrame, text_col: str = "response") -> DataFrame:
+    """L6 on replies at hand, inside the JVM: (candidate_id, llm_score, llm_reasoning).
+
+    What is no JSON object, or lacks a key, gets score 1 and an error; what has no usable score or text gets no
+    row.  Scores are read as Python's ``int`` reads them: numbers are cut, true is 1, a text may hold a whole number.
+    Stricter than Python's parser: a reply with NaN, or twice the same key, is no JSON.
+    """
+    # Spark's parser stops after the first value; inside brackets and inside braces at once nothing can follow it
+    plain = responses.select("candidate_id", unfenced(F.col(text_col)).alias("t"))
+    wrapped = plain.select("candidate_id", F.try_parse_json(F.concat(F.lit("["), "t", F.lit("]"))).alias("a"), F.try_parse_json(F.concat(F.lit('{"x":'), "t", F.lit("}"))).alias("o"))
+    v = wrapped.select("candidate_id", F.expr("if(o IS NOT NULL AND variant_get(a, '$[1]', 'variant') IS NULL, variant_get(a, '$[0]', 'variant'), NULL)").alias("v"))
+    at = v.select("candidate_id", F.expr("startswith(schema_of_variant(v), 'OBJECT')").alias("object"), F.expr("variant_get(v, '$.score', 'variant')").alias("s"),
+                  F.expr("variant_get(v, '$.reasoning', 'variant')").alias("r"))
+    kind = at.select("candidate_id", "object", "s", "r", F.expr("schema_of_variant(s)").alias("s_kind"), F.expr("schema_of_variant(r)").alias("r_kind"))
+    text = py_strip(F.expr("try_variant_get(s, '$', 'string')"))
+    score = (F.when(F.col("s_kind") == "BOOLEAN", F.expr("try_variant_get(s, '$', 'boolean')").cast("int"))
+             .when(F.col("s_kind") == "STRING", F.when(text.rlike("^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(text, "_", "").try_cast("int")))
+             .when(F.col("s_kind").rlike("^(BIGINT|DOUBLE|DECIMAL)"), F.expr("try_variant_get(s, '$', 'double')").try_cast("int")))
+    error = (F.when(~F.coalesce("object", F.lit(False)), F.lit("Error: the reply is no JSON object"))
+             .when(F.col("s").isNull() | F.col("r").isNull(), F.lit("Error: Missing keys in LLM response")))
+    reason = F.when(F.col("r_kind") == "STRING", F.expr("try_variant_get(r, '$', 'string')"))
+    read = kind.select("candidate_id", error.alias("error"), score.alias("score"), reason.alias("reason"))
+    return (read.where("error IS NOT NULL OR score IS NOT NULL AND reason IS NOT NULL")
+            .select("candidate_id", F.when(F.col("error").isNull(), F.col("score")).otherwise(1).alias("llm_score"), F.coalesce("error", "reason").alias("llm_reasoning")))
 
 
 def clean_reasoning(c: Column) -> Column:

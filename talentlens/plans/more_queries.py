@@ -308,6 +308,24 @@ def q_teacher_parse(spark, sf):
     return labels.select("candidate_id", "llm_score", F.when(F.col("llm_reasoning").startswith("Error: "), F.lit("Error")).otherwise(F.col("llm_reasoning")).alias("reasoning"))
 
 
+_REPLY_FORMS = ("'```json\\n{\"score\": ' || n % 6 || ', \"reasoning\": \"fenced\"}\\n```'", "'\\n ```{\"score\": ' || n % 6 || ', \"reasoning\": \"blank first\"}```\\n'",
+                "'{\"score\": \" ' || n % 6 || '\", \"reasoning\": \"text score\"}'", "'I think ' || n % 6", "'{\"score\": null, \"reasoning\": \"none\"}'", "'{\"score\": 4}'",
+                "'{\"score\": ' || n % 6 || '.9, \"reasoning\": \"cut\"}'", "'{\"score\": 4, \"reasoning\": \"r\"} so'", "'{\"score\": \"4.5\", \"reasoning\": \"r\"}'", "NULL",
+                "'{\"reasoning\": \"yes\", \"score\": true}'", "'[4]'")
+
+
+@register("stored_replies", f"""{CORE}, replied AS (SELECT candidate_id, CAST(substr(candidate_id, 6) AS BIGINT) AS k, CAST(substr(candidate_id, 6) AS BIGINT) % 12 AS form FROM cand)
+SELECT candidate_id, CAST(CASE WHEN form IN (0, 1, 2, 6) THEN k % 6 ELSE 1 END AS INTEGER) AS llm_score, CASE form WHEN 0 THEN 'fenced' WHEN 1 THEN 'blank first'
+  WHEN 2 THEN 'text score' WHEN 6 THEN 'cut' WHEN 10 THEN 'yes' WHEN 5 THEN 'Error: Missing keys in LLM response' ELSE 'Error: the reply is no JSON object' END AS llm_reasoning
+FROM replied WHERE form NOT IN (4, 8)""")
+def q_stored_replies(spark, sf):
+    """L6 on stored replies, one for each candidate, in twelve forms."""
+    n = F.substr("candidate_id", F.lit(6)).cast("long")
+    forms = " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(_REPLY_FORMS))
+    replies = flat(spark, sf).select("candidate_id", n.alias("n")).select("candidate_id", F.expr(f"CASE n % 12 {forms} END").alias("response"))
+    return labeling.parse_responses(spark.read.parquet(FS.stage_parquet(replies, FS.scratch_path(spark, "replies"))))
+
+
 # ---------------------------------------------------------------------------
 # V/Q: audits on the ranked submission with injected defects
 # ---------------------------------------------------------------------------

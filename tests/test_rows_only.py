@@ -68,6 +68,17 @@ def test_replies_are_read_as_python_reads_them(spark):
     rows = spark.createDataFrame([(k, r) for k, (r, _) in REPLIES.items() if k != "list"], "candidate_id string, response string")
     got = {r.candidate_id: (r.llm_score, "Error" if r.llm_reasoning.startswith("Error: ") else r.llm_reasoning) for r in labeling.parse_responses(rows).collect()}
     assert got == {k: v for k, (_, v) in REPLIES.items() if v is not None}
+    more = {"nan": ('{"score": NaN, "reasoning": "r"}', (1, "Error")), "twice": ('{"score": 1, "score": 2, "reasoning": "r"}', (1, "Error")), "blank": ("", (1, "Error")),
+            "big": ('{"score": 99999999999, "reasoning": "r"}', None), "sign": ('{"score": " -1_0 ", "reasoning": "é\\n\\"x\\""}', (-10, 'é\n"x"')), "deep": ('{"score": [4], "reasoning": "r"}', None),
+            "neg": ('{"reasoning": "r", "score": -4.9}', (-4, "r")), "fences": ('```\n{"score": 1, "reasoning": "```"}\n```', (1, "```")), "array": ("[1]", (1, "Error")),
+            "two": ('{"score": 1, "reasoning": "r"}, {"score": 2}', (1, "Error")), "trick": ('{"score": 1, "reasoning": "r"}], [{}', (1, "Error")),
+            "key": ('{"score": 1, "reasoning": "r"}, "y": 1', (1, "Error"))}
+    rows = spark.createDataFrame([(k, r) for k, (r, _) in more.items()], "candidate_id string, response string")
+    parsed = labeling.parse_responses(rows)
+    got = {r.candidate_id: (r.llm_score, "Error" if r.llm_reasoning.startswith("Error: ") else r.llm_reasoning) for r in parsed.collect()}
+    assert got == {k: v for k, (_, v) in more.items() if v is not None}
+    assert "Python" not in parsed._jdf.queryExecution().executedPlan().toString()
+    assert labeling.parse_responses(rows.limit(0)).count() == 0
 
 
 def test_one_failing_record_keeps_the_others(spark):
