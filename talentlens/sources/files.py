@@ -39,52 +39,71 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _read_text(spark: SparkSession, path: str, partitions: int | None) -> DataFrame:
+    return _spread_gzip(_text_lines(spark, path), partitions)
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     try:
-        lines = spark.read.text(path)
+        return spark.read.text(path)
     except AnalysisException as e:                      # S5
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"Cannot find data file at {path}") from e
         raise
+
+
+def _spread_gzip(lines: DataFrame, partitions: int | None) -> DataFrame:
     if any(f.endswith(".gz") for f in lines.inputFiles()):      # S2: one task per gzip file → spread it
-        lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
+        lines = lines.repartition(partitions or lines.sparkSession.sparkContext.defaultParallelism)
     return lines
 
 
+#: The texts and numbers that are read from the records of each history.
+HISTORIES = {
+    "career_history": (("title", "company", "industry", "description"), ("duration_months",)),
+    "skills": (("name", "proficiency"), ("endorsements", "duration_months")),
+    "education": (("degree", "tier", "field_of_study"), ("end_year",)),
+}
+
+
+def _parts(signals_key: str) -> dict[str, str]:
+    """The parts of a record that rules look at, as SQL over its VARIANT ``v``; each is taken out once.
+
+    Casting to a struct of variants gives null for what is no object (for lists: no list of objects).
+    """
+    whole = lambda path: f"variant_get(v, '$.{path}', 'variant')"
+    fields = lambda names: ", ".join(f"{n}: variant" for n in names)
+    salary = "expected_salary_range_inr_lpa"
+    parts = {"profile_v": whole("profile"), "profile": "try_variant_get(v, '$.profile', 'struct<years_of_experience: variant>')",
+             "signals_v": whole(signals_key), "salary_v": whole(f"{signals_key}.{salary}"),
+             "signals": f"try_variant_get(v, '$.{signals_key}', 'struct<{fields(n for n in SIGNAL_NUMBERS if '.' not in n)}>')",
+             salary: f"try_variant_get(v, '$.{signals_key}.{salary}', 'struct<min: variant, max: variant>')"}
+    for path, (texts, numbers) in HISTORIES.items():
+        parts |= {f"{path}_v": whole(path), path: f"try_variant_get(v, '$.{path}', 'array<struct<{fields(texts + numbers)}>>')"}
+    return parts
+
+
 def _rules(signals_key: str) -> dict[str, str]:
-    """What makes a record unusable, as SQL over its VARIANT ``v``; the first that holds names the reason.
+    """What makes a record unusable, as SQL over its ``_parts``; the first that holds names the reason.
 
     A missing key takes its default.  A key that is there must be usable: an object where an object is
     needed, a list of objects (or something empty) for the three histories, texts and numbers inside them,
     and something that reads as a number, ``"7"`` included, for the other numbers.
     """
-    at = lambda path, of="v": f"variant_get({of}, '$.{path}', 'variant')"
-    kind = lambda x: f"schema_of_variant({x})"
-
-    def not_object(path: str) -> str:
-        return f"{at(path)} IS NOT NULL AND NOT startswith({kind(at(path))}, 'OBJECT')"
-
-    def not_number(path: str) -> str:
-        return f"{at(path)} IS NOT NULL AND try_variant_get(v, '$.{path}', 'double') IS NULL"
+    not_number = lambda x: f"{x} IS NOT NULL AND try_variant_get({x}, '$', 'double') IS NULL"
+    not_text = lambda x: f"({x} IS NOT NULL AND schema_of_variant({x}) <> 'STRING')"
+    no_count = lambda x: f"({x} IS NOT NULL AND NOT schema_of_variant({x}) RLIKE '^(BIGINT|DOUBLE|DECIMAL|BOOLEAN)')"
 
-    def not_a(types: str, path: str) -> str:
-        return f"({at(path, 'x')} IS NOT NULL AND NOT {kind(at(path, 'x'))} RLIKE '^({types})')"
+    def bad_history(path: str) -> str:
+        texts, numbers = HISTORIES[path]
+        empty = f"coalesce(to_json({path}_v) IN ('null', '{{}}', '[]', '\"\"', '0', 'false'), false)"
+        wrong = " OR ".join(["x IS NULL", *(not_text(f"x.{t}") for t in texts), *(no_count(f"x.{n}") for n in numbers)])
+        return f"{path}_v IS NOT NULL AND CASE WHEN {path} IS NULL THEN NOT {empty} ELSE exists({path}, x -> {wrong}) END"
 
-    def bad_history(path: str, texts: tuple[str, ...], numbers: tuple[str, ...]) -> str:
-        whole, items = at(path), f"try_variant_get(v, '$.{path}', 'array<variant>')"
-        empty = f"coalesce(to_json({whole}) IN ('null', '{{}}', '[]', '\"\"', '0', 'false'), false)"
-        wrong = " OR ".join([f"NOT startswith({kind('x')}, 'OBJECT')", *(not_a("STRING", t) for t in texts), *(not_a("BIGINT|DOUBLE|DECIMAL|BOOLEAN", n) for n in numbers)])
-        return f"{whole} IS NOT NULL AND NOT {empty} AND ({items} IS NULL OR exists({items}, x -> {wrong}))"
-
-    rules = {
-        "profile": not_object("profile"),
-        "profile.years_of_experience": not_number("profile.years_of_experience"),
-        "career_history": bad_history("career_history", ("title", "company", "industry", "description"), ("duration_months",)),
-        "skills": bad_history("skills", ("name", "proficiency"), ("endorsements", "duration_months")),
-        "education": bad_history("education", ("degree", "tier", "field_of_study"), ("end_year",)),
-        signals_key: not_object(signals_key),
-        f"{signals_key}.expected_salary_range_inr_lpa": not_object(f"{signals_key}.expected_salary_range_inr_lpa"),
-    }
-    return rules | {f"{signals_key}.{n}": not_number(f"{signals_key}.{n}") for n in SIGNAL_NUMBERS}
+    salary = "expected_salary_range_inr_lpa"
+    rules = {"profile": "profile_v IS NOT NULL AND profile IS NULL", "profile.years_of_experience": not_number("profile.years_of_experience")}
+    rules |= {path: bad_history(path) for path in HISTORIES}
+    rules |= {signals_key: "signals_v IS NOT NULL AND signals IS NULL", f"{signals_key}.{salary}": f"salary_v IS NOT NULL AND {salary} IS NULL"}
+    return rules | {f"{signals_key}.{n}": not_number(n if "." in n else f"signals.{n}") for n in SIGNAL_NUMBERS}
 
 
 def tag_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = True) -> DataFrame:
@@ -95,12 +114,13 @@ def tag_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = Tru
     """
     text = lines.where(py_strip(F.col("value")) != "")                   # S3 (Python strip semantics)
     v = text.select("value", F.try_parse_json(F.col("value")).alias("v"))
-    cases = ["WHEN v IS NULL THEN 'malformed'", "WHEN NOT startswith(schema_of_variant(v), 'OBJECT') THEN 'not_object'"]
+    schema = candidate_schema(signals_key).simpleString()
+    parts = v.select("value", "v", F.expr("v IS NOT NULL AND try_variant_get(v, '$', 'struct<profile: variant>') IS NULL").alias("no_object"),
+                     F.expr(f"try_variant_get(v, '$', '{schema}')").alias("r"), *[F.expr(x).alias(n) for n, x in _parts(signals_key).items()])
+    cases = ["WHEN v IS NULL THEN 'malformed'", "WHEN no_object THEN 'not_object'"]
     if strict:
         cases += [f"WHEN {test} THEN '{name}'" for name, test in _rules(signals_key).items()]
-    schema = candidate_schema(signals_key).simpleString()
-    return v.select("value", F.expr(f"CASE {' '.join(cases)} END").alias("reason"), F.expr(f"try_variant_get(v, '$', '{schema}')").alias("r"),
-                    F.expr(f"coalesce(startswith(schema_of_variant(variant_get(v, '$.{signals_key}', 'variant')), 'OBJECT'), false)").alias("has_signals"))
+    return parts.select("value", F.expr(f"CASE {' '.join(cases)} END").alias("reason"), "r", F.col("signals").isNotNull().alias("has_signals"))
 
 
 class SignalsMissing(ValueError):
@@ -111,7 +131,10 @@ class SignalsMissing(ValueError):
 
 
 def _split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return tagged.where(F.col("reason").isNull()).select("r.*"), tagged.where(F.col("reason").isNotNull()).select("value", "reason")
+    # a condition on the reason would be pushed below the parse and repeat it; a list that is empty for other lines isn't
+    only = lambda ok, *cols: tagged.select(F.explode(F.when(ok, F.array(F.struct(*cols)))).alias("k")).select("k.*")
+    reason = F.col("reason")
+    return only(reason.isNull(), "r").select("r.*"), only(reason.isNotNull(), "value", "reason")
 
 
 def classify_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -124,13 +147,14 @@ def read_candidates(spark: SparkSession, path: str, signals_key: str = "signals"
     """``(good records, quarantine of (value, reason))``.
 
     Raises ``SignalsMissing`` if there are good records and none has the signals key: their signals
-    would silently be all defaults.  Both frames scan the file; ``stage_candidates`` scans it once.
+    would silently be all defaults.  Both frames scan the file; ``stage_candidates`` scans it once.  The look for
+    the key ends at the first record that has it.
     """
-    tagged = tag_lines(_read_text(spark, path, partitions), signals_key, strict)
-    usable = tagged.where(F.col("reason").isNull())
-    if usable.where("has_signals").select("has_signals").isEmpty() and not usable.select("has_signals").isEmpty():
+    lines = _text_lines(spark, path)
+    probe = tag_lines(lines, signals_key, strict).select("reason", "has_signals")
+    if probe.where("reason IS NULL AND has_signals").isEmpty() and not probe.where("reason IS NULL").isEmpty():
         raise SignalsMissing(signals_key)
-    return _split_tagged(tagged)
+    return _split_tagged(tag_lines(_spread_gzip(lines, partitions), signals_key, strict))
 
 
 def skip_reasons(signals_key: str = "signals") -> list[str]:

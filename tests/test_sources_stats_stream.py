@@ -87,6 +87,9 @@ def test_staging_scans_and_parses_once(spark):
     tagged = FS.tag_lines(spark.read.text(path))
     plan = tagged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 1 and plan.lower().count("parsejson") == 1
+    for frame in FS.read_candidates(spark, path):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan text") == 1 and plan.lower().count("parsejson") == 1        # no condition repeats the parse
     good, bad = FS.stage_candidates(spark, path)
     assert (good.count(), bad.count()) == (3, 2)
 
