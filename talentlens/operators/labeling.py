@@ -1,10 +1,8 @@
 """Stratified cascade sampling and label jobs.
 
 Sampling order is ``md5('<seed>:<candidate_id>')`` then id: portable,
-deterministic and independent of partitioning.  No bucket can take more than
-``target_total`` rows, so of every combination of bucket masks only the first
-``target_total`` rows can be picked: one pass keeps those (map-side limited), and
-the cascade runs on that bounded remainder.
+deterministic and independent of partitioning.  The cascade is solved from counts
+by bucket mask and key prefix (``cascade``); the rows are selected in Spark.
 """
 
 from __future__ import annotations
@@ -13,11 +11,12 @@ import json
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, RankConfig, RubricConfig
 from ..functions.text import py_strip, title_regex
+from . import cascade
 from .engagement import days_since_active
 
 BUCKETS = ("relevant", "plausible", "edge", "irrelevant", "suspicious", "random")
@@ -41,33 +40,29 @@ def bucket_masks(cfg: RankConfig = DEFAULT) -> dict[str, Column]:
     }
 
 
-def first_per_mask(scored: DataFrame, limit: int, seed: str = "42", cfg: RankConfig = DEFAULT) -> DataFrame:
-    """(candidate_id, key, mask): the first ``limit`` rows by key of every combination of bucket masks.
-
-    Tasks keep their own first rows, 64 groups of tasks each their first, and only those meet by mask.
-    """
+def masked_keys(scored: DataFrame, seed: str = "42", cfg: RankConfig = DEFAULT) -> DataFrame:
+    """(candidate_id, key, mask): the sampling key of every row and the buckets that it fits, as bits."""
     masks = bucket_masks(cfg)
     mask = sum((F.coalesce(masks[b], F.lit(False)).cast("int") * (1 << i) for i, b in enumerate(BUCKETS)), F.lit(0))
-    rows = scored.select("candidate_id", sample_key(seed).alias("key"), mask.alias("mask"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("salt"))
-    for group in (("mask", "salt"), ("mask",)):
-        w = Window.partitionBy(*group).orderBy("key", "candidate_id")
-        rows = rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit).drop("rn")
-    return rows.select("candidate_id", "key", "mask")
+    return scored.where("candidate_id IS NOT NULL").select("candidate_id", sample_key(seed).alias("key"), mask.alias("mask"))
 
 
 def cascade_sample(scored: DataFrame, target_total: int = 3000, seed: str = "42", cfg: RankConfig = DEFAULT) -> DataFrame:
     """L2: quota ⌊N/6⌋ per bucket; each bucket skips earlier picks; shortfall carries over.
 
-    Returns ``candidate_id, bucket``.  At most ``2**6 * target_total`` ids and keys reach the driver.
+    Returns ``candidate_id, bucket``, for a sample of any size: ids and keys stay in Spark (see ``cascade``).  Rows
+    that repeat an id count each and come together; rows without an id aren't sampled.
     """
-    rows = sorted((r["key"], r["candidate_id"], r["mask"]) for r in first_per_mask(scored, target_total, seed, cfg).collect())
-    quota, carry, picked = target_total // len(BUCKETS), 0, {}
-    for i, bucket in enumerate(BUCKETS):
-        limit = quota + carry
-        own = [cid for _, cid, mask in rows if mask >> i & 1 and cid not in picked][:max(limit, 0)]
-        picked.update(dict.fromkeys(own, bucket))
-        carry = limit - len(own)
-    return scored.sparkSession.createDataFrame(list(picked.items()), "candidate_id string, bucket string")
+    from ..sources import files as FS
+
+    spark = scored.sparkSession
+    path = FS.stage_parquet(masked_keys(scored, seed, cfg), FS.scratch_path(spark, "sample-keys"))      # scored once, read by every step
+    rows = spark.read.parquet(path)
+    cuts = cascade.cut_offs(cascade.KeyCounts(rows), len(BUCKETS), target_total)
+    picked = rows.select("candidate_id", cascade.bucket_of(cuts, BUCKETS).alias("bucket")).where("bucket IS NOT NULL").distinct()
+    sample = spark.read.parquet(FS.stage_parquet(picked, FS.scratch_path(spark, "sample")))
+    FS.drop_path(spark, path)
+    return sample
 
 
 def seeded_sample(df: DataFrame, n: int, seed: str = "42", id_col: str = "candidate_id") -> DataFrame:
