@@ -40,8 +40,7 @@ def fixture_candidates(spark: SparkSession, sf_dir: str, cfg: RankConfig = DEFAU
     path = _STAGED.get(key)
     if path is None:
         from ..sources.files import scratch_path, stage_parquet
-        rows = bridge.candidates(spark, sf_dir, cfg.signals_key).repartition(spark.sparkContext.defaultParallelism)
-        path = stage_parquet(rows, scratch_path(spark, "candidates"), looked_up="candidate_id")
+        path = stage_parquet(bridge.candidates(spark, sf_dir, cfg.signals_key), scratch_path(spark, "candidates"), looked_up="candidate_id")
         _STAGED[key] = path
     return spark.read.parquet(path)
 

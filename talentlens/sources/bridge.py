@@ -9,8 +9,11 @@ career.  Every customer also is a candidate without any history.  The rest of a
 record is arithmetic on the candidate's number over literal pools (see
 ``fixture_pools``).
 
-The work is one pass over ``orders``, one over ``lineitem``, and joins on keys
-that are unique on one side.
+The work is one pass over ``orders``, one over ``lineitem`` (and one that counts
+each order's items), and joins on keys that are unique on one side.  Only narrow
+rows are shuffled: an order takes its customer's name along, jobs and skills go to
+their candidate's task as they were read, are sorted there once, and each candidate
+is put together from the two sorted streams; no assembled record is moved or sorted.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..session import read_table
 from . import fixture_pools as P
+from .files import scratch_path, stage_parquet
 
 
 def _pick(pool, expr: Column) -> Column:
@@ -40,14 +44,17 @@ def candidate_number(order_key: str) -> Column:
     return F.expr(f"CAST(floor({order_key} / {P.BLOCK}) AS BIGINT) * 7 + CASE {whens} END").cast("long")
 
 
-def career_rows(orders: DataFrame) -> DataFrame:
-    """One row per (candidate, job): all orders, by date and key; ``P.BLOCK_CUTS`` bounds a candidate's."""
-    ordered = orders.select("o_custkey", "o_orderkey", "o_orderdate", candidate_number("o_orderkey").alias("k"))
-    w = Window.partitionBy("k").orderBy("o_orderdate", "o_orderkey")
-    ranked = ordered.withColumn("rn", F.row_number().over(w))
+def career_rows(orders: DataFrame, *more: str) -> DataFrame:
+    """One row per candidate with its jobs: all orders, by date and key; ``P.BLOCK_CUTS`` bounds a candidate's.
+
+    ``ck`` and the columns ``more`` are the first job's.
+    """
+    by = ["o_orderdate", "o_orderkey"]
+    ordered = orders.select("o_custkey", *by, *more, candidate_number("o_orderkey").alias("k"))
+    ranked = ordered.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*by)))
     rn, k, ok = F.col("rn"), F.col("k"), F.col("o_orderkey")
-    return ranked.select(
-        "k", rn, F.col("o_custkey").alias("ck"),
+    return _listed(ranked.select(
+        "k", rn, F.col("o_custkey").alias("ck"), *by, *more,
         F.struct(
             F.when(F.pmod(k, F.lit(11)) == 0, _pick(P.CONSULTING, ok))
              .otherwise(_pick(P.COMPANIES, ok)).alias("company"),
@@ -64,18 +71,21 @@ def career_rows(orders: DataFrame) -> DataFrame:
              .when(F.pmod(ok, F.lit(47)) != 0, _pick(P.COMPANY_SIZES, ok)).alias("company_size"),
             _pick(P.DESCRIPTIONS, ok + rn).alias("description"),
         ).alias("job"),
-    )
+    ), by, "job", "career_history").select("k", "ck", *more, "career_history")
 
 
 def skill_rows(lineitem: DataFrame) -> DataFrame:
-    """One row per (candidate, skill): all line items of the candidate's orders.
+    """One row per candidate with its skills: all line items of the candidate's orders.
 
     A large order's items are dealt by their part and supplier; one candidate gets about ``P.ORDER_ITEMS``.
+    The large orders are written as a table first: where they are few, as is usual, they are
+    broadcast by their size and the items aren't shuffled for them.
     """
     order_cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     items = lineitem.select(*order_cols)
     large = (items.groupBy("l_orderkey").agg(F.ceil(F.count(F.lit(1)) / P.ORDER_ITEMS).cast("long").alias("parts"))
              .where("parts > 1"))
+    large = items.sparkSession.read.schema(large.schema).parquet(stage_parquet(large, scratch_path(items.sparkSession, "large-orders")))
     part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.expr("pmod(l_partkey * 31 + l_suppkey * 17 + l_linenumber, parts)"))
     dealt = items.join(large, "l_orderkey", "left").withColumn("part", part.cast("long"))
     spill = (F.col("l_orderkey") * (1 << 20) + F.col("part")) * 7 + 6
@@ -83,8 +93,8 @@ def skill_rows(lineitem: DataFrame) -> DataFrame:
     ranked = numbered.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order_cols)))
     k, pk = F.col("k"), F.col("l_partkey")
     stuffer = F.pmod(k, F.lit(17)) == 0
-    return ranked.select(
-        "k", "rn",
+    return _listed(ranked.select(
+        "k", "rn", *order_cols,
         F.struct(
             _pick(P.SKILLS, pk).alias("name"),
             F.when(stuffer, F.lit("expert"))
@@ -92,17 +102,16 @@ def skill_rows(lineitem: DataFrame) -> DataFrame:
             _dbl(F.when(stuffer, F.lit(0)).otherwise(F.col("l_quantity").cast("int"))).alias("endorsements"),
             _dbl(F.pmod(F.col("l_suppkey") * 3, F.lit(60))).alias("duration_months"),
         ).alias("skill"),
-    )
+    ), order_cols, "skill", "skills").select("k", "skills")
 
 
-def _collect_ordered(rows: DataFrame, item: str, out: str, *more: Column) -> DataFrame:
-    """Per candidate: its items ordered by ``rn`` as an array of structs."""
-    return rows.groupBy("k").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("rn", item))),
-            lambda x: x[item],
-        ).alias(out), *more
-    )
+def _listed(rows: DataFrame, by: list[str], item: str, out: str) -> DataFrame:
+    """Per candidate: its row of ``rn`` 1 with its items as an array, in the order ``by`` that numbered them.
+
+    A window in the order that the rows already have; an aggregation would sort them again, one buffer a row.
+    """
+    whole = Window.partitionBy("k").orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumn(out, F.collect_list(item).over(whole)).where("rn = 1")
 
 
 def candidate_id(k: Column) -> Column:
@@ -117,13 +126,17 @@ def candidates(spark: SparkSession, sf_dir: str, signals_key: str = "signals") -
     orders = read_table(spark, sf_dir, "orders")
     lineitem = read_table(spark, sf_dir, "lineitem")
 
-    careers = _collect_ordered(career_rows(orders), "job", "career_history", F.min_by("ck", "rn").alias("ck"))
-    skills = _collect_ordered(skill_rows(lineitem), "skill", "skills")
-    alone = customer.select((F.col("c_custkey") * 7 + 5).alias("k"), F.col("c_custkey").alias("ck"))
+    named = customer.withColumnRenamed("c_custkey", "ck")
+    known = (named.where("ck IS NOT NULL").groupBy("ck")
+             .agg(F.collect_list(F.struct("c_name", "c_mktsegment")).alias("people")))     # more than one where a key repeats
+    orders = orders.select("o_custkey", "o_orderkey", "o_orderdate").join(known, F.col("o_custkey") == F.col("ck"), "left").drop("ck")
+    careers = career_rows(orders, "people")
+    skills = skill_rows(lineitem)
+    alone = named.select((F.col("ck") * 7 + 5).alias("k"), "ck").join(named, "ck", "left")
 
     base = (
-        careers.join(skills, "k", "full_outer").unionByName(alone, allowMissingColumns=True)
-        .join(customer.withColumnRenamed("c_custkey", "ck"), "ck", "left")
+        careers.join(skills, "k", "full_outer").select("k", "ck", "career_history", "skills", F.explode_outer("people").alias("person"))
+        .select("k", "ck", "career_history", "skills", "person.*").unionByName(alone, allowMissingColumns=True)
     )
     k = F.col("k")
     career = F.coalesce(F.col("career_history"), F.array().cast(T.ArrayType(S.JOB)))

@@ -134,6 +134,33 @@ def test_fixture_splits_hot_customers_and_hot_orders(spark, tmp_path):
     assert c.select("candidate_id").distinct().count() == c.count()
 
 
+def test_fixture_moves_no_assembled_record(spark):
+    """Jobs, skills and names are shuffled as narrow rows; lists and records stay in the task that puts them together."""
+    import re
+    from conftest import SF001
+    from talentlens.sources import bridge
+    plan = bridge.candidates(spark, SF001)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) (?:Exchange|Sort)\nInput \[\d+\]: \[(.*)\]", plan)
+    assert moved and not [m for m in moved if re.search(r"career_history|skills|job#|skill#", m)]
+    assert "RoundRobin" not in plan and not re.search(r"collect_list\((?:struct\(rn|job|skill)[^\n]*Aggregate", plan)
+
+
+def test_fixture_joins_every_customer_of_a_key(spark, tmp_path):
+    """Repeated customer keys give a candidate for each name, orders without a customer one without a name."""
+    import datetime
+    at = datetime.datetime(2020, 1, 1)
+    from talentlens.sources import bridge
+    spark.createDataFrame([(1, "a", "X"), (1, "b", "Y"), (2, "c", "Z")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, 1, at), (1, 2, at), (2, None, at), (3, 9, at)], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(0, 1, 5, 1, 1.0, 1.0), (0, 2, 4, 1, 1.0, 1.0), (24, 1, 3, 1, 1.0, 1.0)],
+                          "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted((r.candidate_id, r.profile.anonymized_name or "", len(r.career_history), len(r.skills)) for r in bridge.candidates(spark, str(tmp_path)).collect())
+    # keys 0 / 1, 2 / 3 go to the numbers 0, 1 and 2, key 24 to 8; customers 1 and 2 alone are 12 (each name twice) and 19
+    assert got == [("CAND_0000000", "a", 1, 2), ("CAND_0000000", "b", 1, 2), ("CAND_0000001", "c", 2, 0), ("CAND_0000002", "", 1, 0), ("CAND_0000008", "", 0, 1),
+                   *[("CAND_0000012", n, 0, 0) for n in "aabb"], ("CAND_0000019", "c", 0, 0)]
+
+
 def test_long_candidate_numbers_keep_their_digits(spark):
     from pyspark.sql import functions as F
     from talentlens.sources import bridge
