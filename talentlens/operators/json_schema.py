@@ -123,7 +123,7 @@ class _Compiler:
             return [(f"{path}: false", f"{x} IS NOT NULL")]
         found: list[tuple[str, str]] = []
         rule = lambda keyword, holds, only=None: found.append((
-            f"{path}: {keyword}", f"{x} IS NOT NULL AND " + (f"{_IS[only](x)} AND " if only else "") + f"NOT coalesce({holds}, false)"))
+            f"{path}: {keyword}", self.kind_once(f"{x} IS NOT NULL AND " + (f"{_IS[only](x)} AND " if only else "") + f"NOT coalesce({holds}, false)", x, depth)))
         below = lambda key: self.column(_child(x, key), depth + 1) if depth is not None else _child(x, key)
         for keyword, value in schema.items():
             if keyword in SILENT:
@@ -170,8 +170,14 @@ class _Compiler:
                 if isinstance(value, list):
                     raise ValueError("items by position aren't understood")
                 i = self.fresh()
-                items = self.items(x, depth)
-                found += [(n, f"coalesce(exists({items}, {i} -> coalesce({b}, false)), false)") for n, b in self.rules(value, i, path + "[]", None, refs)]
+                items, element = self.items(x, depth), i
+                parts = {}
+                if depth is not None:
+                    items, element, parts = self.elements(items, value, i, depth + 2)
+                for n, b in self.rules(value, element, path + "[]", None, refs):
+                    for part, held in parts.items():
+                        b = b.replace(part, held)
+                    found.append((n, f"coalesce(exists({items}, {i} -> coalesce({b}, false)), false)"))
             elif keyword == "allOf":
                 for n, part in enumerate(value):
                     found += [(f"{name} (allOf {n})", b) for name, b in self.rules(part, x, path, depth, refs)]
@@ -184,6 +190,25 @@ class _Compiler:
                 raise ValueError(f"unknown keyword at {path or 'the root'}: {keyword}")
         return found
 
+    def kind_once(self, condition: str, x: str, depth: int | None) -> str:
+        """The kind of a value walks all that is in it: outside of lambdas it is a column, once for all rules of the value."""
+        kind = _kind(x)
+        return condition.replace(kind, self.column(kind, depth + 1)) if depth is not None and kind in condition else condition
+
+    def elements(self, items: str, schema, i: str, depth: int) -> tuple[str, str, dict[str, str]]:
+        """A column of the array's elements with their properties and the kinds of both, taken out once for all rules.
+
+        Returns the column, the element itself as seen from ``i``, and what of a rule to replace by which field, in order.
+        """
+        sub = self.resolve(schema)
+        sub = sub if isinstance(sub, dict) else {}
+        keys = list(dict.fromkeys([*sub.get("properties", {}), *sub.get("required", [])]))
+        values = ", ".join(["'v', e", *(f"'v{n}', {_child('e', key)}" for n, key in enumerate(keys))])
+        names = ["", *map(str, range(len(keys)))]
+        kinds = ", ".join(f"'v{n}', f.v{n}, 't{n}', {_kind(f'f.v{n}')}" for n in names)
+        column = self.column(f"transform(transform({items}, e -> named_struct({values})), f -> named_struct({kinds}))", depth)
+        return column, f"{i}.v", {_child(f"{i}.v", key): f"{i}.v{n}" for n, key in enumerate(keys)} | {_kind(f"{i}.v{n}"): f"{i}.t{n}" for n in names}
+
     def any_broken(self, schema, x: str, depth: int | None, refs: tuple) -> str:
         parts = [f"coalesce({b}, false)" for _, b in self.rules(schema, x, "", depth, refs)]
         return "(" + " OR ".join(parts or ["false"]) + ")"

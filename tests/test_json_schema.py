@@ -87,3 +87,18 @@ def test_one_scan_and_no_python_worker(spark, tmp_path):
     (tmp_path / "l.txt").write_text(json.dumps(GOOD), encoding="utf-8")
     plan = J.conformance(spark.read.text(str(tmp_path)), ORDERS)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Python" not in plan and plan.count("try_parse_json") <= 1
+
+
+def test_kinds_and_parts_are_taken_out_once(spark):
+    """No rule of a value or of an array's element walks it for its kind or takes a property out again; results are the plain ones."""
+    import json
+    from talentlens.operators import json_schema as J
+    document = {"type": "object", "required": ["n", "a"], "properties": {"n": {"type": "integer", "minimum": 1}, "a": {"type": "array", "items": {
+        "type": "object", "required": ["x", "z"], "properties": {"x": {"type": "number", "maximum": 5}, "y": {"type": ["string", "null"], "enum": ["p", None]}}}}}}
+    compiled = J.compile_schema(document)
+    assert not [r for r in compiled.rules if "schema_of_variant" in r.broken or "variant_get(i" in r.broken.replace("try_variant_get(", "")]
+    rows = [{"n": 1, "a": [{"x": 1, "y": "p", "z": 0}]}, {"n": 1.5, "a": [{"x": 6.5, "y": None, "z": None}, 3, None]}, {"n": "1", "a": {"x": 1}}, {"a": [{"x": "1", "y": "q"}]}, [], 7]
+    lines = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)] + [(6, "{"), (7, None)], "i int, value string")
+    got = {r.i: r.broken for r in J.violations(lines, document).collect()}
+    assert got == {1: ["n: type", "a[]: type", "a[].x: maximum"], 2: ["n: type", "a: type"],
+                   3: [": required n", "a[]: required z", "a[].x: type", "a[].y: enum"], 4: [": type"], 5: [": type"], 6: [": json"], 7: [": json"]}
