@@ -69,7 +69,8 @@ def labelled_sample(spark, sf) -> DataFrame:
     s = scored(spark, sf)
     sample = labeling.cascade_sample(s, SAMPLE_TOTAL, SEED)
     comp = labeling.rubric_components()
-    rows = s.join(F.broadcast(sample), "candidate_id")                    # SAMPLE_TOTAL rows at most
+    picked = PL.flatten(FS.fetch_by_ids(PL.fixture_candidates(spark, sf), sample), DEFAULT.signals_key)
+    rows = PL.score_candidates(picked).join(F.broadcast(sample), "candidate_id")      # features of the sampled rows only, SAMPLE_TOTAL at most
     # bounded by the sample size; written once so CV / fits don't re-run the cascade
     return cut_lineage(rows.withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"]))
 

@@ -38,3 +38,17 @@ def test_an_empty_table_and_a_repeated_id(spark):
     assert cascade.cut_offs(cascade.KeyCounts(empty), 4, 10) == [None] * 4
     same = spark.createDataFrame([("a", "0" * 32, 1)] * 50 + [("b", "f" * 32, 1)], SCHEMA)
     assert cascade.cut_offs(cascade.KeyCounts(same), 1, 10) == [("0" * 32, "a")]
+
+
+def test_only_sampled_rows_get_all_features_for_their_labels(spark, monkeypatch):
+    from conftest import SF001
+    from talentlens.plans import more_queries as Q
+    seen, real = [], Q.PL.score_candidates
+    monkeypatch.setattr(Q, "SAMPLE_TOTAL", 60)
+    s = Q.scored(spark, SF001)
+    monkeypatch.setattr(Q.PL, "score_candidates", lambda flat, *a, **k: seen.append(flat) or real(flat, *a, **k))
+    got = Q.labelled_sample(spark, SF001)
+    comp = Q.labeling.rubric_components()
+    plain = s.join(Q.sample_frame(spark, SF001), "candidate_id").withColumn("rubric_base", comp["rubric_base"]).withColumn("llm_score", comp["llm_score"])
+    assert seen[1].count() == 60 < s.count()               # the first call scores for the masks of the sample
+    assert got.columns == plain.columns and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
