@@ -179,6 +179,82 @@ def test_quality_rejects_noise_and_keeps_prose(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def plain_perplexity(rows):
+    """Modified Kneser-Ney over code points, by dictionaries: the perplexity of each of (text, lang)."""
+    order, pad, out = quality.ORDER, chr(quality.PADDING), [None] * len(rows)
+    for lang in {g for _, g in rows}:
+        grams = {i: [(pad * (order - 1) + t)[j:j + order] for j in range(len(t))] for i, (t, g) in enumerate(rows) if g == lang and t}
+        if not grams:
+            continue
+        mass = {order: Counter(g for own in grams.values() for g in own)}
+        for n in range(order - 1, 0, -1):
+            mass[n] = Counter(g[1:] for g in mass[n + 1])
+        discount, total, freed = {}, {}, {}
+        for n, m in mass.items():
+            c = Counter(m.values())
+            y = c[1] / (c[1] + 2 * c[2]) if c[1] and c[2] else None
+            discount[n] = {k: 0.5 if y is None or not c[k] else min(max(k - (k + 1) * y * c[k + 1] / c[k], 0.05), k) for k in (1, 2, 3)}
+            total[n], freed[n] = Counter(), Counter()
+            for g, k in m.items():
+                total[n][g[:-1]] += k
+                freed[n][g[:-1]] += discount[n][min(k, 3)]
+        had = {n: {i: {g[order - n:] for g in own} for i, own in grams.items()} for n in mass}
+        many = {n: Counter(g for own in had[n].values() for g in own) for n in mass}
+        many_contexts = {n: Counter(c for own in had[n].values() for c in {g[:-1] for g in own}) for n in mass}
+
+        def p(g):
+            n, c = len(g), g[:-1]
+            if not n:
+                return 1 / (len(mass[1]) + 1)
+            return (mass[n][g] - discount[n][min(mass[n][g], 3)]) / total[n][c] + freed[n][c] / total[n][c] * p(g[1:])
+
+        def q(g):
+            n, c = len(g), g[:-1]
+            if not n or many[n][g] > 1:
+                return p(g)
+            return (freed[n][c] / total[n][c] if many_contexts[n][c] > 1 else 1) * q(g[1:])
+
+        for i, own in grams.items():
+            out[i] = 2 ** (-sum(np.log2(q(g)) for g in own) / len(own))
+    return out
+
+
+def test_quality_perplexity_is_that_of_a_plain_model(spark, monkeypatch):
+    """Over whole code points, in blocks of few texts, copies and empty texts among them."""
+    rng = random.Random(3)
+    rows = [("".join(rng.choice("abAB é.語\U0001f600\n") for _ in range(rng.randint(0, 80))), rng.choice(["x", "y"])) for _ in range(60)]
+    rows += [("", "x"), ("aa", "z"), ("語語語", "x"), (rows[0][0], "y"), *rows[:5]]
+    monkeypatch.setattr(quality, "SLICE", 200)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 700)
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    packed = quality.blocks(docs.select(F.col("text").alias("body"), F.xxhash64("lang").alias("key")))
+    assert packed.select("block").distinct().count() > 3
+    got = {r.doc_id: r.perplexity for r in quality.judge(docs, keep=["doc_id"]).collect()}
+    for i, expected in enumerate(plain_perplexity(rows)):
+        assert got[i] == (None if expected is None else pytest.approx(expected)), rows[i]
+
+
+def test_quality_rejects_word_salad_and_turned_case(spark):
+    """Texts with their words shuffled, of random words of the corpus, and with their case turned: folded classes told none of them from prose."""
+    docs = read_table(spark, "/root/testdata/sf0.1", "documents").where("lang = 'en' AND doc_id % 2 = 0").select("doc_id", "text", "lang")
+    rng, rows = random.Random(5), []
+    real = [r.text for r in docs.where("length(text) > 1500 AND length(text) < 6000").orderBy("doc_id").limit(60).collect()]
+    words = sorted({w for t in real for w in t.split()})
+    for i, t in enumerate(real[::3]):
+        rows.append((10_000_000 + i, " ".join(rng.sample(t.split(), len(t.split()))), "en"))
+        rows.append((20_000_000 + i, " ".join(rng.choices(words, k=300)), "en"))
+        rows.append((30_000_000 + i, t.swapcase(), "en"))
+    got = [r for r in quality.judge(docs.union(spark.createDataFrame(rows, "doc_id long, text string, lang string")), keep=["doc_id"]).collect() if not r.base_failed]
+    kept = [[r.kept for r in got if r.doc_id // 10_000_000 == k] for k in range(4)]
+    assert sum(kept[0]) > 0.9 * len(kept[0])
+    assert all(len(k) > 10 and sum(k) < 0.3 * len(k) for k in kept[1:]), [sum(k) / len(k) for k in kept]
+
+
+def test_quality_takes_any_number_of_languages(spark):
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.expr("concat('text ', id, ' of a language')").alias("text"), F.col("id").cast("string").alias("lang"))
+    assert quality.judge(docs, keep=["doc_id"]).where("perplexity IS NOT NULL").count() == 1000
+
+
 @pytest.mark.parametrize("junk", ["letters", "boilerplate"])
 def test_quality_rejects_a_hot_source_of_junk(spark, junk):
     """A third of the documents is junk: it goes, prose stays."""
