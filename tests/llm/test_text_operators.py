@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from talentlens.llm import bpe, decontaminate, language_id, quality, toxicity
 from talentlens.llm.queries import VOCABULARY
+from talentlens.llm.staging import bucketed
 from talentlens.llm.text import slices
 from talentlens.session import read_table
 
@@ -250,6 +251,40 @@ def test_quality_rejects_word_salad_and_turned_case(spark):
     assert all(len(k) > 10 and sum(k) < 0.3 * len(k) for k in kept[1:]), [sum(k) / len(k) for k in kept]
 
 
+def test_quality_brings_the_scores_to_the_texts(spark, monkeypatch):
+    """Texts are written once and not shuffled; a block gets its scores in a few rows, not in one for each n-gram."""
+    monkeypatch.setattr(quality, "SLICE", 1000)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 2000)
+    rng = random.Random(9)
+    docs = spark.createDataFrame([(i, "".join(rng.choice("abcd \U0001f600") for _ in range(90)), f"l{i % 2}") for i in range(200)], "k0 long, body string, lang string").repartition(2)
+    packed, drop = bucketed(quality.blocks(docs.withColumn("key", F.xxhash64("lang"))), "texts", 4, "block", "first")
+    grams = quality.count_ngrams(packed)
+    scores = quality.fit(grams).cache()
+    measured = quality.measure(packed, scores, {"k0": "bigint"})
+    plan = measured._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(plan) if "Bucketed: true" in line)
+    group = max(i for i, line in enumerate(plan[:scan]) if "CoGroups" in line)
+    assert not any("Exchange" in line for line in plan[group:scan])
+    found = quality.tables(scores.coalesce(1)).collect()
+    pairs = {(b, quality._hash([np.array([ord(c)], np.uint64) for c in r.gram], np.array([r.key]))[0]): r.bits for r in scores.collect() for b in r.blocks}
+    got = {(r.block, h): x for r in found for h, x in zip(np.frombuffer(r.hashes, np.uint64), np.frombuffer(r.bits), strict=True)}
+    assert got == pairs and len(found) == packed.select("block").distinct().count() > 5
+    assert sorted(r.k0 for r in measured.collect()) == list(range(200))
+    drop()
+    scores.unpersist()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
+def test_quality_scores_of_hashes_with_equal_low_bits():
+    h = np.array([(i << 40) + (i % 3) for i in range(300)], np.uint64)
+    table = quality._Scores([h[:200].tobytes(), h[200:].tobytes()], [np.arange(200.0).tobytes(), np.arange(200.0, 300.0).tobytes()])
+    asked = np.concatenate([h[::-1], h])
+    assert table.of(asked).tolist() == [*range(299, -1, -1), *range(300)]
+    with pytest.raises(RuntimeError):
+        table.of(h + np.uint64(7))
+    assert len(quality._Scores([], []).of(h[:0])) == 0
+
+
 def test_quality_takes_any_number_of_languages(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.expr("concat('text ', id, ' of a language')").alias("text"), F.col("id").cast("string").alias("lang"))
     assert quality.judge(docs, keep=["doc_id"]).where("perplexity IS NOT NULL").count() == 1000
