@@ -770,8 +770,7 @@ def q_jsonl_quarantine(spark, sf):
              .when(case == 3, line(profile=years(F.lit("abc")))).when(case == 4, line(skills=F.lit("python")))
              .when(case == 5, line(career_history=F.array(F.lit(5)))).when(case == 6, line(signals=F.col("signals").withField("notice_period_days", F.lit(None).cast("int"))))
              .when(case == 7, F.to_json(F.struct(*[years(F.lit("7")).alias(c) if c == "profile" else F.col(c) for c in raw.columns]))).otherwise(plain))
-    path = FS.scratch_path(spark, "faulty-jsonl")
-    raw.select(value.alias("value")).write.text(path)
+    path = FS.write_lines(raw.select(value.alias("value")), FS.scratch_path(spark, "faulty-jsonl"))
     good, bad = FS.stage_candidates(spark, path)
     held = good.select(F.lit("good").alias("reason"), F.col("profile.years_of_experience").alias("y")).union(bad.select("reason", F.lit(0.0)))
     return held.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), r9(F.sum("y")).alias("years"))

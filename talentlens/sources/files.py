@@ -213,6 +213,19 @@ def write_jsonl(df: DataFrame, path: str, gzip: bool = False) -> str:
     return path
 
 
+#: Lines in one file of ``write_lines``; a compressed file is read by one task as a whole.
+LINES_A_FILE = 50_000
+
+
+def write_lines(lines: DataFrame, path: str) -> str:
+    """One text column as compressed text, in files small enough to be dealt evenly to the tasks that read them.
+
+    Deflated rather than gzipped: a reader spreads gzip input by a shuffle of all its lines (S2), which so many files don't need.
+    """
+    lines.write.option("compression", "deflate").option("maxRecordsPerFile", LINES_A_FILE).text(path)
+    return path
+
+
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """S6 (+L4): a label CSV, or a :class:`~.label_log.LabelLog`; what can't be read gives an empty frame."""
     from .label_log import LabelLog

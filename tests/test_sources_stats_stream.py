@@ -5,7 +5,7 @@ import random
 import tempfile
 
 import pytest
-from conftest import SF001, base_record
+from conftest import SF001, base_record, records_df, with_signals
 
 from talentlens.operators.stats import grouped_describe
 from talentlens.sources import files as FS
@@ -56,6 +56,22 @@ KEPT = [{"candidate_id": None}, {"profile__headline": None}, {"skills": None}, {
         {"career_history__0__duration_months": 2.5}, {"signals__skill_assessment_scores": None}]
 
 
+def test_faulty_lines_are_kept_compressed(spark, monkeypatch):
+    """The lines that jsonl_quarantine writes and reads back take a part of their bytes on disk, in files of a bounded number of lines."""
+    from talentlens.plans import more_queries as MQ
+    numbers = dict(profile_views_received_30d=1, connection_count=1, endorsements_received=1, search_appearance_30d=1)
+    records, staged, stage = records_df(spark, [with_signals(base_record(k), **numbers) for k in range(1, 101)]), [], FS.stage_candidates
+    monkeypatch.setattr(MQ.PL, "fixture_candidates", lambda *_: records)
+    monkeypatch.setattr(FS, "LINES_A_FILE", 40, raising=False)
+    monkeypatch.setattr(FS, "stage_candidates", lambda s, path: staged.append(path) or stage(s, path))
+    got = {r.reason: (r.n, r.years) for r in MQ.q_jsonl_quarantine(spark, "").collect()}
+    faults = ("malformed", "not_object", "profile.years_of_experience", "skills", "career_history", "signals.notice_period_days")
+    assert got == dict.fromkeys(faults, (2, 0.0)) | {"good": (88, 86 * 6.0 + 2 * 7.0)}
+    lines = [r.value for r in spark.read.text(staged[0]).collect()]
+    files = [os.path.getsize(os.path.join(staged[0], f)) for f in os.listdir(staged[0]) if f.startswith("part-")]
+    assert len(lines) == 100 and len(files) == 3 and sum(files) * 5 < sum(len(x.encode()) + 1 for x in lines)
+
+
 def test_strict_loader_rejects_what_can_t_be_used(spark):
     lines = [json.dumps(changed(**c)) for c, _ in REJECTED] + [json.dumps(changed(**c)) for c in KEPT]
     good, bad = FS.read_candidates(spark, write_lines(lines))
