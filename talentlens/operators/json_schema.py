@@ -27,6 +27,7 @@ DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 class Rule:
     name: str
     broken: str                                                     # SQL condition over the columns of ``prepared``
+    each: tuple[str, str, str] | None = None                        # of a rule on an array's elements: the array's column, the element's name, what breaks it
 
 
 def load(spark: SparkSession, path: str) -> dict:
@@ -38,10 +39,15 @@ def _text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _child(x: str, key: str) -> str:
+def _step(key: str) -> str:
     if '"' in key or "\\" in key:
         raise ValueError(f"a key with quotes or backslashes can't be checked: {key!r}")
-    return "variant_get({}, {}, 'variant')".format(x, _text(f'$["{key}"]'))
+    return f'["{key}"]'
+
+
+def _keys(schema: dict) -> list[str]:
+    """The properties that a schema names."""
+    return list(dict.fromkeys([*schema.get("properties", {}), *schema.get("required", [])]))
 
 
 def _kind(x: str) -> str:
@@ -57,36 +63,53 @@ def _string(x: str) -> str:
 
 
 _IS = {
-    "string": lambda x: f"{_kind(x)} = 'STRING'", "boolean": lambda x: f"{_kind(x)} = 'BOOLEAN'", "null": lambda x: f"{_kind(x)} = 'VOID'",
-    "object": lambda x: f"startswith({_kind(x)}, 'OBJECT')", "array": lambda x: f"startswith({_kind(x)}, 'ARRAY')",
-    "number": lambda x: f"{_kind(x)} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)'",
-    "integer": lambda x: f"({_kind(x)} RLIKE '^(BIGINT|DOUBLE|FLOAT|DECIMAL)' AND {_number(x)} = floor({_number(x)}))",
+    "string": lambda kind, number: f"{kind} = 'STRING'", "boolean": lambda kind, number: f"{kind} = 'BOOLEAN'", "null": lambda kind, number: f"{kind} = 'VOID'",
+    "object": lambda kind, number: f"startswith({kind}, 'OBJECT')", "array": lambda kind, number: f"startswith({kind}, 'ARRAY')",
+    "number": lambda kind, number: f"(startswith({kind}, 'DECIMAL') OR {kind} IN ('BIGINT', 'DOUBLE', 'FLOAT'))",
+    "integer": lambda kind, number: f"({_IS['number'](kind, number)} AND {number} = floor({number}))",
 }
 
 
-def _equals(x: str, value) -> str:
-    if value is None:
-        return _IS["null"](x)
-    if isinstance(value, bool):
-        return f"({_IS['boolean'](x)} AND try_variant_get({x}, '$', 'boolean') = {str(value).lower()})"
-    if isinstance(value, (int, float)):
-        return f"({_IS['number'](x)} AND {_number(x)} = {value!r}D)"
-    if isinstance(value, str):
-        return f"({_IS['string'](x)} AND {_string(x)} = {_text(value)})"
-    raise ValueError(f"only plain values can be listed: {value!r}")
+def _quoted(key: str) -> str:
+    return "`" + key.replace("`", "``") + "`"
+
+
+class _Elements:
+    """What rules ask of an array's elements: fields of one column, each computed once an element from the element ``f``.
+
+    An element that is a variant (``f.v``) first has its properties taken out, as further fields of ``f``.
+    """
+
+    def __init__(self, i: str, struct: bool):
+        self.i, self.struct, self.parts, self.fields = i, struct, {}, {}
 
+    def part(self, key: str) -> str:
+        taken = f"variant_get(e, {_text('$' + _step(key))}, 'variant')"
+        return f"f.{_quoted(key)}" if self.struct else f"f.{self.parts.setdefault(taken, f'v{len(self.parts)}')}"
 
-def _one_of(x: str, values: list) -> str:
-    texts = [v for v in values if isinstance(v, str)]
-    tests = [_equals(x, v) for v in values if not isinstance(v, str)]
-    if texts:
-        tests.append(f"({_IS['string'](x)} AND {_string(x)} IN ({', '.join(map(_text, texts))}))")
-    return "(" + " OR ".join(tests or ["false"]) + ")"
+    def field(self, expression: str) -> str:
+        return f"{self.i}.{self.fields.setdefault(expression, f'p{len(self.fields)}')}"
+
+    def over(self, items: str) -> str:
+        named = lambda fields: "named_struct(" + ", ".join(f"'{name}', {x}" for x, name in fields.items()) + ")"
+        first = items if self.struct else f"transform({items}, e -> {named({'e': 'v'} | self.parts)})"
+        return f"transform({first}, f -> {named(self.fields)})"
+
+
+@dataclass(frozen=True)
+class _Place:
+    """Where rules find a value.  ``x`` is null where it is missing and, unless its form is ``variant``, where it is of another kind."""
+    x: str
+    depth: int | None                                               # of the columns in ``x``; None inside a lambda
+    form: str = "variant"                                           # or struct, array, map: taken out of the variant as such
+    source: str = ""                                                # of these, the variant to look into and the path of the value there
+    path: str = ""
+    held: _Elements | None = None                                   # of an element and its parts, the fields that rules see
 
 
 class _Compiler:
     def __init__(self, document: dict):
-        self.document, self.columns, self.levels, self.lambdas = document, {}, [], 0
+        self.document, self.columns, self.levels, self.lambdas, self.each = document, {}, [], 0, {}
 
     def column(self, expression: str, depth: int) -> str:
         """A name for an expression over the columns of the level above, so that it is computed once a row."""
@@ -107,115 +130,193 @@ class _Compiler:
                 schema = schema[part.replace("~1", "/").replace("~0", "~")]
         return schema
 
+    def enter(self, schema, refs: tuple) -> tuple:
+        """The schema itself and the references on the way to it."""
+        if isinstance(schema, dict) and schema.get("$ref") in refs:
+            raise ValueError(f"a schema that contains itself has no fixed set of columns: {schema['$ref']}")
+        return self.resolve(schema), (*refs, schema["$ref"]) if isinstance(schema, dict) and "$ref" in schema else refs
+
     def fresh(self) -> str:
         self.lambdas += 1
         return f"i{self.lambdas}"
 
-    def rules(self, schema, x: str, path: str, depth: int | None, refs: tuple = ()) -> list[tuple[str, str]]:
-        """(name, broken) over the variant ``x``, which is null where the value is missing; ``depth`` is None inside a lambda."""
-        if isinstance(schema, dict) and schema.get("$ref") in refs:
-            raise ValueError(f"a schema that contains itself has no fixed set of columns: {schema['$ref']}")
-        refs = (*refs, schema["$ref"]) if isinstance(schema, dict) and "$ref" in schema else refs
-        schema = self.resolve(schema)
+    def shape(self, schema, refs: tuple, element: bool = False) -> tuple[str, str]:
+        """(form, SQL type) in which the values of a schema are taken out of a variant, all parts that rules look at in one cast.
+
+        An object or array becomes a struct, map or array if its keywords need no more than that, anything else stays a variant;
+        inside of an array's ``element`` (a struct at most) everything does.
+        """
+        plain = ("variant", "variant")
+        schema, refs = self.enter(schema, refs)
+        if not isinstance(schema, dict):
+            return plain
+        words = set(schema) - SILENT
+        keys = _keys(schema)
+        if schema.get("type") == "array" and not element and words <= {"type", "items", "minItems", "maxItems"} and isinstance(schema.get("items"), dict):
+            return "array", f"array<{self.shape(schema['items'], refs, element=True)[1]}>"
+        if schema.get("type") == "object" and keys and words <= {"type", "required", "properties"}:
+            if "" in keys or len({k.lower() for k in keys}) < len(keys):                # as a struct's fields they couldn't be told apart
+                return plain
+            parts = schema.get("properties", {})
+            return "struct", "struct<" + ", ".join(f"{_quoted(k)}: {'variant' if element or k not in parts else self.shape(parts[k], refs)[1]}" for k in keys) + ">"
+        if schema.get("type") == "object" and not element and words == {"type", "additionalProperties"} and isinstance(schema["additionalProperties"], dict | bool):
+            return "map", "map<string, variant>"
+        return plain
+
+    def taken(self, schema, source: str, path: str, depth: int, refs: tuple) -> _Place:
+        """The value at a path of a variant, in the schema's form, as a column of the next level."""
+        form, kind = self.shape(schema, refs)
+        if form == "variant":
+            return _Place(source if path == "$" else self.column(f"variant_get({source}, {_text(path)}, 'variant')", depth + 1), depth if path == "$" else depth + 1)
+        return _Place(self.column(f"try_variant_get({source}, {_text(path)}, {_text(kind)})", depth + 1), depth + 1, form, source, path)
+
+    def child(self, p: _Place, key: str, schema, refs: tuple) -> _Place:
+        step = _step(key)
+        if p.held and p.x in ("f", "f.v"):
+            return _Place(p.held.part(key), None, held=p.held)
+        if p.form == "struct":
+            return _Place(f"{p.x}.{_quoted(key)}", p.depth, self.shape(schema, refs)[0], p.source, p.path + step)
+        if p.depth is None:
+            return _Place(f"variant_get({p.x}, {_text('$' + step)}, 'variant')", None, held=p.held)
+        return self.taken(schema, p.x, "$" + step, p.depth, refs)
+
+    def once(self, expression: str, p: _Place) -> str:
+        """A column, or a field of an element: computed once for all rules of the value (its kind walks all that is in it)."""
+        if p.held:
+            return p.held.field(expression)
+        return expression if p.depth is None else self.column(expression, p.depth + 1)
+
+    def there(self, p: _Place, schema) -> str:
+        """Whether there is a value, of whatever kind."""
+        if p.form == "variant":
+            return f"{self.once(_kind(p.x), p)} IS NOT NULL" if isinstance(schema, dict) and "type" in schema else self.once(f"{p.x} IS NOT NULL", p)
+        if p.held:                                                  # an array has no gaps
+            return "true"
+        # a case, so that the variant is only looked into where the value isn't of its form
+        return self.once(f"CASE WHEN {p.x} IS NOT NULL THEN true ELSE variant_get({p.source}, {_text(p.path)}, 'variant') IS NOT NULL END", p)
+
+    def number(self, p: _Place) -> str:
+        return self.once(_number(p.x), p)
+
+    def string(self, p: _Place) -> str:
+        return self.once(_string(p.x), p)
+
+    def is_a(self, kind: str, p: _Place) -> str:
+        """Null where there is no value, unless its form isn't ``variant``."""
+        if p.form != "variant":
+            return self.once(f"{p.x} IS NOT NULL", p)               # the only kind that its rules ask for
+        return _IS[kind](self.once(_kind(p.x), p), self.number(p) if kind == "integer" else "")
+
+    def equals(self, p: _Place, value) -> str:
+        if value is None:
+            return self.is_a("null", p)
+        if isinstance(value, bool):
+            boolean = self.once(f"try_variant_get({p.x}, '$', 'boolean')", p)
+            return f"({self.is_a('boolean', p)} AND {boolean} = {str(value).lower()})"
+        if isinstance(value, (int, float)):
+            return f"({self.is_a('number', p)} AND {self.number(p)} = {value!r}D)"
+        if isinstance(value, str):
+            return f"({self.is_a('string', p)} AND {self.string(p)} = {_text(value)})"
+        raise ValueError(f"only plain values can be listed: {value!r}")
+
+    def one_of(self, p: _Place, values: list) -> str:
+        texts = [v for v in values if isinstance(v, str)]
+        tests = [self.equals(p, v) for v in values if not isinstance(v, str)]
+        if texts:
+            tests.append(f"({self.is_a('string', p)} AND {self.string(p)} IN ({', '.join(map(_text, texts))}))")
+        return "(" + " OR ".join(tests or ["false"]) + ")"
+
+    def rules(self, schema, p: _Place, path: str, refs: tuple = ()) -> list[tuple[str, str]]:
+        """(name, broken) of the value at a place; a condition that is null isn't broken."""
+        schema, refs = self.enter(schema, refs)
         if schema is True or schema == {}:
             return []
         if schema is False:
-            return [(f"{path}: false", f"{x} IS NOT NULL")]
+            return [(f"{path}: false", self.there(p, schema))]
         found: list[tuple[str, str]] = []
         rule = lambda keyword, holds, only=None: found.append((
-            f"{path}: {keyword}", self.kind_once(f"{x} IS NOT NULL AND " + (f"{_IS[only](x)} AND " if only else "") + f"NOT coalesce({holds}, false)", x, depth)))
-        below = lambda key: self.column(_child(x, key), depth + 1) if depth is not None else _child(x, key)
+            f"{path}: {keyword}", f"{self.is_a(only, p) if only else self.there(p, schema)} AND NOT coalesce({holds}, false)"))
+        parts = schema.get("properties", {})
         for keyword, value in schema.items():
             if keyword in SILENT:
                 continue
             elif keyword == "type":
-                kinds = value if isinstance(value, list) else [value]
-                rule("type", "(" + " OR ".join(_IS[k](x) for k in kinds) + ")")
+                kinds = " OR ".join(self.is_a(k, p) for k in (value if isinstance(value, list) else [value]))
+                found.append((f"{path}: type", f"NOT ({kinds})" if p.form == "variant" else f"{self.there(p, schema)} AND NOT ({kinds})"))
             elif keyword == "enum":
-                rule("enum", _one_of(x, value))
+                rule("enum", self.one_of(p, value))
             elif keyword == "const":
-                rule("const", _equals(x, value))
+                rule("const", self.equals(p, value))
             elif keyword in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
-                rule(keyword, f"{_number(x)} {dict(minimum='>=', maximum='<=', exclusiveMinimum='>', exclusiveMaximum='<')[keyword]} {float(value)!r}D", "number")
+                rule(keyword, f"{self.number(p)} {dict(minimum='>=', maximum='<=', exclusiveMinimum='>', exclusiveMaximum='<')[keyword]} {float(value)!r}D", "number")
             elif keyword == "multipleOf":
-                rule(keyword, f"{_number(x)} / {float(value)!r}D = floor({_number(x)} / {float(value)!r}D)", "number")
+                rule(keyword, f"{self.number(p)} / {float(value)!r}D = floor({self.number(p)} / {float(value)!r}D)", "number")
             elif keyword in ("minLength", "maxLength"):
-                rule(keyword, f"length({_string(x)}) {'>=' if keyword == 'minLength' else '<='} {int(value)}", "string")
+                rule(keyword, f"length({self.string(p)}) {'>=' if keyword == 'minLength' else '<='} {int(value)}", "string")
             elif keyword == "pattern":
-                rule("pattern", f"{_string(x)} RLIKE {_text(value)}", "string")
+                rule("pattern", f"{self.string(p)} RLIKE {_text(value)}", "string")
             elif keyword == "format":
                 if value != "date":
                     raise ValueError(f"unknown format: {value}")
-                rule("format", f"{_string(x)} RLIKE {_text(DATE)} AND try_cast({_string(x)} AS date) IS NOT NULL", "string")
+                rule("format", f"{self.string(p)} RLIKE {_text(DATE)} AND try_cast({self.string(p)} AS date) IS NOT NULL", "string")
             elif keyword in ("minItems", "maxItems"):
-                rule(keyword, f"size({self.items(x, depth)}) {'>=' if keyword == 'minItems' else '<='} {int(value)}", "array")
+                size = self.once(f"size({p.x})", p) if p.form == "array" else f"size({self.items(p)})"
+                rule(keyword, f"{size} {'>=' if keyword == 'minItems' else '<='} {int(value)}", "array")
             elif keyword == "required":
                 for key in value:
-                    rule(f"required {key}", f"{below(key)} IS NOT NULL", "object")
+                    sub = parts.get(key, True)
+                    found.append((f"{path}: required {key}", f"{self.is_a('object', p)} AND NOT ({self.there(self.child(p, key, sub, refs), self.resolve(sub))})"))
             elif keyword == "properties":
                 for key, sub in value.items():
-                    found += self.rules(sub, below(key), f"{path}.{key}" if path else key, None if depth is None else depth + 1, refs)
+                    found += self.rules(sub, self.child(p, key, sub, refs), f"{path}.{key}" if path else key, refs)
             elif keyword == "additionalProperties":
-                named = ", ".join(_text(k) for k in schema.get("properties", {}))
+                named = ", ".join(map(_text, parts))
                 i = self.fresh()
-                entries = f"map_entries(try_variant_get({x}, '$', 'map<string,variant>'))"
+                whole = p.x if p.form == "map" else f"try_variant_get({p.x}, '$', 'map<string,variant>')"
+                entries = f"map_entries({whole})"
                 if named:
                     entries = f"filter({entries}, {i} -> {i}.key NOT IN ({named}))"
+                entries = self.once(entries, p)
                 if value is False:
                     found.append((f"{path}: additionalProperties", f"coalesce(size({entries}) > 0, false)"))
                 elif value is not True:
                     j = self.fresh()
-                    found += [(n, f"coalesce(exists({entries}, {j} -> coalesce({b}, false)), false)") for n, b in self.rules(value, f"{j}.value", path + "{}", None, refs)]
+                    found += [(n, f"coalesce(exists({entries}, {j} -> {b}), false)") for n, b in self.rules(value, _Place(f"{j}.value", None), path + "{}", refs)]
             elif keyword == "items":
                 if isinstance(value, list):
                     raise ValueError("items by position aren't understood")
-                i = self.fresh()
-                items, element = self.items(x, depth), i
-                parts = {}
-                if depth is not None:
-                    items, element, parts = self.elements(items, value, i, depth + 2)
-                for n, b in self.rules(value, element, path + "[]", None, refs):
-                    for part, held in parts.items():
-                        b = b.replace(part, held)
-                    found.append((n, f"coalesce(exists({items}, {i} -> coalesce({b}, false)), false)"))
+                found += self.of_elements(value, p, path + "[]", refs)
             elif keyword == "allOf":
                 for n, part in enumerate(value):
-                    found += [(f"{name} (allOf {n})", b) for name, b in self.rules(part, x, path, depth, refs)]
+                    found += [(f"{name} (allOf {n})", b) for name, b in self.rules(part, p, path, refs)]
             elif keyword == "anyOf":
-                parts = [self.any_broken(part, x, depth, refs) for part in value]
-                found.append((f"{path}: anyOf", f"{x} IS NOT NULL AND " + " AND ".join(parts)))
+                found.append((f"{path}: anyOf", f"{self.there(p, schema)} AND " + " AND ".join(self.any_broken(part, p, refs) for part in value)))
             elif keyword == "not":
-                found.append((f"{path}: not", f"{x} IS NOT NULL AND NOT {self.any_broken(value, x, depth, refs)}"))
+                found.append((f"{path}: not", f"{self.there(p, schema)} AND NOT {self.any_broken(value, p, refs)}"))
             else:
                 raise ValueError(f"unknown keyword at {path or 'the root'}: {keyword}")
         return found
 
-    def kind_once(self, condition: str, x: str, depth: int | None) -> str:
-        """The kind of a value walks all that is in it: outside of lambdas it is a column, once for all rules of the value."""
-        kind = _kind(x)
-        return condition.replace(kind, self.column(kind, depth + 1)) if depth is not None and kind in condition else condition
-
-    def elements(self, items: str, schema, i: str, depth: int) -> tuple[str, str, dict[str, str]]:
-        """A column of the array's elements with their properties and the kinds of both, taken out once for all rules.
+    def of_elements(self, schema, p: _Place, path: str, refs: tuple) -> list[tuple[str, str]]:
+        items, i = p.x if p.form == "array" else self.items(p), self.fresh()
+        if p.depth is None:
+            return [(n, f"coalesce(exists({items}, {i} -> {b}), false)") for n, b in self.rules(schema, _Place(i, None), path, refs)]
+        struct = p.form == "array" and self.shape(schema, refs, element=True)[0] == "struct"
+        held = _Elements(i, struct)
+        rules = self.rules(schema, _Place("f", None, "struct", held=held) if struct else _Place("f.v", None, held=held), path, refs)
+        if not rules:
+            return []
+        column = self.column(held.over(items), p.depth + (1 if p.form == "array" else 2))
+        found = [(n, f"coalesce(exists({column}, {i} -> {b}), false)") for n, b in rules]
+        self.each |= {whole: (column, i, b) for (_, whole), (_, b) in zip(found, rules, strict=True)}
+        return found
 
-        Returns the column, the element itself as seen from ``i``, and what of a rule to replace by which field, in order.
-        """
-        sub = self.resolve(schema)
-        sub = sub if isinstance(sub, dict) else {}
-        keys = list(dict.fromkeys([*sub.get("properties", {}), *sub.get("required", [])]))
-        values = ", ".join(["'v', e", *(f"'v{n}', {_child('e', key)}" for n, key in enumerate(keys))])
-        names = ["", *map(str, range(len(keys)))]
-        kinds = ", ".join(f"'v{n}', f.v{n}, 't{n}', {_kind(f'f.v{n}')}" for n in names)
-        column = self.column(f"transform(transform({items}, e -> named_struct({values})), f -> named_struct({kinds}))", depth)
-        return column, f"{i}.v", {_child(f"{i}.v", key): f"{i}.v{n}" for n, key in enumerate(keys)} | {_kind(f"{i}.v{n}"): f"{i}.t{n}" for n in names}
-
-    def any_broken(self, schema, x: str, depth: int | None, refs: tuple) -> str:
-        parts = [f"coalesce({b}, false)" for _, b in self.rules(schema, x, "", depth, refs)]
+    def any_broken(self, schema, p: _Place, refs: tuple) -> str:
+        parts = [f"coalesce({b}, false)" for _, b in self.rules(schema, p, "", refs)]
         return "(" + " OR ".join(parts or ["false"]) + ")"
 
-    def items(self, x: str, depth: int | None) -> str:
-        array = f"try_variant_get({x}, '$', 'array<variant>')"
-        return array if depth is None else self.column(array, depth + 1)
+    def items(self, p: _Place) -> str:
+        return self.once(f"try_variant_get({p.x}, '$', 'array<variant>')", p)
 
 
 @dataclass(frozen=True)
@@ -233,15 +334,27 @@ class Compiled:
     def broken(self, name: str) -> Column:
         return F.coalesce(F.expr(next(r.broken for r in self.rules if r.name == name)), F.lit(False))
 
+    def any_broken(self, names: list[str]) -> Column:
+        """Whether a line breaks any of these rules (or null); rules on the elements of one array walk it once."""
+        rules = {r.name: r for r in self.rules}
+        tests, each = [], {}
+        for r in map(rules.get, names):
+            if r.each:
+                each.setdefault(r.each[:2], []).append(r.each[2])
+            else:
+                tests.append(r.broken)
+        tests += [f"exists({column}, {i} -> {' OR '.join(f'({b})' for b in found)})" for (column, i), found in each.items()]
+        return F.expr(" OR ".join(f"({t})" for t in tests) or "false")
+
 
 def compile_schema(document: dict) -> Compiled:
     """All rules of a document; a line that isn't JSON breaks the rule ``: json`` alone."""
     compiler = _Compiler(document)
-    rules = [(": json", "_v IS NULL"), *compiler.rules(document, "_v", "", 0)]
+    rules = [(": json", "_v IS NULL"), *compiler.rules(document, compiler.taken(document, "_v", "$", 0, ()), "")]
     names: dict[str, str] = {}
     for name, broken in rules:
         names[name] = f"({names[name]}) OR ({broken})" if name in names else broken
-    return Compiled(tuple(Rule(n, b) for n, b in names.items()), tuple(tuple(level) for level in compiler.levels))
+    return Compiled(tuple(Rule(n, b, compiler.each.get(b)) for n, b in names.items()), tuple(tuple(level) for level in compiler.levels))
 
 
 def violations(lines: DataFrame, document: dict, column: str = "value") -> DataFrame:
@@ -255,6 +368,6 @@ def conformance(lines: DataFrame, document: dict, column: str = "value", groups:
     """(rule, violations): how many lines break each rule, or any rule of each of the named ``groups``, in one aggregation."""
     compiled = compile_schema(document)
     groups = groups or {r.name: [r.name] for r in compiled.rules}
-    tests = {g: [compiled.broken(n) for n in names] for g, names in groups.items()}
-    counts = [F.struct(F.lit(g).alias("rule"), F.count(F.when(F.array_contains(F.array(*t), True), F.lit(1))).alias("violations")) for g, t in tests.items()]
-    return compiled.prepared(lines, column).agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    tests = compiled.prepared(lines, column).select(*[compiled.any_broken(names).alias(f"_b{n}") for n, names in enumerate(groups.values())])
+    counts = [F.struct(F.lit(g).alias("rule"), F.count(F.when(F.col(f"_b{n}"), F.lit(1))).alias("violations")) for n, g in enumerate(groups)]
+    return tests.agg(F.array(*counts).alias("c")).select(F.explode("c").alias("c")).select("c.*")

@@ -102,3 +102,46 @@ def test_kinds_and_parts_are_taken_out_once(spark):
     got = {r.i: r.broken for r in J.violations(lines, document).collect()}
     assert got == {1: ["n: type", "a[]: type", "a[].x: maximum"], 2: ["n: type", "a: type"],
                    3: [": required n", "a[]: required z", "a[].x: type", "a[].y: enum"], 4: [": type"], 5: [": type"], 6: [": json"], 7: [": json"]}
+
+
+def test_one_cast_takes_a_record_apart(spark):
+    """Objects and arrays are taken out of a line's variant by one cast, and rules on an array's elements walk it once for each group."""
+    compiled = J.compile_schema(audit.declared_schema())
+    first, *more = compiled.levels
+    assert len(first) == len(more) == 1 and first[0][1].startswith("try_variant_get(_v, '$', 'struct<")
+    assert not [e for _, e in more[0] if "variant_get" in e.replace("try_variant_get", "") and not e.startswith("CASE WHEN")]
+    jobs = [r.name for r in compiled.rules if r.name.startswith("career_history[].")]
+    assert len(jobs) > 10 and str(compiled.any_broken(jobs)).count("exists(") == 1
+
+
+def test_forms_that_values_are_taken_out_in(spark):
+    """Missing, null and of another kind are told apart, within structs, maps and arrays as well, and whatever the keys are."""
+    text, number = {"type": "string"}, {"type": "integer", "minimum": 0}
+    inner = {"type": "object", "required": ["a", "z"], "properties": {"a": number, "deep": {"type": "object", "required": ["x"], "properties": {"x": text}}}}
+    schema = {"type": "object", "required": ["o", "l", "m"], "properties": {
+        "o": inner, "l": {"type": "array", "items": inner | {"properties": {"a": number, "t": {"type": "array", "items": text}}}, "minItems": 1},
+        "m": {"type": "object", "additionalProperties": number}, "n": {"type": "array", "items": number}, "no": False,
+        "it's `odd`, a.b": {"type": "object", "required": ["k"]}, "Case": {"type": "object", "properties": {"k": text, "K": number}}}}
+    good = {"o": {"a": 1, "z": None}, "l": [{"a": 2, "z": 0}], "m": {"k": 3}}
+    cases = [
+        ({}, []), ({"o": None}, ["o: type"]), ({"o": []}, ["o: type"]), ({"o": 3}, ["o: type"]), ({"o": {}}, ["o: required a", "o: required z"]),
+        ({"o": {"a": 1, "z": 1, "deep": None}}, ["o.deep: type"]), ({"o": {"a": -1, "z": 1, "deep": {}}}, ["o.a: minimum", "o.deep: required x"]),
+        ({"o": {"a": 1, "z": 1, "deep": {"x": 1}}}, ["o.deep.x: type"]), ({"l": None}, ["l: type"]), ({"l": {"a": 1}}, ["l: type"]), ({"l": []}, ["l: minItems"]),
+        ({"l": [None]}, ["l[]: type"]), ({"l": [good["l"][0], 3]}, ["l[]: type"]), ({"l": [{"a": 1}]}, ["l[]: required z"]), ({"l": [{"z": 1, "a": 1.5}, {"z": 1}]}, ["l[]: required a", "l[].a: type"]),
+        ({"l": [{"a": 1, "z": 1, "t": ["x", 1]}]}, ["l[].t[]: type"]), ({"l": [{"a": 1, "z": 1, "t": {}}]}, ["l[].t: type"]), ({"m": []}, ["m: type"]), ({"m": {}}, []),
+        ({"m": {"k": -1, "j": "x"}}, ["m{}: type", "m{}: minimum"]), ({"m": {"k": None}}, ["m{}: type"]), ({"n": [1, None]}, ["n[]: type"]), ({"n": [1, -1]}, ["n[]: minimum"]), ({"n": None}, ["n: type"]),
+        ({"no": None}, ["no: false"]), ({"it's `odd`, a.b": {}}, ["it's `odd`, a.b: required k"]), ({"it's `odd`, a.b": {"k": None}}, []), ({"it's `odd`, a.b": 1}, ["it's `odd`, a.b: type"]),
+        ({"Case": {"k": 1, "K": 1}}, ["Case.k: type"]), ({"Case": {"k": "a", "K": "a"}}, ["Case.K: type"]), ({"Case": {"k": "a", "K": -1}}, ["Case.K: minimum"]), ({"case": 3, "O": 3}, [])]
+    lines = [good | c for c, _ in cases] + [{k: v for k, v in good.items() if k != gone} for gone in good]
+    want = [w for _, w in cases] + [[f": required {gone}"] for gone in good]
+    assert broken(spark, lines, schema, raw=["null", "[]"]) == [*want, [": type"], [": type"]]
+    groups = {"elements": ["l[]: type", "l[]: required a", "l[]: required z", "l[].a: minimum", "o: type"], "none": []}
+    df = spark.createDataFrame([(json.dumps(x),) for x in lines], "value string")
+    hits = sum(any(n in groups["elements"] for n in w) for w in want)
+    assert {r.rule: r.violations for r in J.conformance(df, schema, groups=groups).collect()} == {"elements": hits, "none": 0}
+
+
+@pytest.mark.parametrize("schema", [{"definitions": {"n": {"type": "object", "properties": {"next": {"$ref": "#/definitions/n"}}}}, "$ref": "#/definitions/n"}])
+def test_an_object_within_itself_is_an_error(schema):
+    with pytest.raises(ValueError):
+        J.compile_schema(schema)
