@@ -70,16 +70,12 @@ def _parts(signals_key: str) -> dict[str, str]:
 
     Casting to a struct of variants gives null for what is no object (for lists: no list of objects).
     """
-    whole = lambda path: f"variant_get(v, '$.{path}', 'variant')"
     fields = lambda names: ", ".join(f"{n}: variant" for n in names)
     salary = "expected_salary_range_inr_lpa"
-    parts = {"profile_v": whole("profile"), "profile": "try_variant_get(v, '$.profile', 'struct<years_of_experience: variant>')",
-             "signals_v": whole(signals_key), "salary_v": whole(f"{signals_key}.{salary}"),
+    parts = {"profile": "try_variant_get(v, '$.profile', 'struct<years_of_experience: variant>')",
              "signals": f"try_variant_get(v, '$.{signals_key}', 'struct<{fields(n for n in SIGNAL_NUMBERS if '.' not in n)}>')",
              salary: f"try_variant_get(v, '$.{signals_key}.{salary}', 'struct<min: variant, max: variant>')"}
-    for path, (texts, numbers) in HISTORIES.items():
-        parts |= {f"{path}_v": whole(path), path: f"try_variant_get(v, '$.{path}', 'array<struct<{fields(texts + numbers)}>>')"}
-    return parts
+    return parts | {path: f"try_variant_get(v, '$.{path}', 'array<struct<{fields(texts + numbers)}>>')" for path, (texts, numbers) in HISTORIES.items()}
 
 
 def _rules(signals_key: str) -> dict[str, str]:
@@ -89,20 +85,25 @@ def _rules(signals_key: str) -> dict[str, str]:
     needed, a list of objects (or something empty) for the three histories, texts and numbers inside them,
     and something that reads as a number, ``"7"`` included, for the other numbers.
     """
+    # a copy of the whole part, made only for records whose part isn't of the form that is needed
+    whole = lambda path: f"variant_get(v, '$.{path}', 'variant')"
     not_number = lambda x: f"{x} IS NOT NULL AND try_variant_get({x}, '$', 'double') IS NULL"
     not_text = lambda x: f"({x} IS NOT NULL AND schema_of_variant({x}) <> 'STRING')"
     no_count = lambda x: f"({x} IS NOT NULL AND NOT schema_of_variant({x}) RLIKE '^(BIGINT|DOUBLE|DECIMAL|BOOLEAN)')"
 
+    def no_object(part: str, path: str) -> str:
+        return f"CASE WHEN {part} IS NULL THEN {whole(path)} IS NOT NULL ELSE false END"
+
     def bad_history(path: str) -> str:
         texts, numbers = HISTORIES[path]
-        empty = f"coalesce(to_json({path}_v) IN ('null', '{{}}', '[]', '\"\"', '0', 'false'), false)"
+        empty = f"coalesce(to_json({whole(path)}) IN ('null', '{{}}', '[]', '\"\"', '0', 'false'), false)"
         wrong = " OR ".join(["x IS NULL", *(not_text(f"x.{t}") for t in texts), *(no_count(f"x.{n}") for n in numbers)])
-        return f"{path}_v IS NOT NULL AND CASE WHEN {path} IS NULL THEN NOT {empty} ELSE exists({path}, x -> {wrong}) END"
+        return f"CASE WHEN {path} IS NULL THEN {whole(path)} IS NOT NULL AND NOT {empty} ELSE exists({path}, x -> {wrong}) END"
 
     salary = "expected_salary_range_inr_lpa"
-    rules = {"profile": "profile_v IS NOT NULL AND profile IS NULL", "profile.years_of_experience": not_number("profile.years_of_experience")}
+    rules = {"profile": no_object("profile", "profile"), "profile.years_of_experience": not_number("profile.years_of_experience")}
     rules |= {path: bad_history(path) for path in HISTORIES}
-    rules |= {signals_key: "signals_v IS NOT NULL AND signals IS NULL", f"{signals_key}.{salary}": f"salary_v IS NOT NULL AND {salary} IS NULL"}
+    rules |= {signals_key: no_object("signals", signals_key), f"{signals_key}.{salary}": no_object(salary, f"{signals_key}.{salary}")}
     return rules | {f"{signals_key}.{n}": not_number(n if "." in n else f"signals.{n}") for n in SIGNAL_NUMBERS}
 
 
@@ -115,7 +116,7 @@ def tag_lines(lines: DataFrame, signals_key: str = "signals", strict: bool = Tru
     text = lines.where(py_strip(F.col("value")) != "")                   # S3 (Python strip semantics)
     v = text.select("value", F.try_parse_json(F.col("value")).alias("v"))
     schema = candidate_schema(signals_key).simpleString()
-    parts = v.select("value", "v", F.expr("v IS NOT NULL AND try_variant_get(v, '$', 'struct<profile: variant>') IS NULL").alias("no_object"),
+    parts = v.select("value", "v", F.expr("v IS NOT NULL AND try_variant_get(v, '$', 'struct<candidate_id: variant>') IS NULL").alias("no_object"),
                      F.expr(f"try_variant_get(v, '$', '{schema}')").alias("r"), *[F.expr(x).alias(n) for n, x in _parts(signals_key).items()])
     cases = ["WHEN v IS NULL THEN 'malformed'", "WHEN no_object THEN 'not_object'"]
     if strict:
