@@ -215,7 +215,7 @@ def write_jsonl(df: DataFrame, path: str, gzip: bool = False) -> str:
 
 
 #: Lines in one file of ``write_lines``; a compressed file is read by one task as a whole.
-LINES_A_FILE = 50_000
+LINES_A_FILE = 10_000
 
 
 def write_lines(lines: DataFrame, path: str) -> str:
